@@ -62,3 +62,37 @@ def allelic_balance(ad, dp, allele_index, index_mode: str = "reference") -> Colu
 
 def ploidy(gt) -> Column:
     return F.size(_col(gt))
+
+
+def gt_class(gt) -> Column:
+    """Call class: hom_ref, missing, het, hom_alt, multi_het, half_missing, haploid_ref,
+    haploid_missing, haploid_alt, or other (ploidy 0 or >= 3)."""
+    g = _col(gt)
+    n = F.size(g)
+    g0, g1 = F.get(g, 0), F.get(g, 1)
+    return (
+        F.when((n == 2) & (g0 == 0) & (g1 == 0), F.lit("hom_ref"))
+        .when((n == 2) & g0.isNull() & g1.isNull(), F.lit("missing"))
+        .when((n == 2) & (g0.isNull() | g1.isNull()), F.lit("half_missing"))
+        .when((n == 2) & ((g0 == 0) | (g1 == 0)), F.lit("het"))
+        .when((n == 2) & (g0 == g1), F.lit("hom_alt"))
+        .when(n == 2, F.lit("multi_het"))
+        .when((n == 1) & (g0 == 0), F.lit("haploid_ref"))
+        .when((n == 1) & g0.isNull(), F.lit("haploid_missing"))
+        .when(n == 1, F.lit("haploid_alt"))
+        .otherwise(F.lit("other"))
+    )
+
+
+def het_allele_indices(gt) -> Column:
+    """Alt allele indexes that get an AB test: a of 0/a or a/0, both of a1/a2 (a1 != a2)."""
+    g = _col(gt)
+    n = F.size(g)
+    g0, g1 = F.get(g, 0), F.get(g, 1)
+    empty = F.array().cast("array<int>")
+    return (
+        F.when((n == 2) & (g0 == 0) & (g1 != 0), F.array(g1))
+        .when((n == 2) & (g1 == 0) & (g0 != 0), F.array(g0))
+        .when((n == 2) & (g0 != g1) & (g0 != 0) & (g1 != 0), F.array(g0, g1))
+        .otherwise(empty)
+    )

@@ -161,8 +161,8 @@ def explode_alleles(df: DataFrame, **kw) -> DataFrame:
     cols = [c for c in df.columns if c not in ("hemi",)]
     return (
         df.withColumn("hemi", hemizygous())
-        .select(*cols, F.explode(allele_rows(**kw)).alias("a"))
-        .select(*cols, "a.alt", "a.ac", "a.ac_hom", "a.ac_hemi", "a.passed")
+        .select(*cols, "hemi", F.explode(allele_rows(**kw)).alias("a"))
+        .select(*cols, "hemi", "a.alt", "a.ac", "a.ac_hom", "a.ac_hemi", "a.passed")
     )
 
 

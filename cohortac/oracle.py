@@ -81,7 +81,7 @@ def alleles_cte(min_ab: float = 0.2) -> str:
 
     het = "CASE WHEN hemi THEN 1 ELSE 1 END, 0, CASE WHEN hemi THEN 1 ELSE 0 END"
     hom = "CASE WHEN hemi THEN 1 ELSE 2 END, CASE WHEN hemi THEN 0 ELSE 1 END, CASE WHEN hemi THEN 1 ELSE 0 END"
-    cols = "region, contig, pos, ref, file, sample_rank, sample, sex, dp, l_orderkey, l_linenumber"
+    cols = "region, contig, pos, ref, file, sample_rank, sample, sex, dp, hemi, l_orderkey, l_partkey, l_linenumber"
     return f"""
 alleles AS (
     SELECT {cols}, ref AS alt, 0 AS ac, 0 AS ac_hom, 0 AS ac_hemi, gpass AS passed, 'ref' AS kind FROM flags
@@ -125,7 +125,7 @@ pile AS (
         {side('XX', 'flag')} AS XX_n_DP_discarded,
         {side('XY', 'ac')} AS XY_AC, {side('XY', 'ac_hom')} AS XY_AC_hom, {side('XY', 'ac_hemi')} AS XY_AC_hemi,
         {side('XY', 'flag')} AS XY_n_DP_discarded,
-        dp AS DP, file, sample_rank, sample, sex, passed, kind, l_orderkey, l_linenumber
+        dp AS DP, file, sample_rank, sample, sex, passed, kind, hemi, l_orderkey, l_partkey, l_linenumber
     FROM alleles WHERE alt IS DISTINCT FROM '*'
 )
 """
