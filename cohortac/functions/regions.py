@@ -77,7 +77,9 @@ def regions_frame(spark: SparkSession, regions: list[str] | str | None = None, s
         texts = regions.split(",")
     else:
         texts = list(regions)
-    raw = spark.createDataFrame([(t,) for t in texts], "text string")
+    # Built from literals on the JVM side (a Python-list DataFrame would start Python workers
+    # every time the broadcast side is evaluated).
+    raw = spark.range(1).select(F.explode(F.array(*[F.lit(t) for t in texts])).alias("text"))
     p = raw.select("text", parse_region("text").alias("r"))
     if strict:
         p = p.where(
@@ -95,5 +97,12 @@ def regions_frame(spark: SparkSession, regions: list[str] | str | None = None, s
     ).distinct()
 
 
+def region_count_bound(regions: list[str] | str | None) -> int:
+    """Upper bound on the rows of ``regions_frame(regions)`` (the number of texts)."""
+    if regions is None:
+        return len(DEFAULT_CONTIGS)
+    return len(regions.split(",")) if isinstance(regions, str) else len(list(regions))
+
+
 def default_regions(spark: SparkSession) -> DataFrame:
     return regions_frame(spark, None)

@@ -31,7 +31,8 @@ def region_overlap_scan(df: DataFrame, contig: str, begin: int | None = None, en
     return df.where(cond)
 
 
-def region_interval_join(df: DataFrame, regions: DataFrame, max_broadcast_rows: int = MAX_BROADCAST_REGIONS) -> DataFrame:
+def region_interval_join(df: DataFrame, regions: DataFrame, max_broadcast_rows: int = MAX_BROADCAST_REGIONS,
+                         known_rows: int | None = None) -> DataFrame:
     """Give each record a ``region`` label; a record in k overlapping regions appears k times.
 
     Equi-join on contig with the overlap test as a residual condition, against the broadcast
@@ -43,7 +44,7 @@ def region_interval_join(df: DataFrame, regions: DataFrame, max_broadcast_rows:
         F.col("begin").alias("_r_begin"),
         F.col("end").alias("_r_end"),
     )
-    r = broadcast_if_bounded(r, max_broadcast_rows)
+    r = broadcast_if_bounded(r, max_broadcast_rows, known_rows)
     cond = (F.col("contig") == F.col("_r_contig")) & overlaps(F.col("pos"), F.col("end"), F.col("_r_begin"), F.col("_r_end"))
     return df.join(r, cond, "inner").drop("_r_contig", "_r_begin", "_r_end")
 

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from cohortac.constants import DEFAULT_MIN_AB, DEFAULT_MIN_DP, DEFAULT_MIN_GQ
-from cohortac.functions.regions import regions_frame
+from cohortac.functions.regions import region_count_bound, regions_frame
 from cohortac.operators.counts import allele_counts
 from cohortac.operators.finalize import finalize
 from cohortac.operators.pile import build_pile
@@ -46,8 +46,10 @@ def samples_sex(genotypes: DataFrame, header_samples: DataFrame | None = None, o
 
 def pile_for(genotypes: DataFrame, samples: DataFrame, regions=None, filters: Filters = Filters(), keep=()) -> DataFrame:
     spark = genotypes.sparkSession
-    reg = regions if isinstance(regions, DataFrame) else regions_frame(spark, regions)
-    g = region_interval_join(genotypes, reg)
+    if isinstance(regions, DataFrame):
+        g = region_interval_join(genotypes, regions)
+    else:
+        g = region_interval_join(genotypes, regions_frame(spark, regions), known_rows=region_count_bound(regions))
     return build_pile(
         g,
         samples,

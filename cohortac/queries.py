@@ -7,6 +7,7 @@ that the DuckDB oracle in ``cohortac.oracle_queries`` can be compared value by v
 
 from __future__ import annotations
 
+import functools
 import uuid
 from collections.abc import Callable
 
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from cohortac.constants import PILE_COLUMNS
 from cohortac.functions.genome import par_class
 from cohortac.functions.genotype import allelic_balance, gt_class, het_allele_indices, parse_gt, parse_int
-from cohortac.functions.regions import begin0, format_region, parse_region, regions_frame
+from cohortac.functions.regions import begin0, format_region, parse_region, region_count_bound, regions_frame
 from cohortac.operators.counts import allele_counts, depth_distribution, depth_moments, sorted_counts
 from cohortac.operators.finalize import allele_number_columns, depth_mean, depth_std, finalize, nonzero_variants, with_sample_number
 from cohortac.operators.merge import merge_counts, merge_info, union_all
@@ -35,7 +36,7 @@ from cohortac.operators.regions import missing_contigs, region_interval_join, re
 from cohortac.operators.sampling import cap_per_contig, subsample_per_contig
 from cohortac.operators.sex import dataset_info
 from cohortac.plans.pipeline import Filters, count_dataset, pile_for, samples_sex
-from cohortac.session import scratch_path
+from cohortac.session import scratch_path, tune
 from cohortac.sources import tables
 from cohortac.sources.projection import genotypes_from_tables
 from cohortac.sources.vcf import (
@@ -59,8 +60,13 @@ JOIN_REGIONS = ["chr1:1-7000", "chr1:5000-14000", "chrX", "chrY:2781480", "chrM:
 
 
 def query(fn):
-    QUERIES[fn.__name__.removeprefix("q_")] = fn
-    return fn
+    @functools.wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        tune(spark)
+        return fn(spark, sf_dir)
+
+    QUERIES[fn.__name__.removeprefix("q_")] = run
+    return run
 
 
 def _r6(c, name=None):
@@ -76,7 +82,7 @@ def _calls(spark, sf_dir):
     """Calls that reach classification (default regions, gVCF, sex, chrY and DP rules)."""
     g = _g(spark, sf_dir)
     s = samples_sex(g)
-    c = region_interval_join(g, regions_frame(spark, None))
+    c = region_interval_join(g, regions_frame(spark, None), known_rows=region_count_bound(None))
     c = join_sample_sex(drop_gvcf_blocks(c), s)
     return missing_dp_filter(chry_filter(c))
 
@@ -339,7 +345,7 @@ def q_format_regions(spark, sf_dir):
 @query
 def q_default_regions(spark, sf_dir):
     regions = regions_frame(spark, None)
-    n = region_interval_join(_g(spark, sf_dir), regions).groupBy("region").agg(F.count(F.lit(1)).alias("n_calls"))
+    n = region_interval_join(_g(spark, sf_dir), regions, known_rows=region_count_bound(None)).groupBy("region").agg(F.count(F.lit(1)).alias("n_calls"))
     return regions.join(n, "region", "left").select("region", "contig", F.coalesce("n_calls", F.lit(0)).alias("n_calls"))
 
 
@@ -351,7 +357,7 @@ def q_region_overlap_scan(spark, sf_dir):
 
 @query
 def q_region_interval_join(spark, sf_dir):
-    r = region_interval_join(_g(spark, sf_dir), regions_frame(spark, JOIN_REGIONS))
+    r = region_interval_join(_g(spark, sf_dir), regions_frame(spark, JOIN_REGIONS), known_rows=len(JOIN_REGIONS))
     return r.select("region", "file", "sample_rank", "contig", "pos", "end", *KEYS)
 
 

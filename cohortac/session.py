@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,10 +13,38 @@ from pyspark.sql import functions as F
 # with a count before the hint is given; above them the join stays a shuffle join.
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
+# Runtime SQL settings the plans rely on. The genotype classification fuses into large
+# whole-stage-codegen methods; HotSpot does not JIT-compile methods above 8000 bytes of
+# bytecode, so such a stage would run interpreted. With this limit Spark falls back to
+# per-operator code for those subtrees instead. (On a cluster, the JVM flag
+# -XX:-DontCompileHugeMethods in spark.{driver,executor}.extraJavaOptions is an alternative.)
+SQL_SETTINGS = {
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+JIT_FLAG = "-XX:-DontCompileHugeMethods"
+
+
+def _jvm_compiles_huge_methods(spark: SparkSession) -> bool:
+    conf = spark.sparkContext.getConf()
+    opts = conf.get("spark.driver.extraJavaOptions", "") + " " + conf.get("spark.executor.extraJavaOptions", "")
+    return JIT_FLAG in opts
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """Apply the runtime SQL settings to an existing session (idempotent). When the JVMs were
+    started with the JIT flag, large fused stages are compiled anyway and keep whole-stage
+    codegen, so the method-size limit is left alone."""
+    if _jvm_compiles_huge_methods(spark):
+        return spark
+    for k, v in SQL_SETTINGS.items():
+        if spark.conf.get(k, None) != v:
+            spark.conf.set(k, v)
+    return spark
+
 
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "cohortac") -> SparkSession:
     """Session with AQE on and the UI off; for local runs and tests."""
-    return (
+    builder = (
         SparkSession.builder.master(master)
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -27,8 +56,10 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
         .config("spark.sql.parquet.compression.codec", "zstd")
-        .getOrCreate()
     )
+    for k, v in SQL_SETTINGS.items():
+        builder = builder.config(k, v)
+    return builder.getOrCreate()
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -52,9 +83,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def reliable_checkpoint(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder and cut its lineage."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise ``df`` in the shared checkpoint folder and cut its lineage.
+
+    Written as a Parquet table under ``<spark.checkpoint.dir>/tables/`` and read back: one
+    job, columnar, and the result survives the loss of any executor. Reading it back also
+    gives the planner exact file sizes for its broadcast decisions.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, f"t-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -72,3 +110,17 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
     """
     n = known_rows if known_rows is not None else df.count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread an under-split source over the cluster.
+
+    A source with fewer input partitions than the cluster's default parallelism (one
+    unsplittable gzip file, a Parquet file with a single row group) would run every later
+    map-side step in that few tasks. Only then is it repartitioned round-robin; a large,
+    well-split input is returned untouched, so no extra shuffle is added at scale. The
+    partition count comes from planning the scan (no job is run).
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    n = df.rdd.getNumPartitions()
+    return df.repartition(target) if n < target else df

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortac.constants import PAR1_END, PAR2_X_BEGIN
+from cohortac.session import ensure_parallelism
 
 CONTIGS = ["chr1", "chr20", "chrX", "chrY", "chrM"]
 BASES = ["A", "C", "G", "T"]
@@ -29,16 +30,19 @@ def projected_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"
     )
+    li = ensure_parallelism(li)
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey")
     return li.join(orders, li.l_orderkey == orders.o_orderkey, "inner").drop("o_orderkey")
 
 
-def genotypes_from_tables(spark: SparkSession, sf_dir: str, keep_keys: bool = False) -> DataFrame:
-    """Genotype calls in the engine's ``genotypes`` layout (see constants.GENOTYPE_COLUMNS)."""
-    c = projected_calls(spark, sf_dir)
-    pk = F.col("l_partkey")
-    ln = F.col("l_linenumber")
-    sample_id = (F.col("o_custkey") % 40).cast("int")
+def projected_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One site per part: (p_partkey, contig, pos, end, ref, alts).
+
+    Site attributes depend on the part key only, so they are computed once per part and
+    joined to the calls; downstream filters on contig/pos then read plain columns (and are
+    pushed to this small side) instead of re-evaluating the projection per call.
+    """
+    pk = F.col("p_partkey")
     slot = ((pk * 9973) % 2000).cast("int")
     contig = _pick(CONTIGS, pk % 5)
     pos = (
@@ -47,8 +51,36 @@ def genotypes_from_tables(spark: SparkSession, sf_dir: str, keep_keys: bool = Fa
         .otherwise(slot * 7 + 1)
         .cast("int")
     )
+    alt0 = F.when(pk % 13 == 0, F.lit("<NON_REF>")).when(pk % 11 == 0, F.lit("*")).otherwise(_pick(BASES, (pk + 1) % 4))
+    alt1 = _pick(BASES, (pk + 2) % 4)
+    return (
+        spark.read.parquet(f"{sf_dir}/part.parquet")
+        .select("p_partkey")
+        .select(
+            "p_partkey",
+            contig.alias("contig"),
+            pos.alias("pos"),
+            F.when(pk % 13 == 0, pos + 49).otherwise(pos + (pk % 3)).cast("int").alias("end"),
+            _pick(BASES, pk % 4).alias("ref"),
+            F.array(alt0, alt1).alias("alts"),
+        )
+    )
+
+
+def genotypes_from_tables(spark: SparkSession, sf_dir: str, keep_keys: bool = False) -> DataFrame:
+    """Genotype calls in the engine's ``genotypes`` layout (see constants.GENOTYPE_COLUMNS).
+
+    lineitem joins orders (sample) and the per-part sites; the planner broadcasts ``part``
+    only when its file size is under the broadcast threshold, else it shuffles.
+    """
+    c = projected_calls(spark, sf_dir)
+    sites = projected_sites(spark, sf_dir)
+    c = c.join(sites, c.l_partkey == sites.p_partkey, "inner").drop("p_partkey")
+    ln = F.col("l_linenumber")
+    sample_id = (F.col("o_custkey") % 40).cast("int")
+    contig, pos = F.col("contig"), F.col("pos")
     nonparx = (contig == "chrX") & (pos > PAR1_END) & (pos < PAR2_X_BEGIN)
-    odd = sample_id % 2 == 1
+    odd = F.col("sample_id") % 2 == 1
 
     def g(*alleles):
         return F.array(*[F.lit(a).cast("int") for a in alleles])
@@ -73,16 +105,10 @@ def genotypes_from_tables(spark: SparkSession, sf_dir: str, keep_keys: bool = Fa
     dp = F.when(F.col("l_tax") != F.lit(0.08), F.col("l_quantity").cast("int"))
     gq = F.when(F.col("l_tax") != F.lit(0.07), (F.floor("l_extendedprice") % 100).cast("int"))
     k = F.round(F.col("l_discount") * 100).cast("int")
-    ad = F.array(dp - F.expr("div(dp * k, 10)").cast("int"), F.expr("div(dp * k, 10)").cast("int"), dp % 5)
-    ref = _pick(BASES, pk % 4)
-    alt0 = F.when(pk % 13 == 0, F.lit("<NON_REF>")).when(pk % 11 == 0, F.lit("*")).otherwise(_pick(BASES, (pk + 1) % 4))
-    alt1 = _pick(BASES, (pk + 2) % 4)
-    end = F.when(pk % 13 == 0, F.col("pos") + 49).otherwise(F.col("pos") + (pk % 3)).cast("int")
+    ad = F.array(F.col("dp") - F.expr("div(dp * k, 10)").cast("int"), F.expr("div(dp * k, 10)").cast("int"), F.col("dp") % 5)
 
-    out = (
+    return (
         c.withColumn("sample_id", sample_id)
-        .withColumn("contig", contig)
-        .withColumn("pos", pos)
         .withColumn("dp", dp)
         .withColumn("k", k)
         .select(
@@ -93,9 +119,9 @@ def genotypes_from_tables(spark: SparkSession, sf_dir: str, keep_keys: bool = Fa
             F.concat(F.lit("S"), F.lpad(F.col("sample_id").cast("string"), 2, "0")).alias("sample"),
             "contig",
             "pos",
-            end.alias("end"),
-            ref.alias("ref"),
-            F.array(alt0, alt1).alias("alts"),
+            "end",
+            "ref",
+            "alts",
             gt.alias("gt"),
             phased.alias("phased"),
             "dp",
@@ -104,7 +130,6 @@ def genotypes_from_tables(spark: SparkSession, sf_dir: str, keep_keys: bool = Fa
             *(["l_orderkey", "l_partkey", "l_linenumber"] if keep_keys else []),
         )
     )
-    return out
 
 
 # DuckDB text of the same projection, shared by the oracle queries.

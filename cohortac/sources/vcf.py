@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cohortac.constants import SUPPORTED_EXTENSIONS
+from cohortac.session import ensure_parallelism
 from cohortac.functions.genotype import format_value, gt_text, parse_gt, parse_int, parse_int_list
 
 _EXT_ALTERNATION = "|".join(e.replace(".", r"\.") for e in SUPPORTED_EXTENSIONS)
@@ -75,7 +76,8 @@ def read_vcf_lines(spark: SparkSession, paths: list[str], expand: bool = True) -
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out
+    # gzip does not split: a few large .vcf.gz files would leave most cores idle.
+    return ensure_parallelism(out)
 
 
 # ---------------------------------------------------------------- header
