@@ -29,8 +29,14 @@ _SCHEMA = "file string, value string"
 def _open(path: str):
     import pyarrow.fs as pafs
 
-    fs, p = pafs.FileSystem.from_uri(path) if "://" in path else (pafs.LocalFileSystem(), path)
-    return fs, p
+    if path.startswith("file:"):
+        # Hadoop-qualified local path: file:/a/b or file:///a/b
+        return pafs.LocalFileSystem(), "/" + path[len("file:") :].lstrip("/")
+    if "://" in path:
+        scheme, rest = path.split("://", 1)
+        # Hadoop's S3 connector scheme names the same store pyarrow calls s3
+        return pafs.FileSystem.from_uri(("s3" if scheme in ("s3a", "s3n") else scheme) + "://" + rest)
+    return pafs.LocalFileSystem(), path
 
 
 def _block_size(buf: bytes, off: int) -> int | None:

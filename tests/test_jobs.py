@@ -1,0 +1,80 @@
+"""End-to-end write jobs on VCF files made from the sf0.001 projection."""
+
+import gzip
+
+from pyspark.sql import functions as F
+
+from cohortac.operators.finalize import finalize
+from cohortac.plans import jobs
+from cohortac.plans.pipeline import count_dataset
+from cohortac.sources import tables
+from cohortac.sources.projection import genotypes_from_tables
+from cohortac.sources.vcf import to_vcf_lines
+from conftest import SF001
+from helpers import write_bgzf
+
+
+def write_vcf_files(spark, d):
+    g = genotypes_from_tables(spark, SF001)
+    lines = to_vcf_lines(g, g.select("file", "sample_rank", "sample").distinct()).collect()
+    by_file = {}
+    for r in lines:
+        by_file.setdefault(r.file, []).append(r.value)
+    paths = []
+    for i, (f, vals) in enumerate(sorted(by_file.items())):
+        order = lambda v: (0 if v.startswith("##fileformat") else 1 if v.startswith("##") else 2 if v.startswith("#") else 3, v)
+        text = "\n".join(sorted(vals, key=order)) + "\n"
+        name = f.replace(".vcf.gz", "")
+        if i == 0:
+            p = d / f"{name}.vcf.gz"
+            p.write_bytes(gzip.compress(text.encode()))
+        else:
+            p = d / f"{name}.vcf.bgz"
+            write_bgzf(p, text, block_payload=4096)
+        paths.append(str(p))
+    return g, paths
+
+
+def result_rows(df):
+    cols = ["region", "contig", "pos", "ref", "alt", "XX_AN", "XX_AC", "XX_AC_hom", "XX_AC_hemi",
+            "XY_AN", "XY_AC", "XY_AC_hom", "XY_AC_hemi"]
+    return sorted(tuple(r[c] for c in cols) + (round(r.DP_mean, 9), round(r.DP_std, 9)) for r in df.collect())
+
+
+def test_count_finalize_merge(spark, tmp_path):
+    vcf_dir = tmp_path / "vcf"
+    vcf_dir.mkdir()
+    g, paths = write_vcf_files(spark, vcf_dir)
+    ds = count_dataset(g)
+    want = result_rows(finalize(ds.counts, ds.info))
+
+    out = str(tmp_path / "counts")
+    jobs.run_count(spark, [str(vcf_dir)], out)
+    res = str(tmp_path / "result")
+    jobs.run_finalize(spark, out, res)
+    assert result_rows(tables.read_result(spark, res)) == want
+    info = tables.read_dataset_info(spark, res).first()
+    assert (info.sample_number.XX, info.sample_number.XY) == (20, 20)
+
+    # one count dataset per center, merged, then finalized
+    parts = []
+    for i, p in enumerate(paths):
+        o = str(tmp_path / f"c{i}")
+        jobs.run_count(spark, [p], o)
+        parts.append(o)
+    merged = str(tmp_path / "merged")
+    jobs.run_merge(spark, parts, merged)
+    res2 = str(tmp_path / "result2")
+    jobs.run_finalize(spark, merged, res2)
+    assert result_rows(tables.read_result(spark, res2)) == want
+
+
+def test_regions_become_partitions(spark, tmp_path):
+    vcf_dir = tmp_path / "vcf"
+    vcf_dir.mkdir()
+    _, paths = write_vcf_files(spark, vcf_dir)
+    out = str(tmp_path / "counts")
+    jobs.run_count(spark, paths, out, regions="chr1:1-5000,chrX:2781480-155701382,chr2")
+    c = tables.read_counts(spark, out)
+    assert sorted(r.region for r in c.select("region").distinct().collect()) == ["chr1:1-5000", "chrX:2781480-155701382"]
+    assert c.where((F.col("region") == "chr1:1-5000") & (F.col("pos") > 5000)).count() == 0
