@@ -371,3 +371,6 @@ ranked AS (
         select="SELECT file, sample_rank, contig, pos, l_orderkey, l_partkey, l_linenumber FROM ranked WHERE rk <= 1000",
     ),
 )
+
+# ------------------------------------------------------------------ streaming
+oracle("streaming_counts", full_chain(RESULT_SELECT))

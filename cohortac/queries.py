@@ -461,3 +461,20 @@ def q_subsample_per_contig(spark, sf_dir):
 @query
 def q_cap_per_contig(spark, sf_dir):
     return cap_per_contig(_records(spark, sf_dir), cap=1000)
+
+
+# ------------------------------------------------------------------ streaming
+@query
+def q_streaming_counts(spark, sf_dir):
+    """lineitem as a file stream -> per-batch count datasets -> running merge -> finalize."""
+    from cohortac.streaming.counts import count_batches, running_counts
+
+    schema = spark.read.parquet(f"{sf_dir}/lineitem.parquet").schema
+    stream = spark.readStream.schema(schema).parquet(f"{sf_dir}/lineitem*.parquet")
+    run = uuid.uuid4().hex
+    out, ckpt = scratch_path(spark, f"stream-{run}"), scratch_path(spark, f"stream-ckpt-{run}")
+    q = count_batches(stream, lambda b: genotypes_from_tables(b.sparkSession, sf_dir, lineitem=b), out, ckpt)
+    q.awaitTermination()
+    counts, info = running_counts(spark, out)
+    res = finalize(counts, info)
+    return res.select(*[c for c in res.columns if c not in ("DP_mean", "DP_std")], _r6("DP_mean"), _r6("DP_std"))

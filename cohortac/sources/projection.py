@@ -25,11 +25,12 @@ def _pick(values: list[str], idx: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (idx + 1).cast("int"))
 
 
-def projected_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per lineitem with the raw fields the projection needs (no genotype logic)."""
-    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
-        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"
-    )
+def projected_calls(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = None) -> DataFrame:
+    """One row per lineitem with the raw fields the projection needs (no genotype logic).
+
+    ``lineitem`` replaces the table read (e.g. a micro-batch of a lineitem stream)."""
+    li = lineitem if lineitem is not None else spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    li = li.select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax")
     li = ensure_parallelism(li)
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey")
     return li.join(orders, li.l_orderkey == orders.o_orderkey, "inner").drop("o_orderkey")
@@ -67,13 +68,13 @@ def projected_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def genotypes_from_tables(spark: SparkSession, sf_dir: str, keep_keys: bool = False) -> DataFrame:
+def genotypes_from_tables(spark: SparkSession, sf_dir: str, keep_keys: bool = False, lineitem: DataFrame | None = None) -> DataFrame:
     """Genotype calls in the engine's ``genotypes`` layout (see constants.GENOTYPE_COLUMNS).
 
     lineitem joins orders (sample) and the per-part sites; the planner broadcasts ``part``
     only when its file size is under the broadcast threshold, else it shuffles.
     """
-    c = projected_calls(spark, sf_dir)
+    c = projected_calls(spark, sf_dir, lineitem)
     sites = projected_sites(spark, sf_dir)
     c = c.join(sites, c.l_partkey == sites.p_partkey, "inner").drop("p_partkey")
     ln = F.col("l_linenumber")
