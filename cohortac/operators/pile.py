@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from cohortac.constants import DEFAULT_MIN_AB, DEFAULT_MIN_DP, DEFAULT_MIN_GQ, GVCF_BLOCK_ALT, SPANNING_DELETION
 from cohortac.functions.genome import is_chrx, is_chry, non_par_x, non_par_y
 from cohortac.functions.genotype import allelic_balance
-from cohortac.session import DEFAULT_BROADCAST_ROWS, broadcast_if_bounded
+from cohortac.session import broadcast_if_bounded
 
 _MODES = ("error", "drop")
 
@@ -29,7 +29,7 @@ def _check_mode(on_unsupported: str) -> None:
         raise ValueError(f"on_unsupported must be one of {_MODES}, not {on_unsupported!r}")
 
 
-def join_sample_sex(genotypes: DataFrame, samples: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def join_sample_sex(genotypes: DataFrame, samples: DataFrame, max_broadcast_rows: int | None = None) -> DataFrame:
     """Attach each call's sample sex by (file, sample_rank).
 
     The samples table is broadcast only when its counted size is within the bound; a
@@ -205,7 +205,7 @@ def build_pile(
     min_ab: float = DEFAULT_MIN_AB,
     ab_index: str = "reference",
     on_unsupported: str = "error",
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    max_broadcast_rows: int | None = None,
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """Genotype calls with a ``region`` column -> pile rows (one per sample and called allele).

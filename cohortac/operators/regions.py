@@ -31,22 +31,61 @@ def region_overlap_scan(df: DataFrame, contig: str, begin: int | None = None, en
     return df.where(cond)
 
 
+BIN_SIZE = 1 << 20  # 1 Mb position bins for the interval join
+MAX_REGION_BINS = 64  # regions spanning more bins (and open-ended ones) are joined on contig only
+
+
 def region_interval_join(df: DataFrame, regions: DataFrame, max_broadcast_rows: int = MAX_BROADCAST_REGIONS,
-                         known_rows: int | None = None) -> DataFrame:
+                         known_rows: int | None = None, bin_size: int = BIN_SIZE) -> DataFrame:
+    # ``known_rows`` is accepted for callers that know the list length; the branch sizes
+    # below are counted on the (small) region list itself.
     """Give each record a ``region`` label; a record in k overlapping regions appears k times.
 
-    Equi-join on contig with the overlap test as a residual condition, against the broadcast
-    region list (a hash join: no shuffle of the records, no cross product).
+    Both sides of the join stay map-side: the region list is broadcast (bounded by its row
+    count, known by construction for literal lists) and records are never shuffled.
+    * Narrow regions are exploded over the ``bin_size`` bins they cover and records over the
+      bins they span; the hash key is (contig, bin), so a record is only compared with the
+      regions near it (an interval list with many regions per contig stays cheap). A pair is
+      kept only in the bin of its first overlapping position, so it is emitted once.
+    * Wide or open-ended regions (whole contigs, the default) are joined on contig alone,
+      with the overlap test as the residual condition.
     """
     r = regions.select(
         "region",
         F.col("contig").alias("_r_contig"),
-        F.col("begin").alias("_r_begin"),
-        F.col("end").alias("_r_end"),
+        F.coalesce(F.col("begin"), F.lit(1)).cast("long").alias("_r_begin"),
+        F.coalesce(F.col("end"), F.lit(INT_MAX)).cast("long").alias("_r_end"),
     )
-    r = broadcast_if_bounded(r, max_broadcast_rows, known_rows)
-    cond = (F.col("contig") == F.col("_r_contig")) & overlaps(F.col("pos"), F.col("end"), F.col("_r_begin"), F.col("_r_end"))
-    return df.join(r, cond, "inner").drop("_r_contig", "_r_begin", "_r_end")
+    b = F.lit(int(bin_size))
+    narrow = (F.col("_r_end") - F.col("_r_begin")) < F.lit(int(bin_size) * MAX_REGION_BINS)
+    wide_r = r.where(~narrow)
+    narrow_r = r.where(narrow).select(
+        "*", F.explode(F.sequence(F.floor(F.col("_r_begin") / b), F.floor(F.col("_r_end") / b))).alias("_bin")
+    )
+    # Which branches are needed (one small aggregate over the region list, never the records);
+    # a branch with no regions would only add a second pass over the records.
+    sizes = r.agg(F.count_if(narrow).alias("n"), F.count_if(~narrow).alias("w")).first()
+    n_narrow, n_wide = int(sizes["n"]), int(sizes["w"])
+    overlap = (F.col("end") >= F.col("_r_begin")) & (F.col("pos") <= F.col("_r_end"))
+    out = []
+    if n_wide > 0 or n_narrow == 0:
+        wide_b = broadcast_if_bounded(wide_r, max_broadcast_rows, n_wide)
+        out.append(df.join(wide_b, (F.col("contig") == F.col("_r_contig")) & overlap, "inner"))
+    if n_narrow > 0:
+        narrow_b = broadcast_if_bounded(narrow_r, max_broadcast_rows, n_narrow * (MAX_REGION_BINS + 1))
+        rec = df.select("*", F.explode(F.sequence(F.floor(F.col("pos") / b), F.floor(F.greatest("pos", "end") / b))).alias("_rbin"))
+        first_bin = F.floor(F.greatest(F.col("pos").cast("long"), F.col("_r_begin")) / b)
+        cond = (
+            (F.col("contig") == F.col("_r_contig"))
+            & (F.col("_rbin") == F.col("_bin"))
+            & overlap
+            & (F.col("_bin") == first_bin)
+        )
+        out.append(rec.join(narrow_b, cond, "inner").drop("_rbin", "_bin"))
+    res = out[0]
+    for o in out[1:]:
+        res = res.unionByName(o)
+    return res.drop("_r_contig", "_r_begin", "_r_end")
 
 
 def missing_contigs(regions: DataFrame, file_contigs: DataFrame) -> DataFrame:

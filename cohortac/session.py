@@ -8,10 +8,12 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Broadcast limits used when a side is not known to be small. Row bounds are checked
 # with a count before the hint is given; above them the join stays a shuffle join.
-DEFAULT_BROADCAST_ROWS = 2_000_000
+DEFAULT_BROADCAST_ROWS = 5_000_000
+DEFAULT_BROADCAST_BYTES = 256 * 1024 * 1024
 
 # Runtime SQL settings the plans rely on. The genotype classification fuses into large
 # whole-stage-codegen methods; HotSpot does not JIT-compile methods above 8000 bytes of
@@ -101,15 +103,44 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "tables", name)
 
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, known_rows: int | None = None) -> DataFrame:
-    """Give the broadcast hint only when the row count is proven to be within ``max_rows``.
-
-    ``known_rows`` may carry a bound already known by construction (a literal list); otherwise
-    the rows are counted. Above the bound the DataFrame is returned unchanged, so the planner
-    keeps a shuffle join.
+def _type_bytes(t: T.DataType) -> int:
+    """Estimated in-memory bytes of a value (the same defaults Spark's planner uses)."""
+    if isinstance(t, (T.StringType, T.BinaryType)):
+        return 20
+    if isinstance(t, T.ArrayType):
+        return 4 + _type_bytes(t.elementType)
+    if isinstance(t, T.MapType):
+        return 4 + _type_bytes(t.keyType) + _type_bytes(t.valueType)
+    if isinstance(t, T.StructType):
+        return sum(_type_bytes(f.dataType) for f in t.fields)
+    if isinstance(t, (T.ByteType, T.BooleanType)):
+        return 1
+    if isinstance(t, T.ShortType):
+        return 2
+    if isinstance(t, (T.IntegerType, T.FloatType, T.DateType)):
+        return 4
+    return 8
+
+
+def _row_bytes(df: DataFrame) -> int:
+    """Estimated bytes per row plus row overhead."""
+    return _type_bytes(df.schema) + 16
+
+
+def broadcast_if_bounded(df: DataFrame, max_rows: int | None = None, known_rows: int | None = None,
+                         max_bytes: int | None = None) -> DataFrame:
+    """Give the broadcast hint only when the side is proven small: its row count (``known_rows``
+    when it is known by construction, e.g. a literal list; otherwise counted) is within
+    ``max_rows`` and rows x estimated row width is within ``max_bytes``. Above either bound
+    the DataFrame is returned unchanged and the planner keeps a shuffle join.
+
+    Defaults come from the session (``spark.cohortac.broadcast.maxRows`` / ``.maxBytes``).
     """
+    conf = df.sparkSession.conf
+    max_rows = max_rows or int(conf.get("spark.cohortac.broadcast.maxRows", str(DEFAULT_BROADCAST_ROWS)))
+    max_bytes = max_bytes or int(conf.get("spark.cohortac.broadcast.maxBytes", str(DEFAULT_BROADCAST_BYTES)))
     n = known_rows if known_rows is not None else df.count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if n <= max_rows and n * _row_bytes(df) <= max_bytes else df
 
 
 def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
