@@ -14,11 +14,11 @@ def nonzero_variants(counts: DataFrame) -> DataFrame:
 
 
 def with_sample_number(counts: DataFrame, info: DataFrame) -> DataFrame:
-    """Attach N_XX, N_XY from the one-row dataset info (broadcast; the bound is one row)."""
-    n = info.select(
-        F.col("sample_number.XX").cast("int").alias("_n_xx"), F.col("sample_number.XY").cast("int").alias("_n_xy")
-    ).limit(1)
-    return counts.crossJoin(F.broadcast(n))
+    """Attach N_XX, N_XY of the one-row dataset info as scalar subqueries: computed once,
+    used as constants by every row (no join); an info table with more than one row is an error."""
+    n_xx = info.select(F.col("sample_number.XX").cast("int")).scalar()
+    n_xy = info.select(F.col("sample_number.XY").cast("int")).scalar()
+    return counts.select("*", n_xx.alias("_n_xx"), n_xy.alias("_n_xy"))
 
 
 def allele_number_columns() -> list[Column]:

@@ -95,12 +95,12 @@ def missing_contigs(regions: DataFrame, file_contigs: DataFrame) -> DataFrame:
     ``file_contigs`` holds (file, contig) pairs from the headers.
     """
     fc = file_contigs.select("file", "contig").distinct()
-    n_files = fc.select(F.countDistinct("file").alias("_n_files"))
+    n_files = fc.select(F.countDistinct("file")).scalar()
     with_contig = fc.groupBy("contig").agg(F.count(F.lit(1)).alias("_n_have"))
     rep = (
         regions.select("region", "contig")
         .join(with_contig, "contig", "left")
-        .crossJoin(F.broadcast(n_files))
+        .select("*", n_files.alias("_n_files"))
         .select(
             "region",
             "contig",

@@ -81,9 +81,23 @@ def infer_sex(genotypes: DataFrame, header_samples: DataFrame | None = None, on_
     Samples without any chrX non-PAR event are kept (left join from the header) and are XX.
     """
     if header_samples is None:
-        header_samples = header_samples_from_genotypes(genotypes)
-    counts = zygosity_counts(genotypes, on_unsupported)
-    joined = header_samples.join(counts, ["file", "sample_rank"], "left")
+        # Every sample seen in the calls: one aggregate over all calls, the events counted
+        # only inside the inference window (samples without events get zero counts).
+        ev = F.when(
+            (F.col("contig") == INFERENCE_CONTIG)
+            & (F.col("pos") <= F.lit(INFERENCE_END))
+            & (F.col("end") >= F.lit(INFERENCE_BEGIN)),
+            zygosity_event("gt", on_unsupported),
+        )
+        joined = genotypes.select("file", "sample_rank", "sample", ev.alias("event")).groupBy(
+            "file", "sample_rank", "sample"
+        ).agg(
+            F.count_if(F.col("event") == "hom").alias("n_hom"),
+            F.count_if(F.col("event") == "het").alias("n_het"),
+        )
+    else:
+        counts = zygosity_counts(genotypes, on_unsupported)
+        joined = header_samples.join(counts, ["file", "sample_rank"], "left")
     return joined.select(
         "file",
         F.col("sample_rank").cast("int").alias("sample_rank"),

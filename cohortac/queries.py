@@ -36,7 +36,7 @@ from cohortac.operators.regions import missing_contigs, region_interval_join, re
 from cohortac.operators.sampling import cap_per_contig, subsample_per_contig
 from cohortac.operators.sex import dataset_info
 from cohortac.plans.pipeline import Filters, count_dataset, pile_for, samples_sex
-from cohortac.session import scratch_path, tune
+from cohortac.session import reliable_checkpoint, scratch_path, tune
 from cohortac.sources import tables
 from cohortac.sources.projection import genotypes_from_tables
 from cohortac.sources.vcf import (
@@ -78,9 +78,15 @@ def _g(spark, sf_dir) -> DataFrame:
     return genotypes_from_tables(spark, sf_dir, keep_keys=True)
 
 
+def _gm(spark, sf_dir) -> DataFrame:
+    """The projected calls written once to the shared folder, for plans that read them twice
+    (sex inference and the pile), as the count job does with its ingested VCF table."""
+    return reliable_checkpoint(_g(spark, sf_dir))
+
+
 def _calls(spark, sf_dir):
     """Calls that reach classification (default regions, gVCF, sex, chrY and DP rules)."""
-    g = _g(spark, sf_dir)
+    g = _gm(spark, sf_dir)
     s = samples_sex(g)
     c = region_interval_join(g, regions_frame(spark, None), known_rows=region_count_bound(None))
     c = join_sample_sex(drop_gvcf_blocks(c), s)
@@ -92,7 +98,7 @@ def _alleles(spark, sf_dir):
 
 
 def _dataset(spark, sf_dir, **kw):
-    return count_dataset(_g(spark, sf_dir), **kw)
+    return count_dataset(_gm(spark, sf_dir), **kw)
 
 
 def _vcf_lines(spark, sf_dir):
@@ -201,7 +207,7 @@ def q_dp_outcome(spark, sf_dir):
 
 @query
 def q_chry_filter(spark, sf_dir):
-    g = _g(spark, sf_dir)
+    g = _gm(spark, sf_dir)
     c = chry_filter(join_sample_sex(g, samples_sex(g)))
     return c.select("file", "sample_rank", "contig", "pos", "sex", *KEYS)
 
@@ -254,26 +260,26 @@ def q_allelic_balance(spark, sf_dir):
 
 @query
 def q_join_sample_sex(spark, sf_dir):
-    g = _g(spark, sf_dir)
+    g = _gm(spark, sf_dir)
     return join_sample_sex(g, samples_sex(g)).select("file", "sample_rank", "sample", "contig", "pos", "sex", *KEYS)
 
 
 @query
 def q_sex_split_pile(spark, sf_dir):
-    g = _g(spark, sf_dir)
+    g = _gm(spark, sf_dir)
     return pile_for(g, samples_sex(g), keep=("file", "sample_rank", "sex", "l_orderkey", "l_linenumber"))
 
 
 @query
 def q_build_pile(spark, sf_dir):
-    g = _g(spark, sf_dir)
+    g = _gm(spark, sf_dir)
     return pile_for(g, samples_sex(g)).select(*PILE_COLUMNS)
 
 
 # ------------------------------------------------------------------ aggregates
 @query
 def q_union_piles(spark, sf_dir):
-    g = _g(spark, sf_dir)
+    g = _gm(spark, sf_dir)
     s = samples_sex(g)
     piles = [pile_for(g.where(F.col("file") == f), s, keep=("file",)) for f in CENTER_FILES]
     return union_all(piles)
@@ -281,13 +287,13 @@ def q_union_piles(spark, sf_dir):
 
 @query
 def q_depth_moments(spark, sf_dir):
-    g = _g(spark, sf_dir)
+    g = _gm(spark, sf_dir)
     return depth_moments(pile_for(g, samples_sex(g)))
 
 
 @query
 def q_depth_list(spark, sf_dir):
-    g = _g(spark, sf_dir)
+    g = _gm(spark, sf_dir)
     return depth_distribution(pile_for(g, samples_sex(g)))
 
 
@@ -311,7 +317,7 @@ def q_sorted_counts(spark, sf_dir):
 
 @query
 def q_merge_centers(spark, sf_dir):
-    g = _g(spark, sf_dir)
+    g = _gm(spark, sf_dir)
     parts = [count_dataset(g.where(F.col("file") == f)) for f in CENTER_FILES]
     counts = merge_counts([p.counts for p in parts])
     info = merge_info([p.info for p in parts])
@@ -431,7 +437,8 @@ def q_gt_parse(spark, sf_dir):
 
 @query
 def q_vcf_count_roundtrip(spark, sf_dir):
-    lines = _vcf_lines(spark, sf_dir)
+    # the text is produced once and read from the shared folder, as the count job's ingest does
+    lines = reliable_checkpoint(_vcf_lines(spark, sf_dir))
     g = sites_to_genotypes(parse_sites(lines))
     ds = count_dataset(g, header_samples=header_samples(lines))
     res = finalize(ds.counts, ds.info)
@@ -440,7 +447,7 @@ def q_vcf_count_roundtrip(spark, sf_dir):
 
 @query
 def q_pile_tsv_scan(spark, sf_dir):
-    g = _g(spark, sf_dir)
+    g = _gm(spark, sf_dir)
     pile = pile_for(g, samples_sex(g))
     path = scratch_path(spark, f"pile_tsv_{uuid.uuid4().hex}")
     tables.write_pile(pile, path, fmt="tsv")
