@@ -4,8 +4,10 @@
 without gathering a group into one task: a histogram of the key per group (a combinable
 aggregate) locates the bucket that holds the k-th row; rows in earlier buckets are taken
 outright and only the rows of that one boundary bucket are ranked. If a boundary bucket
-is still large, the histogram is refined inside it (up to ``max_levels`` times). A
-boundary can only stay large when many rows share one exact key value.
+is still large, the histogram is refined inside it (up to ``max_levels`` times). In the
+boundary bucket identical rows are counted instead of ranked one by one, so a key shared
+by many copies of one record stays cheap; what is left to rank are distinct rows sharing
+one exact key value.
 """
 
 from __future__ import annotations
@@ -82,12 +84,34 @@ def smallest_k_per_group(
         top = bound.agg(F.max("_bcnt").alias("m"), F.max("_step").alias("s")).collect()[0]
         if top["m"] is None or top["m"] <= max_boundary_rows or top["s"] <= 1:
             break
-    # Rank only the rows of each group's final boundary bucket.
+    # Rank only the rows of each group's final boundary bucket. Identical rows are first
+    # collapsed to (row, copies) by a combinable aggregate, so a bucket full of copies is
+    # ranked as a handful of distinct rows; the copies are expanded again afterwards.
     final = cand.join(broadcast_if_bounded(state), group_cols).where(
         (F.col(key) >= F.col("_lo")) & (F.col(key) <= F.col("_hi"))
     )
-    rw = Window.partitionBy(*group_cols).orderBy(F.col(key), *[F.col(c) for c in tiebreak])
-    final = final.withColumn("_rk", F.row_number().over(rw)).where(F.col("_rk") <= F.col("_need")).select(*df.columns)
+    distinct = final.groupBy(*df.columns, "_need").agg(F.count(F.lit(1)).alias("_copies"))
+    rw = (
+        Window.partitionBy(*group_cols)
+        .orderBy(F.col(key), *[F.col(c) for c in tiebreak], *[F.col(c) for c in df.columns])
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    distinct = distinct.withColumn("_before", F.coalesce(F.sum("_copies").over(rw), F.lit(0)))
+    take = F.least(F.col("_copies"), F.col("_need") - F.col("_before"))
+    chunk = 1 << 16
+    final = (
+        distinct.where(take > 0)
+        .select(*df.columns, take.alias("_take"))
+        .select("*", F.explode(F.sequence(F.lit(0), F.floor((F.col("_take") - 1) / chunk).cast("long"))).alias("_chunk"))
+        .repartition(*group_cols, "_chunk")
+        .select(
+            *df.columns,
+            F.explode(
+                F.sequence(F.lit(1), F.least(F.lit(chunk), F.col("_take") - F.col("_chunk") * chunk).cast("long"))
+            ).alias("_i"),
+        )
+        .select(*df.columns)
+    )
     out = taken[0] if taken else None
     for t in taken[1:]:
         out = out.unionByName(t)

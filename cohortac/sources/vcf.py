@@ -189,21 +189,38 @@ def call_text(gt="gt", dp="dp", gq="gq", ad="ad", phased=None) -> Column:
     )
 
 
+COPY_CHUNK = 1 << 16
+
+
 def to_vcf_lines(genotypes: DataFrame, samples: DataFrame) -> DataFrame:
     """Format genotype calls as multi-sample VCF text lines (file, value), headers included.
 
     ``samples`` gives each file's (sample_rank, sample) columns. A sample without a call
     at a record gets './.'; a sample with several calls at one record spreads them over
-    repeated lines. INFO carries END only for gVCF blocks.
+    repeated lines (copy k of every sample goes to line k). INFO carries END only for gVCF
+    blocks.
+
+    Repeated calls are counted, not ranked one by one: a combinable aggregate gives each
+    distinct call text its number of copies, a window over the distinct texts of one sample
+    at one record gives each text its range of line numbers, and copies are expanded in
+    chunks that are spread over tasks before the per-line assembly. A record repeated a
+    huge number of times therefore never sits in one task.
     """
     has_phase = "phased" in genotypes.columns
     site = ["file", "contig", "pos", "end", "ref", "alts"]
     calls = genotypes.select(*site, "sample_rank", call_text(phased="phased" if has_phase else None).alias("call"))
-    dup_w = Window.partitionBy(*site, "sample_rank").orderBy("call")
-    calls = calls.withColumn("dup", F.row_number().over(dup_w))
+    mult = calls.groupBy(*site, "sample_rank", "call").agg(F.count(F.lit(1)).alias("_c"))
+    before = Window.partitionBy(*site, "sample_rank").orderBy("call").rowsBetween(Window.unboundedPreceding, -1)
+    mult = mult.withColumn("_start", F.coalesce(F.sum("_c").over(before), F.lit(0)) + 1)
+    chunks = mult.select(
+        "*", F.explode(F.sequence(F.lit(0), F.floor((F.col("_c") - 1) / COPY_CHUNK).cast("long"))).alias("_chunk")
+    ).repartition(*site, "sample_rank", "_chunk")
+    lo = F.col("_start") + F.col("_chunk") * COPY_CHUNK
+    hi = F.least(F.col("_start") + F.col("_c") - 1, lo + COPY_CHUNK - 1)
+    copies = chunks.select(*site, "sample_rank", "call", F.explode(F.sequence(lo, hi)).alias("dup"))
     width = samples.groupBy("file").agg(F.max("sample_rank").alias("max_rank"))
     lines = (
-        calls.groupBy(*site, "dup")
+        copies.groupBy(*site, "dup")
         .agg(F.map_from_entries(F.collect_list(F.struct("sample_rank", "call"))).alias("m"))
         .join(F.broadcast(width), "file")
     )

@@ -54,3 +54,11 @@ def test_cap(spark):
     w = Window.partitionBy("contig").orderBy("pos", "l_orderkey", "l_linenumber")
     want = g.withColumn("r", F.row_number().over(w)).where("r <= 50").drop("r")
     assert same(got, want)
+
+
+def test_groups_of_identical_copies(spark):
+    g = genotypes_from_tables(spark, SF001).select("contig").withColumn("key", F.lit(5).cast("long"))
+    g = g.unionByName(g).unionByName(g)  # every contig: many identical rows
+    k = g.groupBy("contig").agg((F.count(F.lit(1)) - 7).alias("k"))
+    got = smallest_k_per_group(g, ["contig"], "key", [], k, buckets=8, max_boundary_rows=1)
+    assert same(got, brute(g, ["contig"], "key", [], k))
