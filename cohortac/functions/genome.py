@@ -69,3 +69,14 @@ def xy_ploidy(contig, pos) -> Column:
         .when((c == FINALIZE_CHRX) & non_par_x(p), F.lit(1))
         .otherwise(F.lit(2))
     )
+
+
+def normalize_contig(contig) -> Column:
+    """Contig names in the 'chr' spelling: 1..22, X, Y -> chr1..chr22, chrX, chrY; M and MT -> chrM.
+    Other names (and names already spelled with 'chr') are unchanged."""
+    c = _col(contig)
+    return (
+        F.when(c.isin("M", "MT"), F.lit("chrM"))
+        .when(c.rlike(r"^([1-9]|1[0-9]|2[0-2]|X|Y)$"), F.concat(F.lit("chr"), c))
+        .otherwise(c)
+    )

@@ -131,9 +131,13 @@ def subsample_per_contig(
     seed: int = 42,
     order_key: Column | None = None,
     tiebreak: list[str] | None = None,
+    sort_output: bool = False,
 ) -> DataFrame:
     """Exact-size sample without replacement per (replica, contig), drawn independently per replica.
 
+    With ``sort_output`` the sample comes back in the records' original order (replica,
+    contig, pos), as a range-partitioned global sort.
+
     Size k = int(fraction * n); when k < ``min_size`` it is min(min_size, n). The rows keep
     their columns plus ``replica``. ``order_key`` (a LONG column over ``replica`` and the record
     columns) replaces the default seeded hash when a reproducible order is wanted.
@@ -145,8 +149,8 @@ def subsample_per_contig(
     n = rep.groupBy("replica", "contig").agg(F.count(F.lit(1)).alias("n"))
     k0 = F.floor(F.col("n") * F.lit(float(fraction))).cast("long")
     k = n.select("replica", "contig", F.when(k0 < min_size, F.least(F.lit(min_size).cast("long"), F.col("n"))).otherwise(k0).alias("k"))
-    out = smallest_k_per_group(rep, ["replica", "contig"], "_key", tiebreak or cols, k)
-    return out.drop("_key")
+    out = smallest_k_per_group(rep, ["replica", "contig"], "_key", tiebreak or cols, k).drop("_key")
+    return out.orderBy("replica", "contig", "pos") if sort_output else out
 
 
 def cap_per_contig(records: DataFrame, cap: int = 100_000, tiebreak: list[str] | None = None) -> DataFrame:

@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from cohortac.constants import DEFAULT_MIN_AB, DEFAULT_MIN_DP, DEFAULT_MIN_GQ
+from cohortac.functions.genome import normalize_contig
 from cohortac.functions.regions import region_count_bound, regions_frame
 from cohortac.operators.counts import allele_counts
 from cohortac.operators.finalize import finalize
@@ -29,6 +30,9 @@ class Filters:
     min_ab: float = DEFAULT_MIN_AB
     ab_index: str = "reference"
     on_unsupported: str = "error"
+    # Rename 1..22/X/Y/M/MT contigs to the chr spelling before anything else, so sex
+    # inference, the chrX/chrY rules and finalize ploidy also apply to such files.
+    normalize_contigs: bool = False
 
 
 @dataclass
@@ -46,10 +50,13 @@ def samples_sex(genotypes: DataFrame, header_samples: DataFrame | None = None, o
 
 def pile_for(genotypes: DataFrame, samples: DataFrame, regions=None, filters: Filters = Filters(), keep=()) -> DataFrame:
     spark = genotypes.sparkSession
+    reg = regions if isinstance(regions, DataFrame) else regions_frame(spark, regions)
+    if filters.normalize_contigs:
+        reg = reg.withColumn("contig", normalize_contig("contig"))
     if isinstance(regions, DataFrame):
-        g = region_interval_join(genotypes, regions)
+        g = region_interval_join(genotypes, reg)
     else:
-        g = region_interval_join(genotypes, regions_frame(spark, regions), known_rows=region_count_bound(regions))
+        g = region_interval_join(genotypes, reg, known_rows=region_count_bound(regions))
     return build_pile(
         g,
         samples,
@@ -69,6 +76,8 @@ def count_dataset(
     header_samples: DataFrame | None = None,
     samples: DataFrame | None = None,
 ) -> CountDataset:
+    if filters.normalize_contigs:
+        genotypes = genotypes.withColumn("contig", normalize_contig("contig"))
     if samples is None:
         samples = samples_sex(genotypes, header_samples, filters.on_unsupported)
     info = dataset_info(samples, filters.min_dp, filters.min_gq, filters.min_ab)

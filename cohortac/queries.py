@@ -462,7 +462,7 @@ def _records(spark, sf_dir):
 @query
 def q_subsample_per_contig(spark, sf_dir):
     key = (F.col("l_orderkey") * 7919 + F.col("l_partkey") + F.col("replica") * 104729) % 1000003
-    return subsample_per_contig(_records(spark, sf_dir), replicas=2, fraction=0.25, min_size=5, order_key=key)
+    return subsample_per_contig(_records(spark, sf_dir), replicas=2, fraction=0.25, min_size=5, order_key=key, sort_output=True)
 
 
 @query

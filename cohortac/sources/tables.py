@@ -101,7 +101,7 @@ def read_result(spark: SparkSession, in_dir: str) -> DataFrame:
 def write_pile(pile: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Keep the per-call pile (debug): Parquet partitioned by region, or headerless TSV."""
     if fmt == "parquet":
-        pile.write.mode("overwrite").partitionBy("region").parquet(path)
+        pile.write.mode("overwrite").option("compression", "zstd").partitionBy("region").parquet(path)
     elif fmt == "tsv":
         pile.select(*[c.strip().split(" ")[0] for c in PILE_TSV_DDL.split(",")]).write.mode("overwrite").option(
             "sep", "\t"

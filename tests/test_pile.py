@@ -148,3 +148,18 @@ def test_ac_identity(spark):
     assert r.XX_AC == 2 + 1 + 1 + 2  # hom 2, het 1, haploid 1, multi 1+1
     assert r.XX_AC_hom == 1 and r.XX_AC_hemi == 1
     assert (r.XY_AC, r.XY_AC_hom, r.XY_AC_hemi) == (1, 0, 1)
+
+
+def test_normalize_contigs(spark):
+    from cohortac.plans.pipeline import count_dataset
+
+    rows = [dict(contig="X", pos=3_000_000, gt=[1, 1]), dict(contig="X", pos=3_000_100, gt=[1, 1])]
+    g = geno(spark, rows)
+    plain = count_dataset(g)
+    assert plain.counts.count() == 0  # 'X' is not a default region and inference sees no chrX
+    norm = count_dataset(g, filters=Filters(normalize_contigs=True))
+    assert [tuple(r) for r in norm.samples.select("sex").collect()] == [("XY",)]
+    got = sorted((r.region, r.XY_AC, r.XY_AC_hemi) for r in norm.counts.collect())
+    assert got == [("chrX", 1, 1), ("chrX", 1, 1)]
+    r = count_dataset(g, regions=["X:2999999-3000050"], filters=Filters(normalize_contigs=True))
+    assert [x.region for x in r.counts.collect()] == ["X:2999999-3000050"]
