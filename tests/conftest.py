@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -18,10 +17,14 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="cohortac-test-ckpt-"))
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
+    # The shared folder comes from spark.checkpoint.dir when it is configured; only when it is
+    # missing does checkpoint_dir() make a local one (local mode only).
+    from cohortac.session import checkpoint_dir
+
+    checkpoint_dir(s)
     yield s
     s.stop()
 
