@@ -89,7 +89,9 @@ def infer_sex(genotypes: DataFrame, header_samples: DataFrame | None = None, on_
             & (F.col("end") >= F.lit(INFERENCE_BEGIN)),
             zygosity_event("gt", on_unsupported),
         )
-        joined = genotypes.select("file", "sample_rank", "sample", ev.alias("event")).groupBy(
+        # calls parsed from VCF text carry no sample name (it lives in the header)
+        name = F.col("sample") if "sample" in genotypes.columns else F.lit(None).cast("string").alias("sample")
+        joined = genotypes.select("file", "sample_rank", name, ev.alias("event")).groupBy(
             "file", "sample_rank", "sample"
         ).agg(
             F.count_if(F.col("event") == "hom").alias("n_hom"),

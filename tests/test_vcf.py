@@ -105,3 +105,11 @@ def test_count_from_vcf(spark, tmp_path):
     assert all(p != 400 for p, _ in c)
     # pos 500: S1 0/1 AD 10,10 DP20 GQ missing -> fail; S2 1/1 DP25 GQ missing -> fail
     assert c[(500, "C")].XX_AC == 0 and c[(500, "C")].n_samples == 2 and c[(500, "C")].DP2_sum == 400.0 + 625.0
+
+
+def test_count_without_header_table(spark, tmp_path):
+    d, _ = write_all(tmp_path)
+    lines = read_vcf_lines(spark, [str(d / "a.vcf")], expand=False)
+    ds = count_dataset(sites_to_genotypes(parse_sites(lines)))
+    assert sorted((r.sample_rank, r.sample, r.sex) for r in ds.samples.collect()) == [(0, None, "XX"), (1, None, "XX")]
+    assert ds.counts.count() > 0
