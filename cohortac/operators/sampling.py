@@ -29,19 +29,37 @@ def smallest_k_per_group(
     buckets: int = 1 << 16,
     max_boundary_rows: int = 1_000_000,
     max_levels: int = 4,
+    materialize_input: bool = True,
+    max_window_rows: int = 1_000_000,
 ) -> DataFrame:
     """Rows of ``df`` whose rank by (key, *tiebreak) inside their group is <= k.
 
     ``key`` is a non-negative LONG column; ``k_per_group`` has the group columns and ``k``.
-    Identical rows may be chosen in either order (the output is the same).
+    Identical rows may be chosen in either order (the output is the same). The input is read
+    by every pass (sizes, each histogram level, the final pick); with ``materialize_input``
+    it is written once to the shared folder first, so a costly input plan runs only once.
+
+    When the size pass proves that no group has more than ``max_window_rows`` rows, each
+    group is ranked directly with a window (its task holds at most that many rows); larger
+    groups take the histogram path.
     """
+    if materialize_input:
+        df = reliable_checkpoint(df)
     stats = df.groupBy(*group_cols).agg(F.min(key).alias("_lo"), F.max(key).alias("_hi"), F.count(F.lit(1)).alias("_n"))
     state = (
         k_per_group.join(stats, group_cols)
-        .select(*group_cols, F.least(F.col("k").cast("long"), F.col("_n")).alias("_need"), "_lo", "_hi")
+        .select(*group_cols, F.least(F.col("k").cast("long"), F.col("_n")).alias("_need"), "_lo", "_hi", "_n")
         .where(F.col("_need") > 0)
     )
     state = reliable_checkpoint(state)
+    largest = state.agg(F.max("_n").alias("m")).first()["m"]
+    if largest is None:
+        return df.limit(0)
+    if largest <= max_window_rows:
+        w = Window.partitionBy(*group_cols).orderBy(F.col(key), *[F.col(c) for c in tiebreak])
+        picked = df.join(broadcast_if_bounded(state.select(*group_cols, "_need")), group_cols)
+        return picked.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") <= F.col("_need")).select(*df.columns)
+    state = state.drop("_n")
     taken: list[DataFrame] = []
     cand = df
     for _level in range(max_levels):

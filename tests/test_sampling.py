@@ -23,7 +23,7 @@ def test_smallest_k_multi_level(spark):
     k = g.groupBy("contig").agg((F.count(F.lit(1)) / 3).cast("long").alias("k"))
     tb = ["pos", "l_orderkey", "l_linenumber", "l_partkey"]
     # tiny bucket count and boundary bound force several refinement levels
-    got = smallest_k_per_group(g, ["contig"], "key", tb, k, buckets=4, max_boundary_rows=3, max_levels=6)
+    got = smallest_k_per_group(g, ["contig"], "key", tb, k, buckets=4, max_boundary_rows=3, max_levels=6, max_window_rows=0)
     assert same(got, brute(g, ["contig"], "key", tb, k))
 
 
@@ -32,7 +32,7 @@ def test_heavy_ties_on_key(spark):
     g = g.withColumn("key", F.lit(7).cast("long"))  # one key value for everything
     k = g.groupBy("contig").agg(F.lit(10).cast("long").alias("k"))
     tb = ["l_orderkey", "l_linenumber", "l_partkey"]
-    got = smallest_k_per_group(g, ["contig"], "key", tb, k, buckets=16, max_boundary_rows=2)
+    got = smallest_k_per_group(g, ["contig"], "key", tb, k, buckets=16, max_boundary_rows=2, max_window_rows=0)
     assert same(got, brute(g, ["contig"], "key", tb, k))
 
 
@@ -60,5 +60,13 @@ def test_groups_of_identical_copies(spark):
     g = genotypes_from_tables(spark, SF001).select("contig").withColumn("key", F.lit(5).cast("long"))
     g = g.unionByName(g).unionByName(g)  # every contig: many identical rows
     k = g.groupBy("contig").agg((F.count(F.lit(1)) - 7).alias("k"))
-    got = smallest_k_per_group(g, ["contig"], "key", [], k, buckets=8, max_boundary_rows=1)
+    got = smallest_k_per_group(g, ["contig"], "key", [], k, buckets=8, max_boundary_rows=1, max_window_rows=0)
     assert same(got, brute(g, ["contig"], "key", [], k))
+
+
+def test_direct_window_path_for_small_groups(spark):
+    g = genotypes_from_tables(spark, SF001, keep_keys=True).select("contig", "pos", "l_orderkey", "l_linenumber", "l_partkey")
+    g = g.withColumn("key", ((F.col("l_orderkey") * 31 + F.col("l_partkey")) % 997).cast("long"))
+    k = g.groupBy("contig").agg((F.count(F.lit(1)) / 3).cast("long").alias("k"))
+    tb = ["pos", "l_orderkey", "l_linenumber", "l_partkey"]
+    assert same(smallest_k_per_group(g, ["contig"], "key", tb, k), brute(g, ["contig"], "key", tb, k))
