@@ -21,7 +21,7 @@ from cohortac.operators.regions import missing_contigs
 from cohortac.plans.pipeline import Filters, count_dataset
 from cohortac.session import reliable_checkpoint, scratch_path, tune
 from cohortac.sources import tables
-from cohortac.sources.vcf import header_contigs, header_samples, parse_sites, read_vcf_lines, sites_to_genotypes
+from cohortac.sources.vcf import header_contigs, header_samples, read_vcf_lines, site_columns, sites_to_genotypes
 
 log = logging.getLogger(__name__)
 
@@ -32,20 +32,21 @@ def ingest_vcf(spark: SparkSession, paths: list[str], table_path: str | None = N
     """One pass over the VCF text -> (genotypes, header samples, header contigs), backed by a
     Parquet table partitioned by contig (header lines in their own partition)."""
     lines = read_vcf_lines(spark, paths)
-    sites = parse_sites(lines).withColumn("header", F.lit(None).cast("string"))
-    head = lines.where(F.col("value").startswith("#")).select(
+    # One projection over the lines (a union of a header branch and a record branch would
+    # scan and decompress the text twice): header lines keep their text in ``header`` and go
+    # to their own contig partition, data lines are parsed into the site columns.
+    is_head = F.col("value").startswith("#")
+    cols = site_columns(F.split("value", "\t"))
+    table = lines.where(F.length("value") > 0).select(
         "file",
-        F.lit(HEADER_PARTITION).alias("contig"),
-        F.lit(None).cast("int").alias("pos"),
-        F.lit(None).cast("int").alias("end"),
-        F.lit(None).cast("string").alias("ref"),
-        F.lit(None).cast("array<string>").alias("alts"),
-        F.lit(None).cast("array<string>").alias("format"),
-        F.lit(None).cast("array<string>").alias("calls"),
-        F.col("value").alias("header"),
+        *[
+            (F.when(is_head, F.lit(HEADER_PARTITION)).otherwise(c) if n == "contig" else F.when(~is_head, c)).alias(n)
+            for n, c in cols
+        ],
+        F.when(is_head, F.col("value")).alias("header"),
     )
     path = table_path or scratch_path(spark, f"vcf-{uuid.uuid4().hex}")
-    sites.unionByName(head).write.mode("overwrite").partitionBy("contig").parquet(path)
+    table.write.mode("overwrite").partitionBy("contig").parquet(path)
     table = spark.read.parquet(path)
     header_lines = table.where(F.col("contig") == HEADER_PARTITION).select("file", F.col("header").alias("value"))
     records = table.where(F.col("contig") != HEADER_PARTITION).drop("header")

@@ -97,31 +97,34 @@ def header_contigs(lines: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- records
-def parse_sites(lines: DataFrame) -> DataFrame:
-    """Data lines -> (file, contig, pos, end, ref, alts, format, calls).
+def site_columns(fields: Column) -> list[tuple[str, Column]]:
+    """(contig, pos, end, ref, alts, format, calls) from a data line split on tabs.
 
     ``end`` is INFO/END when present, else pos + len(ref) - 1 (the record's extent). An ALT
     of '.' gives an empty list. ``calls`` holds the raw sample columns in header order.
     """
+    f = fields
+    pos = parse_int(F.get(f, 1))
+    ref = F.get(f, 3)
+    alt_txt = F.get(f, 4)
+    info_end = parse_int(F.regexp_extract(F.get(f, 7), r"(?:^|;)END=([0-9]+)(?:;|$)", 1))
+    return [
+        ("contig", F.get(f, 0)),
+        ("pos", pos),
+        ("end", F.coalesce(info_end, pos + F.length(ref) - 1).cast("int")),
+        ("ref", ref),
+        ("alts", F.when(alt_txt.isNull() | (alt_txt == "."), F.array().cast("array<string>")).otherwise(F.split(alt_txt, ","))),
+        ("format", F.split(F.get(f, 8), ":")),
+        ("calls", F.when(F.size(f) > 9, F.slice(f, 10, F.size(f) - 9)).otherwise(F.array().cast("array<string>"))),
+    ]
+
+
+def parse_sites(lines: DataFrame) -> DataFrame:
+    """Data lines -> (file, contig, pos, end, ref, alts, format, calls)."""
     d = lines.where(~F.col("value").startswith("#") & (F.length("value") > 0)).select(
         "file", F.split("value", "\t").alias("f")
     )
-    pos = parse_int(F.get("f", 1))
-    ref = F.get("f", 3)
-    alt_txt = F.get("f", 4)
-    info_end = parse_int(F.regexp_extract(F.get("f", 7), r"(?:^|;)END=([0-9]+)(?:;|$)", 1))
-    return d.select(
-        "file",
-        F.get("f", 0).alias("contig"),
-        pos.alias("pos"),
-        F.coalesce(info_end, pos + F.length(ref) - 1).cast("int").alias("end"),
-        ref.alias("ref"),
-        F.when(alt_txt.isNull() | (alt_txt == "."), F.array().cast("array<string>"))
-        .otherwise(F.split(alt_txt, ","))
-        .alias("alts"),
-        F.split(F.get("f", 8), ":").alias("format"),
-        F.when(F.size("f") > 9, F.slice("f", 10, F.size("f") - 9)).otherwise(F.array().cast("array<string>")).alias("calls"),
-    )
+    return d.select("file", *[c.alias(n) for n, c in site_columns(F.col("f"))])
 
 
 def explode_samples(sites: DataFrame) -> DataFrame:
