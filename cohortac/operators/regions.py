@@ -47,8 +47,9 @@ def region_interval_join(df: DataFrame, regions: DataFrame, max_broadcast_rows:
       bins they span; the hash key is (contig, bin), so a record is only compared with the
       regions near it (an interval list with many regions per contig stays cheap). A pair is
       kept only in the bin of its first overlapping position, so it is emitted once.
-    * Wide or open-ended regions (whole contigs, the default) are joined on contig alone,
-      with the overlap test as the residual condition.
+    * Wide or open-ended regions (whole contigs, the default) sit in a sentinel bin that
+      every record also carries, so they are matched on contig with the overlap test.
+    One join, one pass over the records, whatever mix of regions is given.
     """
     r = regions.select(
         "region",
@@ -58,34 +59,36 @@ def region_interval_join(df: DataFrame, regions: DataFrame, max_broadcast_rows:
     )
     b = F.lit(int(bin_size))
     narrow = (F.col("_r_end") - F.col("_r_begin")) < F.lit(int(bin_size) * MAX_REGION_BINS)
-    wide_r = r.where(~narrow)
-    narrow_r = r.where(narrow).select(
-        "*", F.explode(F.sequence(F.floor(F.col("_r_begin") / b), F.floor(F.col("_r_end") / b))).alias("_bin")
-    )
-    # Which branches are needed (one small aggregate over the region list, never the records);
-    # a branch with no regions would only add a second pass over the records.
+    # Which kinds of regions exist (one small aggregate over the region list, never the records).
     sizes = r.agg(F.count_if(narrow).alias("n"), F.count_if(~narrow).alias("w")).first()
     n_narrow, n_wide = int(sizes["n"]), int(sizes["w"])
+    WIDE = F.lit(-1).cast("long")
+    # Wide regions sit in the sentinel bin -1; narrow ones are exploded over their bins.
+    keyed = r.select(
+        "*",
+        F.explode(
+            F.when(narrow, F.sequence(F.floor(F.col("_r_begin") / b), F.floor(F.col("_r_end") / b))).otherwise(F.array(WIDE))
+        ).alias("_bin"),
+    )
+    rec_bins = F.sequence(F.floor(F.col("pos") / b), F.floor(F.greatest("pos", "end") / b))
+    if n_narrow == 0:
+        rec = df.select("*", WIDE.alias("_rbin"))
+    elif n_wide == 0:
+        rec = df.select("*", F.explode(rec_bins).alias("_rbin"))
+    else:
+        rec = df.select("*", F.explode(F.concat(F.array(WIDE), rec_bins)).alias("_rbin"))
+    bound = n_wide + n_narrow * (MAX_REGION_BINS + 1)
+    keyed_b = broadcast_if_bounded(keyed, max_broadcast_rows, bound)
     overlap = (F.col("end") >= F.col("_r_begin")) & (F.col("pos") <= F.col("_r_end"))
-    out = []
-    if n_wide > 0 or n_narrow == 0:
-        wide_b = broadcast_if_bounded(wide_r, max_broadcast_rows, n_wide)
-        out.append(df.join(wide_b, (F.col("contig") == F.col("_r_contig")) & overlap, "inner"))
-    if n_narrow > 0:
-        narrow_b = broadcast_if_bounded(narrow_r, max_broadcast_rows, n_narrow * (MAX_REGION_BINS + 1))
-        rec = df.select("*", F.explode(F.sequence(F.floor(F.col("pos") / b), F.floor(F.greatest("pos", "end") / b))).alias("_rbin"))
-        first_bin = F.floor(F.greatest(F.col("pos").cast("long"), F.col("_r_begin")) / b)
-        cond = (
-            (F.col("contig") == F.col("_r_contig"))
-            & (F.col("_rbin") == F.col("_bin"))
-            & overlap
-            & (F.col("_bin") == first_bin)
-        )
-        out.append(rec.join(narrow_b, cond, "inner").drop("_rbin", "_bin"))
-    res = out[0]
-    for o in out[1:]:
-        res = res.unionByName(o)
-    return res.drop("_r_contig", "_r_begin", "_r_end")
+    # a narrow pair is kept only in the bin of its first overlapping position (emitted once)
+    first_bin = F.floor(F.greatest(F.col("pos").cast("long"), F.col("_r_begin")) / b)
+    cond = (
+        (F.col("contig") == F.col("_r_contig"))
+        & (F.col("_rbin") == F.col("_bin"))
+        & overlap
+        & ((F.col("_bin") == WIDE) | (F.col("_bin") == first_bin))
+    )
+    return rec.join(keyed_b, cond, "inner").drop("_rbin", "_bin", "_r_contig", "_r_begin", "_r_end")
 
 
 def missing_contigs(regions: DataFrame, file_contigs: DataFrame) -> DataFrame:

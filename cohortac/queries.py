@@ -102,7 +102,7 @@ def _dataset(spark, sf_dir, **kw):
 
 
 def _vcf_lines(spark, sf_dir):
-    g = _g(spark, sf_dir)
+    g = _gm(spark, sf_dir)  # read by the header, contig and record parts of the text
     return to_vcf_lines(g, g.select("file", "sample_rank", "sample").distinct())
 
 
