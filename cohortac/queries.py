@@ -18,11 +18,10 @@ from cohortac.constants import PILE_COLUMNS
 from cohortac.functions.genome import par_class
 from cohortac.functions.genotype import allelic_balance, gt_class, het_allele_indices, parse_gt, parse_int
 from cohortac.functions.regions import begin0, format_region, parse_region, region_count_bound, regions_frame
-from cohortac.operators.counts import allele_counts, depth_distribution, depth_moments, sorted_counts
+from cohortac.operators.counts import depth_distribution, depth_moments, sorted_counts
 from cohortac.operators.finalize import allele_number_columns, depth_mean, depth_std, finalize, nonzero_variants, with_sample_number
 from cohortac.operators.merge import merge_counts, merge_info, union_all
 from cohortac.operators.pile import (
-    build_pile,
     chry_filter,
     dp_outcome,
     drop_gvcf_blocks,
@@ -35,7 +34,7 @@ from cohortac.operators.pile import (
 from cohortac.operators.regions import missing_contigs, region_interval_join, region_overlap_scan
 from cohortac.operators.sampling import cap_per_contig, subsample_per_contig
 from cohortac.operators.sex import dataset_info
-from cohortac.plans.pipeline import Filters, count_dataset, pile_for, samples_sex
+from cohortac.plans.pipeline import count_dataset, pile_for, samples_sex
 from cohortac.session import reliable_checkpoint, scratch_path, tune
 from cohortac.sources import tables
 from cohortac.sources.projection import genotypes_from_tables

@@ -1,7 +1,6 @@
 """Literal-row tests for every call-classification branch and the filter rules."""
 
 import pytest
-from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from cohortac.plans.pipeline import Filters, pile_for

@@ -2,8 +2,6 @@
 
 import os
 
-from pyspark.sql import functions as F
-
 from cohortac.plans.pipeline import count_dataset
 from cohortac.sources.vcf import (
     header_contigs,
