@@ -28,3 +28,8 @@ def test_cli_count_finalize_inspect(tmp_path):
     assert {"region", "contig", "pos", "ref", "alt", "XX_AN", "XX_AC", "DP_mean", "DP_std"} <= set(header)
     rows = [dict(zip(header, ln.split("\t"))) for ln in lines[1:]]
     assert rows and all(int(r["XX_AC"]) > 0 for r in rows)
+    tsv = str(tmp_path / "tsv")
+    r = run("inspect", res + "/result", "XX_AC > 0", "-o", tsv)
+    assert r.returncode == 0, r.stderr[-2000:]
+    written = [ln for f in sorted(os.listdir(tsv)) if f.endswith(".csv") for ln in open(os.path.join(tsv, f)).read().splitlines()[1:]]
+    assert len(written) == len(rows)
