@@ -80,3 +80,26 @@ def test_results_do_not_depend_on_partitioning(spark):
     a = count_dataset(g).counts
     b = count_dataset(g.repartition(13, "pos")).counts
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_hot_variant_counts_exactly(spark):
+    """One site carrying about a third of all calls: partial aggregation keeps it exact."""
+    g = genotypes_from_tables(spark, SF001)
+    site = g.where(
+        (F.col("contig") == "chr1")
+        & (F.col("gt") == F.array(F.lit(1), F.lit(1)))
+        & F.col("dp").isNotNull()
+        & ~F.get("alts", 0).isin("*", "<NON_REF>")
+    ).orderBy("pos", "file", "sample_rank", "dp", "gq").limit(1)
+    n_all = g.count()
+    hot = site.select(F.explode(F.sequence(F.lit(1), F.lit(n_all // 2))).alias("_i"), *site.columns).drop("_i")
+    ds = count_dataset(g.unionByName(hot).repartition(7))
+    base = count_dataset(g)
+    r = site.first()
+    key = (F.col("pos") == r.pos) & (F.col("ref") == r.ref) & (F.col("alt") == r.alts[0])
+    a = ds.counts.where(key).first()
+    b = base.counts.where(key).first()
+    assert a.n_samples == b.n_samples + n_all // 2
+    assert a.DP_sum == b.DP_sum + (n_all // 2) * r.dp
+    others = ds.counts.where(~key)
+    assert others.exceptAll(base.counts.where(~key)).count() == 0
