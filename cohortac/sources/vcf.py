@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cohortac.constants import SUPPORTED_EXTENSIONS
-from cohortac.session import ensure_parallelism
+from cohortac.session import broadcast_if_bounded, ensure_parallelism
 from cohortac.functions.genotype import format_value, gt_text, parse_gt, parse_int, parse_int_list
 
 _EXT_ALTERNATION = "|".join(e.replace(".", r"\.") for e in SUPPORTED_EXTENSIONS)
@@ -225,7 +225,7 @@ def to_vcf_lines(genotypes: DataFrame, samples: DataFrame) -> DataFrame:
     lines = (
         copies.groupBy(*site, "dup")
         .agg(F.map_from_entries(F.collect_list(F.struct("sample_rank", "call"))).alias("m"))
-        .join(F.broadcast(width), "file")
+        .join(broadcast_if_bounded(width), "file")  # one row per file, counted first
     )
     info = F.when(F.get(F.col("alts"), 0) == "<NON_REF>", F.concat(F.lit("END="), F.col("end").cast("string"))).otherwise(
         F.lit(".")
