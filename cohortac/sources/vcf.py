@@ -35,22 +35,24 @@ def file_label(name) -> Column:
 
 def select_input_files(spark: SparkSession, paths: list[str]) -> list[str]:
     """Expand inputs: a directory gives its direct children with an accepted extension, a
-    file path is taken as is. Only file-system metadata is listed (on the driver, like any
-    Spark file source does)."""
+    file path is taken as is, a glob pattern is expanded and each match treated the same way.
+    Only file-system metadata is listed (on the driver, like any Spark file source does)."""
     jvm = spark._jvm
     conf = spark._jsc.hadoopConfiguration()
     out: list[str] = []
     for p in paths:
         hp = jvm.org.apache.hadoop.fs.Path(str(p))
         fs = hp.getFileSystem(conf)
-        st = fs.getFileStatus(hp)
-        if st.isDirectory():
-            for child in fs.listStatus(hp):
-                name = child.getPath().getName()
-                if child.isFile() and name.endswith(SUPPORTED_EXTENSIONS):
-                    out.append(child.getPath().toString())
-        else:
-            out.append(st.getPath().toString())
+        # glob patterns (a shell would expand them; remote paths need the file system to)
+        matches = fs.globStatus(hp) if any(ch in str(p) for ch in "*?[{") else [fs.getFileStatus(hp)]
+        for st in matches or []:
+            if st.isDirectory():
+                for child in fs.listStatus(st.getPath()):
+                    name = child.getPath().getName()
+                    if child.isFile() and name.endswith(SUPPORTED_EXTENSIONS):
+                        out.append(child.getPath().toString())
+            else:
+                out.append(st.getPath().toString())
     return out
 
 

@@ -41,6 +41,10 @@ def test_select_input_files(spark, tmp_path):
     assert got == ["b.vcf.gz", "c.vcf.bgz"]  # direct children with an accepted extension only
     got = select_input_files(spark, [str(d / "a.vcf")])
     assert [os.path.basename(p) for p in got] == ["a.vcf"]  # a file path is taken as is
+    got = sorted(os.path.basename(p) for p in select_input_files(spark, [str(d / "*.vcf*")]))
+    assert got == ["a.vcf", "b.vcf.gz", "c.vcf.bgz"]  # glob matches are taken like explicit files
+    got = sorted(os.path.basename(p) for p in select_input_files(spark, [str(tmp_path / "i*")]))
+    assert got == ["b.vcf.gz", "c.vcf.bgz"]  # a matched directory gives its accepted children
 
 
 def test_all_formats_same_lines(spark, tmp_path):
