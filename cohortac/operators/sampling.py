@@ -171,10 +171,21 @@ def subsample_per_contig(
     return out.orderBy("replica", "contig", "pos") if sort_output else out
 
 
-def cap_per_contig(records: DataFrame, cap: int = 100_000, tiebreak: list[str] | None = None) -> DataFrame:
-    """The first ``cap`` records of every contig in (pos, tie-break columns) order."""
+TIE_BITS = 31
+
+
+def cap_per_contig(records: DataFrame, cap: int = 100_000, tie_key: Column | None = None,
+                   tiebreak: list[str] | None = None) -> DataFrame:
+    """The first ``cap`` records of every contig in position order.
+
+    Records at one position are ordered by ``tie_key`` (a LONG in [0, 2^31); by default a hash
+    of the whole record), then by the ``tiebreak`` columns. Position and tie key form one
+    LONG order key, so even a position holding a third of all records is split by the
+    histogram refinement instead of being ranked in one task.
+    """
     cols = records.columns
-    r = records.withColumn("_key", F.col("pos").cast("long"))
+    tk = tie_key if tie_key is not None else F.xxhash64(*[F.col(c) for c in cols]).bitwiseAND(F.lit((1 << TIE_BITS) - 1))
+    r = records.withColumn("_key", F.col("pos").cast("long") * F.lit(1 << TIE_BITS) + tk.cast("long"))
     k = r.groupBy("contig").agg(F.lit(cap).cast("long").alias("k"))
     out = smallest_k_per_group(r, ["contig"], "_key", tiebreak or [c for c in cols if c != "pos"], k)
     return out.drop("_key")

@@ -365,7 +365,8 @@ oracle(
         """
 ranked AS (
     SELECT rec.*, row_number() OVER (PARTITION BY contig
-        ORDER BY pos, file, sample_rank, l_orderkey, l_partkey, l_linenumber) AS rk
+        ORDER BY pos, (l_orderkey * 7919 + l_linenumber * 104729 + l_partkey) % 2147483647,
+                 file, sample_rank, l_orderkey, l_partkey, l_linenumber) AS rk
     FROM rec
 )""",
         select="SELECT file, sample_rank, contig, pos, l_orderkey, l_partkey, l_linenumber FROM ranked WHERE rk <= 1000",

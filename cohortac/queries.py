@@ -466,7 +466,8 @@ def q_subsample_per_contig(spark, sf_dir):
 
 @query
 def q_cap_per_contig(spark, sf_dir):
-    return cap_per_contig(_records(spark, sf_dir), cap=1000)
+    tie = (F.col("l_orderkey") * 7919 + F.col("l_linenumber") * 104729 + F.col("l_partkey")) % 2147483647
+    return cap_per_contig(_records(spark, sf_dir), cap=1000, tie_key=tie)
 
 
 # ------------------------------------------------------------------ streaming

@@ -50,12 +50,33 @@ def test_subsample_sizes(spark):
 
 def test_cap(spark):
     g = genotypes_from_tables(spark, SF001, keep_keys=True).select("contig", "pos", "l_orderkey", "l_linenumber")
-    got = cap_per_contig(g, cap=50)
-    w = Window.partitionBy("contig").orderBy("pos", "l_orderkey", "l_linenumber")
+    tie = (F.col("l_orderkey") * 31 + F.col("l_linenumber")) % 1000
+    got = cap_per_contig(g, cap=50, tie_key=tie)
+    w = Window.partitionBy("contig").orderBy("pos", tie, "l_orderkey", "l_linenumber")
     want = g.withColumn("r", F.row_number().over(w)).where("r <= 50").drop("r")
     assert same(got, want)
 
 
+def test_cap_hot_position_is_split(spark):
+    """Many distinct records at one position: the default hashed tie key lets the histogram
+    split them; the result equals ranking by (pos, hash)."""
+    from cohortac.operators.sampling import TIE_BITS
+
+    g = genotypes_from_tables(spark, SF001, keep_keys=True).select("contig", "l_orderkey", "l_linenumber", "l_partkey")
+    g = g.withColumn("pos", F.lit(100))  # every record of a contig at one position
+    cols = g.columns
+    tie = F.xxhash64(*[F.col(c) for c in cols]).bitwiseAND(F.lit((1 << TIE_BITS) - 1))
+    got = smallest_k_per_group(
+        g.withColumn("_key", F.col("pos").cast("long") * F.lit(1 << TIE_BITS) + tie),
+        ["contig"], "_key", [c for c in cols if c != "pos"],
+        g.groupBy("contig").agg(F.lit(40).cast("long").alias("k")),
+        buckets=16, max_boundary_rows=5, max_levels=8, max_window_rows=0,
+    ).drop("_key")
+    w = Window.partitionBy("contig").orderBy(tie, "l_orderkey", "l_linenumber", "l_partkey")
+    want = g.withColumn("r", F.row_number().over(w)).where("r <= 40").drop("r")
+    assert same(got, want)
+
+
 def test_groups_of_identical_copies(spark):
     g = genotypes_from_tables(spark, SF001).select("contig").withColumn("key", F.lit(5).cast("long"))
     g = g.unionByName(g).unionByName(g)  # every contig: many identical rows
