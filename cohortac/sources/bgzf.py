@@ -128,6 +128,7 @@ class _Reader(DataSourceReader):
         return out
 
     def read(self, partition: _Split):
+        """Stream the split's lines as Arrow batches, one block at a time (bounded memory)."""
         fs, p = _open(partition.path)
         with fs.open_input_file(p) as f:
             r = _BlockReader(f, partition.start, partition.size)
@@ -135,31 +136,56 @@ class _Reader(DataSourceReader):
                 r.seek_first_block()
             if r.offset >= partition.end:
                 return
-            data = bytearray()
-            # Blocks that start inside the range belong to this partition.
+            out = _Batches(partition.path)
+            pending = b""  # bytes of a line not finished yet
+            skip_first = partition.start > 0  # the first line belongs to the previous split
+            # Blocks that start inside the range belong to this split.
             while r.offset < partition.end:
                 nb = r.next_block()
                 if nb is None:
                     break
-                data += nb[1]
-            # Finish the last line (or read the one line starting exactly at the boundary).
-            while r.offset < partition.size:
-                nb = r.next_block()
-                if nb is None:
-                    break
-                cut = nb[1].find(b"\n")
-                if cut >= 0:
-                    data += nb[1][: cut + 1]
-                    break
-                data += nb[1]
-            text = data.decode("utf-8")
-            lines = text.split("\n")
-            if text.endswith("\n"):
-                lines.pop()
-            if partition.start > 0 and lines:
-                lines = lines[1:]
-            for line in lines:
-                yield (partition.path, line.rstrip("\r"))
+                parts = (pending + nb[1]).split(b"\n")
+                pending = parts.pop()
+                if skip_first and parts:
+                    parts, skip_first = parts[1:], False
+                yield from out.add(parts)
+            # The line that starts at or before the end of the range is ours: finish it from
+            # the following blocks (if no line started in the range, there is nothing to add).
+            if not skip_first:
+                while r.offset < partition.size:
+                    nb = r.next_block()
+                    if nb is None:
+                        break
+                    cut = nb[1].find(b"\n")
+                    if cut >= 0:
+                        pending += nb[1][:cut]
+                        break
+                    pending += nb[1]
+                if pending:
+                    yield from out.add([pending])
+            yield from out.flush()
+
+
+class _Batches:
+    """Collects decoded lines and hands them out as Arrow record batches."""
+
+    SIZE = 8192
+
+    def __init__(self, path: str):
+        self.path, self.lines = path, []
+
+    def add(self, raw: list[bytes]):
+        self.lines.extend(x.rstrip(b"\r").decode("utf-8") for x in raw)
+        if len(self.lines) >= self.SIZE:
+            yield from self.flush()
+
+    def flush(self):
+        if self.lines:
+            import pyarrow as pa
+
+            n = len(self.lines)
+            yield pa.RecordBatch.from_arrays([pa.array([self.path] * n), pa.array(self.lines)], names=["file", "value"])
+            self.lines = []
 
 
 class VcfBgzfDataSource(DataSource):
