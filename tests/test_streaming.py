@@ -26,3 +26,37 @@ def test_vcf_stream_one_file_per_batch(spark, tmp_path):
     counts, info = running_counts(spark, out)
     ds = count_dataset(g)
     assert result_rows(finalize(counts, info)) == result_rows(finalize(ds.counts, ds.info))
+
+
+def test_restart_with_same_checkpoint_counts_files_once(spark, tmp_path):
+    """A second run of the stream over the same checkpoint adds nothing; a new file adds one batch."""
+    import shutil
+
+    src = tmp_path / "src"
+    src.mkdir()
+    g, paths = write_vcf_files(spark, src)
+    incoming = tmp_path / "incoming"
+    incoming.mkdir()
+    gz = [p for p in paths if p.endswith(".vcf.gz")][0]
+    shutil.copy(gz, incoming / "first.vcf.gz")
+    out, ckpt = str(tmp_path / "out"), str(tmp_path / "ckpt")
+
+    def run():
+        q = count_batches(vcf_stream(spark, str(incoming)), vcf_batch_genotypes, out, ckpt)
+        q.awaitTermination()
+
+    run()
+    first = running_counts(spark, out)[0]
+    n1 = first.count()
+    run()  # restart: nothing new
+    assert len(list((tmp_path / "out" / "counts").glob("batch=*"))) == 1
+    assert running_counts(spark, out)[0].exceptAll(first).count() == 0
+    # a second center arrives: plain text this time
+    bgz = [p for p in paths if p.endswith(".vcf.bgz")][0]
+    (incoming / "second.vcf").write_bytes(gzip.decompress(open(bgz, "rb").read()))
+    run()
+    assert len(list((tmp_path / "out" / "counts").glob("batch=*"))) == 2
+    counts, info = running_counts(spark, out)
+    assert counts.count() >= n1
+    ds = count_dataset(g)
+    assert result_rows(finalize(counts, info)) == result_rows(finalize(ds.counts, ds.info))
