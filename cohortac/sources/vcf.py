@@ -129,6 +129,9 @@ def parse_sites(lines: DataFrame) -> DataFrame:
     return d.select("file", *[c.alias(n) for n, c in site_columns(F.col("f"))])
 
 
+FORMAT_KEYS = ("GT", "DP", "GQ", "AD")
+
+
 def explode_samples(sites: DataFrame) -> DataFrame:
     """One row per (record, sample column): adds sample_rank and the raw ``call`` text."""
     cols = [c for c in sites.columns if c != "calls"]
@@ -142,20 +145,29 @@ def call_fields(exploded: DataFrame) -> DataFrame:
     fk, call = F.col("format"), F.col("call")
     return exploded.select(
         *exploded.columns,
-        format_value(fk, call, "GT").alias("gt_text"),
-        format_value(fk, call, "DP").alias("dp_text"),
-        format_value(fk, call, "GQ").alias("gq_text"),
-        format_value(fk, call, "AD").alias("ad_text"),
+        *[format_value(fk, call, k).alias(f"{k.lower()}_text") for k in FORMAT_KEYS],
     )
 
 
 def sites_to_genotypes(sites: DataFrame) -> DataFrame:
     """Parsed records -> genotype calls (file, sample_rank, contig, pos, end, ref, alts, gt, dp, gq, ad).
 
-    GT alleles beyond the ALT list become missing; DP/GQ/AD are parsed tolerantly.
+    The FORMAT positions of GT/DP/GQ/AD are found once per record, before the samples are
+    exploded; each call is then split once. GT alleles beyond the ALT list become missing;
+    DP/GQ/AD are parsed tolerantly.
     """
-    f = call_fields(explode_samples(sites))
-    return f.select(
+    site_cols = ["file", "contig", "pos", "end", "ref", "alts"]
+    idx = [F.array_position("format", k).cast("int").alias(f"_i{k}") for k in FORMAT_KEYS]
+    per_call = sites.select(*site_cols, *idx, F.posexplode("calls").alias("sample_rank", "call")).select(
+        *site_cols, *[f"_i{k}" for k in FORMAT_KEYS], F.col("sample_rank").cast("int"), F.split("call", ":").alias("_v")
+    )
+
+    def field(k: str):
+        i = F.col(f"_i{k}")
+        raw = F.when(i > 0, F.get(F.col("_v"), i - 1))
+        return F.when(raw != ".", raw)
+
+    return per_call.select(
         "file",
         "sample_rank",
         "contig",
@@ -163,10 +175,10 @@ def sites_to_genotypes(sites: DataFrame) -> DataFrame:
         "end",
         "ref",
         "alts",
-        parse_gt("gt_text", F.size("alts")).alias("gt"),
-        parse_int("dp_text").alias("dp"),
-        parse_int("gq_text").alias("gq"),
-        parse_int_list("ad_text").alias("ad"),
+        parse_gt(field("GT"), F.size("alts")).alias("gt"),
+        parse_int(field("DP")).alias("dp"),
+        parse_int(field("GQ")).alias("gq"),
+        parse_int_list(field("AD")).alias("ad"),
     )
 
 
