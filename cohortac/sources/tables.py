@@ -39,9 +39,10 @@ def _p(base: str, name: str) -> str:
 
 def sorted_by_region(df: DataFrame, n_partitions: int | None = None) -> DataFrame:
     """Range-partition on (region, pos) and sort inside partitions: each task writes few region
-    folders, files come out ordered by position (row-group pruning on pos)."""
-    n = n_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartitionByRange(n, "region", "pos").sortWithinPartitions("region", "pos", "ref", "alt")
+    folders, files come out ordered by position (row-group pruning on pos). Without an explicit
+    count, AQE sizes the partitions (no flood of tiny files for small outputs)."""
+    r = df.repartitionByRange(n_partitions, "region", "pos") if n_partitions else df.repartitionByRange("region", "pos")
+    return r.sortWithinPartitions("region", "pos", "ref", "alt")
 
 
 def write_info(info: DataFrame, path: str) -> None:
