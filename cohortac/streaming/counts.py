@@ -95,8 +95,11 @@ def vcf_batch_genotypes(batch: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def vcf_stream(spark: SparkSession, directory: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Lines of new ``.vcf``/``.vcf.gz`` files in a directory as a stream of (file, value)."""
-    r = spark.readStream.format("text").option("pathGlobFilter", "*.vcf*")
+    """Lines of new ``.vcf``/``.vcf.gz`` files in a directory as a stream of (file, value).
+
+    The file stream reads through Spark's text source, so BGZF (``.vcf.bgz``) files are not
+    picked up here; batch jobs read them with the ``vcf_bgzf`` source."""
+    r = spark.readStream.format("text").option("pathGlobFilter", "*.{vcf,vcf.gz}")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return r.load(directory).select(F.col("_metadata.file_path").alias("file"), "value")
