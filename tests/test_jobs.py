@@ -78,3 +78,22 @@ def test_regions_become_partitions(spark, tmp_path):
     c = tables.read_counts(spark, out)
     assert sorted(r.region for r in tables.list_regions(spark, out).collect()) == ["chr1:1-5000", "chrX:2781480-155701382"]
     assert c.where((F.col("region") == "chr1:1-5000") & (F.col("pos") > 5000)).count() == 0
+
+
+def test_keep_pile_writes_the_per_call_pile(spark, tmp_path):
+    from cohortac.plans.pipeline import pile_for
+
+    vcf_dir = tmp_path / "vcf"
+    vcf_dir.mkdir()
+    g, paths = write_vcf_files(spark, vcf_dir)
+    out = str(tmp_path / "counts")
+    jobs.run_count(spark, paths, out, keep_pile=True)
+    pile = spark.read.parquet(out + "/pile")
+    ds = count_dataset(g)
+    want = pile_for(g, ds.samples)
+    cols = ["region", "pos", "ref", "alt", "XX_AC", "XY_AC", "XX_n_DP_discarded", "XY_n_DP_discarded", "DP"]
+    assert pile.select(*cols).exceptAll(want.select(*cols)).count() == 0
+    assert want.select(*cols).exceptAll(pile.select(*cols)).count() == 0
+    # the kept pile re-sums to the written counts
+    summed = pile.groupBy("region", "pos", "ref", "alt").agg(F.sum("XX_AC").alias("s")).where("s > 0").count()
+    assert summed == tables.read_counts(spark, out).where("XX_AC > 0").count()
