@@ -1,4 +1,4 @@
-"""The count -> finalize pipeline as lazy DataFrame plans (no writes).
+"""The count -> finalize pipeline as lazy DataFrame plans (no output is written here).
 
 ``count_dataset`` is the whole 'count' step over a genotype table: sex inference,
 pile, per-variant counts and the dataset info. Sex inference is materialised once in
@@ -76,6 +76,10 @@ def count_dataset(
     header_samples: DataFrame | None = None,
     samples: DataFrame | None = None,
 ) -> CountDataset:
+    """Sex inference (unless ``samples`` is given), dataset info and per-variant counts of a
+    genotype table. ``regions``: None (chr1..chr22, chrX, chrY, chrM), a region list or text,
+    or a regions DataFrame. ``header_samples`` lists every sample of every file (VCF headers);
+    without it the samples seen in the calls are used."""
     if filters.normalize_contigs:
         genotypes = genotypes.withColumn("contig", normalize_contig("contig"))
     if samples is None:
