@@ -9,8 +9,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortac.llm import byte_bpe, langid, packing, token_counts
+from cohortac.llm import byte_bpe, embedding_dedup, langid, packing, simhash, token_counts, topk
 
+SHINGLE_WORDS = 3
+SIMHASH_RADIUS = 3
+TOP_K = 5
+COSINE = 0.93
 SEQUENCE_TOKENS = 1024
 END_OF_DOCUMENT = 2
 
@@ -19,6 +23,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), words=SHINGLE_WORDS, radius=SIMHASH_RADIUS)
+    return found.select("doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk.quantised(table(spark, sf_dir, "embeddings"))
+    return topk.top_k(vectors, vectors.where("id % 50 = 0"), TOP_K)
+
+
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), COSINE)
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return token_counts.count_tokens(docs, public_tokenizers.path("word_bpe_49k.json")).drop("text")
@@ -44,7 +62,23 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_token_counts, op5_language_id, op6_best_fit_packing, op10_byte_bpe)
+    f.__name__: f for f in (op1_simhash_dedup, op2_exact_top_k, op3_embedding_dedup, op4_token_counts, op5_language_id, op6_best_fit_packing, op10_byte_bpe)
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_exact_top_k": """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS vec
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, r.vec_id,
+           CAST(list_sum(list_transform(range(1, len(q.vec) + 1), lambda i: q.vec[i] * r.vec[i])) AS BIGINT) AS score
+    FROM v q JOIN v r ON q.vec_id % 50 = 0 AND q.vec_id <> r.vec_id AND len(q.vec) = len(r.vec)
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5
+""",
+}
