@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortac.llm import byte_bpe, embedding_dedup, langid, packing, simhash, token_counts, topk
+from cohortac.llm import byte_bpe, embedding_dedup, langid, packing, simhash, suffix_dedup, token_counts, topk
 
 SHINGLE_WORDS = 3
 SIMHASH_RADIUS = 3
@@ -54,6 +54,18 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), SEQUENCE_TOKENS, ["doc_id", "piece"])
 
 
+def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = suffix_dedup.repeated_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
+    return docs.select(
+        "doc_id",
+        F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2(suffix_dedup.remaining(F.col("text"), F.col("spans")), 256).alias("kept_sha256"),
+    )
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -62,7 +74,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash_dedup, op2_exact_top_k, op3_embedding_dedup, op4_token_counts, op5_language_id, op6_best_fit_packing, op10_byte_bpe)
+    f.__name__: f for f in (op1_simhash_dedup, op2_exact_top_k, op3_embedding_dedup, op4_token_counts, op5_language_id, op6_best_fit_packing, op8_suffix_array_dedup, op10_byte_bpe)
 }
 
 ORACLES: dict[str, str] = {
