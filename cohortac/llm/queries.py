@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortac.llm import byte_bpe, embedding_dedup, langid, packing, simhash, suffix_dedup, token_counts, topk
+from cohortac.llm import byte_bpe, embedding_dedup, langid, lm_score, packing, simhash, suffix_dedup, token_counts, topk, warc
 
 SHINGLE_WORDS = 3
 SIMHASH_RADIUS = 3
@@ -54,6 +54,11 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), SEQUENCE_TOKENS, ["doc_id", "piece"])
 
 
+def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lm_score.scores(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", F.round(F.col("score") / F.col("n_words"), 4).alias("mean_log_score"))
+
+
 def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = suffix_dedup.repeated_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
@@ -66,6 +71,54 @@ def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def page_records(pages: DataFrame) -> DataFrame:
+    """Archive records of the pages: a full response for every page, and a revisit of it by another
+    spelling of its URL. By page id some revisits come before the response, carry another
+    validator or only a modification date."""
+    p, body = F.col("page_id"), F.coalesce("html", F.lit(""))
+    tag = F.concat(F.lit('"'), F.md5(body), F.lit('"'))
+    day = F.concat(F.lit("day "), F.pmod(p, F.lit(28)).cast("string"))
+    tagged = F.pmod(p, F.lit(5)) != 0
+    full = F.struct(
+        (4 * p).alias("record_id"),
+        F.col("url").alias("url"),
+        (10 * p + F.when(F.pmod(p, F.lit(11)) == 0, 8).otherwise(0)).alias("ts"),
+        F.lit("response").alias("kind"),
+        F.map_filter(
+            F.create_map(
+                F.lit("ETag"), F.when(tagged, tag), F.lit("Last-Modified"), day, F.lit("Content-Type"), F.lit("text/html"),
+                F.lit("Content-Length"), F.octet_length(body).cast("string"), F.lit("Cache-Control"), F.lit("max-age=60"),
+            ),
+            lambda _, v: v.isNotNull(),
+        ).alias("headers"),
+        body.alias("body"),
+    )
+    again = F.struct(
+        (4 * p + 1).alias("record_id"),
+        F.concat(F.regexp_replace(F.regexp_replace(F.col("url"), "#.*$", ""), "^http://", "https://"), F.lit("#again")).alias("url"),
+        (10 * p + 5).alias("ts"),
+        F.lit("revisit").alias("kind"),
+        F.map_filter(
+            F.create_map(
+                F.lit("etag"), F.when(tagged, F.when(F.pmod(p, F.lit(7)) == 0, F.lit('"other"')).otherwise(F.concat(F.lit("W/"), tag))),
+                F.lit("last-modified"), F.when(F.pmod(p, F.lit(10)) == 0, F.lit("day 99")).otherwise(day),
+                F.lit("content-length"), F.lit("0"), F.lit("cache-control"), F.lit("max-age=600"), F.lit("age"), F.lit("0"),
+            ),
+            lambda _, v: v.isNotNull(),
+        ).alias("headers"),
+        F.lit(None).cast("string").alias("body"),
+    )
+    return pages.select(F.explode(F.array(full, again)).alias("r")).select("r.*")
+
+
+def op9_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.resolve_revisits(page_records(table(spark, sf_dir, "pages")))
+    lines = F.transform(F.array_sort(F.map_entries("headers")), lambda e: F.concat_ws(": ", e["key"], e["value"]))
+    return found.select(
+        "record_id", "status", "refers_to", F.octet_length("body").cast("long").alias("n_bytes"), F.md5("body").alias("body_md5"), F.concat_ws("\n", lines).alias("headers")
+    )
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -74,7 +127,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash_dedup, op2_exact_top_k, op3_embedding_dedup, op4_token_counts, op5_language_id, op6_best_fit_packing, op8_suffix_array_dedup, op10_byte_bpe)
+    f.__name__: f for f in (op1_simhash_dedup, op2_exact_top_k, op3_embedding_dedup, op4_token_counts, op5_language_id, op6_best_fit_packing, op7_lm_score, op8_suffix_array_dedup, op9_warc_revisits, op10_byte_bpe)
 }
 
 ORACLES: dict[str, str] = {
@@ -92,5 +145,68 @@ WITH v AS (
     SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
 )
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5
+""",
+    "op7_lm_score": r"""
+WITH d AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[ \t\n\x0B\f\r]+'), lambda w: w <> '') AS w
+    FROM documents
+), n AS (
+    SELECT doc_id, CAST(sum(len(w)) AS BIGINT) AS n_words FROM d GROUP BY doc_id
+), occ AS (
+    SELECT doc_id, w[i] AS word, CASE WHEN i > 1 THEN w[i - 1] END AS before FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d)
+), c1 AS (
+    SELECT word, count(*) AS c FROM occ GROUP BY word
+), c2 AS (
+    SELECT before, word, count(*) AS c FROM occ WHERE before IS NOT NULL GROUP BY before, word HAVING count(*) >= 2
+), scored AS (
+    SELECT o.doc_id, CASE
+        WHEN o.before IS NULL THEN ln(a.c / (SELECT CAST(sum(n_words) AS DOUBLE) FROM n))
+        WHEN p.c IS NOT NULL THEN ln(p.c / CAST(b.c AS DOUBLE))
+        ELSE ln(0.4) + ln(a.c / (SELECT CAST(sum(n_words) AS DOUBLE) FROM n)) END AS s
+    FROM occ o JOIN c1 a ON a.word = o.word LEFT JOIN c1 b ON b.word = o.before LEFT JOIN c2 p ON p.before = o.before AND p.word = o.word
+)
+SELECT n.doc_id, n.n_words, round(t.s / n.n_words, 4) AS mean_log_score
+FROM n LEFT JOIN (SELECT doc_id, sum(s) AS s FROM scored GROUP BY doc_id) t ON t.doc_id = n.doc_id
+""",
+    "op9_warc_revisits": r"""
+WITH p AS (
+    SELECT page_id AS p, url, coalesce(html, '') AS body, '"' || md5(coalesce(html, '')) || '"' AS tag, 'day ' || (page_id % 28) AS day FROM pages
+), canon AS (
+    SELECT *, regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS rest FROM p
+), parts AS (
+    SELECT *,
+        regexp_replace(regexp_replace(lower(regexp_extract(rest, '^([^/?]*)', 1)), '^(www|m)\.', ''), ':(80|443)$', '') AS host,
+        regexp_replace(regexp_extract(rest, '^[^/?]*([^?]*)', 1), '/+$', '') AS path,
+        list_sort(list_filter(string_split(regexp_extract(rest, '\?(.*)$', 1), '&'), lambda q: q <> '' AND NOT regexp_matches(q, '^(utm_[a-z]+|ref)='))) AS params
+    FROM canon
+), u AS (
+    SELECT *, host || path || CASE WHEN len(params) > 0 THEN '?' || array_to_string(params, '&') ELSE '' END AS curl FROM parts
+), f AS (
+    SELECT 4 * p AS record_id, curl, 10 * p + CASE WHEN p % 11 = 0 THEN 8 ELSE 0 END AS ts, body, octet_length(encode(body)) AS n,
+           CASE WHEN p % 5 <> 0 THEN tag END AS tag, day
+    FROM u
+), r AS (
+    SELECT 4 * p + 1 AS record_id, curl, 10 * p + 5 AS ts,
+           CASE WHEN p % 5 <> 0 THEN CASE WHEN p % 7 = 0 THEN '"other"' ELSE 'W/' || tag END END AS tag,
+           CASE WHEN p % 10 = 0 THEN 'day 99' ELSE day END AS day
+    FROM u
+), j AS (
+    SELECT r.*, f.record_id AS refers_to, f.body, f.n, f.tag AS f_tag, f.day AS f_day,
+           row_number() OVER (PARTITION BY r.record_id ORDER BY f.ts DESC NULLS LAST, f.record_id DESC) AS place
+    FROM r LEFT JOIN f ON f.curl = r.curl AND f.ts < r.ts
+), s AS (
+    SELECT *, CASE
+        WHEN refers_to IS NULL THEN 'orphan'
+        WHEN coalesce(regexp_replace(tag, '^W/', '') = regexp_replace(f_tag, '^W/', ''), day = f_day) THEN 'resolved'
+        ELSE 'mismatch' END AS status
+    FROM j WHERE place = 1
+)
+SELECT record_id, status, refers_to,
+       CASE WHEN status = 'resolved' THEN n END AS n_bytes,
+       CASE WHEN status = 'resolved' THEN md5(body) END AS body_md5,
+       CASE WHEN status = 'resolved' THEN
+           concat_ws(chr(10), 'age: 0', 'cache-control: max-age=600', 'content-length: ' || n, 'content-type: text/html', 'etag: ' || coalesce(tag, f_tag), 'last-modified: ' || day)
+       ELSE concat_ws(chr(10), 'age: 0', 'cache-control: max-age=600', 'content-length: 0', 'etag: ' || tag, 'last-modified: ' || day) END AS headers
+FROM s
 """,
 }
