@@ -31,6 +31,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortac.llm.shared import free_name
+
 ORDER = 3
 PER_LANGUAGE = 500
 UNDECIDED = "und"
@@ -88,6 +90,8 @@ class Tables:
     @classmethod
     def build(cls, stats: dict[str, tuple[bytes, bytes]]) -> Tables:
         langs = list(stats)
+        if not langs:
+            return cls([], np.zeros(256, np.uint8), np.zeros(1, np.int32), np.zeros((1, 0), np.float32))
         grams = {k: (np.frombuffer(g, "<u4"), np.frombuffer(c, "<i8")) for k, (g, c) in stats.items()}
         seen = np.zeros(256, bool)
         seen[0] = True  # the padding
@@ -159,8 +163,10 @@ def blend(counts: np.ndarray, shorter: np.ndarray) -> np.ndarray:
 _tables: dict[int, Tables] = {}
 
 
-def predict(docs: DataFrame, stats: dict[str, tuple[bytes, bytes]], text: str = "text") -> DataFrame:
-    """``docs`` with lang_pred and score. ``stats`` comes from ``fit``; its size is bounded by
+def predict(
+    docs: DataFrame, stats: dict[str, tuple[bytes, bytes]], text: str = "text", lang_pred: str = "lang_pred", score: str = "score"
+) -> DataFrame:
+    """``docs`` with the columns named lang_pred and score added (replacing columns of those names). ``stats`` comes from ``fit``; its size is bounded by
     the sample, and it is sent to each worker once."""
     shared = docs.sparkSession.sparkContext.broadcast(stats)
     key = shared._jbroadcast.id()
@@ -174,8 +180,8 @@ def predict(docs: DataFrame, stats: dict[str, tuple[bytes, bytes]], text: str =
         for texts in batches:
             yield pd.DataFrame([tables.predict(t) for t in texts], columns=["lang_pred", "score"])
 
-    found = "_guess"
-    return docs.withColumn(found, guess(docs[text])).withColumns({"lang_pred": F.col(found)["lang_pred"], "score": F.col(found)["score"]}).drop(found)
+    found = free_name(docs, "guess")
+    return docs.withColumn(found, guess(docs[text])).withColumns({lang_pred: F.col(found)["lang_pred"], score: F.col(found)["score"]}).drop(found)
 
 
 def is_held_out(doc_id: str = "doc_id", folds: int = 5):

@@ -221,7 +221,8 @@ def token_pieces(docs: DataFrame, path: str, pattern: str, capacity: int, end_id
             yield pd.Series(out, dtype=object)
 
     kept = [docs[c] for c in docs.columns if c not in (text, "piece", "start", "length", "ids")]
-    return docs.select(*kept, F.explode(cut(docs[text])).alias("_p")).select(*kept, "_p.*")
+    part = free_name(docs, "part")
+    return docs.select(*kept, F.explode(cut(docs[text])).alias(part)).select(*kept, f"{part}.*")
 
 
 def pack(pieces: DataFrame, capacity: int, key: list[str]) -> DataFrame:

@@ -33,6 +33,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cohortac.llm.shared import free_name
 from cohortac.llm.simhash import whole_groups
 from cohortac.llm.suffix_sort import suffix_order
 
@@ -189,8 +190,8 @@ def remaining(text: Column, spans: Column) -> Column:
     return cut(text, spans)
 
 
-def repeated_spans(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with ``spans``, an array of (start, stop) byte spans that also start earlier."""
+def repeated_spans(docs: DataFrame, id: str = "doc_id", text: str = "text", spans: str = "spans") -> DataFrame:
+    """``docs`` with the column named ``spans``, an array of (start, stop) byte spans that also start earlier."""
     key = F.coalesce(docs[id].cast("long"), F.lit(-(1 << 63))).alias("id")
     whole = F.coalesce(docs[text], F.lit("")).alias("text")
     rows = docs.select(key, F.xxhash64(docs[text]).alias("th"), whole)
@@ -202,16 +203,18 @@ def repeated_spans(docs: DataFrame, id: str = "doc_id", text: str = "text") -> D
     found = anchors.join(again, "h", "left_semi").groupBy("id", "th").agg(F.collect_list(F.struct("at", "h")).alias("found"))
     parts = long_enough.join(found, ["id", "th"]).mapInPandas(_cut_segments, "h long, part binary, id long, th long, lo long, n long")
     dealt = parts.withColumn("shard", F.pmod(F.xxhash64("h"), F.lit(shards))).repartition(int(min(shards, 100_000)), "shard")
-    spans = dealt.sortWithinPartitions("shard").mapInPandas(_shard_spans, "id long, th long, a long, b long")
+    runs = dealt.sortWithinPartitions("shard").mapInPandas(_shard_spans, "id long, th long, a long, b long")
 
     @F.pandas_udf("array<struct<start:long,stop:long>>")
     def merged(lists: pd.Series) -> pd.Series:
         return pd.Series([_merged(runs, LENGTH) for runs in lists], dtype=object)
 
-    per_doc = spans.groupBy("id", "th").agg(F.collect_list(F.struct("a", "b")).alias("runs")).select(F.col("id").alias("_id"), F.col("th").alias("_th"), merged("runs").alias("_spans"))
-    same = (key == F.col("_id")) & (F.xxhash64(docs[text]) == F.col("_th"))
+    own_id, own_hash, found_spans = (free_name(docs, x) for x in ("own_id", "own_hash", "found_spans"))
+    per_doc = runs.groupBy("id", "th").agg(F.collect_list(F.struct("a", "b")).alias("runs"))
+    per_doc = per_doc.select(F.col("id").alias(own_id), F.col("th").alias(own_hash), merged("runs").alias(found_spans))
+    same = (key == F.col(own_id)) & (F.xxhash64(docs[text]) == F.col(own_hash))
     none = F.array().cast("array<struct<start:long,stop:long>>")
-    return docs.join(per_doc, same, "left").withColumn("spans", F.coalesce("_spans", none)).drop("_id", "_th", "_spans")
+    return docs.join(per_doc, same, "left").withColumn(spans, F.coalesce(found_spans, none)).drop(own_id, own_hash, found_spans)
 
 
 def remaining_text(text: Column, spans: Column) -> Column:
