@@ -14,14 +14,15 @@ from pyspark.sql import functions as F
 
 from cohortac.llm import langid, packing, simhash, suffix_dedup
 from cohortac.llm.queries import END_OF_DOCUMENT, SEQUENCE_TOKENS, SHINGLE_WORDS, SIMHASH_RADIUS, table
-from cohortac.llm.shared import written
+from cohortac.llm.shared import free_name, written
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language cannot be told (null text, no letter) go."""
     stats = langid.fit(docs.where(~langid.is_held_out()))
-    found = langid.predict(docs, stats)
-    return found.where(found["lang_pred"] != langid.UNDECIDED).select(*docs.columns)
+    lang, score = free_name(docs, "lang_pred"), free_name(docs, "score")
+    found = langid.predict(docs, stats, lang_pred=lang, score=score)
+    return found.where(F.col(lang) != langid.UNDECIDED).select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,10 +36,12 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that also start earlier are cut from the text; n_chars follows."""
-    found = suffix_dedup.repeated_spans(docs)
-    kept = found.withColumn("text", F.when(F.size("spans") == 0, F.col("text")).otherwise(suffix_dedup.remaining_text(F.col("text"), F.col("spans"))))
+    spans = free_name(docs, "spans")
+    found = suffix_dedup.repeated_spans(docs, spans=spans)
+    whole = F.size(spans) == 0
+    kept = found.withColumn("text", F.when(whole, F.col("text")).otherwise(suffix_dedup.remaining_text(F.col("text"), F.col(spans))))
     if "n_chars" in docs.columns:
-        kept = kept.withColumn("n_chars", F.when(F.size("spans") == 0, F.col("n_chars")).otherwise(F.length("text").cast("long")))
+        kept = kept.withColumn("n_chars", F.when(whole, F.col("n_chars")).otherwise(F.length("text").cast("long")))
     return kept.select(*docs.columns)
 
 
