@@ -36,6 +36,11 @@ SUPPORTED_EXTENSIONS = (".vcf.gz", ".vcf.bgz", ".bcf")
 # Symbolic alleles.
 GVCF_BLOCK_ALT = "<NON_REF>"
 SPANNING_DELETION = "*"
+# Allele counts (AC, AC_hom, AC_hemi) of a reference, homozygous, heterozygous and single-copy call.
+ZERO_COUNTS = (0, 0, 0)
+HOM_ALT_COUNTS = (2, 1, 0)
+HET_COUNTS = (1, 0, 0)
+HEMI_COUNTS = (1, 0, 1)
 # Region text pattern: contig[:begin[-end]].
 REGION_PATTERN = r"^(\w+)(:\d+|:\d+-\d+)?$"
 # Dataset metadata version string written to info.json.
@@ -126,6 +131,26 @@ INFO_SCHEMA = T.StructType(
                 ]
             ),
         ),
+        T.StructField(
+            "settings",
+            T.StructType(
+                [
+                    T.StructField("ab_index", T.StringType()),
+                    T.StructField("on_unsupported", T.StringType()),
+                    T.StructField("normalize_contigs", T.BooleanType()),
+                ]
+            ),
+        ),
+        # Sample numbers by the regions they were counted in; more than one entry after a merge of
+        # datasets with different regions.
+        T.StructField(
+            "cohorts",
+            T.ArrayType(
+                T.StructType(
+                    [T.StructField("regions", T.ArrayType(T.StringType())), T.StructField("XX", T.IntegerType()), T.StructField("XY", T.IntegerType())]
+                )
+            ),
+        ),
     ]
 )
 

@@ -23,12 +23,10 @@ def parse_int_list(text) -> Column:
     return F.transform(F.split(_col(text), ","), lambda x: parse_int(x))
 
 
-def format_value(format_keys, call, key: str) -> Column:
-    """Value of FORMAT ``key`` in a ':'-separated sample column; NULL when the key is absent,
-    when trailing fields were dropped, or when the value is '.'."""
-    idx = F.array_position(_col(format_keys), F.lit(key))
-    raw = F.when(idx > 0, F.get(F.split(_col(call), ":"), (idx - 1).cast("int")))
-    return F.when(raw != ".", raw)
+def parse_float_as_int(text) -> Column:
+    """Integer part of a decimal number (towards zero); NULL for junk, NaN and infinities."""
+    number = F.trim(_col(text)).try_cast("double")
+    return F.when(F.abs(number) < 2147483648.0, number.cast("int"))
 
 
 def parse_gt(gt_text, n_alts=None) -> Column:
@@ -60,10 +58,6 @@ def allelic_balance(ad, dp, allele_index, index_mode: str = "reference") -> Colu
     return F.coalesce(F.try_divide(num, _col(dp).cast("double")), F.lit(0.0))
 
 
-def ploidy(gt) -> Column:
-    return F.size(_col(gt))
-
-
 def gt_class(gt) -> Column:
     """Call class: hom_ref, missing, het, hom_alt, multi_het, half_missing, haploid_ref,
     haploid_missing, haploid_alt, or other (ploidy 0 or >= 3)."""

@@ -26,7 +26,9 @@ def parse_region(text) -> Column:
     end_txt = F.regexp_extract(t, r"^\w+:\d+-(\d+)$", 1)
     begin = F.when(ok & (begin_txt != ""), begin_txt.try_cast("long"))
     end = F.when(ok & (end_txt != ""), end_txt.try_cast("long"))
-    coords_ok = F.coalesce(begin <= end, F.lit(True)) & ~(begin.isNull() & end.isNotNull())
+    # A coordinate too large for a number is invalid, not absent.
+    read = ((begin_txt == "") | begin.isNotNull()) & ((end_txt == "") | end.isNotNull())
+    coords_ok = read & F.coalesce(begin <= end, F.lit(True)) & ~(begin.isNull() & end.isNotNull())
     return F.struct(
         contig.alias("contig"),
         begin.alias("begin"),
@@ -35,6 +37,13 @@ def parse_region(text) -> Column:
     )
 
 
+def invalid_reason(text) -> Column:
+    """Why a region text is invalid ('format', 'coordinate' or 'begin_after_end'); NULL if it is valid."""
+    t, r = _col(text), parse_region(text)
+    too_large = r["begin"].isNull() & t.contains(":") | r["end"].isNull() & t.contains("-")
+    return F.when(~t.rlike(REGION_PATTERN), F.lit("format")).when(~r["is_valid"], F.when(too_large, F.lit("coordinate")).otherwise(F.lit("begin_after_end")))
+
+
 def format_region(contig, begin, end) -> Column:
     """Region back to text: contig, then ':begin' when set, then '-end' when set."""
     c, b, e = _col(contig), _col(begin), _col(end)
@@ -74,12 +83,11 @@ def regions_frame(spark: SparkSession, regions: list[str] | str | None = None, s
     if regions is None:
         texts = list(DEFAULT_CONTIGS)
     elif isinstance(regions, str):
-        texts = regions.split(",")
+        texts = [regions]
     else:
         texts = list(regions)
-    # Built from literals on the JVM side (a Python-list DataFrame would start Python workers
-    # every time the broadcast side is evaluated).
-    raw = spark.range(1).select(F.explode(F.array(*[F.lit(t) for t in texts])).alias("text"))
+    # One literal whatever the number of regions, taken apart on the JVM side.
+    raw = spark.range(1).select(F.explode(split_region_list(F.lit(",".join(texts)))).alias("text"))
     p = raw.select("text", parse_region("text").alias("r"))
     if strict:
         p = p.where(
@@ -95,14 +103,3 @@ def regions_frame(spark: SparkSession, regions: list[str] | str | None = None, s
         F.col("r.begin").alias("begin"),
         F.col("r.end").alias("end"),
     ).distinct()
-
-
-def region_count_bound(regions: list[str] | str | None) -> int:
-    """Upper bound on the rows of ``regions_frame(regions)`` (the number of texts)."""
-    if regions is None:
-        return len(DEFAULT_CONTIGS)
-    return len(regions.split(",")) if isinstance(regions, str) else len(list(regions))
-
-
-def default_regions(spark: SparkSession) -> DataFrame:
-    return regions_frame(spark, None)

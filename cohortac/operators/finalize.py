@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cohortac.session import broadcast_if_bounded
 from cohortac.functions.genome import xx_ploidy, xy_ploidy
 
 
@@ -14,8 +15,14 @@ def nonzero_variants(counts: DataFrame) -> DataFrame:
 
 
 def with_sample_number(counts: DataFrame, info: DataFrame) -> DataFrame:
-    """Attach N_XX, N_XY of the one-row dataset info as scalar subqueries: computed once,
-    used as constants by every row (no join); an info table with more than one row is an error."""
+    """Attach N_XX, N_XY of the one-row dataset info as scalar subqueries, used as constants by
+    every row (no join); an info table with more than one row is an error. Only if the info lists
+    several region lists (a merge of datasets with different regions) are the numbers joined by
+    region, which the planner broadcasts when the list of regions is counted small."""
+    if "cohorts" in info.columns and (info.select(F.size("cohorts")).first() or [0])[0] > 1:
+        cohort = info.select(F.explode("cohorts").alias("c")).select(F.explode("c.regions").alias("region"), "c.XX", "c.XY")
+        numbers = cohort.groupBy("region").agg(F.sum("XX").cast("int").alias("_n_xx"), F.sum("XY").cast("int").alias("_n_xy"))
+        return counts.join(broadcast_if_bounded(numbers), "region").select(*counts.columns, "_n_xx", "_n_xy")
     n_xx = info.select(F.col("sample_number.XX").cast("int")).scalar()
     n_xy = info.select(F.col("sample_number.XY").cast("int")).scalar()
     return counts.select("*", n_xx.alias("_n_xx"), n_xy.alias("_n_xy"))

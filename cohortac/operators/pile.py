@@ -10,18 +10,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortac.constants import DEFAULT_MIN_AB, DEFAULT_MIN_DP, DEFAULT_MIN_GQ, GVCF_BLOCK_ALT, SPANNING_DELETION
+from cohortac.constants import (
+    DEFAULT_MIN_AB,
+    DEFAULT_MIN_DP,
+    DEFAULT_MIN_GQ,
+    GVCF_BLOCK_ALT,
+    HEMI_COUNTS,
+    HET_COUNTS,
+    HOM_ALT_COUNTS,
+    SPANNING_DELETION,
+    ZERO_COUNTS,
+)
 from cohortac.functions.genome import is_chrx, is_chry, non_par_x, non_par_y
 from cohortac.functions.genotype import allelic_balance
-from cohortac.session import broadcast_if_bounded
+from cohortac.session import DEFAULT_BROADCAST_BYTES, broadcast_if_bounded
 
 _MODES = ("error", "drop")
 
-# Count triples (AC, AC_hom, AC_hemi).
-ZERO_COUNTS = (0, 0, 0)
-HOM_ALT_COUNTS = (2, 1, 0)
-HET_COUNTS = (1, 0, 0)
-HEMI_COUNTS = (1, 0, 1)
+SAMPLE_BYTES = 64  # of a sample's sex in a broadcast array, with its share of the row
 
 
 def _check_mode(on_unsupported: str) -> None:
@@ -46,16 +52,27 @@ def has_no_alt(alts="alts") -> Column:
 
 def drop_gvcf_blocks(df: DataFrame, on_unsupported: str = "error") -> DataFrame:
     """Drop reference blocks (first ALT is <NON_REF>). A record without any ALT is an error
-    (``on_unsupported='error'``) or dropped (``'drop'``)."""
+    (``on_unsupported='error'``) or dropped (``'drop'``).
+
+    The error sits in a generator, which the optimizer does not move below a join: only records
+    that the steps before this one (the region join) let through can raise it.
+    """
     _check_mode(on_unsupported)
-    is_block = F.get(F.col("alts"), 0) == F.lit(GVCF_BLOCK_ALT)
-    if on_unsupported == "error":
-        keep = F.when(
-            has_no_alt(), F.raise_error(F.concat(F.lit("Record without ALT at "), F.col("contig"), F.lit(":"), F.col("pos").cast("string")))
-        ).otherwise(~is_block)
-    else:
-        keep = ~has_no_alt() & ~is_block
-    return df.where(keep)
+    is_block = F.get(F.col("alts"), 0).eqNullSafe(F.lit(GVCF_BLOCK_ALT))
+    if on_unsupported == "drop":
+        return df.where(~has_no_alt() & ~is_block)
+    message = F.concat(F.lit("Record without ALT at "), F.col("contig"), F.lit(":"), F.col("pos").cast("string"))
+    checked = F.when(has_no_alt(), F.raise_error(message)).otherwise(F.array(F.lit(True)))
+    return df.where(has_no_alt() | ~is_block).select("*", F.explode(checked).alias("_checked")).drop("_checked")
+
+
+def join_file_sexes(sites: DataFrame, samples: DataFrame, max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Attach to each site its file's sample sexes in header order (``sexes``): one row per file is
+    joined, never a row per call. Broadcast only if the counted samples fit the bound."""
+    per_file = samples.groupBy("file").agg(F.transform(F.array_sort(F.collect_list(F.struct("sample_rank", "sex"))), lambda x: x["sex"]).alias("sexes"))
+    if samples.count() * SAMPLE_BYTES <= max_broadcast_bytes:
+        per_file = F.broadcast(per_file)
+    return sites.join(per_file, "file")
 
 
 def chry_filter(df: DataFrame) -> DataFrame:
@@ -215,7 +232,20 @@ def build_pile(
     """
     g = drop_gvcf_blocks(genotypes, on_unsupported)
     g = join_sample_sex(g, samples, max_broadcast_rows)
-    g = missing_dp_filter(chry_filter(g))
+    return pile_of_calls(g, min_dp, min_gq, min_ab, ab_index, on_unsupported, keep)
+
+
+def pile_of_calls(
+    calls: DataFrame,
+    min_dp: int = DEFAULT_MIN_DP,
+    min_gq: int = DEFAULT_MIN_GQ,
+    min_ab: float = DEFAULT_MIN_AB,
+    ab_index: str = "reference",
+    on_unsupported: str = "error",
+    keep: tuple[str, ...] = (),
+) -> DataFrame:
+    """Calls with region and sex, without gVCF blocks -> pile rows."""
+    g = missing_dp_filter(chry_filter(calls))
     alleles = explode_alleles(g, min_gq=min_gq, min_ab=min_ab, ab_index=ab_index, on_unsupported=on_unsupported)
     alleles = drop_spanning_deletion(alleles)
     return sex_split(alleles, min_dp, keep)

@@ -36,13 +36,11 @@ MAX_REGION_BINS = 64  # regions spanning more bins (and open-ended ones) are joi
 
 
 def region_interval_join(df: DataFrame, regions: DataFrame, max_broadcast_rows: int = MAX_BROADCAST_REGIONS,
-                         known_rows: int | None = None, bin_size: int = BIN_SIZE) -> DataFrame:
-    # ``known_rows`` is accepted for callers that know the list length; the branch sizes
-    # below are counted on the (small) region list itself.
+                         bin_size: int = BIN_SIZE) -> DataFrame:
     """Give each record a ``region`` label; a record in k overlapping regions appears k times.
 
-    Both sides of the join stay map-side: the region list is broadcast (bounded by its row
-    count, known by construction for literal lists) and records are never shuffled.
+    Both sides of the join stay map-side while the region list, counted in bins, is within
+    ``max_broadcast_rows``; records are then never shuffled.
     * Narrow regions are exploded over the ``bin_size`` bins they cover and records over the
       bins they span; the hash key is (contig, bin), so a record is only compared with the
       regions near it (an interval list with many regions per contig stays cheap). A pair is
@@ -60,7 +58,8 @@ def region_interval_join(df: DataFrame, regions: DataFrame, max_broadcast_rows:
     b = F.lit(int(bin_size))
     narrow = (F.col("_r_end") - F.col("_r_begin")) < F.lit(int(bin_size) * MAX_REGION_BINS)
     # Which kinds of regions exist (one small aggregate over the region list, never the records).
-    sizes = r.agg(F.count_if(narrow).alias("n"), F.count_if(~narrow).alias("w")).first()
+    n_bins = F.floor(F.col("_r_end") / b) - F.floor(F.col("_r_begin") / b) + 1
+    sizes = r.agg(F.count_if(narrow).alias("n"), F.count_if(~narrow).alias("w"), F.sum(F.when(narrow, n_bins)).alias("bins")).first()
     n_narrow, n_wide = int(sizes["n"]), int(sizes["w"])
     WIDE = F.lit(-1).cast("long")
     # Wide regions sit in the sentinel bin -1; narrow ones are exploded over their bins.
@@ -77,7 +76,7 @@ def region_interval_join(df: DataFrame, regions: DataFrame, max_broadcast_rows:
         rec = df.select("*", F.explode(rec_bins).alias("_rbin"))
     else:
         rec = df.select("*", F.explode(F.concat(F.array(WIDE), rec_bins)).alias("_rbin"))
-    bound = n_wide + n_narrow * (MAX_REGION_BINS + 1)
+    bound = n_wide + int(sizes["bins"] or 0)
     keyed_b = broadcast_if_bounded(keyed, max_broadcast_rows, bound)
     overlap = (F.col("end") >= F.col("_r_begin")) & (F.col("pos") <= F.col("_r_end"))
     # a narrow pair is kept only in the bin of its first overlapping position (emitted once)
@@ -91,14 +90,15 @@ def region_interval_join(df: DataFrame, regions: DataFrame, max_broadcast_rows:
     return rec.join(keyed_b, cond, "inner").drop("_rbin", "_bin", "_r_contig", "_r_begin", "_r_end")
 
 
-def missing_contigs(regions: DataFrame, file_contigs: DataFrame) -> DataFrame:
+def missing_contigs(regions: DataFrame, file_contigs: DataFrame, files: DataFrame | None = None) -> DataFrame:
     """Regions whose contig is absent from some files' headers: (region, contig, n_files_missing).
 
     A region with a missing contig yields no records for that file; this reports it.
-    ``file_contigs`` holds (file, contig) pairs from the headers.
+    ``file_contigs`` holds (file, contig) pairs from the headers; ``files`` all files, also those
+    whose header names no contig (default: the files of ``file_contigs``).
     """
     fc = file_contigs.select("file", "contig").distinct()
-    n_files = fc.select(F.countDistinct("file")).scalar()
+    n_files = (fc if files is None else files).select(F.countDistinct("file")).scalar()
     with_contig = fc.groupBy("contig").agg(F.count(F.lit(1)).alias("_n_have"))
     rep = (
         regions.select("region", "contig")

@@ -25,17 +25,17 @@ def smallest_k_per_group(
     group_cols: list[str],
     key: str,
     tiebreak: list[str],
-    k_per_group: DataFrame,
+    k: DataFrame | Column,
     buckets: int = 1 << 16,
     max_boundary_rows: int = 1_000_000,
     max_levels: int = 4,
     materialize_input: bool = True,
     max_window_rows: int = 1_000_000,
 ) -> DataFrame:
-    """Rows of ``df`` whose rank by (key, *tiebreak) inside their group is <= k.
+    """Rows of ``df`` whose rank by (key, *tiebreak, all columns) inside their group is <= k.
 
-    ``key`` is a non-negative LONG column; ``k_per_group`` has the group columns and ``k``.
-    Identical rows may be chosen in either order (the output is the same). The input is read
+    ``key`` is a non-negative LONG column; ``k`` an expression of the group's number of rows
+    ``_n``, or a DataFrame with the group columns and ``k``. Identical rows may be chosen in either order (the output is the same). The input is read
     by every pass (sizes, each histogram level, the final pick); with ``materialize_input``
     it is written once to the shared folder first, so a costly input plan runs only once.
 
@@ -46,9 +46,9 @@ def smallest_k_per_group(
     if materialize_input:
         df = reliable_checkpoint(df)
     stats = df.groupBy(*group_cols).agg(F.min(key).alias("_lo"), F.max(key).alias("_hi"), F.count(F.lit(1)).alias("_n"))
+    sized = stats.withColumn("k", k) if isinstance(k, Column) else k.join(stats, group_cols)
     state = (
-        k_per_group.join(stats, group_cols)
-        .select(*group_cols, F.least(F.col("k").cast("long"), F.col("_n")).alias("_need"), "_lo", "_hi", "_n")
+        sized.select(*group_cols, F.least(F.col("k").cast("long"), F.col("_n")).alias("_need"), "_lo", "_hi", "_n")
         .where(F.col("_need") > 0)
     )
     state = reliable_checkpoint(state)
@@ -56,7 +56,7 @@ def smallest_k_per_group(
     if largest is None:
         return df.limit(0)
     if largest <= max_window_rows:
-        w = Window.partitionBy(*group_cols).orderBy(F.col(key), *[F.col(c) for c in tiebreak])
+        w = Window.partitionBy(*group_cols).orderBy(F.col(key), *[F.col(c) for c in tiebreak], *[F.col(c) for c in df.columns])
         picked = df.join(broadcast_if_bounded(state.select(*group_cols, "_need")), group_cols)
         return picked.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") <= F.col("_need")).select(*df.columns)
     state = state.drop("_n")
@@ -161,13 +161,14 @@ def subsample_per_contig(
     columns) replaces the default seeded hash when a reproducible order is wanted.
     """
     cols = records.columns
+    # Written once before the replicas are made, so no replica is stored.
+    records = reliable_checkpoint(records)
     rep = records.select(F.explode(F.sequence(F.lit(0), F.lit(replicas - 1))).alias("replica"), *cols)
     key = order_key if order_key is not None else hash_key(F.lit(seed), F.col("replica"), *[F.col(c) for c in cols])
     rep = rep.withColumn("_key", key.cast("long"))
-    n = rep.groupBy("replica", "contig").agg(F.count(F.lit(1)).alias("n"))
-    k0 = F.floor(F.col("n") * F.lit(float(fraction))).cast("long")
-    k = n.select("replica", "contig", F.when(k0 < min_size, F.least(F.lit(min_size).cast("long"), F.col("n"))).otherwise(k0).alias("k"))
-    out = smallest_k_per_group(rep, ["replica", "contig"], "_key", tiebreak or cols, k).drop("_key")
+    k0 = F.floor(F.col("_n") * F.lit(float(fraction))).cast("long")
+    k = F.when(k0 < min_size, F.least(F.lit(min_size).cast("long"), F.col("_n"))).otherwise(k0)
+    out = smallest_k_per_group(rep, ["replica", "contig"], "_key", tiebreak or cols, k, materialize_input=False).drop("_key")
     return out.orderBy("replica", "contig", "pos") if sort_output else out
 
 
@@ -186,6 +187,5 @@ def cap_per_contig(records: DataFrame, cap: int = 100_000, tie_key: Column | Non
     cols = records.columns
     tk = tie_key if tie_key is not None else F.xxhash64(*[F.col(c) for c in cols]).bitwiseAND(F.lit((1 << TIE_BITS) - 1))
     r = records.withColumn("_key", F.col("pos").cast("long") * F.lit(1 << TIE_BITS) + tk.cast("long"))
-    k = r.groupBy("contig").agg(F.lit(cap).cast("long").alias("k"))
-    out = smallest_k_per_group(r, ["contig"], "_key", tiebreak or [c for c in cols if c != "pos"], k)
+    out = smallest_k_per_group(r, ["contig"], "_key", tiebreak or [c for c in cols if c != "pos"], F.lit(cap).cast("long"))
     return out.drop("_key")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortac.constants import DATASET_VERSION, HET_FRACTION_LIMIT, PAR1_END, PAR2_X_BEGIN
@@ -42,7 +42,7 @@ def zygosity_event(gt, on_unsupported: str = "error"):
     )
     if on_unsupported == "error":
         return cls.otherwise(
-            F.raise_error(F.concat(F.lit("Unexpected genotype format for sex inference: "), F.to_json(g)))
+            F.raise_error(F.concat(F.lit("chrX call of unsupported ploidy, no sex can be inferred from it: "), F.to_json(g)))
         )
     if on_unsupported == "drop":
         return cls.when(n == 1, F.lit("hom"))
@@ -63,11 +63,6 @@ def zygosity_counts(genotypes: DataFrame, on_unsupported: str = "error") -> Data
     )
 
 
-def header_samples_from_genotypes(genotypes: DataFrame) -> DataFrame:
-    """Distinct (file, sample_rank, sample) seen in a genotype table."""
-    return genotypes.select("file", "sample_rank", "sample").distinct()
-
-
 def sex_from_counts(n_hom, n_het):
     """'XY' when het / (hom + het) < 0.2; 'XX' otherwise and when there are no events."""
     hom, het = F.col(n_hom), F.col(n_het)
@@ -117,9 +112,11 @@ def sample_number(samples: DataFrame) -> DataFrame:
     )
 
 
-def dataset_info(samples: DataFrame, min_dp: int, min_gq: int, min_ab: float) -> DataFrame:
-    """One-row dataset metadata: version, sample_number{XX,XY}, AC0_filter{min_DP,min_GQ,min_AB}."""
-    return sample_number(samples).select(
+def dataset_info(samples: DataFrame, min_dp: int, min_gq: int, min_ab: float, settings: Column | None = None,
+                 regions: DataFrame | None = None) -> DataFrame:
+    """One-row dataset metadata: version, sample_number{XX,XY}, AC0_filter{min_DP,min_GQ,min_AB}; with
+    ``regions`` also the other count settings and ``cohorts``, the sample numbers by region list."""
+    info = sample_number(samples).select(
         F.lit(DATASET_VERSION).alias("version"),
         F.struct("XX", "XY").alias("sample_number"),
         F.struct(
@@ -128,3 +125,8 @@ def dataset_info(samples: DataFrame, min_dp: int, min_gq: int, min_ab: float) ->
             F.lit(float(min_ab)).cast("double").alias("min_AB"),
         ).alias("AC0_filter"),
     )
+    if regions is None:
+        return info
+    listed = regions.agg(F.array_sort(F.collect_set("region"))).scalar()
+    n = F.col("sample_number")
+    return info.select("*", settings.alias("settings"), F.array(F.struct(listed.alias("regions"), n["XX"].alias("XX"), n["XY"].alias("XY"))).alias("cohorts"))

@@ -186,7 +186,7 @@ texts AS (
         WHEN 2 THEN contig || ':' || CAST(pos AS VARCHAR) || '-' || CAST(pos + p_size AS VARCHAR)
         WHEN 3 THEN contig || ':' || lpad(CAST(pos AS VARCHAR), 9, '0') || '-' || CAST(pos + p_size AS VARCHAR)
         WHEN 4 THEN contig || ':' || CAST(pos + p_size AS VARCHAR) || '-' || CAST(pos AS VARCHAR)
-        ELSE p_brand END AS text
+        ELSE CASE WHEN p_partkey % 12 = 5 THEN contig || ':99999999999999999999' ELSE p_brand END END AS text
     FROM pt
 ),
 parsed0 AS (
@@ -202,7 +202,7 @@ parsed AS (
     FROM parsed0
 ),
 regions AS (
-    SELECT *, ok AND coalesce("begin" <= "end", true) AS is_valid FROM parsed
+    SELECT *, ok AND coalesce("begin" <= "end", true) AND text NOT LIKE '%:99999999999999999999' AS is_valid FROM parsed
 )
 """
 oracle("parse_regions", with_ctes(_REGION_TEXTS, select='SELECT text, contig, "begin", "end", is_valid FROM regions'))
@@ -210,9 +210,10 @@ oracle(
     "validate_regions",
     with_ctes(
         _REGION_TEXTS,
-        select="SELECT text, is_valid, CASE WHEN NOT ok THEN 'format' WHEN NOT is_valid THEN 'begin_after_end' END AS reason FROM regions",
+        select="SELECT text, is_valid, CASE WHEN NOT ok THEN 'format' WHEN text LIKE '%:99999999999999999999' THEN 'coordinate' WHEN NOT is_valid THEN 'begin_after_end' END AS reason FROM regions",
     ),
 )
+oracle("split_region_list", with_ctes(_REGION_TEXTS, select="SELECT text, count(*) AS n FROM texts GROUP BY text"))
 oracle(
     "format_regions",
     with_ctes(
@@ -273,7 +274,7 @@ labeled AS (
     FROM names
 )
 """
-oracle("file_select", _NAMES + "SELECT path, label FROM labeled WHERE supported")
+oracle("file_select", _NAMES + "SELECT regexp_extract(path, '([^/]*)$', 1) AS name, label FROM labeled WHERE supported")
 oracle("file_label", _NAMES + "SELECT path, label, supported FROM labeled")
 
 _VCF = """
@@ -375,3 +376,12 @@ ranked AS (
 
 # ------------------------------------------------------------------ streaming
 oracle("streaming_counts", full_chain(RESULT_SELECT))
+
+# ------------------------------------------------------------------ tables written and read again
+ORACLES["pile_parquet_sink"] = ORACLES["count_job_pile"] = ORACLES["build_pile"]
+ORACLES["multi_file_scan"] = ORACLES["count_job"] = ORACLES["allele_counts"]
+oracle("count_job_overwrite", full_chain("SELECT *, 0 AS kept_piles FROM counts"))
+oracle("list_regions", full_chain("SELECT DISTINCT region FROM counts"))
+ORACLES["info_roundtrip"] = ORACLES["dataset_info"]
+ORACLES["result_sink"] = ORACLES["finalize"]
+ORACLES["bgzf_scan"] = ORACLES["vcf_parse_sites"]

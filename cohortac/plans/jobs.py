@@ -1,9 +1,9 @@
 """Write jobs: count (VCF files -> count dataset), finalize (counts -> result), merge (datasets -> dataset).
 
-``count`` scans the VCF text once. Header lines and parsed records are written together as
-one Parquet table in the shared checkpoint folder, partitioned by contig: sex inference
-then reads only the chrX partition, the pile reads the rest, and neither re-reads (or
-re-decompresses) the text.
+``count`` scans the VCF text once. Header lines and the records of the wanted contigs (and chrX,
+for sex inference) are written together as one Parquet table in the shared checkpoint folder, with
+only the FORMAT fields that are counted; sex inference then reads only the chrX part. The table
+is removed when the job ends.
 """
 
 from __future__ import annotations
@@ -14,43 +14,76 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortac.functions.regions import region_count_bound, regions_frame
+from cohortac.constants import INT_MAX
+from cohortac.functions.genome import normalize_contig
+from cohortac.functions.regions import regions_frame
 from cohortac.operators.finalize import finalize
 from cohortac.operators.merge import merge_counts, merge_info, merge_samples
 from cohortac.operators.regions import missing_contigs
-from cohortac.plans.pipeline import Filters, count_dataset
-from cohortac.session import reliable_checkpoint, scratch_path, tune
+from cohortac.operators.sex import INFERENCE_CONTIG
+from cohortac.plans.pipeline import Filters, count_sites, pile_for_sites
+from cohortac.session import broadcast_if_bounded, reliable_checkpoint, remove_path, scratch_path, tune
 from cohortac.sources import tables
-from cohortac.sources.vcf import header_contigs, header_samples, read_vcf_lines, site_columns, sites_to_genotypes
+from cohortac.sources.vcf import (
+    FORMAT_KEYS,
+    file_label,
+    header_contigs,
+    header_float_keys,
+    header_samples,
+    is_supported_name,
+    read_vcf_lines,
+    site_columns,
+    with_float_keys,
+)
 
 log = logging.getLogger(__name__)
 
-HEADER_PARTITION = "#header"
+HEADER, CHRX, OTHER = "header", "chrX", "other"
+KEPT_HEADERS = r"^#CHROM|^##contig=|^##FORMAT="
 
 
-def ingest_vcf(spark: SparkSession, paths: list[str], table_path: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """One pass over the VCF text -> (genotypes, header samples, header contigs), backed by a
-    Parquet table partitioned by contig (header lines in their own partition)."""
+def wanted_contigs(regions: DataFrame, normalize: bool = False) -> DataFrame:
+    """(contig, begin, end) that holds all regions of a contig; chrX from start to end. With
+    ``normalize`` contigs are in the chr spelling."""
+    name = normalize_contig("contig") if normalize else F.col("contig")
+    spans = regions.select(
+        name.alias("contig"), F.coalesce("begin", F.lit(1)).cast("long").alias("begin"), F.coalesce("end", F.lit(INT_MAX)).cast("long").alias("end")
+    )
+    inference = regions.sparkSession.range(1).select(F.lit(INFERENCE_CONTIG).alias("contig"), F.lit(1).cast("long").alias("begin"), F.lit(INT_MAX).cast("long").alias("end"))
+    return spans.unionByName(inference).groupBy("contig").agg(F.min("begin").alias("begin"), F.max("end").alias("end"))
+
+
+def ingest_vcf(spark: SparkSession, paths: list[str], path: str, regions: DataFrame | None = None, normalize: bool = False) -> tuple[DataFrame, DataFrame]:
+    """One pass over the VCF text into a Parquet table at ``path`` -> (sites, header lines)."""
     lines = read_vcf_lines(spark, paths)
     # One projection over the lines (a union of a header branch and a record branch would
-    # scan and decompress the text twice): header lines keep their text in ``header`` and go
-    # to their own contig partition, data lines are parsed into the site columns.
+    # scan and decompress the text twice).
     is_head = F.col("value").startswith("#")
-    cols = site_columns(F.split("value", "\t"))
-    table = lines.where(F.length("value") > 0).select(
-        "file",
-        *[
-            (F.when(is_head, F.lit(HEADER_PARTITION)).otherwise(c) if n == "contig" else F.when(~is_head, c)).alias(n)
-            for n, c in cols
-        ],
-        F.when(is_head, F.col("value")).alias("header"),
+    cols = dict(site_columns(F.split("value", "\t")))
+    text_format = cols["format"]
+    if normalize:
+        cols["contig"] = normalize_contig(cols["contig"])
+    wanted = F.filter(text_format, lambda k: k.isin(*FORMAT_KEYS))
+    places = F.transform(wanted, lambda k: F.array_position(text_format, k).cast("int") - 1)
+    slim = F.transform(cols["calls"], lambda c: F.array_join(F.transform(places, lambda i: F.coalesce(F.get(F.split(c, ":"), i), F.lit("."))), ":"))
+    cols["calls"] = F.when(F.size(wanted) == F.size(text_format), cols["calls"]).otherwise(slim)
+    cols["format"] = wanted
+    part = F.when(is_head, HEADER).when(cols["contig"] == INFERENCE_CONTIG, CHRX).otherwise(OTHER)
+    kept = lines.where(F.when(is_head, F.col("value").rlike(KEPT_HEADERS)).otherwise(F.length("value") > 0))
+    if regions is not None:
+        near = broadcast_if_bounded(wanted_contigs(regions, normalize).select(F.col("contig").alias("_c"), F.col("begin").alias("_b"), F.col("end").alias("_e")))
+        bounds = kept.withColumn("_own", F.when(~is_head, cols["contig"]))
+        bounds = bounds.join(near, F.col("_own") == F.col("_c"), "left")
+        reach = (cols["end"] >= F.col("_b")) & (cols["pos"] <= F.col("_e"))
+        kept = bounds.where(is_head | F.coalesce(reach, F.lit(False)))
+    table = kept.select(
+        "file", part.alias("part"), *[F.when(~is_head, c).alias(n) for n, c in cols.items()], F.when(is_head, F.col("value")).alias("value")
     )
-    path = table_path or scratch_path(spark, f"vcf-{uuid.uuid4().hex}")
-    table.write.mode("overwrite").partitionBy("contig").parquet(path)
+    table.write.mode("overwrite").partitionBy("part").parquet(path)
     table = spark.read.parquet(path)
-    header_lines = table.where(F.col("contig") == HEADER_PARTITION).select("file", F.col("header").alias("value"))
-    records = table.where(F.col("contig") != HEADER_PARTITION).drop("header")
-    return sites_to_genotypes(records), header_samples(header_lines), header_contigs(header_lines)
+    headers = table.where(F.col("part") == HEADER).select("file", "value")
+    records = table.where(F.col("part") != HEADER).drop("value")
+    return with_float_keys(records, header_float_keys(headers)), headers
 
 
 def run_count(
@@ -61,20 +94,32 @@ def run_count(
     filters: Filters = Filters(),
     keep_pile: bool = False,
 ) -> None:
-    """The 'count' step: VCF files -> <out_dir>/{info.json, samples, counts}."""
+    """The 'count' step: VCF files -> <out_dir>/{info.json, samples, counts, reports}. What a former run
+    left there is replaced, a kept pile included."""
     tune(spark)
-    genotypes, samples_hdr, contigs = ingest_vcf(spark, paths)
+    root, scratch = out_dir.rstrip("/"), scratch_path(spark, f"vcf-{uuid.uuid4().hex}")
     reg = regions_frame(spark, regions)
-    report = missing_contigs(reg, contigs)
-    for r in report.limit(1000).collect():  # one warning line per region, bounded by the region list
-        log.warning("contig %s of region %s is missing from %d file header(s)", r.contig, r.region, r.n_files_missing)
-    ds = count_dataset(genotypes, regions, filters, header_samples=reliable_checkpoint(samples_hdr))
-    tables.write_count_dataset(ds.samples, ds.info, ds.counts, out_dir)
-    if keep_pile:
-        from cohortac.plans.pipeline import pile_for
-
-        tables.write_pile(pile_for(genotypes, ds.samples, regions, filters), out_dir.rstrip("/") + "/pile")
-    log.info("count written to %s (%d regions)", out_dir, region_count_bound(regions))
+    try:
+        sites, headers = ingest_vcf(spark, paths, scratch, reg, filters.normalize_contigs)
+        names = headers.where(F.col("value").startswith("#CHROM")).select("file").distinct()
+        missing = missing_contigs(reg, header_contigs(headers), names)
+        inputs = names.select("file", file_label("file").alias("label"), is_supported_name("file").alias("known_extension"))
+        missing.write.mode("overwrite").parquet(f"{root}/reports/missing_contigs")
+        inputs.write.mode("overwrite").parquet(f"{root}/reports/inputs")
+        ds = count_sites(sites, reliable_checkpoint(header_samples(headers)), reg, filters)
+        tables.write_count_dataset(ds.samples, ds.info, ds.counts, out_dir)
+        remove_path(spark, f"{root}/pile")
+        if keep_pile:
+            tables.write_pile(pile_for_sites(sites, ds.samples, reg, filters), f"{root}/pile")
+        n_missing = spark.read.parquet(f"{root}/reports/missing_contigs").count()
+        n_silent = tables.read_samples(spark, out_dir).where("n_hom + n_het = 0").count()
+        if n_missing:
+            log.warning("%d regions lie on contigs that some file headers lack: %s/reports/missing_contigs", n_missing, root)
+        if n_silent:
+            log.warning("%d samples have no chrX calls to infer their sex from (taken as XX): %s/samples", n_silent, root)
+    finally:
+        remove_path(spark, scratch)
+    log.info("count written to %s", out_dir)
 
 
 def run_finalize(spark: SparkSession, in_dir: str, out_dir: str) -> None:

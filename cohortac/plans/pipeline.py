@@ -11,16 +11,17 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from cohortac.constants import DEFAULT_MIN_AB, DEFAULT_MIN_DP, DEFAULT_MIN_GQ
 from cohortac.functions.genome import normalize_contig
-from cohortac.functions.regions import region_count_bound, regions_frame
+from cohortac.functions.regions import regions_frame
 from cohortac.operators.counts import allele_counts
-from cohortac.operators.finalize import finalize
-from cohortac.operators.pile import build_pile
+from cohortac.operators.pile import build_pile, drop_gvcf_blocks, join_file_sexes, pile_of_calls
 from cohortac.operators.regions import region_interval_join
-from cohortac.operators.sex import dataset_info, infer_sex
+from cohortac.operators.sex import dataset_info, infer_sex, inference_window
 from cohortac.session import reliable_checkpoint
+from cohortac.sources.vcf import sites_to_genotypes
 
 
 @dataclass(frozen=True)
@@ -53,10 +54,7 @@ def pile_for(genotypes: DataFrame, samples: DataFrame, regions=None, filters: Fi
     reg = regions if isinstance(regions, DataFrame) else regions_frame(spark, regions)
     if filters.normalize_contigs:
         reg = reg.withColumn("contig", normalize_contig("contig"))
-    if isinstance(regions, DataFrame):
-        g = region_interval_join(genotypes, reg)
-    else:
-        g = region_interval_join(genotypes, reg, known_rows=region_count_bound(regions))
+    g = region_interval_join(genotypes, reg)
     return build_pile(
         g,
         samples,
@@ -84,11 +82,38 @@ def count_dataset(
         genotypes = genotypes.withColumn("contig", normalize_contig("contig"))
     if samples is None:
         samples = samples_sex(genotypes, header_samples, filters.on_unsupported)
-    info = dataset_info(samples, filters.min_dp, filters.min_gq, filters.min_ab)
-    counts = allele_counts(pile_for(genotypes, samples, regions, filters))
+    reg = regions if isinstance(regions, DataFrame) else regions_frame(genotypes.sparkSession, regions)
+    info = info_for(samples, reg, filters)
+    counts = allele_counts(pile_for(genotypes, samples, reg, filters))
     return CountDataset(samples=samples, info=info, counts=counts)
 
 
-def result_for(genotypes: DataFrame, regions=None, filters: Filters = Filters()) -> DataFrame:
-    ds = count_dataset(genotypes, regions, filters)
-    return finalize(ds.counts, ds.info)
+def pile_for_sites(sites: DataFrame, samples: DataFrame, regions=None, filters: Filters = Filters()) -> DataFrame:
+    """Pile of VCF records. Region join, gVCF and no-ALT rules and the sample sexes (one array per file)
+    are settled per record; only then are the samples exploded and their calls parsed."""
+    reg = regions if isinstance(regions, DataFrame) else regions_frame(sites.sparkSession, regions)
+    if filters.normalize_contigs:
+        reg = reg.withColumn("contig", normalize_contig("contig"))
+    here = drop_gvcf_blocks(region_interval_join(sites, reg), filters.on_unsupported)
+    calls = sites_to_genotypes(join_file_sexes(here, samples))
+    return pile_of_calls(calls, filters.min_dp, filters.min_gq, filters.min_ab, filters.ab_index, filters.on_unsupported)
+
+
+def count_sites(sites: DataFrame, header_samples: DataFrame, regions=None, filters: Filters = Filters()) -> CountDataset:
+    """``count_dataset`` for VCF records (re-readable: inference and counts each read them)."""
+    if filters.normalize_contigs:
+        sites = sites.withColumn("contig", normalize_contig("contig"))
+    window = sites_to_genotypes(inference_window(sites))
+    samples = reliable_checkpoint(infer_sex(window, header_samples, filters.on_unsupported))
+    reg = regions if isinstance(regions, DataFrame) else regions_frame(sites.sparkSession, regions)
+    counts = allele_counts(pile_for_sites(sites, samples, reg, filters))
+    return CountDataset(samples=samples, info=info_for(samples, reg, filters), counts=counts)
+
+
+def info_for(samples: DataFrame, regions: DataFrame, filters: Filters) -> DataFrame:
+    settings = F.struct(
+        F.lit(filters.ab_index).alias("ab_index"),
+        F.lit(filters.on_unsupported).alias("on_unsupported"),
+        F.lit(filters.normalize_contigs).alias("normalize_contigs"),
+    )
+    return dataset_info(samples, filters.min_dp, filters.min_gq, filters.min_ab, settings, regions)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from cohortac.constants import PILE_COLUMNS
 from cohortac.functions.genome import par_class
 from cohortac.functions.genotype import allelic_balance, gt_class, het_allele_indices, parse_gt, parse_int
-from cohortac.functions.regions import begin0, format_region, parse_region, region_count_bound, regions_frame
+from cohortac.functions.regions import begin0, format_region, invalid_reason, parse_region, regions_frame, split_region_list
 from cohortac.operators.counts import depth_distribution, depth_moments, sorted_counts
 from cohortac.operators.finalize import allele_number_columns, depth_mean, depth_std, finalize, nonzero_variants, with_sample_number
 from cohortac.operators.merge import merge_counts, merge_info, union_all
@@ -34,9 +34,11 @@ from cohortac.operators.pile import (
 from cohortac.operators.regions import missing_contigs, region_interval_join, region_overlap_scan
 from cohortac.operators.sampling import cap_per_contig, subsample_per_contig
 from cohortac.operators.sex import dataset_info
-from cohortac.plans.pipeline import count_dataset, pile_for, samples_sex
+from cohortac.plans import jobs
+from cohortac.plans.pipeline import count_dataset, count_sites, pile_for, samples_sex
 from cohortac.session import reliable_checkpoint, scratch_path, tune
 from cohortac.sources import tables
+from cohortac.sources.bgzf import make_empty_files, register, write_bgzf_files
 from cohortac.sources.projection import genotypes_from_tables
 from cohortac.sources.vcf import (
     call_fields,
@@ -46,14 +48,13 @@ from cohortac.sources.vcf import (
     header_samples,
     is_supported_name,
     parse_sites,
-    sites_to_genotypes,
+    select_input_files,
     to_vcf_lines,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 KEYS = ["l_orderkey", "l_linenumber"]
-CENTER_FILES = ["center0.vcf.gz", "center1.vcf.gz"]
 # Regions of the interval-join query (two overlapping, open-ended, single-position).
 JOIN_REGIONS = ["chr1:1-7000", "chr1:5000-14000", "chrX", "chrY:2781480", "chrM:100-200", "chr20:13994"]
 
@@ -87,7 +88,7 @@ def _calls(spark, sf_dir):
     """Calls that reach classification (default regions, gVCF, sex, chrY and DP rules)."""
     g = _gm(spark, sf_dir)
     s = samples_sex(g)
-    c = region_interval_join(g, regions_frame(spark, None), known_rows=region_count_bound(None))
+    c = region_interval_join(g, regions_frame(spark, None))
     c = join_sample_sex(drop_gvcf_blocks(c), s)
     return missing_dp_filter(chry_filter(c))
 
@@ -105,6 +106,11 @@ def _vcf_lines(spark, sf_dir):
     return to_vcf_lines(g, g.select("file", "sample_rank", "sample").distinct())
 
 
+def _files(samples: DataFrame) -> list[str]:
+    """The call files of the data (one row per file)."""
+    return sorted(r.file for r in samples.select("file").distinct().collect())
+
+
 def _region_texts(spark, sf_dir):
     p = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", "p_size", "p_brand")
     pk = F.col("p_partkey")
@@ -118,6 +124,7 @@ def _region_texts(spark, sf_dir):
         .when(kind == 2, F.concat(contig, F.lit(":"), pos.cast("string"), F.lit("-"), last.cast("string")))
         .when(kind == 3, F.concat(contig, F.lit(":"), F.lpad(pos.cast("string"), 9, "0"), F.lit("-"), last.cast("string")))
         .when(kind == 4, F.concat(contig, F.lit(":"), last.cast("string"), F.lit("-"), pos.cast("string")))
+        .when(pk % 12 == 5, F.concat(contig, F.lit(":99999999999999999999")))
         .otherwise(F.col("p_brand"))
     )
     return p.select(text.alias("text"))
@@ -280,7 +287,7 @@ def q_build_pile(spark, sf_dir):
 def q_union_piles(spark, sf_dir):
     g = _gm(spark, sf_dir)
     s = samples_sex(g)
-    piles = [pile_for(g.where(F.col("file") == f), s, keep=("file",)) for f in CENTER_FILES]
+    piles = [pile_for(g.where(F.col("file") == f), s, keep=("file",)) for f in _files(s)]
     return union_all(piles)
 
 
@@ -317,7 +324,8 @@ def q_sorted_counts(spark, sf_dir):
 @query
 def q_merge_centers(spark, sf_dir):
     g = _gm(spark, sf_dir)
-    parts = [count_dataset(g.where(F.col("file") == f)) for f in CENTER_FILES]
+    s = samples_sex(g)  # one inference for all centers: a sample's sex depends on its own calls only
+    parts = [count_dataset(g.where(F.col("file") == f), samples=s.where(F.col("file") == f)) for f in _files(s)]
     counts = merge_counts([p.counts for p in parts])
     info = merge_info([p.info for p in parts])
     res = finalize(counts, info)
@@ -334,11 +342,15 @@ def q_parse_regions(spark, sf_dir):
 
 @query
 def q_validate_regions(spark, sf_dir):
-    r = _region_texts(spark, sf_dir).select("text", parse_region("text").alias("r"))
-    reason = F.when(~F.col("text").rlike(r"^(\w+)(:\d+|:\d+-\d+)?$"), F.lit("format")).when(
-        ~F.col("r.is_valid"), F.lit("begin_after_end")
-    )
-    return r.select("text", F.col("r.is_valid").alias("is_valid"), reason.alias("reason"))
+    r = _region_texts(spark, sf_dir)
+    return r.select("text", parse_region("text")["is_valid"].alias("is_valid"), invalid_reason("text").alias("reason"))
+
+
+@query
+def q_split_region_list(spark, sf_dir):
+    """Region texts gathered into comma lists (one per size and brand of a part) and taken apart again."""
+    lists = _region_texts(spark, sf_dir).groupBy(F.length("text")).agg(F.array_join(F.collect_list("text"), ",").alias("list"))
+    return lists.select(F.explode(split_region_list("list")).alias("text")).groupBy("text").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query
@@ -350,7 +362,7 @@ def q_format_regions(spark, sf_dir):
 @query
 def q_default_regions(spark, sf_dir):
     regions = regions_frame(spark, None)
-    n = region_interval_join(_g(spark, sf_dir), regions, known_rows=region_count_bound(None)).groupBy("region").agg(F.count(F.lit(1)).alias("n_calls"))
+    n = region_interval_join(_g(spark, sf_dir), regions).groupBy("region").agg(F.count(F.lit(1)).alias("n_calls"))
     return regions.join(n, "region", "left").select("region", "contig", F.coalesce("n_calls", F.lit(0)).alias("n_calls"))
 
 
@@ -362,13 +374,15 @@ def q_region_overlap_scan(spark, sf_dir):
 
 @query
 def q_region_interval_join(spark, sf_dir):
-    r = region_interval_join(_g(spark, sf_dir), regions_frame(spark, JOIN_REGIONS), known_rows=len(JOIN_REGIONS))
+    r = region_interval_join(_g(spark, sf_dir), regions_frame(spark, JOIN_REGIONS))
     return r.select("region", "file", "sample_rank", "contig", "pos", "end", *KEYS)
 
 
 @query
 def q_missing_contigs(spark, sf_dir):
-    return missing_contigs(regions_frame(spark, None), header_contigs(_vcf_lines(spark, sf_dir)))
+    lines = _vcf_lines(spark, sf_dir)
+    files = lines.where(F.col("value").startswith("#CHROM")).select("file")
+    return missing_contigs(regions_frame(spark, None), header_contigs(lines), files)
 
 
 # ------------------------------------------------------------------ VCF text ingest
@@ -381,12 +395,6 @@ def _file_names(spark, sf_dir):
     return c.select(path.alias("path"))
 
 
-@query
-def q_file_select(spark, sf_dir):
-    f = _file_names(spark, sf_dir)
-    return f.where(is_supported_name("path")).select("path", file_label("path").alias("label"))
-
-
 @query
 def q_file_label(spark, sf_dir):
     f = _file_names(spark, sf_dir)
@@ -438,8 +446,7 @@ def q_gt_parse(spark, sf_dir):
 def q_vcf_count_roundtrip(spark, sf_dir):
     # the text is produced once and read from the shared folder, as the count job's ingest does
     lines = reliable_checkpoint(_vcf_lines(spark, sf_dir))
-    g = sites_to_genotypes(parse_sites(lines))
-    ds = count_dataset(g, header_samples=header_samples(lines))
+    ds = count_sites(parse_sites(lines), header_samples(lines))
     res = finalize(ds.counts, ds.info)
     return res.select(*[c for c in res.columns if c not in ("DP_mean", "DP_std")], _r6("DP_mean"), _r6("DP_std"))
 
@@ -453,6 +460,118 @@ def q_pile_tsv_scan(spark, sf_dir):
     return tables.read_pile_tsv(spark, path)
 
 
+# ------------------------------------------------------------------ tables written and read again
+def _pile(spark, sf_dir):
+    g = _gm(spark, sf_dir)
+    return pile_for(g, samples_sex(g))
+
+
+def _vcf_folder(spark, sf_dir) -> str:
+    """The projected calls as one text file per center, in a folder of the shared scratch."""
+    path = scratch_path(spark, f"vcf_text_{uuid.uuid4().hex}")
+    _vcf_lines(spark, sf_dir).repartition("file").write.partitionBy("file").text(path)
+    return path
+
+
+def _count_job(spark, sf_dir, **kw) -> str:
+    """The count job run on VCF files; the folder it wrote."""
+    out = scratch_path(spark, f"count_{uuid.uuid4().hex}")
+    jobs.run_count(spark, [_vcf_folder(spark, sf_dir) + "/*/*.txt"], out, **kw)
+    return out
+
+
+@query
+def q_pile_parquet_sink(spark, sf_dir):
+    path = scratch_path(spark, f"pile_{uuid.uuid4().hex}")
+    tables.write_pile(_pile(spark, sf_dir), path)
+    return tables.read_pile(spark, path)
+
+
+@query
+def q_multi_file_scan(spark, sf_dir):
+    """Counts written as one table per contig and scanned together by a glob pattern."""
+    path = scratch_path(spark, f"parts_{uuid.uuid4().hex}")
+    counts = _dataset(spark, sf_dir).counts
+    counts.withColumn("part", F.col("contig")).write.partitionBy("part").parquet(path)
+    return tables.read_count_files(spark, f"{path}/*/*.parquet")
+
+
+@query
+def q_count_job(spark, sf_dir):
+    return tables.read_counts(spark, _count_job(spark, sf_dir))
+
+
+@query
+def q_count_job_overwrite(spark, sf_dir):
+    """A second count into the same folder leaves nothing of the first one."""
+    vcf, out = _vcf_folder(spark, sf_dir) + "/*/*.txt", scratch_path(spark, f"count_{uuid.uuid4().hex}")
+    jobs.run_count(spark, [vcf], out, regions="chr1:1-5000,chr2", keep_pile=True)
+    jobs.run_count(spark, [vcf], out)
+    left = 1 if tables.exists(spark, f"{out}/pile") else 0
+    return tables.read_counts(spark, out).withColumn("kept_piles", F.lit(left))
+
+
+@query
+def q_count_job_pile(spark, sf_dir):
+    out = _count_job(spark, sf_dir, keep_pile=True)
+    return tables.read_pile(spark, f"{out}/pile")
+
+
+@query
+def q_list_regions(spark, sf_dir):
+    return tables.list_regions(spark, _count_job(spark, sf_dir))
+
+
+@query
+def q_info_roundtrip(spark, sf_dir):
+    """Dataset metadata written as JSON by the count job and read again."""
+    info = tables.read_dataset_info(spark, _count_job(spark, sf_dir))
+    return info.select(
+        "version",
+        F.col("sample_number.XX").alias("XX"),
+        F.col("sample_number.XY").alias("XY"),
+        F.col("AC0_filter.min_DP").alias("min_DP"),
+        F.col("AC0_filter.min_GQ").alias("min_GQ"),
+        F.col("AC0_filter.min_AB").alias("min_AB"),
+    )
+
+
+@query
+def q_result_sink(spark, sf_dir):
+    """count and finalize as write jobs; the result table read again."""
+    out = scratch_path(spark, f"result_{uuid.uuid4().hex}")
+    jobs.run_finalize(spark, _count_job(spark, sf_dir), out)
+    res = tables.read_result(spark, out)
+    return res.select(*[c for c in res.columns if c not in ("DP_mean", "DP_std")], _r6("DP_mean"), _r6("DP_std"))
+
+
+@query
+def q_bgzf_scan(spark, sf_dir):
+    """The VCF text written as BGZF files named .vcf.gz and read in small splits."""
+    path = scratch_path(spark, f"bgzf_{uuid.uuid4().hex}")
+    written = write_bgzf_files(_vcf_lines(spark, sf_dir), path)
+    files = sorted(r.path for r in written.collect())  # one row per file
+    register(spark)
+    lines = spark.read.format("vcf_bgzf").option("paths", "\n".join(files)).option("splitBytes", "100000").load()
+    s = parse_sites(lines.withColumn("file", F.regexp_extract("file", "([^/]*)$", 1)))
+    return s.select(
+        "file", "contig", "pos", "end", "ref",
+        F.size("alts").alias("n_alts"), F.get("alts", 0).alias("alt0"), F.get("alts", 1).alias("alt1"),
+        F.array_join("format", ":").alias("format"), F.size("calls").alias("n_calls"),
+    )
+
+
+@query
+def q_file_select(spark, sf_dir):
+    """Input expansion over a real folder: files named after customers, listed by the engine."""
+    path = scratch_path(spark, f"names_{uuid.uuid4().hex}")
+    names = _file_names(spark, sf_dir).select(F.regexp_extract("path", "([^/]*)$", 1).alias("name"))
+    make_empty_files(names, path).count()
+    found = select_input_files(spark, [path])
+    listed = spark.createDataFrame([(f,) for f in found], "path string")
+    return listed.select(F.regexp_extract("path", "([^/]*)$", 1).alias("name"), file_label("path").alias("label"))
+
+
 # ------------------------------------------------------------------ sampling
 def _records(spark, sf_dir):
     return _g(spark, sf_dir).select("file", "sample_rank", "contig", "pos", "l_orderkey", "l_partkey", "l_linenumber")
@@ -473,15 +592,15 @@ def q_cap_per_contig(spark, sf_dir):
 # ------------------------------------------------------------------ streaming
 @query
 def q_streaming_counts(spark, sf_dir):
-    """lineitem as a file stream -> per-batch count datasets -> running merge -> finalize."""
-    from cohortac.streaming.counts import count_batches, running_counts
+    """lineitem as a file stream -> typed calls per batch -> counts over all batches -> finalize."""
+    from cohortac.streaming.counts import ingest_batches, running_counts
 
     schema = spark.read.parquet(f"{sf_dir}/lineitem.parquet").schema
     stream = spark.readStream.schema(schema).parquet(f"{sf_dir}/lineitem*.parquet")
     run = uuid.uuid4().hex
     out, ckpt = scratch_path(spark, f"stream-{run}"), scratch_path(spark, f"stream-ckpt-{run}")
-    q = count_batches(stream, lambda b: genotypes_from_tables(b.sparkSession, sf_dir, lineitem=b), out, ckpt)
+    q = ingest_batches(stream, lambda b: genotypes_from_tables(b.sparkSession, sf_dir, lineitem=b), out, ckpt)
     q.awaitTermination()
-    counts, info = running_counts(spark, out)
-    res = finalize(counts, info)
+    ds = running_counts(spark, out, with_headers=False)
+    res = finalize(ds.counts, ds.info)
     return res.select(*[c for c in res.columns if c not in ("DP_mean", "DP_std")], _r6("DP_mean"), _r6("DP_std"))

@@ -103,6 +103,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "tables", name)
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a table of ours (a file-system call on the driver; nothing happens if it is missing)."""
+    hp = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hp.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hp, True)
+
+
 def _type_bytes(t: T.DataType) -> int:
     """Estimated in-memory bytes of a value (the same defaults Spark's planner uses)."""
     if isinstance(t, (T.StringType, T.BinaryType)):

@@ -1,4 +1,4 @@
-"""``vcf_bgzf``: a Python data source that reads BGZF-compressed text (``.vcf.bgz``) as lines.
+"""``vcf_bgzf``: a Python data source that reads gzip-compressed text as lines, split where it can be.
 
 BGZF is a series of independent gzip members ("blocks", at most 64 KiB each), so a file
 can be split at any block start. Each input partition covers a byte range of one file:
@@ -8,6 +8,10 @@ the last one; every partition except the file's first skips its first (partial o
 complete) line, which belongs to the previous partition. This is the rule Hadoop uses
 for splittable text, applied to decompressed block data.
 
+Whether a file is BGZF is read off its first block header by the task, not off its name. A
+plain gzip file does not split: its first partition streams the whole file, the others are
+empty. Lines are handed out as Arrow batches of a bounded number of bytes.
+
 Files are opened through ``pyarrow.fs``, so local, HDFS and object-store paths work on
 executors alike.
 """
@@ -18,7 +22,8 @@ import struct
 import zlib
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 DEFAULT_SPLIT_BYTES = 64 * 1024 * 1024
@@ -128,56 +133,92 @@ class _Reader(DataSourceReader):
         return out
 
     def read(self, partition: _Split):
-        """Stream the split's lines as Arrow batches, one block at a time (bounded memory)."""
+        """Stream the split's lines as Arrow batches (bounded memory)."""
         fs, p = _open(partition.path)
         with fs.open_input_file(p) as f:
+            out = _Batches(partition.path)
+            if _block_size(f.read(18 + 64), 0) is None:
+                if partition.start == 0:
+                    yield from out.lines_of(_gzip_chunks(f))
+                yield from out.flush()
+                return
             r = _BlockReader(f, partition.start, partition.size)
             if partition.start > 0:
                 r.seek_first_block()
             if r.offset >= partition.end:
                 return
-            out = _Batches(partition.path)
-            pending = b""  # bytes of a line not finished yet
-            skip_first = partition.start > 0  # the first line belongs to the previous split
-            # Blocks that start inside the range belong to this split.
-            while r.offset < partition.end:
-                nb = r.next_block()
-                if nb is None:
-                    break
-                parts = (pending + nb[1]).split(b"\n")
-                pending = parts.pop()
-                if skip_first and parts:
-                    parts, skip_first = parts[1:], False
-                yield from out.add(parts)
-            # The line that starts at or before the end of the range is ours: finish it from
-            # the following blocks (if no line started in the range, there is nothing to add).
-            if not skip_first:
-                while r.offset < partition.size:
-                    nb = r.next_block()
-                    if nb is None:
-                        break
-                    cut = nb[1].find(b"\n")
-                    if cut >= 0:
-                        pending += nb[1][:cut]
-                        break
-                    pending += nb[1]
-                if pending:
-                    yield from out.add([pending])
+            yield from out.lines_of(_split_chunks(r, partition))
             yield from out.flush()
 
 
+def _gzip_chunks(f, size: int = 1 << 20):
+    """Decompressed pieces of a gzip file of any number of members."""
+    f.seek(0)
+    member = zlib.decompressobj(31)
+    raw = f.read(size)
+    while raw:
+        while raw:
+            yield member.decompress(raw)
+            raw = member.unused_data
+            if member.eof:
+                member = zlib.decompressobj(31)
+        raw = f.read(size)
+
+
+def _split_chunks(r: _BlockReader, partition: _Split):
+    """Decompressed pieces with exactly the lines that belong to a split."""
+    skip_first = partition.start > 0  # the first line belongs to the previous split
+    while r.offset < partition.end:  # blocks that start inside the range
+        nb = r.next_block()
+        if nb is None:
+            return
+        data = nb[1]
+        if skip_first:
+            cut = data.find(b"\n")
+            if cut < 0:
+                continue
+            data, skip_first = data[cut + 1 :], False
+        yield data
+    # The line that starts at or before the end of the range is ours: finish it from the
+    # following blocks (if no line started in the range, there is nothing to add).
+    while not skip_first and r.offset < partition.size:
+        nb = r.next_block()
+        if nb is None:
+            return
+        cut = nb[1].find(b"\n")
+        yield nb[1] if cut < 0 else nb[1][:cut]
+        if cut >= 0:
+            return
+
+
 class _Batches:
-    """Collects decoded lines and hands them out as Arrow record batches."""
+    """Collects decoded lines and hands them out as Arrow record batches of about ``BYTES``."""
 
-    SIZE = 8192
+    BYTES = 16 << 20
+    ROWS = 8192
 
     def __init__(self, path: str):
-        self.path, self.lines = path, []
+        self.path, self.lines, self.held = path, [], 0
+
+    def lines_of(self, chunks):
+        """Batches of the lines in consecutive pieces of text; a last line may lack its end."""
+        open_line: list[bytes] = []  # pieces of a line not finished yet, joined once
+        for chunk in chunks:
+            first, *rest = chunk.split(b"\n")
+            open_line.append(first)
+            if rest:
+                yield from self.add([b"".join(open_line), *rest[:-1]])
+                open_line = [rest[-1]]
+        last = b"".join(open_line)
+        if last:
+            yield from self.add([last])
 
     def add(self, raw: list[bytes]):
-        self.lines.extend(x.rstrip(b"\r").decode("utf-8") for x in raw)
-        if len(self.lines) >= self.SIZE:
-            yield from self.flush()
+        for line in raw:
+            self.lines.append(line.rstrip(b"\r").decode("utf-8"))
+            self.held += len(line)
+            if self.held >= self.BYTES or len(self.lines) >= self.ROWS:
+                yield from self.flush()
 
     def flush(self):
         if self.lines:
@@ -185,7 +226,7 @@ class _Batches:
 
             n = len(self.lines)
             yield pa.RecordBatch.from_arrays([pa.array([self.path] * n), pa.array(self.lines)], names=["file", "value"])
-            self.lines = []
+            self.lines, self.held = [], 0
 
 
 class VcfBgzfDataSource(DataSource):
@@ -207,3 +248,60 @@ class VcfBgzfDataSource(DataSource):
 
 def register(spark: SparkSession) -> None:
     spark.dataSource.register(VcfBgzfDataSource)
+
+
+def _bgzf_block(payload: bytes) -> bytes:
+    packer = zlib.compressobj(6, zlib.DEFLATED, -15)
+    data = packer.compress(payload) + packer.flush()
+    head = _MAGIC + b"\0\0\0\0\0\xff" + struct.pack("<H", 6) + b"BC" + struct.pack("<HH", 2, len(data) + 25)
+    return head + data + struct.pack("<II", zlib.crc32(payload), len(payload))
+
+
+def write_bgzf_files(lines: DataFrame, folder: str, block: int = 1 << 15) -> DataFrame:
+    """Write (file, value) lines as one BGZF file per ``file``, header lines first; gives the paths written.
+    A file is one task's stream, sorted on the way there; nothing of it is held whole."""
+
+    def write(batches):
+        import pandas as pd
+
+        fs, root = _open(folder)
+        fs.create_dir(root)
+        name, out, held, done = None, None, b"", []
+
+        def close():
+            if out is not None:
+                out.write(_bgzf_block(held) + _bgzf_block(b"") if held else _bgzf_block(b""))
+                out.close()
+
+        for batch in batches:
+            for file, value in zip(batch["file"], batch["value"]):
+                if file != name:
+                    close()
+                    name, held = file, b""
+                    out = fs.open_output_stream(f"{root}/{file}", compression=None)
+                    done.append(f"{folder}/{file}")
+                held += value.encode() + b"\n"
+                while len(held) >= block:
+                    out.write(_bgzf_block(held[:block]))
+                    held = held[block:]
+        close()
+        yield pd.DataFrame({"path": done}, dtype=object)
+
+    v = lines["value"]
+    place = F.when(v.startswith("##fileformat"), 0).when(v.startswith("##"), 1).when(v.startswith("#"), 2).otherwise(3)
+    ordered = lines.withColumn("_place", place).repartition("file").sortWithinPartitions("file", "_place")
+    return ordered.select("file", "value").mapInPandas(write, "path string")
+
+
+def make_empty_files(names: DataFrame, folder: str) -> DataFrame:
+    """Create an empty file for every ``name``; gives the names (for listings)."""
+
+    def touch(batches):
+        fs, root = _open(folder)
+        fs.create_dir(root)
+        for batch in batches:
+            for name in batch["name"]:
+                fs.open_output_stream(f"{root}/{name}", compression=None).close()
+            yield batch
+
+    return names.mapInPandas(touch, "name string")

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortac.constants import COUNTS_SCHEMA, INFO_SCHEMA, RESULT_COLUMNS, SAMPLES_SCHEMA
+from cohortac.constants import COUNTS_SCHEMA, INFO_SCHEMA, PILE_COLUMNS, RESULT_COLUMNS, SAMPLES_SCHEMA
 
 PILE_TSV_DDL = (
     "pos INT, ref STRING, alt STRING, XX_AC INT, XX_AC_hom INT, XX_AC_hemi INT, XX_n_DP_discarded INT, "
@@ -111,6 +111,29 @@ def write_pile(pile: DataFrame, path: str, fmt: str = "parquet") -> None:
         raise ValueError(fmt)
 
 
+PILE_SCHEMA = T.StructType(
+    [
+        T.StructField(c, T.StringType() if c in ("region", "contig", "ref", "alt") else T.IntegerType())
+        for c in PILE_COLUMNS
+    ]
+)
+
+
+def read_pile(spark: SparkSession, path: str) -> DataFrame:
+    """The kept pile (Parquet, partitioned by region)."""
+    return spark.read.schema(PILE_SCHEMA).parquet(path).select(*PILE_COLUMNS)
+
+
+def read_count_files(spark: SparkSession, pattern: str) -> DataFrame:
+    """Counts of all Parquet files that match a path or glob pattern; folder names are not columns."""
+    return spark.read.schema(COUNTS_SCHEMA).parquet(pattern)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    hp = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hp.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hp)
+
+
 def read_pile_tsv(spark: SparkSession, path: str) -> DataFrame:
     """Typed, headerless, tab-separated pile scan with a fixed schema (no inference)."""
     return spark.read.schema(PILE_TSV_DDL).option("sep", "\t").option("header", False).option("mode", "FAILFAST").csv(path)

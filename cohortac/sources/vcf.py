@@ -1,9 +1,8 @@
-"""Text VCF as DataFrames: lines -> sites -> genotype calls, header samples and contigs.
+"""Text VCF as DataFrames: lines -> sites -> genotype calls, header samples, contigs and types.
 
-Plain and gzip-compressed ``.vcf``/``.vcf.gz`` files are read with Spark's text source
-(one task per gzip file, since gzip does not split); ``.vcf.bgz`` files go through the
-``vcf_bgzf`` Python data source, which splits them at BGZF block boundaries. Everything
-after the line read is built-in column expressions.
+Plain ``.vcf`` files are read with Spark's text source; gzip-compressed ones go through the
+``vcf_bgzf`` Python data source, which splits every BGZF file (whatever its name) at block
+boundaries. Everything after the line read is built-in column expressions.
 """
 
 from __future__ import annotations
@@ -13,7 +12,7 @@ from pyspark.sql import functions as F
 
 from cohortac.constants import SUPPORTED_EXTENSIONS
 from cohortac.session import broadcast_if_bounded, ensure_parallelism
-from cohortac.functions.genotype import format_value, gt_text, parse_gt, parse_int, parse_int_list
+from cohortac.functions.genotype import gt_text, parse_float_as_int, parse_gt, parse_int, parse_int_list
 
 _EXT_ALTERNATION = "|".join(e.replace(".", r"\.") for e in SUPPORTED_EXTENSIONS)
 _EXT_REGEX = f"({_EXT_ALTERNATION})$"
@@ -59,8 +58,8 @@ def select_input_files(spark: SparkSession, paths: list[str]) -> list[str]:
 def read_vcf_lines(spark: SparkSession, paths: list[str], expand: bool = True) -> DataFrame:
     """All lines of the given VCF files as (file, value); file is the full path."""
     files = select_input_files(spark, paths) if expand else [str(p) for p in paths]
-    bgz = [f for f in files if f.endswith(".bgz")]
-    text = [f for f in files if not f.endswith(".bgz")]
+    zipped = [f for f in files if f.endswith((".gz", ".bgz"))]
+    text = [f for f in files if not f.endswith((".gz", ".bgz"))]
     if any(f.endswith(".bcf") for f in text):
         raise ValueError("BCF is binary; convert it to VCF text (bcftools view) before reading")
     parts = []
@@ -68,17 +67,17 @@ def read_vcf_lines(spark: SparkSession, paths: list[str], expand: bool = True) -
         parts.append(
             spark.read.text(text).select(F.col("_metadata.file_path").alias("file"), F.col("value"))
         )
-    if bgz:
+    if zipped:
         from cohortac.sources.bgzf import register
 
         register(spark)
-        parts.append(spark.read.format("vcf_bgzf").option("paths", "\n".join(bgz)).load())
+        parts.append(spark.read.format("vcf_bgzf").option("paths", "\n".join(zipped)).load())
     if not parts:
         return spark.createDataFrame([], "file string, value string")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    # gzip does not split: a few large .vcf.gz files would leave most cores idle.
+    # A few small files, or plain gzip ones (which do not split), would leave most cores idle.
     return ensure_parallelism(out)
 
 
@@ -98,11 +97,24 @@ def header_contigs(lines: DataFrame) -> DataFrame:
     )
 
 
+def header_float_keys(lines: DataFrame) -> DataFrame:
+    """(file, float_keys): the FORMAT keys that a file's header declares as Float."""
+    declared = lines.where(F.col("value").startswith("##FORMAT=")).select(
+        "file", F.regexp_extract("value", r"[<,]ID=([^,>]+)", 1).alias("key"), F.regexp_extract("value", r"[<,]Type=([^,>]+)", 1).alias("type")
+    )
+    return declared.where(F.col("type") == "Float").groupBy("file").agg(F.array_sort(F.collect_set("key")).alias("float_keys"))
+
+
+def with_float_keys(sites: DataFrame, float_keys: DataFrame) -> DataFrame:
+    """Sites with their file's Float FORMAT keys (one small row per file, counted before it is broadcast)."""
+    return sites.join(broadcast_if_bounded(float_keys), "file", "left")
+
+
 # ---------------------------------------------------------------- records
 def site_columns(fields: Column) -> list[tuple[str, Column]]:
     """(contig, pos, end, ref, alts, format, calls) from a data line split on tabs.
 
-    ``end`` is INFO/END when present, else pos + len(ref) - 1 (the record's extent). An ALT
+    ``end`` is INFO/END when present and not before pos, else pos + len(ref) - 1 (the extent). An ALT
     of '.' gives an empty list. ``calls`` holds the raw sample columns in header order.
     """
     f = fields
@@ -113,7 +125,7 @@ def site_columns(fields: Column) -> list[tuple[str, Column]]:
     return [
         ("contig", F.get(f, 0)),
         ("pos", pos),
-        ("end", F.coalesce(info_end, pos + F.length(ref) - 1).cast("int")),
+        ("end", F.coalesce(F.when(info_end >= pos, info_end), pos + F.length(ref) - 1).cast("int")),
         ("ref", ref),
         ("alts", F.when(alt_txt.isNull() | (alt_txt == "."), F.array().cast("array<string>")).otherwise(F.split(alt_txt, ","))),
         ("format", F.split(F.get(f, 8), ":")),
@@ -133,41 +145,51 @@ FORMAT_KEYS = ("GT", "DP", "GQ", "AD")
 
 
 def explode_samples(sites: DataFrame) -> DataFrame:
-    """One row per (record, sample column): adds sample_rank and the raw ``call`` text."""
-    cols = [c for c in sites.columns if c != "calls"]
-    return sites.select(*cols, F.posexplode("calls").alias("sample_rank", "call")).withColumn(
-        "sample_rank", F.col("sample_rank").cast("int")
-    )
+    """One row per (record, sample column): adds sample_rank and the raw ``call`` text. The places
+    of the FORMAT keys are found once per record. Sites with ``sexes`` (one per sample column)
+    give each call its ``sex``."""
+    drop = ("calls", "sexes")
+    cols = [c for c in sites.columns if c not in drop]
+    places = [F.array_position("format", k).cast("int").alias(f"_i{k}") for k in FORMAT_KEYS]
+    if "sexes" not in sites.columns:
+        exploded = sites.select(*cols, *places, F.posexplode("calls").alias("sample_rank", "call"))
+        return exploded.withColumn("sample_rank", F.col("sample_rank").cast("int"))
+    both = sites.select(*cols, *places, F.posexplode(F.arrays_zip("calls", "sexes")).alias("sample_rank", "_c"))
+    return both.select(
+        *cols, *[f"_i{k}" for k in FORMAT_KEYS], F.col("sample_rank").cast("int"), F.col("_c.calls").alias("call"), F.col("_c.sexes").alias("sex")
+    ).where(F.col("call").isNotNull() & F.col("sex").isNotNull())
 
 
 def call_fields(exploded: DataFrame) -> DataFrame:
-    """FORMAT look-ups of GT, DP, GQ, AD as raw text (NULL when absent or '.')."""
-    fk, call = F.col("format"), F.col("call")
-    return exploded.select(
-        *exploded.columns,
-        *[format_value(fk, call, k).alias(f"{k.lower()}_text") for k in FORMAT_KEYS],
-    )
+    """FORMAT look-ups of GT, DP, GQ, AD as raw text (NULL when absent or '.'); each call is split once."""
+    cols = [c for c in exploded.columns if c not in [f"_i{k}" for k in FORMAT_KEYS]]
+    parts = exploded.withColumn("_v", F.split("call", ":"))
+
+    def field(k: str) -> Column:
+        raw = F.when(F.col(f"_i{k}") > 0, F.get(F.col("_v"), F.col(f"_i{k}") - 1))
+        return F.when(raw != ".", raw).alias(f"{k.lower()}_text")
+
+    return parts.select(*cols, *map(field, FORMAT_KEYS))
 
 
 def sites_to_genotypes(sites: DataFrame) -> DataFrame:
-    """Parsed records -> genotype calls (file, sample_rank, contig, pos, end, ref, alts, gt, dp, gq, ad).
+    """Parsed records -> genotype calls (file, sample_rank, contig, pos, end, ref, alts, gt, dp, gq, ad),
+    with ``region`` and ``sex`` when the sites have regions and sexes.
 
-    The FORMAT positions of GT/DP/GQ/AD are found once per record, before the samples are
-    exploded; each call is then split once. GT alleles beyond the ALT list become missing;
-    DP/GQ/AD are parsed tolerantly.
+    GT alleles beyond the ALT list become missing; DP/GQ/AD are parsed tolerantly. Keys in the
+    sites' ``float_keys`` (declared Float in the file's header) are truncated to integers.
     """
-    site_cols = ["file", "contig", "pos", "end", "ref", "alts"]
-    idx = [F.array_position("format", k).cast("int").alias(f"_i{k}") for k in FORMAT_KEYS]
-    per_call = sites.select(*site_cols, *idx, F.posexplode("calls").alias("sample_rank", "call")).select(
-        *site_cols, *[f"_i{k}" for k in FORMAT_KEYS], F.col("sample_rank").cast("int"), F.split("call", ":").alias("_v")
-    )
+    calls = call_fields(explode_samples(sites))
 
-    def field(k: str):
-        i = F.col(f"_i{k}")
-        raw = F.when(i > 0, F.get(F.col("_v"), i - 1))
-        return F.when(raw != ".", raw)
+    def number(key: str) -> Column:
+        text = F.col(f"{key.lower()}_text")
+        if "float_keys" not in sites.columns:
+            return parse_int(text)
+        is_float = F.coalesce(F.array_contains("float_keys", key), F.lit(False))
+        return F.when(is_float, parse_float_as_int(text)).otherwise(parse_int(text))
 
-    return per_call.select(
+    return calls.select(
+        *[c for c in ("region", "sex") if c in calls.columns],
         "file",
         "sample_rank",
         "contig",
@@ -175,17 +197,18 @@ def sites_to_genotypes(sites: DataFrame) -> DataFrame:
         "end",
         "ref",
         "alts",
-        parse_gt(field("GT"), F.size("alts")).alias("gt"),
-        parse_int(field("DP")).alias("dp"),
-        parse_int(field("GQ")).alias("gq"),
-        parse_int_list(field("AD")).alias("ad"),
+        parse_gt("gt_text", F.size("alts")).alias("gt"),
+        number("DP").alias("dp"),
+        number("GQ").alias("gq"),
+        parse_int_list("ad_text").alias("ad"),
     )
 
 
 def read_vcf_genotypes(spark: SparkSession, paths: list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(genotypes, header samples, header contigs) of a set of VCF files."""
     lines = read_vcf_lines(spark, paths)
-    return sites_to_genotypes(parse_sites(lines)), header_samples(lines), header_contigs(lines)
+    sites = with_float_keys(parse_sites(lines), header_float_keys(lines))
+    return sites_to_genotypes(sites), header_samples(lines), header_contigs(lines)
 
 
 # ---------------------------------------------------------------- writer (fixtures, round trips)

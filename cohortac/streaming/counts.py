@@ -1,13 +1,11 @@
 """Incremental counting with Structured Streaming.
 
-Centers keep delivering new call files. A file stream hands each micro-batch whole files
-(a file is never split across batches), so per-file sex inference inside a batch is
-exact. Every batch is turned into its own count dataset, stored as the ``batch=<id>``
-partition of ``<out>/counts`` (and of ``<out>/info``, ``<out>/samples``) with dynamic
-partition overwrite: a batch that is retried after a failure rewrites only its own
-partition, so the output is exactly-once together with the stream's checkpoint.
-Because every count measure is a sum, the running total is the merge of all batch
-datasets (the same re-sum as the cross-center merge), and finalize runs on that.
+Centers keep delivering new call files. Every micro-batch is appended, as typed calls, to one
+Parquet table: the ``batch=<id>`` partition of ``<out>/calls`` (and of ``<out>/samples`` for
+sources that carry headers), written with dynamic partition overwrite, so a batch that is
+retried after a failure rewrites only its own partition and the table is exactly-once together
+with the stream's checkpoint. A sample's calls may come in any number of batches: its sex is
+inferred from all of them, so the running counts are those of the whole table.
 """
 
 from __future__ import annotations
@@ -16,82 +14,58 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from cohortac.constants import COUNTS_SCHEMA, INFO_SCHEMA
-from cohortac.operators.merge import merge_counts, merge_info
-from cohortac.plans.pipeline import Filters, count_dataset
-from cohortac.sources import tables
+from cohortac.plans.pipeline import CountDataset, Filters, count_dataset
 
+CALL_COLUMNS = ("file", "sample_rank", "contig", "pos", "end", "ref", "alts", "gt", "dp", "gq", "ad")
 
-def _write_partition(df: DataFrame, path: str, partition_cols: list[str], fmt: str = "parquet") -> None:
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_cols)
-        .format(fmt)
-        .save(path)
-    )
 
-
-def write_batch(ds, out_dir: str, batch_id: int) -> None:
-    root = out_dir.rstrip("/")
-    b = F.lit(int(batch_id)).cast("long").alias("batch")
-    _write_partition(tables.sorted_by_region(ds.counts).select("*", b), f"{root}/counts", ["batch", "region"])
-    _write_partition(ds.info.coalesce(1).select("*", b), f"{root}/info", ["batch"], fmt="json")
-    _write_partition(ds.samples.select("*", b), f"{root}/samples", ["batch"])
+def _append(df: DataFrame, path: str, batch_id: int) -> None:
+    with_id = df.withColumn("batch", F.lit(int(batch_id)).cast("long"))
+    with_id.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path)
 
 
-def count_batches(
+def ingest_batches(
     stream: DataFrame,
     to_genotypes: Callable[[DataFrame], DataFrame],
     out_dir: str,
     checkpoint_location: str,
-    regions=None,
-    filters: Filters = Filters(),
     available_now: bool = True,
     processing_time: str | None = None,
 ):
-    """Start the stream: each micro-batch -> genotypes -> count dataset in ``<out>/batch=<id>``.
+    """Start the stream: each micro-batch -> typed calls in ``<out>/calls``.
 
     ``to_genotypes`` maps a micro-batch of the source to the genotype layout, or to a
     (genotypes, header samples) pair for sources that carry headers (VCF text). With
     ``available_now`` the query processes what is there and stops; otherwise it runs on a
     processing-time trigger. Returns the StreamingQuery.
     """
+    root = out_dir.rstrip("/")
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()  # read twice (sex inference, pile); recomputable from the replayable source
-        try:
-            g = to_genotypes(batch)
-            g, header = g if isinstance(g, tuple) else (g, None)
-            ds = count_dataset(g, regions, filters, header_samples=header)
-            write_batch(ds, out_dir, batch_id)
-        finally:
-            batch.unpersist()
+        calls = to_genotypes(batch)
+        calls, header = calls if isinstance(calls, tuple) else (calls, None)
+        _append(calls.select(*CALL_COLUMNS, *[c for c in ("sample",) if c in calls.columns]), f"{root}/calls", batch_id)
+        if header is not None:
+            _append(header, f"{root}/samples", batch_id)
 
     w = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint_location)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "1 minute")
     return w.start()
 
 
-def _with_batch(schema: T.StructType) -> T.StructType:
-    return T.StructType(list(schema.fields) + [T.StructField("batch", T.LongType())])
-
-
-def running_counts(spark: SparkSession, out_dir: str) -> tuple[DataFrame, DataFrame]:
-    """(counts, info) summed over every batch written so far."""
+def running_counts(spark: SparkSession, out_dir: str, with_headers: bool, regions=None, filters: Filters = Filters()) -> CountDataset:
+    """Count dataset of all batches written so far."""
     root = out_dir.rstrip("/")
-    counts = spark.read.schema(_with_batch(COUNTS_SCHEMA)).parquet(f"{root}/counts").drop("batch")
-    info = spark.read.schema(_with_batch(INFO_SCHEMA)).json(f"{root}/info").drop("batch")
-    return merge_counts([counts]), merge_info([info])
+    header = spark.read.parquet(f"{root}/samples").drop("batch").distinct() if with_headers else None
+    return count_dataset(spark.read.parquet(f"{root}/calls").drop("batch"), regions, filters, header_samples=header)
 
 
 def vcf_batch_genotypes(batch: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``to_genotypes`` for a ``vcf_stream`` micro-batch: (genotypes, header samples)."""
-    from cohortac.sources.vcf import header_samples, parse_sites, sites_to_genotypes
+    from cohortac.sources.vcf import header_float_keys, header_samples, parse_sites, sites_to_genotypes, with_float_keys
 
-    return sites_to_genotypes(parse_sites(batch)), header_samples(batch)
+    return sites_to_genotypes(with_float_keys(parse_sites(batch), header_float_keys(batch))), header_samples(batch)
 
 
 def vcf_stream(spark: SparkSession, directory: str, max_files_per_trigger: int | None = None) -> DataFrame:

@@ -11,7 +11,7 @@ from cohortac.sources import tables
 from cohortac.sources.projection import genotypes_from_tables
 from cohortac.sources.vcf import to_vcf_lines
 from conftest import SF001
-from helpers import write_bgzf
+from helpers import vcf_text, write_bgzf
 
 
 def write_vcf_files(spark, d):
@@ -97,3 +97,59 @@ def test_keep_pile_writes_the_per_call_pile(spark, tmp_path):
     # the kept pile re-sums to the written counts
     summed = pile.groupBy("region", "pos", "ref", "alt").agg(F.sum("XX_AC").alias("s")).where("s > 0").count()
     assert summed == tables.read_counts(spark, out).where("XX_AC > 0").count()
+
+
+def test_rerun_leaves_no_pile_and_no_scratch(spark, tmp_path):
+    import os
+
+    from cohortac.session import checkpoint_dir
+
+    p = tmp_path / "a.vcf"
+    text = vcf_text("chr1 100 . A C . . . GT:DP:GQ:PL 1/1:20:50:1,2,3\nchr9 5 . A C . . . GT:DP 1/1:20", ["S"], ["chr1"])
+    p.write_text(text)
+    out, tables_dir = str(tmp_path / "out"), checkpoint_dir(spark).removeprefix("file:") + "/tables"
+    ingested = lambda: [n for n in os.listdir(tables_dir) if n.startswith("vcf-")] if os.path.isdir(tables_dir) else []
+    before = ingested()
+    jobs.run_count(spark, [str(p)], out, regions="chr1:1-1000", keep_pile=True)
+    assert os.path.isdir(out + "/pile")
+    jobs.run_count(spark, [str(p)], out, regions="chr1:1-1000,chr7")
+    assert not os.path.exists(out + "/pile") and ingested() == before
+    assert [(r.region, r.n_files_missing) for r in spark.read.parquet(out + "/reports/missing_contigs").collect()] == [("chr7", 1)]
+    assert [(r.label, r.known_extension) for r in spark.read.parquet(out + "/reports/inputs").collect()] == [("a.vcf", False)]
+
+
+def test_ingest_keeps_wanted_contigs_and_fields_only(spark, tmp_path):
+    from cohortac.functions.regions import regions_frame
+
+    body = "\n".join(f"{c} {p} . A C . . . DP:PL:GT 20:1,2,3:1/1" for c in ("chr1", "chr2", "chrX") for p in (100, 5000))
+    (tmp_path / "a.vcf").write_text(vcf_text(body, ["S"], ["chr1", "chr2", "chrX"]))
+    sites, _ = jobs.ingest_vcf(spark, [str(tmp_path / "a.vcf")], str(tmp_path / "t"), regions_frame(spark, "chr1:1-1000"))
+    rows = sorted((r.contig, r.pos, r.format, r.calls) for r in sites.collect())
+    assert rows == [("chr1", 100, ["DP", "GT"], ["20:1/1"]), *[("chrX", p, ["DP", "GT"], ["20:1/1"]) for p in (100, 5000)]]
+
+
+def test_merge_of_other_regions_and_settings(spark, tmp_path):
+    import pytest
+
+    from cohortac.plans.pipeline import Filters
+
+    dirs = []
+    for name, samples, contig, ab in (("a", 2, "chr1", "reference"), ("b", 3, "chr2", "reference"), ("c", 3, "chr2", "alt")):
+        body = f"{contig} 100 . A C . . . GT:DP:GQ " + " ".join(["1/1:20:50"] * samples)
+        (tmp_path / f"{name}.vcf").write_text(vcf_text(body, [f"{name}{i}" for i in range(samples)], [contig]))
+        dirs.append(str(tmp_path / name))
+        jobs.run_count(spark, [str(tmp_path / f"{name}.vcf")], dirs[-1], regions=contig, filters=Filters(ab_index=ab))
+    jobs.run_merge(spark, dirs[:2], str(tmp_path / "m"))
+    jobs.run_finalize(spark, str(tmp_path / "m"), str(tmp_path / "r"))
+    assert sorted((r.region, r.XX_AN, r.XX_AC) for r in tables.read_result(spark, str(tmp_path / "r")).collect()) == [("chr1", 4, 4), ("chr2", 6, 6)]
+    with pytest.raises(Exception, match="different count settings"):
+        jobs.run_merge(spark, dirs[1:], str(tmp_path / "n"))
+
+
+def test_file_without_contig_lines_is_reported(spark, tmp_path):
+    body = "chr1 100 . A C . . . GT:DP:GQ 1/1:20:50"
+    (tmp_path / "a.vcf").write_text(vcf_text(body, ["S"], ["chr1"]))
+    (tmp_path / "b.vcf").write_text(vcf_text(body, ["S"], []))
+    jobs.run_count(spark, [str(tmp_path / "a.vcf"), str(tmp_path / "b.vcf")], str(tmp_path / "o"), regions="chr1,chr2")
+    rows = spark.read.parquet(str(tmp_path / "o") + "/reports/missing_contigs").collect()
+    assert sorted((r.region, r.n_files_missing) for r in rows) == [("chr1", 1), ("chr2", 2)]

@@ -91,3 +91,13 @@ def test_direct_window_path_for_small_groups(spark):
     k = g.groupBy("contig").agg((F.count(F.lit(1)) / 3).cast("long").alias("k"))
     tb = ["pos", "l_orderkey", "l_linenumber", "l_partkey"]
     assert same(smallest_k_per_group(g, ["contig"], "key", tb, k), brute(g, ["contig"], "key", tb, k))
+
+
+def test_same_rows_by_either_path(spark):
+    """Which of the rows with one key are taken does not depend on the size of the group."""
+    df = spark.createDataFrame([("g", 7, 1, d) for d in (3, 0, 2, 1)], "g string, k long, pos int, dp int")
+    k = spark.createDataFrame([("g", 2)], "g string, k long")
+    got = [
+        sorted(r.dp for r in smallest_k_per_group(df, ["g"], "k", ["pos"], k, max_window_rows=n).collect()) for n in (0, 1_000_000)
+    ]
+    assert got == [[0, 1], [0, 1]]

@@ -1,26 +1,32 @@
 """Text VCF ingest: plain, multi-member gzip, BGZF split at small sizes."""
 
+import gzip
 import os
 
-from cohortac.plans.pipeline import count_dataset
+from cohortac.operators.regions import region_overlap_scan
+from cohortac.plans.pipeline import Filters, count_dataset, count_sites
+from cohortac.sources.bgzf import _Batches, register
 from cohortac.sources.vcf import (
     header_contigs,
     header_samples,
     parse_sites,
+    read_vcf_genotypes,
     read_vcf_lines,
     select_input_files,
     sites_to_genotypes,
 )
 from helpers import vcf_text, write_bgzf, write_multimember_gzip
 
+# Records of our own: two ALTs, a call beyond the ALT list, phased and missing calls, a deletion with
+# END, a reference block, FORMAT in several orders.
 BODY = """
-chr1  10  .  ACG    A,AT   40  PASS  .                GT:DP      1/1:13      2/2:29
-chr1  20  .  C      T,CT   .   PASS  AA=T             GT         0/1         2/2
-chr1  50  .  A      G      67  PASS  .                GT:DP      1|0:16      2/2:20
-chr1  60  .  C      A      9   .     .                GT:DP:GQ   0/1:35:99   ./.:.:.
-chrX  100 .  T      <DEL>  .   PASS  SVTYPE=DEL;END=299  GT:GQ:DP  1:12:.    0/0:20:36
-chrX  400 .  G      <NON_REF> . .    END=450          GT:DP      0/0:30      0/0:31
-chrX  500 .  G      C      .   .     .                GT:AD:DP:GQ  0/1:10,10:20  1/1:0,25:25
+chr1  210  .  GATT   G,GA   .   .  .                 GT:DP         2/2:18      1/1:33
+chr1  340  .  T      A,G    .   .  NS=2              GT            1/2         0/1
+chr1  415  .  C      G      12  q  .                 DP:GT         25:0|1      14:1/2
+chr1  600  .  A      T      .   .  .                 GT:GQ:DP      1/0:71:28   ./.:.:.
+chrX  900  .  G      <DEL>  .   .  END=1200;X=1      GQ:GT:DP      40:1:.      7:0/0:22
+chrX  1500 .  C      <NON_REF> . . END=1580          GT:DP         0/0:19      0/0:27
+chrX  1700 .  A      G      .   .  .                 GT:DP:AD:GQ   0/1:24:12,12:.  1/1:31:1,30:.
 """
 
 
@@ -60,8 +66,6 @@ def test_bgzf_split_sizes(spark, tmp_path):
     p = tmp_path / "big.vcf.bgz"
     write_bgzf(p, text, block_payload=97)
     want = sorted(text.rstrip("\n").split("\n"))
-    from cohortac.sources.bgzf import register
-
     register(spark)
     for split in [50, 333, 1000, 100000]:
         df = spark.read.format("vcf_bgzf").option("path", str(p)).option("splitBytes", str(split)).load()
@@ -73,17 +77,17 @@ def test_parse_sites_and_genotypes(spark, tmp_path):
     d, _ = write_all(tmp_path)
     lines = read_vcf_lines(spark, [str(d / "a.vcf")], expand=False)
     sites = {(r.contig, r.pos): r for r in parse_sites(lines).collect()}
-    assert sites[("chr1", 10)].alts == ["A", "AT"] and sites[("chr1", 10)].end == 12
-    assert sites[("chrX", 100)].end == 299  # INFO/END
-    assert sites[("chrX", 400)].end == 450
+    assert sites[("chr1", 210)].alts == ["G", "GA"] and sites[("chr1", 210)].end == 213
+    assert sites[("chrX", 900)].end == 1200  # INFO/END
+    assert sites[("chrX", 1500)].end == 1580
     g = {(r.pos, r.sample_rank): r for r in sites_to_genotypes(parse_sites(lines)).collect()}
-    assert g[(10, 0)].gt == [1, 1] and g[(10, 0)].dp == 13
-    assert g[(20, 0)].dp is None  # FORMAT without DP
-    assert g[(50, 0)].gt == [1, 0]  # phase ignored
-    assert g[(50, 1)].gt == [None, None]  # allele 2 with one ALT -> missing
-    assert g[(60, 1)].gt == [None, None] and g[(60, 1)].dp is None and g[(60, 0)].gq == 99
-    assert g[(100, 0)].gt == [1] and g[(100, 0)].dp is None and g[(100, 1)].dp == 36
-    assert g[(500, 0)].ad == [10, 10]
+    assert g[(210, 0)].gt == [2, 2] and g[(210, 0)].dp == 18
+    assert g[(340, 0)].dp is None  # FORMAT without DP
+    assert g[(415, 0)].gt == [0, 1] and g[(415, 0)].dp == 25  # phase ignored, FORMAT order followed
+    assert g[(415, 1)].gt == [1, None]  # allele 2 with one ALT -> missing
+    assert g[(600, 1)].gt == [None, None] and g[(600, 1)].dp is None and g[(600, 0)].gq == 71
+    assert g[(900, 0)].gt == [1] and g[(900, 0)].dp is None and g[(900, 1)].dp == 22
+    assert g[(1700, 0)].ad == [12, 12]
     hs = sorted((r.sample_rank, r.sample) for r in header_samples(lines).collect())
     assert hs == [(0, "S1"), (1, "S2")]
     assert sorted(r.contig for r in header_contigs(lines).collect()) == ["chr1", "chrX"]
@@ -92,26 +96,67 @@ def test_parse_sites_and_genotypes(spark, tmp_path):
 def test_count_from_vcf(spark, tmp_path):
     d, _ = write_all(tmp_path)
     lines = read_vcf_lines(spark, [str(d / "a.vcf")], expand=False)
-    ds = count_dataset(sites_to_genotypes(parse_sites(lines)), header_samples=header_samples(lines))
-    sex = {r.sample: r.sex for r in ds.samples.collect()}
+    drop = Filters(on_unsupported="drop")
+    by_calls = count_dataset(sites_to_genotypes(parse_sites(lines)), filters=drop, header_samples=header_samples(lines))
+    by_sites = count_sites(parse_sites(lines), header_samples(lines), filters=drop)
+    key = lambda r: (r.pos, r.alt)
+    assert sorted(by_calls.counts.collect(), key=key) == sorted(by_sites.counts.collect(), key=key)
     # chrX non-PAR has no records here (all below PAR1 end) -> no events -> XX
-    assert sex == {"S1": "XX", "S2": "XX"}
-    c = {(r.pos, r.alt): r for r in ds.counts.collect()}
-    # pos 10: S1 1/1 DP13 GQ missing -> not passed, S2 2/2 DP29 GQ missing -> not passed
-    assert c[(10, "A")].XX_AC == 0 and c[(10, "A")].n_samples == 1 and c[(10, "AT")].DP_sum == 29.0
-    # pos 60: S1 0/1 DP35 GQ99 AB: no AD -> 0 -> fails ; S2 ./. without DP skipped
-    assert c[(60, "A")].XX_AC == 0 and c[(60, "A")].n_samples == 1
-    # pos 100: <DEL> S1 haploid without DP skipped, S2 0/0 DP36 -> ref row
-    assert (100, "<DEL>") not in c and c[(100, "T")].n_samples == 1
-    # gVCF block dropped
-    assert all(p != 400 for p, _ in c)
-    # pos 500: S1 0/1 AD 10,10 DP20 GQ missing -> fail; S2 1/1 DP25 GQ missing -> fail
-    assert c[(500, "C")].XX_AC == 0 and c[(500, "C")].n_samples == 2 and c[(500, "C")].DP2_sum == 400.0 + 625.0
+    assert {r.sample: r.sex for r in by_sites.samples.collect()} == {"S1": "XX", "S2": "XX"}
+    c = {(r.pos, r.alt): r for r in by_sites.counts.collect()}
+    # pos 210: GQ missing -> not passed
+    assert c[(210, "GA")].XX_AC == 0 and c[(210, "G")].n_samples == 1 and c[(210, "GA")].DP_sum == 18.0
+    # pos 600: S1 1/0 GQ 71 without AD -> AB 0 -> fails; S2 without DP is skipped
+    assert c[(600, "T")].XX_AC == 0 and c[(600, "T")].n_samples == 1
+    # pos 900: S1 haploid without DP is skipped, S2 0/0 gives a reference row
+    assert (900, "<DEL>") not in c and c[(900, "G")].n_samples == 1
+    assert all(p != 1500 for p, _ in c)  # reference block
+    assert c[(1700, "G")].XX_AC == 0 and c[(1700, "G")].n_samples == 2 and c[(1700, "G")].DP2_sum == 576.0 + 961.0
+
+
+def test_end_before_the_record_is_ignored(spark, tmp_path):
+    p = tmp_path / "e.vcf"
+    p.write_text(vcf_text("chr1 500 . ACG A . . END=100 GT:DP 0/1:20\nchr1 700 . A C . . END=700 GT:DP 0/1:20", ["S"], ["chr1"]))
+    sites = parse_sites(read_vcf_lines(spark, [str(p)]))
+    assert sorted((r.pos, r.end) for r in sites.collect()) == [(500, 502), (700, 700)]
+    assert region_overlap_scan(sites, "chr1", 400, 600).count() == 1
+
+
+def test_float_depth_and_quality_are_truncated_only_if_declared(spark, tmp_path):
+    body = "chr1 10 . A C . . . GT:DP:GQ 1/1:30.9:45.7 1/1:31:nan"
+    plain = vcf_text(body, ["S1", "S2"], ["chr1"])
+    typed = plain.replace("##contig", "##FORMAT=<ID=GQ,Number=1,Type=Float,Description=q>\n##FORMAT=<ID=DP,Number=1,Type=Float>\n##contig", 1)
+    got = {}
+    for name, text in (("plain", plain), ("typed", typed)):
+        p = tmp_path / f"{name}.vcf"
+        p.write_text(text)
+        got[name] = sorted((r.dp, r.gq) for r in read_vcf_genotypes(spark, [str(p)])[0].collect() if r.dp)
+    assert got == {"plain": [(31, None)], "typed": [(30, 45), (31, None)]}
+
+
+def test_gzip_of_any_name_and_long_lines(spark, tmp_path):
+    """BGZF is told from plain gzip by its blocks; lines of several MB stream in bounded batches."""
+    long_line = "chr1\t10\t.\tA\tC\t.\t.\t.\tGT:DP\t" + "\t".join(["0/1:20"] * 600_000)
+    text = "#CHROM\n" + f"{long_line}\n" * 6 + "last"
+    write_bgzf(tmp_path / "a.vcf.gz", text, block_payload=60_000)
+    (tmp_path / "b.vcf.gz").write_bytes(gzip.compress(text.encode()))
+    (tmp_path / "empty.vcf.gz").write_bytes(b"")
+    register(spark)
+    for name, split in (("a", False), ("b", True)):
+        path = str(tmp_path / f"{name}.vcf.gz")
+        df = spark.read.format("vcf_bgzf").option("path", path).option("splitBytes", "20000").load()
+        assert df.rdd.getNumPartitions() > 1
+        assert sorted(r.n for r in df.selectExpr("length(value) AS n").collect()) == sorted(map(len, text.split("\n")))
+        assert (df.rdd.glom().map(len).filter(bool).count() == 1) == split  # plain gzip does not split
+    assert read_vcf_lines(spark, [str(tmp_path / "empty.vcf.gz")]).count() == 0
+    batches = _Batches("x")
+    held = [b.nbytes for b in batches.lines_of(iter([b"y" * 9_000_000, b"\n" + b"z" * 9_000_000 + b"\n"] * 5))]
+    assert max(held) < 2 * _Batches.BYTES and len(held) >= 5
 
 
 def test_count_without_header_table(spark, tmp_path):
     d, _ = write_all(tmp_path)
     lines = read_vcf_lines(spark, [str(d / "a.vcf")], expand=False)
-    ds = count_dataset(sites_to_genotypes(parse_sites(lines)))
+    ds = count_dataset(sites_to_genotypes(parse_sites(lines)), filters=Filters(on_unsupported="drop"))
     assert sorted((r.sample_rank, r.sample, r.sex) for r in ds.samples.collect()) == [(0, None, "XX"), (1, None, "XX")]
     assert ds.counts.count() > 0
