@@ -28,9 +28,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortac.llm.pieces import Memo, splitter
+from cohortac.llm.shared import free_name
 
-MEMO_PIECES = 600_000
-MEMO_PAIRS = 1_000_000
+MEMO_PIECES = 250_000
+MEMO_PAIRS = 250_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -206,6 +207,11 @@ class TextEncoder:
         return self.encoder.decode(memoryview(ids).cast("I"))
 
 
+@functools.lru_cache(maxsize=4)
+def _tokens(path: str) -> dict[int, bytes]:
+    return {i: token for token, i in read_ranks(path).items()}
+
+
 def grouped(texts: list[str], size: int = 2_000_000) -> Iterator[list[str]]:
     """``texts`` in order, in groups of about ``size`` characters."""
     group, n = [], 0
@@ -236,13 +242,30 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text") -> Data
     return docs.withColumn("ids", ids_of(docs[text])).withColumn("n_tokens", (F.octet_length("ids") / 4).cast("long"))
 
 
-def decode(encoded: DataFrame, path: str, pattern: str, ids: str = "ids") -> DataFrame:
+def round_trip(docs: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
+    """``encode`` and ``decode`` in one pass: ``docs`` with ids, n_tokens and decoded, which is made
+    from the ids. The ids do not travel between two Python steps, and a worker holds one encoder."""
+
+    @F.pandas_udf("ids binary, decoded binary")
+    def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        encoder = _encoder(path, pattern)
+        for texts in batches:
+            ids = list(encoder.encode(["" if t is None else t for t in texts]))
+            yield pd.DataFrame({"ids": ids, "decoded": list(map(encoder.decode, ids))}, dtype=object)
+
+    found = free_name(docs, "found")
+    trip = docs.withColumn(found, both(docs[text]))
+    parts = {"ids": F.col(found)["ids"], "decoded": F.col(found)["decoded"]}
+    return trip.withColumns(parts).drop(found).withColumn("n_tokens", (F.octet_length("ids") / 4).cast("long"))
+
+
+def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     """``encoded`` with ``decoded`` (binary: the UTF-8 bytes the ids stand for)."""
 
     @F.pandas_udf("binary")
     def bytes_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encoder = _encoder(path, pattern)
+        tokens = _tokens(path)
         for rows in batches:
-            yield pd.Series([b"" if x is None else encoder.decode(bytes(x)) for x in rows], dtype=object)
+            yield pd.Series([b"" if x is None else b"".join(map(tokens.__getitem__, memoryview(bytes(x)).cast("I"))) for x in rows], dtype=object)
 
     return encoded.withColumn("decoded", bytes_of(encoded[ids]))

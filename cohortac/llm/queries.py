@@ -122,7 +122,7 @@ def op9_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    decoded = byte_bpe.decode(byte_bpe.encode(docs, ranks, pattern).drop("text"), ranks, pattern)
+    decoded = byte_bpe.round_trip(docs, ranks, pattern)
     return decoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

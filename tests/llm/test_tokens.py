@@ -94,7 +94,8 @@ def test_memo_is_bounded(monkeypatch):
 def test_op10_rows(spark):
     encoded = byte_bpe.encode(odd_documents(spark), RANKS, public_tokenizers.PATTERN)
     library = tiktoken_encoding()
-    for r in byte_bpe.decode(encoded, RANKS, public_tokenizers.PATTERN).collect():
+    trip = byte_bpe.round_trip(odd_documents(spark).withColumn("found", F.lit("x")), RANKS, public_tokenizers.PATTERN)
+    for r in byte_bpe.decode(encoded, RANKS).collect() + trip.collect():
         ids = library.encode_ordinary(r.text or "")
         assert list(memoryview(bytes(r.ids)).cast("I")) == ids and r.n_tokens == len(ids) and bytes(r.decoded) == (r.text or "").encode()
     assert byte_bpe.encode(no_documents(spark), RANKS, public_tokenizers.PATTERN).count() == 0
