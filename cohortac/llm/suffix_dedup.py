@@ -6,8 +6,9 @@ Equal strings are brought together by their anchors and found by suffix sorting:
 1. The anchor of a ``length``-byte window is the place of its least-hashed ``GRAM``-byte string (the
    leftmost on ties), which depends on nothing but the window's bytes. Windows that follow each
    other mostly share an anchor and make one segment. Equal windows have equal anchor strings, so
-   only segments whose anchor hash occurs again can hold a repeat: the hashes are counted (with
-   partial sums before the shuffle) and the rest drop out by a semi-join.
+   only segments whose anchor hash occurs again can hold a repeat: anchors are dealt out and sorted by
+   hash, and those without a neighbour drop out. Of a hash that a batch has more than once only one
+   place is sent by its hash, so a hot hash sends a row per batch to its task.
 2. The segments that are left are dealt into shards by anchor hash. Equal segments are one entry
    that stands for its earliest copy; every other copy is a repeat as a whole. An anchor
    with one entry has nothing to compare it with, as windows of one segment differ.
@@ -33,13 +34,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortac.llm.shared import free_name
+from cohortac.llm.shared import free_name, written
 from cohortac.llm.simhash import whole_groups
 from cohortac.llm.suffix_sort import suffix_order
 
 LENGTH = 100
 GRAM = 32
-SHARD_BYTES = 4_000_000
+SHARD_BYTES = 8_000_000
+BROADCAST_BYTES = 64_000_000
 GROUP_BYTES = 1 << 20
 _ODD = 0x9E3779B97F4A7C15
 _MIX = 0xBF58476D1CE4E5B9
@@ -87,36 +89,70 @@ def segments(data: np.ndarray, ends: np.ndarray, length: int = LENGTH, gram: int
     return starts, stops - starts, h[anchors[at[starts]]].view(np.int64)
 
 
-def _anchor_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        texts = [t.encode("utf-8", "replace") for t in batch["text"]]
-        sizes = np.array([len(t) for t in texts], np.int64)
-        ids, hashes = batch["id"].to_numpy(), batch["th"].to_numpy()
-        group = np.cumsum(sizes) // GROUP_BYTES
-        for rows in np.split(np.arange(len(texts)), np.flatnonzero(np.diff(group)) + 1):
-            data = np.frombuffer(b"".join([texts[i] for i in rows]), np.uint8)
+def _groups(batch: pd.DataFrame) -> Iterator[tuple[np.ndarray, list[bytes], np.ndarray, tuple]]:
+    """(rows, their texts, first byte of each in the group, segments) of about GROUP_BYTES at a time."""
+    texts = [t.encode("utf-8", "replace") for t in batch["text"]]
+    sizes = np.array([len(t) for t in texts], np.int64)
+    group = np.cumsum(sizes) // GROUP_BYTES
+    for rows in np.split(np.arange(len(texts)), np.flatnonzero(np.diff(group)) + 1):
+        if len(rows):
+            own = [texts[i] for i in rows]
             ends = np.cumsum(sizes[rows])
-            starts, n, h = segments(data, ends)
+            starts, n, h = segments(np.frombuffer(b"".join(own), np.uint8), ends)
             row = np.searchsorted(ends, starts, side="right")
-            yield pd.DataFrame({"h": h, "id": ids[rows][row], "th": hashes[rows][row], "at": (starts - (ends - sizes[rows])[row]) * 128 + n})
+            yield rows, own, row, (starts - (ends - sizes[rows])[row], n, h)
+
+
+def _anchor_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Anchors by hash. A hash that a batch has more than once is sent by its hash once, to be seen by
+    other batches; its other places are known to repeat and are spread (``deal`` is not the hash)."""
+    for batch in batches:
+        ids, hashes, found = batch["id"].to_numpy(), batch["th"].to_numpy(), []
+        for rows, _, row, (lo, _, h) in _groups(batch):
+            found.append((h, ids[rows][row], hashes[rows][row], lo))
+        if not found:
+            continue
+        h, id_, th, lo = map(np.concatenate, zip(*found))
+        _, first, inverse, counts = np.unique(h, return_index=True, return_inverse=True, return_counts=True)
+        again, sent = counts[inverse] > 1, np.zeros(len(h), bool)
+        sent[first] = True
+        spread = (id_.astype(np.uint64) * np.uint64(_ODD) + lo.astype(np.uint64) * np.uint64(_MIX)).view(np.int64)
+        yield pd.DataFrame({"deal": np.where(sent, h, spread), "again": again, "id": id_, "th": th, "lo": lo})
+
+
+def _repeating(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Of rows sorted by ``deal`` those known to repeat and those with a neighbour of the same value."""
+    held, held_again = None, False
+    for batch in batches:
+        if not len(batch):
+            continue
+        if held is not None:
+            batch = pd.concat([held, batch], ignore_index=True)
+        deal, again = batch["deal"].to_numpy(), batch["again"].to_numpy().copy()
+        same = deal[1:] == deal[:-1]
+        again[1:] |= same
+        again[:-1] |= same
+        again[0] |= held_again
+        # The last row may have its neighbour in the next batch.
+        held, held_again = batch.iloc[-1:], bool(again[-1])
+        yield batch.iloc[:-1][again[:-1]][["id", "th", "lo"]]
+    if held is not None and held_again:
+        yield held[["id", "th", "lo"]]
 
 
 def _cut_segments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Segments with their bytes; of equal ones in a batch only the earliest keeps the bytes."""
+    """Segments at the places ``found``, with their bytes; of equal ones in a batch only the earliest
+    keeps the bytes."""
     for batch in batches:
-        rows, seen = [], set()
-        order = np.lexsort((batch["th"].to_numpy(), batch["id"].to_numpy()))
-        for i in order.tolist():
-            id_, th, found = batch["id"].iat[i], batch["th"].iat[i], batch["found"].iat[i]
-            text = batch["text"].iat[i].encode("utf-8", "replace")
-            for at, h in sorted((x["at"], x["h"]) for x in found):
-                lo, n = divmod(at, 128)
-                part = text[lo : lo + n + LENGTH - 1]
-                if part in seen:
-                    rows.append((h, None, id_, th, lo, n))
-                else:
-                    seen.add(part)
-                    rows.append((h, part, id_, th, lo, n))
+        batch = batch.sort_values(["id", "th"], kind="stable", ignore_index=True)
+        ids, hashes, rows, seen = batch["id"].to_numpy(), batch["th"].to_numpy(), [], set()
+        for own, texts, row, (lo, n, h) in _groups(batch):
+            wanted = np.concatenate([np.asarray(x, np.int64) + (k << 40) for k, x in enumerate(batch["found"].iloc[own])])
+            for k in np.flatnonzero(np.isin(lo + (row << 40), wanted)).tolist():
+                part = texts[row[k]][lo[k] : lo[k] + n[k] + LENGTH - 1]
+                new = part not in seen
+                seen.add(part)
+                rows.append((h[k], part if new else None, ids[own[row[k]]], hashes[own[row[k]]], lo[k], n[k]))
         yield pd.DataFrame(rows, columns=["h", "part", "id", "th", "lo", "n"])
 
 
@@ -175,6 +211,14 @@ def _merged(runs, length: int) -> list[dict]:
     return out
 
 
+def _written_small(df: DataFrame, array: str, item_bytes: int) -> DataFrame:
+    """``df`` (id, th and an array) written once; to be broadcast if the written rows are counted to fit
+    ``BROADCAST_BYTES``, joined by a shuffle of both sides if not."""
+    df = written(df, array)
+    rows, items = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size(array)), F.lit(0))).first()
+    return F.broadcast(df) if 64 * rows + item_bytes * items <= BROADCAST_BYTES else df
+
+
 def remaining(text: Column, spans: Column) -> Column:
     """The bytes of ``text`` outside ``spans`` (binary)."""
 
@@ -198,9 +242,9 @@ def repeated_spans(docs: DataFrame, id: str = "doc_id", text: str = "text", span
     long_enough = rows.where(F.octet_length("text") >= LENGTH)
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, -(-total // SHARD_BYTES))
-    anchors = long_enough.mapInPandas(_anchor_rows, "h long, id long, th long, at long")
-    again = anchors.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
-    found = anchors.join(again, "h", "left_semi").groupBy("id", "th").agg(F.collect_list(F.struct("at", "h")).alias("found"))
+    anchors = long_enough.mapInPandas(_anchor_rows, "deal long, again boolean, id long, th long, lo long")
+    again = anchors.repartition("deal").sortWithinPartitions("deal").mapInPandas(_repeating, "id long, th long, lo int")
+    found = _written_small(again.groupBy("id", "th").agg(F.collect_list("lo").alias("found")), "found", 4)
     parts = long_enough.join(found, ["id", "th"]).mapInPandas(_cut_segments, "h long, part binary, id long, th long, lo long, n long")
     dealt = parts.withColumn("shard", F.pmod(F.xxhash64("h"), F.lit(shards))).repartition(int(min(shards, 100_000)), "shard")
     runs = dealt.sortWithinPartitions("shard").mapInPandas(_shard_spans, "id long, th long, a long, b long")
@@ -211,7 +255,7 @@ def repeated_spans(docs: DataFrame, id: str = "doc_id", text: str = "text", span
 
     own_id, own_hash, found_spans = (free_name(docs, x) for x in ("own_id", "own_hash", "found_spans"))
     per_doc = runs.groupBy("id", "th").agg(F.collect_list(F.struct("a", "b")).alias("runs"))
-    per_doc = per_doc.select(F.col("id").alias(own_id), F.col("th").alias(own_hash), merged("runs").alias(found_spans))
+    per_doc = _written_small(per_doc.select("id", "th", merged("runs").alias("spans")), "spans", 32).select(F.col("id").alias(own_id), F.col("th").alias(own_hash), F.col("spans").alias(found_spans))
     same = (key == F.col(own_id)) & (F.xxhash64(docs[text]) == F.col(own_hash))
     none = F.array().cast("array<struct<start:long,stop:long>>")
     return docs.join(per_doc, same, "left").withColumn(spans, F.coalesce(found_spans, none)).drop(own_id, own_hash, found_spans)

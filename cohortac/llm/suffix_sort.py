@@ -13,6 +13,8 @@ order, the S-type ones follow the same way.
   all suffixes taken since. Common prefixes of suffixes with different first symbols come
   from a range minimum over the common prefixes of adjacent symbols, which are the common
   prefixes of the substrings that the symbols name. So all values are in bytes at every level.
+* The recursion ends when all names differ or a string of names is short enough to be sorted in
+  memory.
 * The queue is monotone. Its keys are cut into ranges of about ``BLOCK`` entries; entries of
   later ranges are appended to their range's list, and lists go to disk when together they
   exceed ``MEMORY`` bytes. Only the range at the head is held sorted. Entries are taken in
@@ -27,6 +29,7 @@ import numpy as np
 
 BLOCK = 1 << 15
 MEMORY = 1 << 26
+DIRECT = 1 << 20
 NONE = np.iinfo(np.int64).max
 
 
@@ -312,27 +315,60 @@ def _names(level: Level, stars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         alone = np.repeat(sizes, sizes) == 1
         active = active[~alone & (lengths[active] > depth)]
     ranks, places, names = np.unique(rank, return_index=True, return_inverse=True)
-    a, b = stars[places[:-1]], stars[places[1:]]
     steps = np.zeros(len(ranks), np.int64)
+    steps[1:] = _walk(level, stars[places[:-1]], stars[places[1:]])
+    return names, steps
+
+
+def _sorted_directly(level: Level) -> tuple[np.ndarray, np.ndarray]:
+    """Base of the recursion: a short text of names, sorted in memory by doubling."""
+    text, n = level.text, len(level.text)
+    rank, width = np.unique(text, return_inverse=True)[1].astype(np.int64), 1
+    order = np.argsort(rank, kind="stable")
+    while rank[order[-1]] < n - 1:
+        second = np.zeros(n, np.int64)
+        second[:-width] = rank[width:] + 1
+        key = rank * (n + 1) + second
+        order = np.argsort(key, kind="stable")
+        new = np.concatenate(([0], np.cumsum(key[order][1:] != key[order][:-1])))
+        rank = np.empty(n, np.int64)
+        rank[order] = new
+        width *= 2
+    common = np.zeros(n, np.int64)
+    common[1:] = _walk(level, order[:-1], order[1:])
+    return order, common
+
+
+def _walk(level: Level, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Common prefixes in bytes of different suffixes, symbol by symbol."""
+    text, out = level.text, np.zeros(len(a), np.int64)
     todo, depth = np.arange(len(a)), 0
     while len(todo):
         x, y = text[a[todo] + depth], text[b[todo] + depth]
         same = x == y
-        steps[1 + todo[~same]] += level.apart(x[~same], y[~same])
+        out[todo[~same]] += level.apart(x[~same], y[~same])
         todo = todo[same]
-        steps[1 + todo] += level.size(x[same])
+        out[todo] += level.size(x[same])
         depth += 1
-    return names, steps
+    return out
 
 
 def suffix_order(
-    text: np.ndarray, n_symbols: int, sizes: np.ndarray | None = None, steps: np.ndarray | None = None, memory: int = MEMORY
+    text: np.ndarray,
+    n_symbols: int,
+    sizes: np.ndarray | None = None,
+    steps: np.ndarray | None = None,
+    memory: int = MEMORY,
+    direct: int | None = None,
 ) -> tuple[np.ndarray, np.ndarray]:
     """(places of all suffixes in ascending order, common prefix in bytes of each with the one
     before). ``text`` ends with its only 0."""
     if len(text) == 1:
         return np.zeros(1, np.int64), np.zeros(1, np.int64)
     level = Level(text, n_symbols, sizes, steps, memory)
+    direct = DIRECT if direct is None else direct
+    if sizes is not None and len(text) <= direct:
+        return _sorted_directly(level)
     s_type = level.s_type
     stars = np.flatnonzero(s_type & np.concatenate(([False], ~s_type[:-1])))
     names, name_steps = _names(level, stars)
@@ -347,7 +383,7 @@ def suffix_order(
         else:
             total = np.concatenate(([0], np.cumsum(sizes[text])))
             name_sizes[names] = total[ends] - total[stars]
-        order, common = suffix_order(names, len(name_steps), name_sizes, name_steps, memory)
+        order, common = suffix_order(names, len(name_steps), name_sizes, name_steps, memory, direct)
     l_places, l_common = level.induce(~s_type, stars[order], common, flip=False)
     # Seeds of the second induction, from the largest down: L-type suffixes after an S-type one.
     after_s = s_type[l_places - 1] & (l_places > 0)

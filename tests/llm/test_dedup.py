@@ -179,7 +179,7 @@ def test_suffix_order(monkeypatch):
         if rng.random() < 0.3:
             text = np.repeat(text, rng.integers(1, 6, len(text)))
         text = np.append(text, 0)
-        order, common = suffix_sort.suffix_order(text, symbols + 1, memory=int(rng.choice([100, 1 << 26])))
+        order, common = suffix_sort.suffix_order(text, symbols + 1, memory=int(rng.choice([100, 1 << 26])), direct=int(rng.choice([0, 20, 10**6])))
         t = text.tolist()
         want = sorted(range(len(t)), key=lambda i: t[i:])
         prefixes = [0]
