@@ -40,7 +40,8 @@ from cohortac.llm.suffix_sort import suffix_order
 
 LENGTH = 100
 GRAM = 32
-SHARD_BYTES = 8_000_000
+SHARD_BYTES = 4_000_000
+ROWS = 100_000
 BROADCAST_BYTES = 64_000_000
 GROUP_BYTES = 1 << 20
 _ODD = 0x9E3779B97F4A7C15
@@ -104,20 +105,28 @@ def _groups(batch: pd.DataFrame) -> Iterator[tuple[np.ndarray, list[bytes], np.n
 
 
 def _anchor_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Anchors by hash. A hash that a batch has more than once is sent by its hash once, to be seen by
-    other batches; its other places are known to repeat and are spread (``deal`` is not the hash)."""
-    for batch in batches:
-        ids, hashes, found = batch["id"].to_numpy(), batch["th"].to_numpy(), []
-        for rows, _, row, (lo, _, h) in _groups(batch):
-            found.append((h, ids[rows][row], hashes[rows][row], lo))
-        if not found:
-            continue
+    """Anchors by hash, about ``ROWS`` at a time. A hash that comes more than once in them is sent by its
+    hash once, to be seen by others; its other places are known to repeat and are spread (``deal`` is
+    not the hash)."""
+
+    def dealt(found: list[tuple]) -> pd.DataFrame:
         h, id_, th, lo = map(np.concatenate, zip(*found))
         _, first, inverse, counts = np.unique(h, return_index=True, return_inverse=True, return_counts=True)
         again, sent = counts[inverse] > 1, np.zeros(len(h), bool)
         sent[first] = True
         spread = (id_.astype(np.uint64) * np.uint64(_ODD) + lo.astype(np.uint64) * np.uint64(_MIX)).view(np.int64)
-        yield pd.DataFrame({"deal": np.where(sent, h, spread), "again": again, "id": id_, "th": th, "lo": lo})
+        return pd.DataFrame({"deal": np.where(sent, h, spread), "again": again, "id": id_, "th": th, "lo": lo})
+
+    for batch in batches:
+        ids, hashes, found, n = batch["id"].to_numpy(), batch["th"].to_numpy(), [], 0
+        for rows, _, row, (lo, _, h) in _groups(batch):
+            found.append((h, ids[rows][row], hashes[rows][row], lo))
+            n += len(h)
+            if n >= ROWS:
+                yield dealt(found)
+                found, n = [], 0
+        if found:
+            yield dealt(found)
 
 
 def _repeating(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -141,10 +150,11 @@ def _repeating(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _cut_segments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Segments at the places ``found``, with their bytes; of equal ones in a batch only the earliest
-    keeps the bytes."""
+    """Segments at the places ``found``, with their bytes; of equal ones in about ``ROWS`` only the
+    earliest keeps the bytes. A repeated row of a document adds nothing."""
+    columns = ["h", "part", "id", "th", "lo", "n"]
     for batch in batches:
-        batch = batch.sort_values(["id", "th"], kind="stable", ignore_index=True)
+        batch = batch.drop_duplicates(["id", "th"]).sort_values(["id", "th"], kind="stable", ignore_index=True)
         ids, hashes, rows, seen = batch["id"].to_numpy(), batch["th"].to_numpy(), [], set()
         for own, texts, row, (lo, n, h) in _groups(batch):
             wanted = np.concatenate([np.asarray(x, np.int64) + (k << 40) for k, x in enumerate(batch["found"].iloc[own])])
@@ -153,7 +163,10 @@ def _cut_segments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 new = part not in seen
                 seen.add(part)
                 rows.append((h[k], part if new else None, ids[own[row[k]]], hashes[own[row[k]]], lo[k], n[k]))
-        yield pd.DataFrame(rows, columns=["h", "part", "id", "th", "lo", "n"])
+            if len(rows) >= ROWS:
+                yield pd.DataFrame(rows, columns=columns)
+                rows, seen = [], set()
+        yield pd.DataFrame(rows, columns=columns)
 
 
 def repeated_windows(parts: list[bytes], rank: np.ndarray, length: int = LENGTH) -> list[np.ndarray]:
@@ -246,7 +259,9 @@ def repeated_spans(docs: DataFrame, id: str = "doc_id", text: str = "text", span
     again = anchors.repartition("deal").sortWithinPartitions("deal").mapInPandas(_repeating, "id long, th long, lo int")
     found = _written_small(again.groupBy("id", "th").agg(F.collect_list("lo").alias("found")), "found", 4)
     parts = long_enough.join(found, ["id", "th"]).mapInPandas(_cut_segments, "h long, part binary, id long, th long, lo long, n long")
-    dealt = parts.withColumn("shard", F.pmod(F.xxhash64("h"), F.lit(shards))).repartition(int(min(shards, 100_000)), "shard")
+    # Copies without bytes are repeats already; they are spread by their place.
+    deal = F.when(F.col("part").isNull(), F.xxhash64("id", "lo")).otherwise(F.xxhash64("h"))
+    dealt = parts.withColumn("shard", F.pmod(deal, F.lit(shards))).repartition(int(min(shards, 100_000)), "shard")
     runs = dealt.sortWithinPartitions("shard").mapInPandas(_shard_spans, "id long, th long, a long, b long")
 
     @F.pandas_udf("array<struct<start:long,stop:long>>")
