@@ -275,3 +275,25 @@ def test_whole_groups():
     parts = [p["k"].tolist() for p in simhash.whole_groups(iter(frames), ["k"])]
     assert [k for p in parts for k in p] == [1, 1, 2, 2, 2, 3, 4, 4, 5]
     assert sum(len(set(p)) for p in parts) == 5
+
+
+def test_op3_dense_group_is_compared_whole(spark):
+    """A third of the rows are near copies of one vector (typical cosine 0.94)."""
+    rng, n, dims = np.random.default_rng(4), 6000, 64
+
+    def directions(k):
+        v = rng.standard_normal((k, dims))
+        return v / np.linalg.norm(v, axis=1, keepdims=True)
+
+    v = directions(n)
+    v[: n // 3] = np.sqrt(0.94) * directions(1) + np.sqrt(0.06) * v[: n // 3]
+    v = np.float32(v)
+    df = spark.createDataFrame([(i, [float(x) for x in row], 1, "", "") for i, row in enumerate(v)], VECTORS)
+    wide = embedding_dedup.unit(v)
+    near = wide @ wide.T >= 0.93
+    want = near.sum(axis=1) - 1
+    for chunk in (embedding_dedup.CHUNK, 500):
+        found = np.zeros(n, np.int64)
+        for r in embedding_dedup.near_duplicates(df, 0.93, leaf_rows=64, chunk=chunk).collect():
+            found[r.vec_id] = r.n_links
+        assert (found <= want).all() and found.sum() >= 0.99 * want.sum()
