@@ -11,13 +11,16 @@ Equal strings are brought together by their anchors and found by suffix sorting:
    place is sent by its hash, so a hot hash sends a row per batch to its task.
 2. The segments that are left are dealt into shards by anchor hash. Equal segments are one entry
    that stands for its earliest copy; every other copy is a repeat as a whole. An anchor
-   with one entry has nothing to compare it with, as windows of one segment differ.
+   with one entry has nothing to compare it with, as windows of one segment differ. The windows of a
+   hot anchor (more than ``HOT`` segments) are dealt anew by the bytes to its left or, if they hold too few of
+   them, to its right, and again in ever longer strings while one is hot, at last by all their bytes.
+   Equal windows hold the same bytes around the anchor and stay together.
 3. A shard's entries are joined, each ended by a symbol of its own, and sorted by external
    induced suffix sorting with common-prefix values (``suffix_sort``). Suffixes whose common
    prefixes reach ``length`` are equal windows; all but the earliest are repeats.
 
-The number of shards follows from the bytes of the input, so a task's work stays bounded. The
-sort's queues go to the task's scratch disk when they exceed their memory.
+The number of shards follows from the bytes of the input, so a task's work stays bounded; a shard is
+sorted from arrays in memory. The sort's queues go to the task's scratch disk when they exceed their memory.
 
 Defined results: null text is empty and nothing of it is removed; texts of less than ``length``
 bytes lose nothing; rows that repeat both id and text count as one document (both get its
@@ -34,6 +37,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from xxhash import xxh64_intdigest
+
 from cohortac.llm.shared import free_name, written
 from cohortac.llm.simhash import whole_groups
 from cohortac.llm.suffix_sort import suffix_order
@@ -42,6 +47,7 @@ LENGTH = 100
 GRAM = 32
 SHARD_BYTES = 4_000_000
 ROWS = 100_000
+HOT = 10_000
 BROADCAST_BYTES = 64_000_000
 GROUP_BYTES = 1 << 20
 _ODD = 0x9E3779B97F4A7C15
@@ -107,15 +113,16 @@ def _groups(batch: pd.DataFrame) -> Iterator[tuple[np.ndarray, list[bytes], np.n
 def _anchor_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Anchors by hash, about ``ROWS`` at a time. A hash that comes more than once in them is sent by its
     hash once, to be seen by others; its other places are known to repeat and are spread (``deal`` is
-    not the hash)."""
+    not the hash). ``seen`` is the number of places of a hash on the row that is sent by it, 0 on others."""
 
     def dealt(found: list[tuple]) -> pd.DataFrame:
         h, id_, th, lo = map(np.concatenate, zip(*found))
-        _, first, inverse, counts = np.unique(h, return_index=True, return_inverse=True, return_counts=True)
-        again, sent = counts[inverse] > 1, np.zeros(len(h), bool)
+        _, first, counts = np.unique(h, return_index=True, return_counts=True)
+        seen, sent = np.zeros(len(h), np.int64), np.zeros(len(h), bool)
         sent[first] = True
+        seen[first] = counts
         spread = (id_.astype(np.uint64) * np.uint64(_ODD) + lo.astype(np.uint64) * np.uint64(_MIX)).view(np.int64)
-        return pd.DataFrame({"deal": np.where(sent, h, spread), "again": again, "id": id_, "th": th, "lo": lo})
+        return pd.DataFrame({"deal": np.where(sent, h, spread), "seen": seen, "id": id_, "th": th, "lo": lo})
 
     for batch in batches:
         ids, hashes, found, n = batch["id"].to_numpy(), batch["th"].to_numpy(), [], 0
@@ -130,23 +137,36 @@ def _anchor_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _repeating(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Of rows sorted by ``deal`` those known to repeat and those with a neighbour of the same value."""
-    held, held_again = None, False
+    """Of rows sorted by ``deal`` those known to repeat and those with a neighbour of the same value. A
+    hash of more than ``HOT`` places is told by a row without an id that has it as ``th``."""
+
+    def hot(hashes: np.ndarray) -> pd.DataFrame:
+        return pd.DataFrame({"id": pd.array([None] * len(hashes), "Int64"), "th": hashes, "lo": np.zeros(len(hashes), np.int32)})
+
+    held, held_again, places = None, False, 0
     for batch in batches:
         if not len(batch):
             continue
         if held is not None:
             batch = pd.concat([held, batch], ignore_index=True)
-        deal, again = batch["deal"].to_numpy(), batch["again"].to_numpy().copy()
+        deal, seen = batch["deal"].to_numpy(), batch["seen"].to_numpy()
+        again = seen != 1
         same = deal[1:] == deal[:-1]
         again[1:] |= same
         again[:-1] |= same
         again[0] |= held_again
+        starts = np.concatenate(([0], np.flatnonzero(~same) + 1))
+        totals = np.add.reduceat(seen, starts)
+        totals[0] += places
         # The last row may have its neighbour in the next batch.
-        held, held_again = batch.iloc[-1:], bool(again[-1])
+        held, held_again, places = batch.iloc[-1:], bool(again[-1]), int(totals[-1] - seen[-1])
         yield batch.iloc[:-1][again[:-1]][["id", "th", "lo"]]
-    if held is not None and held_again:
-        yield held[["id", "th", "lo"]]
+        yield hot(deal[starts[:-1]][totals[:-1] > HOT])
+    if held is not None:
+        if held_again:
+            yield held[["id", "th", "lo"]]
+        if places + held["seen"].iloc[0] > HOT:
+            yield hot(held["deal"].to_numpy())
 
 
 def _cut_segments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -169,6 +189,53 @@ def _cut_segments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=columns)
 
 
+def narrowed(part: bytes, n: int, start: int, stop: int) -> list[tuple[int, int, int, int, int]]:
+    """(first window, number of windows, key, start, stop) of the one or two pieces that the ``n`` windows of ``part``,
+    which all hold its bytes [start, stop), fall into: equal windows come under one key."""
+    more = (LENGTH - (stop - start) + 1) // 2
+    left = min(max(start - more + 1, 0), n)  # windows that begin at least ``more`` bytes before ``start``
+    out = []
+    for side, (lo, hi, a, b) in enumerate(((0, left, start - more, stop), (left, n, start, stop + more))):
+        if lo < hi:
+            out.append((lo, hi - lo, xxh64_intdigest(part[a:b], 2 * (b - a) + side), a, b))
+    return out
+
+
+def _narrow(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The windows of segments of hot keys under narrower ones, as segments. ``start`` and ``stop`` bound the bytes
+    that all windows of the key hold; without them they are the anchor's, the first string of its hash."""
+    columns = ["h", "part", "id", "th", "lo", "n", "start", "stop"]
+    for batch in batches:
+        rows = []
+        for h, part, id_, th, lo, n, start, stop in batch[columns].itertuples(index=False):
+            if start < 0:
+                start = int(np.flatnonzero(gram_hashes(np.frombuffer(part, np.uint8)).view(np.int64) == h)[0])
+                stop = start + GRAM
+            for first, count, key, a, b in narrowed(part, n, start, stop):
+                key -= key >> 63 << 64
+                rows.append((key, part[first : first + count + LENGTH - 1], id_, th, lo + first, count, a - first, b - first))
+        yield pd.DataFrame(rows, columns=columns)
+
+
+def _spread(parts: DataFrame, hot: DataFrame) -> DataFrame:
+    """``parts`` with the windows of keys that have more than ``HOT`` segments with bytes under narrower keys."""
+    schema = "h long, part binary, id long, th long, lo long, n long, start int, stop int"
+    parts = written(parts, "parts")
+    told = parts.join(hot, "h", "left_semi").where("part is not null")
+    many = told.groupBy("h").agg(F.count(F.lit(1)).alias("many")).where(F.col("many") > HOT).select("h")
+    settled, left = None, parts.withColumns({"start": F.lit(-1), "stop": F.lit(-1)})
+    while True:
+        many = written(many, "many")
+        hot_rows = (F.col("part").isNotNull()) & (F.col("stop") - F.col("start") < LENGTH)
+        done = left.where(~hot_rows).unionByName(left.where(hot_rows).join(many, "h", "left_anti")).select(*parts.columns)
+        settled = done if settled is None else settled.unionByName(done)
+        left = left.where(hot_rows).join(many, "h", "left_semi")
+        if many.isEmpty() or left.isEmpty():
+            return settled
+        left = written(left.select("h", "part", "id", "th", "lo", "n", "start", "stop").mapInPandas(_narrow, schema), "narrow")
+        many = left.groupBy("h").agg(F.count(F.lit(1)).alias("many")).where(F.col("many") > HOT).select("h")
+
+
 def repeated_windows(parts: list[bytes], rank: np.ndarray, length: int = LENGTH) -> list[np.ndarray]:
     """For each of the distinct ``parts`` which of its windows also start earlier, where a window's
     start is ``rank`` of its part (a row of numbers compared from the first) plus its place."""
@@ -255,10 +322,13 @@ def repeated_spans(docs: DataFrame, id: str = "doc_id", text: str = "text", span
     long_enough = rows.where(F.octet_length("text") >= LENGTH)
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, -(-total // SHARD_BYTES))
-    anchors = long_enough.mapInPandas(_anchor_rows, "deal long, again boolean, id long, th long, lo long")
+    anchors = long_enough.mapInPandas(_anchor_rows, "deal long, seen long, id long, th long, lo long")
     again = anchors.repartition("deal").sortWithinPartitions("deal").mapInPandas(_repeating, "id long, th long, lo int")
     found = _written_small(again.groupBy("id", "th").agg(F.collect_list("lo").alias("found")), "found", 4)
+    hot = found.where("id is null").select(F.col("th").alias("h"))
     parts = long_enough.join(found, ["id", "th"]).mapInPandas(_cut_segments, "h long, part binary, id long, th long, lo long, n long")
+    if not hot.isEmpty():
+        parts = _spread(parts, written(hot, "hot"))
     # Copies without bytes are repeats already; they are spread by their place.
     deal = F.when(F.col("part").isNull(), F.xxhash64("id", "lo")).otherwise(F.xxhash64("h"))
     dealt = parts.withColumn("shard", F.pmod(deal, F.lit(shards))).repartition(int(min(shards, 100_000)), "shard")

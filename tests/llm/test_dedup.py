@@ -2,12 +2,14 @@
 
 import hashlib
 import re
+import sys
 
 import numpy as np
 import pandas as pd
 import pytest
 import xxhash
 from frames import PASSAGE, no_documents, odd_documents
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from cohortac.llm import embedding_dedup, queries, simhash, suffix_dedup, suffix_sort
@@ -297,3 +299,38 @@ def test_op3_dense_group_is_compared_whole(spark):
         for r in embedding_dedup.near_duplicates(df, 0.93, leaf_rows=64, chunk=chunk).collect():
             found[r.vec_id] = r.n_links
         assert (found <= want).all() and found.sum() >= 0.99 * want.sum()
+
+
+def test_hot_anchor_is_spread(spark, monkeypatch):
+    """One string among ever different bytes, some of them equal far enough to make a repeat."""
+    rng = np.random.default_rng(6)
+    data = bytes(rng.integers(97, 123, 200).astype(np.uint8))
+    h = suffix_dedup.gram_hashes(np.frombuffer(data, np.uint8))
+    middle = data[int(h.argmin()) : int(h.argmin()) + suffix_dedup.GRAM].decode()  # mostly its windows' anchor
+
+    def letters(k):
+        return "".join(map(chr, rng.integers(97, 123, k)))
+
+    sides = [(letters(80), letters(80)) for _ in range(12)]
+    near = [("".join(a)[-k:], "".join(b)[:m]) for a, b in sides for k, m in ((80, 80), (40, 60), (5, 70), (60, 20), (17, 51), (34, 34))]
+    texts = [letters(90) + a + middle + b + letters(90) for a, b in near * 2]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = [covered for _, covered in plain_removed(texts)]
+    assert sum(map(any, want)) > 20
+    largest = {}
+    for hot in (10**9, 3):
+        source = open(suffix_dedup.__file__).read().replace("HOT = 10_000", f"HOT = {hot}")
+        module = type(suffix_dedup)("spread_dedup")
+        monkeypatch.setitem(sys.modules, "spread_dedup", module)
+        exec(source, module.__dict__)
+        cloudpickle.register_pickle_by_value(module)
+        dealt = []
+        monkeypatch.setattr(module, "_spread", lambda *a, f=module._spread: dealt.append(f(*a)) or dealt[0])
+        rows = module.repeated_spans(docs).orderBy("doc_id").collect()
+        for r, covered in zip(rows, want):
+            got = bytearray(len(covered))
+            for s in r.spans:
+                got[s["start"] : s["stop"]] = b"\1" * (s["stop"] - s["start"])
+            assert got == covered
+        largest[hot] = [max(x.where("part is not null").groupBy("h").agg(F.countDistinct("part").alias("n")).agg(F.max("n")).first()) for x in dealt]
+    assert largest[10**9] == [] and largest[3][0] <= 3
