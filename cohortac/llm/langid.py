@@ -67,7 +67,7 @@ def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> dict[str, tupl
     distinct texts of each language in ``labelled`` (text, lang)."""
     rows = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("text", "lang")
     share = 1 << 20
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row a language
+    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.countDistinct(F.xxhash64("text")).alias("n")).collect()}  # one row a language
     if not sizes:
         return {}
     keep = F.lit(False)

@@ -80,6 +80,15 @@ def test_op5_rows(spark):
     assert langid.predict(no_documents(spark), langid.fit(docs)).count() == 0
 
 
+def test_op5_learns_a_language_of_many_copies(spark):
+    texts = [f"some words of text number {i}" for i in range(200)]
+    others = spark.createDataFrame([(t, "en") for t in texts] + [(None, "en"), ("sin etiqueta", None), ("una frase", "es")], "text string, lang string")
+    copies = spark.range(60_000).selectExpr("'the same text again' AS text", "'en' AS lang")
+    stats = langid.fit(copies.union(others))
+    want = langid.count_grams(pd.DataFrame({"lang": "en", "text": [*texts, "the same text again"]})).iloc[0]
+    assert list(stats) == ["en", "es"] and stats["en"] == (want.grams, want.counts)
+
+
 def plain_top(rows, queried, k):
     out = []
     for qid, q in queried:
