@@ -111,6 +111,9 @@ def _files(samples: DataFrame) -> list[str]:
     return sorted(r.file for r in samples.select("file").distinct().collect())
 
 
+LIST_TEXTS = 500
+
+
 def _region_texts(spark, sf_dir):
     p = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", "p_size", "p_brand")
     pk = F.col("p_partkey")
@@ -127,7 +130,7 @@ def _region_texts(spark, sf_dir):
         .when(pk % 12 == 5, F.concat(contig, F.lit(":99999999999999999999")))
         .otherwise(F.col("p_brand"))
     )
-    return p.select(text.alias("text"))
+    return p.select("p_partkey", text.alias("text"))
 
 
 # ------------------------------------------------------------------ flagship chain
@@ -346,10 +349,17 @@ def q_validate_regions(spark, sf_dir):
     return r.select("text", parse_region("text")["is_valid"].alias("is_valid"), invalid_reason("text").alias("reason"))
 
 
+def _region_lists(texts):
+    """Comma lists of about ``LIST_TEXTS`` texts, dealt by a hash of the part key; equal texts spread too."""
+    lists = max(1, -(-texts.count() // LIST_TEXTS))
+    dealt = texts.groupBy(F.pmod(F.xxhash64("p_partkey"), F.lit(lists)))
+    return dealt.agg(F.array_join(F.collect_list("text"), ",").alias("list"))
+
+
 @query
 def q_split_region_list(spark, sf_dir):
-    """Region texts gathered into comma lists (one per size and brand of a part) and taken apart again."""
-    lists = _region_texts(spark, sf_dir).groupBy(F.length("text")).agg(F.array_join(F.collect_list("text"), ",").alias("list"))
+    """Region texts gathered into comma lists of bounded length and taken apart again."""
+    lists = _region_lists(_region_texts(spark, sf_dir))
     return lists.select(F.explode(split_region_list("list")).alias("text")).groupBy("text").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -1,9 +1,11 @@
 """Region text handling and overlap semantics."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from cohortac.functions.regions import parse_region, regions_frame
 from cohortac.operators.regions import missing_contigs, region_interval_join, region_overlap_scan
+from cohortac.queries import _region_lists
 from helpers import geno
 
 
@@ -49,3 +51,9 @@ def test_missing_contigs(spark):
     r = regions_frame(spark, ["chr1", "chr2:5-10", "chr3"])
     got = sorted(tuple(x) for x in missing_contigs(r, fc).collect())
     assert got == [("chr2:5-10", "chr2", 1), ("chr3", "chr3", 2)]
+
+
+def test_region_lists_are_bounded(spark):
+    texts = spark.range(20_000).selectExpr("id AS p_partkey", "concat('chr', id % 3) AS text")
+    sizes = [r[0] for r in _region_lists(texts).select(F.size(F.split("list", ","))).collect()]
+    assert sum(sizes) == 20_000 and max(sizes) < 1000
