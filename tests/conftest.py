@@ -27,7 +27,3 @@ def spark():
     checkpoint_dir(s)
     yield s
     s.stop()
-
-
-SF001 = "/root/testdata/sf0.001"
-SF01 = "/root/testdata/sf0.01"

@@ -8,7 +8,7 @@ from cohortac.operators.merge import merge_counts, merge_info
 from cohortac.operators.sex import dataset_info
 from cohortac.plans.pipeline import count_dataset
 from cohortac.sources.projection import genotypes_from_tables
-from conftest import SF001
+from helpers import SF001
 
 COUNTS_DDL = (
     "region string, contig string, pos int, ref string, alt string, XX_AC int, XX_AC_hom int, XX_AC_hemi int, "

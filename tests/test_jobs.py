@@ -10,8 +10,7 @@ from cohortac.plans.pipeline import count_dataset
 from cohortac.sources import tables
 from cohortac.sources.projection import genotypes_from_tables
 from cohortac.sources.vcf import to_vcf_lines
-from conftest import SF001
-from helpers import vcf_text, write_bgzf
+from helpers import SF001, vcf_text, write_bgzf
 
 
 def write_vcf_files(spark, d):

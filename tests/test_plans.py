@@ -7,7 +7,7 @@ from cohortac.session import reliable_checkpoint
 from cohortac.sources import tables
 from cohortac.sources.projection import genotypes_from_tables
 from cohortac.sources.vcf import header_samples, sites_to_genotypes
-from conftest import SF001
+from helpers import SF001
 
 
 def plan(df) -> str:

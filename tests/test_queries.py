@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as E
 from cohortac.oracle_queries import ORACLES
 from cohortac.queries import QUERIES
-from conftest import SF001
+from helpers import SF001
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 TYPE_MAP = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from cohortac.operators.sampling import cap_per_contig, smallest_k_per_group, subsample_per_contig
 from cohortac.sources.projection import genotypes_from_tables
-from conftest import SF001
+from helpers import SF001
 
 
 def brute(df, group, key, tiebreak, k):

@@ -65,7 +65,7 @@ def test_restart_with_same_checkpoint_counts_files_once(spark, tmp_path):
 def test_samples_spread_over_batches_are_one_sample(spark, tmp_path):
     """The calls of every sample come in two files: 40 samples, sexes from all of their calls."""
     from cohortac.sources.projection import genotypes_from_tables
-    from conftest import SF001
+    from helpers import SF001
 
     lineitem = spark.read.parquet(f"{SF001}/lineitem.parquet")
     lineitem.where("l_orderkey % 2 = 0").write.parquet(str(tmp_path / "in" / "a"))

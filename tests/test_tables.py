@@ -5,7 +5,7 @@ from cohortac.operators.finalize import finalize
 from cohortac.plans.pipeline import Filters, count_dataset
 from cohortac.sources import tables
 from cohortac.sources.projection import genotypes_from_tables
-from conftest import SF001
+from helpers import SF001
 
 
 def test_dataset_round_trip(spark, tmp_path):

@@ -17,21 +17,23 @@ from cohortac.sources.vcf import (
 )
 from helpers import vcf_text, write_bgzf, write_multimember_gzip
 
-# Records of our own: two ALTs, a call beyond the ALT list, phased and missing calls, a deletion with
-# END, a reference block, FORMAT in several orders.
+SAMPLES = ["P", "Q", "R"]
+# One record or more for each branch of the reader: reference block; AD first and phased calls; three ALTs
+# with a spanning deletion; calls beyond the ALT list; END with haploid calls; FORMAT of GT alone; a field
+# left off at the end.
 BODY = """
-chr1  210  .  GATT   G,GA   .   .  .                 GT:DP         2/2:18      1/1:33
-chr1  340  .  T      A,G    .   .  NS=2              GT            1/2         0/1
-chr1  415  .  C      G      12  q  .                 DP:GT         25:0|1      14:1/2
-chr1  600  .  A      T      .   .  .                 GT:GQ:DP      1/0:71:28   ./.:.:.
-chrX  900  .  G      <DEL>  .   .  END=1200;X=1      GQ:GT:DP      40:1:.      7:0/0:22
-chrX  1500 .  C      <NON_REF> . . END=1580          GT:DP         0/0:19      0/0:27
-chrX  1700 .  A      G      .   .  .                 GT:DP:AD:GQ   0/1:24:12,12:.  1/1:31:1,30:.
+chr2  50       .  T     <NON_REF>  .   .  END=95               GT:DP        0/0:33                 0/0:21               ./.:0
+chr2  120      .  C     T          .   .  .                    AD:GT:DP:GQ  9,14:0/1:23:88         30,2:0|1:32:61       0,17:1|1:17:20
+chr2  133      .  TAAC  T,TA,*     .   .  AF=0.1,0.2,0.1       GT:GQ:DP:AD  1/2:55:40:8,16,16,0    3/1:47:26:0,13,0,13  0/2:12:44:22,0,22,0
+chr2  140      .  G     A          60  .  .                    GQ:DP:GT     30:15:0/7              30:16:5/0            30:17:./.
+chrX  60000    .  G     A          .   .  .                    GT:DP:GQ     1/1:19                 0/0:20:.             0/1:.:40
+chrX  2800000  .  A     <DUP>      .   .  SVTYPE=DUP;END=2800900  GT:DP     0:30                   1:.                  0/1:28
+chrX  2900000  .  T     C          .   .  .                    GT           1/1                    0/1                  1|1
 """
 
 
 def write_all(tmp_path):
-    text = vcf_text(BODY, ["S1", "S2"], ["chr1", "chrX"])
+    text = vcf_text(BODY, SAMPLES, ["chr2", "chrX"])
     d = tmp_path / "in"
     d.mkdir()
     (d / "a.vcf").write_text(text)
@@ -62,7 +64,7 @@ def test_all_formats_same_lines(spark, tmp_path):
 
 
 def test_bgzf_split_sizes(spark, tmp_path):
-    text = vcf_text(BODY * 40, ["S1", "S2"], ["chr1", "chrX"])
+    text = vcf_text(BODY * 40, SAMPLES, ["chr2", "chrX"])
     p = tmp_path / "big.vcf.bgz"
     write_bgzf(p, text, block_payload=97)
     want = sorted(text.rstrip("\n").split("\n"))
@@ -77,20 +79,19 @@ def test_parse_sites_and_genotypes(spark, tmp_path):
     d, _ = write_all(tmp_path)
     lines = read_vcf_lines(spark, [str(d / "a.vcf")], expand=False)
     sites = {(r.contig, r.pos): r for r in parse_sites(lines).collect()}
-    assert sites[("chr1", 210)].alts == ["G", "GA"] and sites[("chr1", 210)].end == 213
-    assert sites[("chrX", 900)].end == 1200  # INFO/END
-    assert sites[("chrX", 1500)].end == 1580
+    assert sites[("chr2", 50)].end == 95 and sites[("chrX", 2800000)].end == 2800900  # INFO/END
+    assert sites[("chr2", 133)].alts == ["T", "TA", "*"] and sites[("chr2", 133)].end == 136
     g = {(r.pos, r.sample_rank): r for r in sites_to_genotypes(parse_sites(lines)).collect()}
-    assert g[(210, 0)].gt == [2, 2] and g[(210, 0)].dp == 18
-    assert g[(340, 0)].dp is None  # FORMAT without DP
-    assert g[(415, 0)].gt == [0, 1] and g[(415, 0)].dp == 25  # phase ignored, FORMAT order followed
-    assert g[(415, 1)].gt == [1, None]  # allele 2 with one ALT -> missing
-    assert g[(600, 1)].gt == [None, None] and g[(600, 1)].dp is None and g[(600, 0)].gq == 71
-    assert g[(900, 0)].gt == [1] and g[(900, 0)].dp is None and g[(900, 1)].dp == 22
-    assert g[(1700, 0)].ad == [12, 12]
+    assert g[(120, 1)].gt == [0, 1] and g[(120, 1)].ad == [30, 2] and g[(120, 2)].gq == 20  # phase ignored, FORMAT order followed
+    assert g[(133, 1)].gt == [3, 1] and g[(133, 0)].ad == [8, 16, 16, 0]
+    assert g[(140, 0)].gt == [0, None] and g[(140, 1)].gt == [None, 0]  # beyond the one ALT -> missing
+    assert g[(140, 2)].gt == [None, None] and g[(140, 2)].dp == 17
+    assert g[(60000, 0)].gq is None and g[(60000, 1)].gq is None and g[(60000, 2)].dp is None  # left off, '.', '.'
+    assert g[(2800000, 0)].gt == [0] and g[(2800000, 1)].dp is None
+    assert all(g[(2900000, k)].dp is None for k in range(3))  # FORMAT without DP
     hs = sorted((r.sample_rank, r.sample) for r in header_samples(lines).collect())
-    assert hs == [(0, "S1"), (1, "S2")]
-    assert sorted(r.contig for r in header_contigs(lines).collect()) == ["chr1", "chrX"]
+    assert hs == list(enumerate(SAMPLES))
+    assert sorted(r.contig for r in header_contigs(lines).collect()) == ["chr2", "chrX"]
 
 
 def test_count_from_vcf(spark, tmp_path):
@@ -101,17 +102,20 @@ def test_count_from_vcf(spark, tmp_path):
     by_sites = count_sites(parse_sites(lines), header_samples(lines), filters=drop)
     key = lambda r: (r.pos, r.alt)
     assert sorted(by_calls.counts.collect(), key=key) == sorted(by_sites.counts.collect(), key=key)
-    # chrX non-PAR has no records here (all below PAR1 end) -> no events -> XX
-    assert {r.sample: r.sex for r in by_sites.samples.collect()} == {"S1": "XX", "S2": "XX"}
+    # Two chrX records lie outside the PARs: P has two hom events, Q and R one of each kind.
+    assert {r.sample: (r.n_hom, r.n_het, r.sex) for r in by_sites.samples.collect()} == {"P": (2, 0, "XY"), "Q": (1, 1, "XX"), "R": (1, 1, "XX")}
     c = {(r.pos, r.alt): r for r in by_sites.counts.collect()}
-    # pos 210: GQ missing -> not passed
-    assert c[(210, "GA")].XX_AC == 0 and c[(210, "G")].n_samples == 1 and c[(210, "GA")].DP_sum == 18.0
-    # pos 600: S1 1/0 GQ 71 without AD -> AB 0 -> fails; S2 without DP is skipped
-    assert c[(600, "T")].XX_AC == 0 and c[(600, "T")].n_samples == 1
-    # pos 900: S1 haploid without DP is skipped, S2 0/0 gives a reference row
-    assert (900, "<DEL>") not in c and c[(900, "G")].n_samples == 1
-    assert all(p != 1500 for p, _ in c)  # reference block
-    assert c[(1700, "G")].XX_AC == 0 and c[(1700, "G")].n_samples == 2 and c[(1700, "G")].DP2_sum == 576.0 + 961.0
+    assert all(p != 50 for p, _ in c)  # reference block
+    t = c[(120, "T")]
+    assert (t.XX_AC, t.XX_AC_hom, t.XY_AC, t.XY_AC_hom, t.n_samples, t.DP_sum) == (3, 1, 1, 0, 3, 72.0)
+    # 133: P's T has AB 0.2 and Q's 0, both fail; P's TA passes, R's has GQ 12; '*' is not counted
+    assert (c[(133, "T")].XX_AC, c[(133, "T")].XY_AC, c[(133, "T")].n_samples) == (0, 0, 2)
+    assert (c[(133, "TA")].XX_AC, c[(133, "TA")].XY_AC, c[(133, "TA")].DP2_sum) == (0, 1, 1600.0 + 1936.0)
+    assert (133, "*") not in c
+    assert (140, "A") not in c and c[(140, "G")].n_samples == 1  # half-missing calls are dropped
+    assert c[(60000, "A")].XY_AC == 0 and c[(60000, "A")].n_samples == 1  # no GQ; R has no DP
+    assert c[(2800000, "<DUP>")].n_samples == 1 and c[(2800000, "A")].DP_sum == 30.0
+    assert all(p != 2900000 for p, _ in c)
 
 
 def test_end_before_the_record_is_ignored(spark, tmp_path):
@@ -158,5 +162,5 @@ def test_count_without_header_table(spark, tmp_path):
     d, _ = write_all(tmp_path)
     lines = read_vcf_lines(spark, [str(d / "a.vcf")], expand=False)
     ds = count_dataset(sites_to_genotypes(parse_sites(lines)), filters=Filters(on_unsupported="drop"))
-    assert sorted((r.sample_rank, r.sample, r.sex) for r in ds.samples.collect()) == [(0, None, "XX"), (1, None, "XX")]
+    assert sorted((r.sample_rank, r.sample, r.sex) for r in ds.samples.collect()) == [(0, None, "XY"), (1, None, "XX"), (2, None, "XX")]
     assert ds.counts.count() > 0
