@@ -18,8 +18,10 @@ radius. Links become a spanning forest per bucket, so what leaves a task is line
 rows.
 
 Defined results: a text without words (null, empty, only white space) has fingerprint zero
-and links like any other; repeated rows fall in one class; rows without an id get a
-fingerprint but take no part in the links (component null); an empty table gives no rows.
+and links like any other; a very long text is read whole; repeated rows fall in one class; rows
+that share an id are linked by their texts alone; rows without an id get a fingerprint but take no
+part in the links (component null); an empty table gives no rows. Columns beside the id, the text
+and ``keep`` are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -211,17 +213,20 @@ def links(classes: DataFrame, radius: int, chunk: int = CHUNK) -> DataFrame:
     return cells.repartition(*key).sortWithinPartitions(*key).mapInPandas(compare, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = 3, radius: int = 3) -> DataFrame:
+def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = 3, radius: int = 3, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per document: id, fp (signed 64-bit fingerprint), component_id (smallest id
-    reachable by links, itself included)."""
-    prints = written(docs.select(docs[id].cast("long").alias("id"), fingerprint(docs[text], words).alias("fp")), "fingerprints")
-    classes = written(prints.where("id is not null").groupBy("fp").agg(F.min("id").alias("node")), "classes")
-    found = components(links(classes, radius))
-    labels = classes.join(found, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
-    out = prints.join(labels, "fp", "left").select(
-        F.col("id").alias(id), "fp", F.when(F.col("id").isNotNull(), F.col("component_id")).alias("component_id")
+    reachable by links, itself included), fp_group (smallest fingerprint of the component; rows that
+    share an id but not the component are told apart by it) and the columns ``keep``."""
+    prints = written(docs.select(docs[id].cast("long").alias("id"), fingerprint(docs[text], words).alias("fp"), *keep), "fingerprints")
+    classes = written(prints.where("id is not null").groupBy("fp").agg(F.min("id").alias("least")), "classes")
+    found = components(links(classes.select("fp", F.col("fp").alias("node")), radius))
+    labels = classes.join(found, classes["fp"] == found["node"], "left").select("fp", "least", F.coalesce("component", "fp").alias("fp_group"))
+    least = labels.groupBy("fp_group").agg(F.min("least").alias("component_id"))
+    named = labels.join(least, "fp_group").select("fp", "fp_group", "component_id")
+    has_id = F.col("id").isNotNull()
+    return prints.join(named, "fp", "left").select(
+        F.col("id").alias(id), "fp", *[F.when(has_id, F.col(c)).alias(c) for c in ("component_id", "fp_group")], *keep
     )
-    return out
 
 
 def as_hex(fp: Column) -> Column:

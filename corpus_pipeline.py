@@ -26,11 +26,15 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group of near-duplicates the document with the smallest id stays, once; rows
-    without an id stay."""
-    found = simhash.near_duplicates(docs, words=SHINGLE_WORDS, radius=SIMHASH_RADIUS)
-    stays = found.where("doc_id = component_id").select(F.col("doc_id").alias("_stays")).distinct()
-    named = docs.join(stays, docs["doc_id"] == stays["_stays"], "left_semi").dropDuplicates(["doc_id"])
+    """Of every group of near-duplicates the document with the smallest id stays, once. Where rows
+    of a group share that id, the one with the smallest hash of the whole row stays (equal rows count as
+    one); rows of the same id that belong to another group stay there. Rows without an id stay."""
+    row = free_name(docs, "row_hash")
+    hashed = docs.withColumn(row, F.xxhash64(*[F.col(c) for c in docs.columns]))
+    found = simhash.near_duplicates(hashed, words=SHINGLE_WORDS, radius=SIMHASH_RADIUS, keep=(row,))
+    stays = found.where("doc_id = component_id").groupBy("fp_group", F.col("doc_id").alias("_stays")).agg(F.min(row).alias("_row"))
+    same = (hashed["doc_id"] == stays["_stays"]) & (hashed[row] == stays["_row"])
+    named = hashed.join(stays, same, "left_semi").dropDuplicates(["doc_id", row]).drop(row)
     return named.unionByName(docs.where(docs["doc_id"].isNull()))
 
 

@@ -7,6 +7,7 @@ import duckdb
 import numpy as np
 import pandas as pd
 import pytest
+import frames
 from frames import no_documents, odd_documents
 from pyspark.sql import functions as F
 
@@ -244,6 +245,17 @@ def test_pipeline_query(spark):
     check_packing(rows, plain_pipeline(docs), queries.SEQUENCE_TOKENS)
 
 
+def test_near_dedup_of_repeated_ids(spark):
+    """Rows that share an id stay by group: another text of the id stays, near copies and equal rows go."""
+    a, b = " ".join(f"apple{i}" for i in range(300)), " ".join(f"stone{i}" for i in range(300))
+    rows = [(1, a, "en", "s", 1), (1, b, "en", "s", 2), (1, b, "en", "s", 2), (2, a, "en", "s", 3), (3, b, "en", "t", 4), (1, a, "en", "s", 9), (None, a, "en", "s", 5)]
+    kept = []
+    for order in (rows, rows[::-1]):
+        docs = spark.createDataFrame(order, frames.DOCUMENTS).withColumn("row_hash", F.lit("x"))
+        kept.append(sorted(((r.doc_id or 0), r.text[:5], r.n_chars) for r in corpus_pipeline.near_dedup(spark, docs, SF).collect()))
+    assert kept[0] == kept[1] and [k[:2] for k in kept[0]] == [(0, "apple"), (1, "apple"), (1, "stone")]
+
+
 def test_pipeline_stages(spark):
     docs = odd_documents(spark)
     for name, stage in corpus_pipeline.STAGES[:-1]:
