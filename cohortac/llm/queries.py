@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortac.llm import byte_bpe, embedding_dedup, langid, lm_score, packing, simhash, suffix_dedup, token_counts, topk, warc
+from cohortac.llm import byte_bpe, conversations, embedding_dedup, langid, lm_score, mixing, packing, simhash, suffix_dedup, token_counts, topk, warc, whitening
 
 SHINGLE_WORDS = 3
 SIMHASH_RADIUS = 3
@@ -17,6 +17,8 @@ TOP_K = 5
 COSINE = 0.93
 SEQUENCE_TOKENS = 1024
 END_OF_DOCUMENT = 2
+MIX_WEIGHTS, MIX_EPOCHS = (1, 2, 3), 3
+COMPONENTS = 8
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -126,8 +128,34 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def damaged(rows: DataFrame) -> DataFrame:
+    """The conversations with damage done by a hash of conversation and turn: a row is left out (``absent``),
+    emptied, loses its sentence ends, comes twice or becomes a user's."""
+    space = F.lit(" ")
+    place = F.concat(F.coalesce(F.col("conv_id").cast("string"), space), F.lit(":"), F.coalesce(F.col("turn").cast("string"), space))
+    kind = F.pmod(F.crc32(place), F.lit(20))
+    text, role = F.coalesce("text", space), F.coalesce("role", space)
+    text = F.when(kind == 1, F.lit("")).when(kind == 2, F.translate(text, ".!?", "")).otherwise(text)
+    times = F.explode(F.when(kind == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
+    done = rows.select("conv_id", "turn", (kind == 0).alias("absent"), F.when(kind == 4, F.lit("user")).otherwise(role).alias("role"), text.alias("text"), times.alias("time"))
+    return done.drop("time")
+
+
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair(damaged(table(spark, sf_dir, "conversations")), absent=F.col("absent"))
+
+
+def op12_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"), weights=MIX_WEIGHTS, max_epochs=MIX_EPOCHS)
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"), COMPONENTS)
+    return found.withColumn("deviation", F.col("deviation").cast("long"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash_dedup, op2_exact_top_k, op3_embedding_dedup, op4_token_counts, op5_language_id, op6_best_fit_packing, op7_lm_score, op8_suffix_array_dedup, op9_warc_revisits, op10_byte_bpe)
+    f.__name__: f for f in (op1_simhash_dedup, op2_exact_top_k, op3_embedding_dedup, op4_token_counts, op5_language_id, op6_best_fit_packing, op7_lm_score, op8_suffix_array_dedup, op9_warc_revisits, op10_byte_bpe, op11_conversation_repair, op12_source_mixing, op13_embedding_whitening)
 }
 
 ORACLES: dict[str, str] = {
@@ -208,5 +236,34 @@ SELECT record_id, status, refers_to,
            concat_ws(chr(10), 'age: 0', 'cache-control: max-age=600', 'content-length: ' || n, 'content-type: text/html', 'etag: ' || coalesce(tag, f_tag), 'last-modified: ' || day)
        ELSE concat_ws(chr(10), 'age: 0', 'cache-control: max-age=600', 'content-length: 0', 'etag: ' || tag, 'last-modified: ' || day) END AS headers
 FROM s
+""",
+    "op12_source_mixing": r"""
+WITH d AS (
+    SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+           md5(concat_ws(':', '42', CAST(doc_id AS VARCHAR))) AS key
+    FROM documents
+), s AS (
+    SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source
+), w AS (
+    SELECT *, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS w, 3 * source_size AS most FROM s
+), l AS (  -- by limit for each unit of weight: the sources that come before this one are at their limits
+    SELECT *, sum(source_size) OVER () AS t, sum(w) OVER () AS ws,
+           coalesce(sum(most) OVER (ORDER BY most / w, w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS held,
+           coalesce(sum(w) OVER (ORDER BY most / w, w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS used
+    FROM w
+), c AS (
+    SELECT *, w * (t - held) >= most * (ws - used) AS capped FROM l
+), r AS (
+    SELECT max(t) - coalesce(sum(most) FILTER (WHERE capped), 0) AS rest, max(ws) - coalesce(sum(w) FILTER (WHERE capped), 0) AS shares FROM c
+), g AS (
+    SELECT source, source_size, CASE WHEN capped THEN CAST(most AS DOUBLE) ELSE CAST(w * rest AS DOUBLE) / CAST(shares AS DOUBLE) END AS target FROM c, r
+), p AS (
+    SELECT d.doc_id, d.size, g.source_size, g.target, CAST(floor(g.target + 0.5) AS BIGINT) AS budget,
+           CAST(coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.key, d.doc_id NULLS FIRST, d.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS before
+    FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source
+), e AS (
+    SELECT *, CASE WHEN source_size > 0 THEN budget // source_size ELSE 0 END AS epochs FROM p
+)
+SELECT doc_id, size, source_size, target, epochs * size + greatest(0, least(size, budget - epochs * source_size - before)) AS taken FROM e
 """,
 }
