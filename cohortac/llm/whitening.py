@@ -124,7 +124,7 @@ def whiten(rows: DataFrame, components: int = 8, scale: int = 1024, offset: int
     difference of the whitened covariance from the identity)."""
     schema = f"id {rows.schema[id].dataType.simpleString()}, deviation decimal(38,0), w array<double>"
     x = F.when(usable(rows[vector]), whole_numbers(rows[vector], scale, offset))
-    kept = rows.select(rows[id].alias("id"), x.alias("x")).where("x IS NOT NULL")
+    kept = written(rows.select(rows[id].alias("id"), x.alias("x")).where("x IS NOT NULL"), "vectors")
     width = kept.groupBy(F.size("x").alias("d")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), F.desc("d")).first()
     n, d = (width["n"], width["d"]) if width else (0, 0)
     vectors = kept.where(F.size("x") == d)
