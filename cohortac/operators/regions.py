@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortac.constants import INT_MAX
@@ -55,8 +55,14 @@ def region_interval_join(df: DataFrame, regions: DataFrame, max_broadcast_rows:
         F.coalesce(F.col("begin"), F.lit(1)).cast("long").alias("_r_begin"),
         F.coalesce(F.col("end"), F.lit(INT_MAX)).cast("long").alias("_r_end"),
     )
-    b = F.lit(int(bin_size))
-    narrow = (F.col("_r_end") - F.col("_r_begin")) < F.lit(int(bin_size) * MAX_REGION_BINS)
+    rec, keyed, cond = _binned(df, r, max_broadcast_rows, int(bin_size))
+    return rec.join(keyed, cond, "inner").drop("_rbin", "_bin", "_r_contig", "_r_begin", "_r_end")
+
+
+def _binned(df: DataFrame, r: DataFrame, max_broadcast_rows: int, bin_size: int) -> tuple[DataFrame, DataFrame, Column]:
+    """(records with their bins, regions with theirs, the condition that joins them)."""
+    b = F.lit(bin_size)
+    narrow = (F.col("_r_end") - F.col("_r_begin")) < F.lit(bin_size * MAX_REGION_BINS)
     # Which kinds of regions exist (one small aggregate over the region list, never the records).
     n_bins = F.floor(F.col("_r_end") / b) - F.floor(F.col("_r_begin") / b) + 1
     sizes = r.agg(F.count_if(narrow).alias("n"), F.count_if(~narrow).alias("w"), F.sum(F.when(narrow, n_bins)).alias("bins")).first()
@@ -73,11 +79,10 @@ def region_interval_join(df: DataFrame, regions: DataFrame, max_broadcast_rows:
     if n_narrow == 0:
         rec = df.select("*", WIDE.alias("_rbin"))
     elif n_wide == 0:
-        rec = df.select("*", F.explode(rec_bins).alias("_rbin"))
+        rec = df.select("*", F.explode(F.coalesce(rec_bins, F.array(WIDE))).alias("_rbin"))
     else:
-        rec = df.select("*", F.explode(F.concat(F.array(WIDE), rec_bins)).alias("_rbin"))
+        rec = df.select("*", F.explode(F.concat(F.array(WIDE), F.coalesce(rec_bins, F.array().cast("array<bigint>")))).alias("_rbin"))
     bound = n_wide + int(sizes["bins"] or 0)
-    keyed_b = broadcast_if_bounded(keyed, max_broadcast_rows, bound)
     overlap = (F.col("end") >= F.col("_r_begin")) & (F.col("pos") <= F.col("_r_end"))
     # a narrow pair is kept only in the bin of its first overlapping position (emitted once)
     first_bin = F.floor(F.greatest(F.col("pos").cast("long"), F.col("_r_begin")) / b)
@@ -87,7 +92,41 @@ def region_interval_join(df: DataFrame, regions: DataFrame, max_broadcast_rows:
         & overlap
         & ((F.col("_bin") == WIDE) | (F.col("_bin") == first_bin))
     )
-    return rec.join(keyed_b, cond, "inner").drop("_rbin", "_bin", "_r_contig", "_r_begin", "_r_end")
+    return rec, broadcast_if_bounded(keyed, max_broadcast_rows, bound), cond
+
+
+def merged_regions(regions: DataFrame) -> DataFrame:
+    """(contig, begin, end, before): the regions of a contig run together where they overlap, open ends
+    closed; ``before`` is the end of the one before (0 for the first)."""
+    r = regions.select(
+        "contig", F.coalesce(F.col("begin"), F.lit(1)).cast("long").alias("begin"), F.coalesce(F.col("end"), F.lit(INT_MAX)).cast("long").alias("end")
+    )
+    w = Window.partitionBy("contig").orderBy("begin", "end")  # the region list, not the records
+    reached = F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    starts = r.withColumn("_new", F.when(F.col("begin") <= reached, 0).otherwise(1))
+    runs = starts.withColumn("_run", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    runs = runs.groupBy("contig", "_run").agg(F.min("begin").alias("begin"), F.max("end").alias("end"))
+    before = F.lag("end", 1, 0).over(Window.partitionBy("contig").orderBy("begin"))
+    return runs.select("contig", "begin", "end", before.alias("before"))
+
+
+def records_in_regions(df: DataFrame, regions: DataFrame, or_where: Column | None = None, max_broadcast_rows: int = MAX_BROADCAST_REGIONS,
+                       bin_size: int = BIN_SIZE) -> DataFrame:
+    """The records that overlap a region, each once, and the rows without a position (header lines) where
+    ``or_where`` holds.
+
+    A semi-join by bins: the regions of a contig are run together first, so that a record has one first
+    run that it overlaps (the run before ends before the record starts), and it is kept with that one only.
+    """
+    runs = merged_regions(regions).select(
+        F.col("contig").alias("_r_contig"), F.col("begin").alias("_r_begin"), F.col("end").alias("_r_end"), F.col("before").alias("_r_before")
+    )
+    rec, keyed, cond = _binned(df, runs, max_broadcast_rows, int(bin_size))
+    cond = cond & (F.col("_r_before") < F.col("pos"))
+    if or_where is None:
+        return rec.join(keyed, cond, "left_semi").drop("_rbin")
+    rows = rec.join(keyed, cond, "left").where(F.col("_r_contig").isNotNull() | or_where)
+    return rows.drop("_rbin", "_bin", "_r_contig", "_r_begin", "_r_end", "_r_before")
 
 
 def missing_contigs(regions: DataFrame, file_contigs: DataFrame, files: DataFrame | None = None) -> DataFrame:

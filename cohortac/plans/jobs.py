@@ -14,15 +14,14 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortac.constants import INT_MAX
 from cohortac.functions.genome import normalize_contig
 from cohortac.functions.regions import regions_frame
 from cohortac.operators.finalize import finalize
 from cohortac.operators.merge import merge_counts, merge_info, merge_samples
-from cohortac.operators.regions import missing_contigs
+from cohortac.operators.regions import missing_contigs, records_in_regions
 from cohortac.operators.sex import INFERENCE_CONTIG
 from cohortac.plans.pipeline import Filters, count_sites, pile_for_sites
-from cohortac.session import broadcast_if_bounded, reliable_checkpoint, remove_path, scratch_path, tune
+from cohortac.session import reliable_checkpoint, remove_path, scratch_path, tune
 from cohortac.sources import tables
 from cohortac.sources.vcf import (
     FORMAT_KEYS,
@@ -42,42 +41,55 @@ HEADER, CHRX, OTHER = "header", "chrX", "other"
 KEPT_HEADERS = r"^#CHROM|^##contig=|^##FORMAT="
 
 
-def wanted_contigs(regions: DataFrame, normalize: bool = False) -> DataFrame:
-    """(contig, begin, end) that holds all regions of a contig; chrX from start to end. With
+MAX_PUSHED_CONTIGS = 1000
+
+
+def wanted_regions(regions: DataFrame, normalize: bool = False) -> DataFrame:
+    """(contig, begin, end) of the records that a count reads: the regions, and chrX from start to end. With
     ``normalize`` contigs are in the chr spelling."""
     name = normalize_contig("contig") if normalize else F.col("contig")
-    spans = regions.select(
-        name.alias("contig"), F.coalesce("begin", F.lit(1)).cast("long").alias("begin"), F.coalesce("end", F.lit(INT_MAX)).cast("long").alias("end")
+    inference = regions.sparkSession.range(1).select(
+        F.lit(INFERENCE_CONTIG).alias("contig"), F.lit(1).cast("long").alias("begin"), F.lit(None).cast("long").alias("end")
     )
-    inference = regions.sparkSession.range(1).select(F.lit(INFERENCE_CONTIG).alias("contig"), F.lit(1).cast("long").alias("begin"), F.lit(INT_MAX).cast("long").alias("end"))
-    return spans.unionByName(inference).groupBy("contig").agg(F.min("begin").alias("begin"), F.max("end").alias("end"))
+    return regions.select(name.alias("contig"), F.col("begin").cast("long").alias("begin"), F.col("end").cast("long").alias("end")).unionByName(inference)
 
 
 def ingest_vcf(spark: SparkSession, paths: list[str], path: str, regions: DataFrame | None = None, normalize: bool = False) -> tuple[DataFrame, DataFrame]:
-    """One pass over the VCF text into a Parquet table at ``path`` -> (sites, header lines)."""
-    lines = read_vcf_lines(spark, paths)
+    """One pass over the VCF text into a Parquet table at ``path`` -> (sites, header lines).
+
+    With ``regions`` only the records that overlap one are kept (and chrX): lines of other contigs are dropped by the
+    reader, the rest by a binned semi-join on the fixed fields. FORMAT and sample columns are split only then.
+    """
+    wanted, contigs = None, None
+    if regions is not None:
+        wanted = wanted_regions(regions, normalize)
+        names = [] if normalize else [r.contig for r in wanted.select("contig").distinct().limit(MAX_PUSHED_CONTIGS + 1).collect()]
+        contigs = names if 0 < len(names) <= MAX_PUSHED_CONTIGS else None
+    lines = read_vcf_lines(spark, paths, contigs=contigs)
     # One projection over the lines (a union of a header branch and a record branch would
     # scan and decompress the text twice).
     is_head = F.col("value").startswith("#")
-    cols = dict(site_columns(F.split("value", "\t")))
-    text_format = cols["format"]
-    if normalize:
-        cols["contig"] = normalize_contig(cols["contig"])
-    wanted = F.filter(text_format, lambda k: k.isin(*FORMAT_KEYS))
-    places = F.transform(wanted, lambda k: F.array_position(text_format, k).cast("int") - 1)
-    slim = F.transform(cols["calls"], lambda c: F.array_join(F.transform(places, lambda i: F.coalesce(F.get(F.split(c, ":"), i), F.lit("."))), ":"))
-    cols["calls"] = F.when(F.size(wanted) == F.size(text_format), cols["calls"]).otherwise(slim)
-    cols["format"] = wanted
-    part = F.when(is_head, HEADER).when(cols["contig"] == INFERENCE_CONTIG, CHRX).otherwise(OTHER)
     kept = lines.where(F.when(is_head, F.col("value").rlike(KEPT_HEADERS)).otherwise(F.length("value") > 0))
-    if regions is not None:
-        near = broadcast_if_bounded(wanted_contigs(regions, normalize).select(F.col("contig").alias("_c"), F.col("begin").alias("_b"), F.col("end").alias("_e")))
-        bounds = kept.withColumn("_own", F.when(~is_head, cols["contig"]))
-        bounds = bounds.join(near, F.col("_own") == F.col("_c"), "left")
-        reach = (cols["end"] >= F.col("_b")) & (cols["pos"] <= F.col("_e"))
-        kept = bounds.where(is_head | F.coalesce(reach, F.lit(False)))
+    # The fixed fields; the ninth is FORMAT with all sample columns, in one piece.
+    kept = kept.select("file", F.when(is_head, F.col("value")).alias("value"), F.when(~is_head, F.split("value", "\t", 9)).alias("_f"))
+    fixed = dict(site_columns(F.col("_f")))
+    if normalize:
+        fixed["contig"] = normalize_contig(fixed["contig"])
+    kept = kept.select("file", "value", *[fixed[c].alias(c) for c in ("contig", "pos", "end", "ref", "alts")], F.get("_f", 8).alias("_rest"))
+    if wanted is not None:
+        kept = records_in_regions(kept, wanted, or_where=F.col("value").isNotNull())
+    text_format = F.split(F.substring_index("_rest", "\t", 1), ":")
+    fields = F.split("_rest", "\t")
+    calls = F.when(F.size(fields) > 1, F.slice(fields, 2, F.size(fields) - 1)).otherwise(F.array().cast("array<string>"))
+    named = F.filter(text_format, lambda k: k.isin(*FORMAT_KEYS))
+    places = F.transform(named, lambda k: F.array_position(text_format, k).cast("int") - 1)
+    slim = F.transform(calls, lambda c: F.array_join(F.transform(places, lambda i: F.coalesce(F.get(F.split(c, ":"), i), F.lit("."))), ":"))
+    calls = F.when(F.size(named) == F.size(text_format), calls).otherwise(slim)
+    is_record = F.col("value").isNull()
+    part = F.when(~is_record, HEADER).when(F.col("contig") == INFERENCE_CONTIG, CHRX).otherwise(OTHER)
     table = kept.select(
-        "file", part.alias("part"), *[F.when(~is_head, c).alias(n) for n, c in cols.items()], F.when(is_head, F.col("value")).alias("value")
+        "file", part.alias("part"), *[F.when(is_record, F.col(c)).alias(c) for c in ("contig", "pos", "end", "ref", "alts")],
+        F.when(is_record, named).alias("format"), F.when(is_record, F.coalesce(calls, F.array().cast("array<string>"))).alias("calls"), "value",
     )
     table.write.mode("overwrite").partitionBy("part").parquet(path)
     table = spark.read.parquet(path)

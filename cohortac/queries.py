@@ -38,7 +38,7 @@ from cohortac.plans import jobs
 from cohortac.plans.pipeline import count_dataset, count_sites, pile_for, samples_sex
 from cohortac.session import reliable_checkpoint, scratch_path, tune
 from cohortac.sources import tables
-from cohortac.sources.bgzf import make_empty_files, register, write_bgzf_files
+from cohortac.sources.bgzf import make_header_files, register, write_bgzf_files
 from cohortac.sources.projection import genotypes_from_tables
 from cohortac.sources.vcf import (
     call_fields,
@@ -46,9 +46,9 @@ from cohortac.sources.vcf import (
     file_label,
     header_contigs,
     header_samples,
+    input_files,
     is_supported_name,
     parse_sites,
-    select_input_files,
     to_vcf_lines,
 )
 
@@ -576,10 +576,8 @@ def q_file_select(spark, sf_dir):
     """Input expansion over a real folder: files named after customers, listed by the engine."""
     path = scratch_path(spark, f"names_{uuid.uuid4().hex}")
     names = _file_names(spark, sf_dir).select(F.regexp_extract("path", "([^/]*)$", 1).alias("name"))
-    make_empty_files(names, path).count()
-    found = select_input_files(spark, [path])
-    listed = spark.createDataFrame([(f,) for f in found], "path string")
-    return listed.select(F.regexp_extract("path", "([^/]*)$", 1).alias("name"), file_label("path").alias("label"))
+    make_header_files(names, path).count()
+    return input_files(spark, [path]).select(F.regexp_extract("path", "([^/]*)$", 1).alias("name"), file_label("path").alias("label"))
 
 
 # ------------------------------------------------------------------ sampling

@@ -12,6 +12,11 @@ Whether a file is BGZF is read off its first block header by the task, not off i
 plain gzip file does not split: its first partition streams the whole file, the others are
 empty. Lines are handed out as Arrow batches of a bounded number of bytes.
 
+Beside file and line there is a column ``contig`` (the line's first field, empty for header lines and those
+without fields). A
+predicate ``contig IN (...)`` is pushed into the reader: other lines are dropped as bytes, before they are
+decoded and become Arrow data.
+
 Files are opened through ``pyarrow.fs``, so local, HDFS and object-store paths work on
 executors alike.
 """
@@ -24,11 +29,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, In, InputPartition
 
 DEFAULT_SPLIT_BYTES = 64 * 1024 * 1024
 _MAGIC = b"\x1f\x8b\x08\x04"
-_SCHEMA = "file string, value string"
+_SCHEMA = "file string, value string, contig string"
+PUSHDOWN = "spark.sql.python.filterPushdown.enabled"
 
 
 def _open(path: str):
@@ -117,6 +123,15 @@ class _BlockReader:
 class _Reader(DataSourceReader):
     def __init__(self, paths: list[str], split_bytes: int):
         self.paths, self.split_bytes = paths, split_bytes
+        self.contigs: frozenset[bytes] | None = None
+
+    def pushFilters(self, filters):
+        for f in filters:
+            if isinstance(f, (In, EqualTo)) and f.attribute == ("contig",):
+                wanted = {v.encode() for v in (f.value if isinstance(f, In) else (f.value,)) if v is not None}
+                self.contigs = frozenset(wanted if self.contigs is None else self.contigs & wanted)
+            else:
+                yield f
 
     def partitions(self):
         out = []
@@ -136,7 +151,7 @@ class _Reader(DataSourceReader):
         """Stream the split's lines as Arrow batches (bounded memory)."""
         fs, p = _open(partition.path)
         with fs.open_input_file(p) as f:
-            out = _Batches(partition.path)
+            out = _Batches(partition.path, self.contigs)
             if _block_size(f.read(18 + 64), 0) is None:
                 if partition.start == 0:
                     yield from out.lines_of(_gzip_chunks(f))
@@ -197,8 +212,9 @@ class _Batches:
     BYTES = 16 << 20
     ROWS = 8192
 
-    def __init__(self, path: str):
-        self.path, self.lines, self.held = path, [], 0
+    def __init__(self, path: str, contigs: frozenset[bytes] | None = None):
+        self.path, self.contigs = path, contigs
+        self.lines, self.names, self.held = [], [], 0
 
     def lines_of(self, chunks):
         """Batches of the lines in consecutive pieces of text; a last line may lack its end."""
@@ -215,7 +231,12 @@ class _Batches:
 
     def add(self, raw: list[bytes]):
         for line in raw:
+            end = line.find(b"\t")
+            contig = b"" if line[:1] == b"#" or end < 0 else line[:end]
+            if self.contigs is not None and contig not in self.contigs:
+                continue
             self.lines.append(line.rstrip(b"\r").decode("utf-8"))
+            self.names.append(contig.decode("utf-8"))
             self.held += len(line)
             if self.held >= self.BYTES or len(self.lines) >= self.ROWS:
                 yield from self.flush()
@@ -224,9 +245,9 @@ class _Batches:
         if self.lines:
             import pyarrow as pa
 
-            n = len(self.lines)
-            yield pa.RecordBatch.from_arrays([pa.array([self.path] * n), pa.array(self.lines)], names=["file", "value"])
-            self.lines, self.held = [], 0
+            columns = [pa.array([self.path] * len(self.lines)), pa.array(self.lines), pa.array(self.names)]
+            yield pa.RecordBatch.from_arrays(columns, names=["file", "value", "contig"])
+            self.lines, self.names, self.held = [], [], 0
 
 
 class VcfBgzfDataSource(DataSource):
@@ -247,9 +268,26 @@ class VcfBgzfDataSource(DataSource):
 
 
 def register(spark: SparkSession) -> None:
+    spark.conf.set(PUSHDOWN, "true")
     spark.dataSource.register(VcfBgzfDataSource)
 
 
+def sniffed(files: DataFrame) -> DataFrame:
+    """Files (path, length) with ``bgzf``: whether the first bytes are a BGZF block's header. Every task
+    opens its own files and reads those bytes only."""
+
+    def look(batches):
+        for batch in batches:
+            found = []
+            for path in batch["path"]:
+                fs, p = _open(path)
+                with fs.open_input_file(p) as f:
+                    found.append(_block_size(f.read(18 + 64), 0) is not None)
+            yield batch.assign(bgzf=found)
+
+    return files.mapInPandas(look, "path string, length long, bgzf boolean")
+
+
 def _bgzf_block(payload: bytes) -> bytes:
     packer = zlib.compressobj(6, zlib.DEFLATED, -15)
     data = packer.compress(payload) + packer.flush()
@@ -293,15 +331,16 @@ def write_bgzf_files(lines: DataFrame, folder: str, block: int = 1 << 15) -> Dat
     return ordered.select("file", "value").mapInPandas(write, "path string")
 
 
-def make_empty_files(names: DataFrame, folder: str) -> DataFrame:
-    """Create an empty file for every ``name``; gives the names (for listings)."""
+def make_header_files(names: DataFrame, folder: str) -> DataFrame:
+    """Create a file with a first header line for every ``name``; gives the names (for listings)."""
 
-    def touch(batches):
+    def make(batches):
         fs, root = _open(folder)
         fs.create_dir(root)
         for batch in batches:
             for name in batch["name"]:
-                fs.open_output_stream(f"{root}/{name}", compression=None).close()
+                with fs.open_output_stream(f"{root}/{name}", compression=None) as f:
+                    f.write(b"##fileformat=VCFv4.2\n")
             yield batch
 
-    return names.mapInPandas(touch, "name string")
+    return names.mapInPandas(make, "name string")

@@ -1,8 +1,9 @@
 """Text VCF as DataFrames: lines -> sites -> genotype calls, header samples, contigs and types.
 
-Plain ``.vcf`` files are read with Spark's text source; gzip-compressed ones go through the
-``vcf_bgzf`` Python data source, which splits every BGZF file (whatever its name) at block
-boundaries. Everything after the line read is built-in column expressions.
+Plain ``.vcf`` files and plain gzip (which does not split anyway) are read with Spark's text source.
+BGZF files, told by their first bytes, go through the ``vcf_bgzf`` Python data source, which splits
+them at block boundaries; those of one split are read as gzip too. Everything after the line read is
+built-in column expressions.
 """
 
 from __future__ import annotations
@@ -32,46 +33,64 @@ def file_label(name) -> Column:
     return F.regexp_replace(base, _EXT_REGEX, "")
 
 
-def select_input_files(spark: SparkSession, paths: list[str]) -> list[str]:
-    """Expand inputs: a directory gives its direct children with an accepted extension, a
-    file path is taken as is, a glob pattern is expanded and each match treated the same way.
-    Only file-system metadata is listed (on the driver, like any Spark file source does)."""
-    jvm = spark._jvm
+def input_files(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(path, length) of the inputs, each once: a directory gives its direct children with an accepted
+    extension, a file is taken as is, a glob pattern is expanded and each match treated the same way.
+
+    The listing is a scan that reads no content. Paths of one depth are listed together: what lies at
+    their own depth was named (or matched) itself, what lies one deeper is a directory's child. Empty
+    files and hidden ones (``.`` or ``_`` first) are not listed.
+    """
     conf = spark._jsc.hadoopConfiguration()
-    out: list[str] = []
+    depths: dict[int, list[str]] = {}
     for p in paths:
-        hp = jvm.org.apache.hadoop.fs.Path(str(p))
-        fs = hp.getFileSystem(conf)
-        # glob patterns (a shell would expand them; remote paths need the file system to)
-        matches = fs.globStatus(hp) if any(ch in str(p) for ch in "*?[{") else [fs.getFileStatus(hp)]
-        for st in matches or []:
-            if st.isDirectory():
-                for child in fs.listStatus(st.getPath()):
-                    name = child.getPath().getName()
-                    if child.isFile() and name.endswith(SUPPORTED_EXTENSIONS):
-                        out.append(child.getPath().toString())
-            else:
-                out.append(st.getPath().toString())
-    return out
-
-
-def read_vcf_lines(spark: SparkSession, paths: list[str], expand: bool = True) -> DataFrame:
-    """All lines of the given VCF files as (file, value); file is the full path."""
-    files = select_input_files(spark, paths) if expand else [str(p) for p in paths]
-    zipped = [f for f in files if f.endswith((".gz", ".bgz"))]
-    text = [f for f in files if not f.endswith((".gz", ".bgz"))]
-    if any(f.endswith(".bcf") for f in text):
-        raise ValueError("BCF is binary; convert it to VCF text (bcftools view) before reading")
+        hp = spark._jvm.org.apache.hadoop.fs.Path(str(p))
+        name = hp.getFileSystem(conf).makeQualified(hp).toString()
+        depths.setdefault(name.count("/"), []).append(name)
+    found = None
+    for depth, names in sorted(depths.items()):
+        listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(names).select("path", "length")
+        below = F.length("path") - F.length(F.replace("path", F.lit("/"), F.lit(""))) - depth
+        taken = listed.where((below == 0) | ((below == 1) & is_supported_name("path")))
+        found = taken if found is None else found.unionByName(taken)
+    return spark.createDataFrame([], "path string, length long") if found is None else found.distinct()
+
+
+def select_input_files(spark: SparkSession, paths: list[str]) -> list[str]:
+    """The paths of ``input_files``, for readers that take a list (Spark's file index holds it on the
+    driver as well)."""
+    return [r.path for r in input_files(spark, paths).orderBy("path").toLocalIterator()]
+
+
+def read_vcf_lines(spark: SparkSession, paths: list[str], expand: bool = True, contigs: list[str] | None = None, split_bytes: int | None = None) -> DataFrame:
+    """All lines of the given VCF files as (file, value); file is the full path. With ``contigs`` only
+    header lines and the records of those contigs, dropped as early as the source allows."""
+    from cohortac.sources.bgzf import DEFAULT_SPLIT_BYTES, register, sniffed
+
+    split_bytes = split_bytes or DEFAULT_SPLIT_BYTES
+    if expand:
+        files = input_files(spark, paths)
+    else:
+        files = spark.createDataFrame([(str(p), None) for p in paths], "path string, length long")
+    zipped = F.col("path").endswith(".gz")
+    named = [(r.path, r.length, r.path.endswith(".bgz")) for r in files.where(~zipped).toLocalIterator()]
+    sniff = [(r.path, r.length, r.bgzf) for r in sniffed(files.where(zipped)).toLocalIterator()]
+    text, blocks = [], []
+    for path, length, bgzf in sorted(named + sniff, key=lambda f: f[0]):
+        if path.endswith(".bcf"):
+            raise ValueError("BCF is binary; convert it to VCF text (bcftools view) before reading")
+        # A BGZF file that would be one split gains nothing from the block reader (a .bgz name hides it from Spark).
+        small = length is not None and length <= split_bytes and path.endswith(".gz")
+        (blocks if bgzf and not small else text).append(path)
     parts = []
     if text:
-        parts.append(
-            spark.read.text(text).select(F.col("_metadata.file_path").alias("file"), F.col("value"))
-        )
-    if zipped:
-        from cohortac.sources.bgzf import register
-
+        lines = spark.read.text(text).select(F.col("_metadata.file_path").alias("file"), F.col("value"))
+        own = F.when(F.col("value").startswith("#"), F.lit("")).otherwise(F.substring_index("value", "\t", 1))
+        parts.append(lines if contigs is None else lines.where(own.isin("", *contigs)))
+    if blocks:
         register(spark)
-        parts.append(spark.read.format("vcf_bgzf").option("paths", "\n".join(zipped)).load())
+        lines = spark.read.format("vcf_bgzf").option("paths", "\n".join(blocks)).option("splitBytes", str(split_bytes)).load()
+        parts.append((lines if contigs is None else lines.where(F.col("contig").isin("", *contigs))).select("file", "value"))
     if not parts:
         return spark.createDataFrame([], "file string, value string")
     out = parts[0]

@@ -127,6 +127,43 @@ def test_ingest_keeps_wanted_contigs_and_fields_only(spark, tmp_path):
     assert rows == [("chr1", 100, ["DP", "GT"], ["20:1/1"]), *[("chrX", p, ["DP", "GT"], ["20:1/1"]) for p in (100, 5000)]]
 
 
+def test_ingest_of_many_short_regions_keeps_overlapping_records_only(spark, tmp_path):
+    """200,000 regions over two contigs: the ingest table holds the records that overlap one, once each, and chrX."""
+    import random
+
+    from cohortac.functions.regions import regions_frame
+
+    rng = random.Random(2)
+    regions = [(f"chr{i % 2 + 1}", i * 300 + rng.randint(0, 50), rng.randint(1, 400)) for i in range(199_990)]
+    regions += [("chr1", 60_100_000, 3_000_000), ("chr2", 61_000_000, 90_000_000)] + [("chr2", 61_500_000, 10)] * 8
+    texts = [f"{c}:{b + 1}-{b + n}" for c, b, n in regions]
+    records = [(rng.choice(["chr1", "chr2", "chr3", "chrX"]), rng.randint(1, 64_000_000), rng.choice([1, 1, 5, 2_500_000])) for _ in range(400)]
+    body = "\n".join(f"{c} {p} . {'A' * min(n, 5)} C . . {f'END={p + n - 1}' if n > 5 else '.'} GT:DP 1/1:20" for c, p, n in records)
+    text = vcf_text(body, ["S"], ["chr1", "chr2"])
+    write_bgzf(tmp_path / "a.vcf.bgz", text, block_payload=3000)
+    (tmp_path / "b.vcf.gz").write_bytes(gzip.compress(text.encode()))
+    sites, headers = jobs.ingest_vcf(spark, [str(tmp_path / "*.vcf.*")], str(tmp_path / "t"), regions_frame(spark, texts))
+    by = {}
+    for c, b, n in regions:
+        by.setdefault(c, []).append((b + 1, b + n))
+    near = [(c, p) for c, p, n in records if c == "chrX" or any(b <= p + n - 1 and p <= e for b, e in by.get(c, ()))]
+    assert 0 < len(near) < len(records)
+    got = sorted((r.contig, r.pos) for r in sites.collect())
+    assert got == sorted(near * 2) and headers.count() == 6
+
+
+def test_contigs_are_dropped_by_the_block_reader(spark, tmp_path):
+    from cohortac.sources.vcf import read_vcf_lines
+
+    body = "\n".join(f"chr{k % 5 + 1} {k + 1} . A C . . . GT 1/1" for k in range(500))
+    write_bgzf(tmp_path / "a.vcf.gz", vcf_text(body, ["S"], ["chr1"]), block_payload=500)
+    lines = read_vcf_lines(spark, [str(tmp_path / "a.vcf.gz")], contigs=["chr2", "chr4"], split_bytes=1000)
+    plan = lines._jdf.queryExecution().optimizedPlan().toString()
+    assert "vcf_bgzf" in plan and "Filter" not in plan  # evaluated by the reader
+    got = sorted(r.value.split("\t")[0] for r in lines.collect())
+    assert got == ["##contig=<ID=chr1>", "##fileformat=VCFv4.2", "#CHROM"] + ["chr2"] * 100 + ["chr4"] * 100
+
+
 def test_merge_of_other_regions_and_settings(spark, tmp_path):
     import pytest
 

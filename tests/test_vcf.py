@@ -9,6 +9,7 @@ from cohortac.sources.bgzf import _Batches, register
 from cohortac.sources.vcf import (
     header_contigs,
     header_samples,
+    input_files,
     parse_sites,
     read_vcf_genotypes,
     read_vcf_lines,
@@ -55,6 +56,30 @@ def test_select_input_files(spark, tmp_path):
     assert got == ["b.vcf.gz", "c.vcf.bgz"]  # a matched directory gives its accepted children
 
 
+def test_named_and_listed_files_are_read_once(spark, tmp_path):
+    d, _ = write_all(tmp_path)
+    (d / "deep").mkdir()
+    (d / "deep" / "e.vcf.gz").write_bytes(b"")
+    both = [str(d), str(d / "b.vcf.gz"), str(d / "notes.txt"), str(tmp_path / "in" / "*.bgz")]
+    got = input_files(spark, both)
+    assert sorted((os.path.basename(r.path), r.length) for r in got.collect()) == [
+        (n, os.path.getsize(d / n)) for n in ("b.vcf.gz", "c.vcf.bgz", "notes.txt")]
+    assert "content" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_plain_gzip_is_read_without_python(spark, tmp_path):
+    """Plain gzip goes to Spark's text source, by its first bytes; BGZF of several splits to the block reader."""
+    text = vcf_text(BODY * 30, SAMPLES, ["chr2", "chrX"])
+    write_multimember_gzip(tmp_path / "a.vcf.gz", text, members=3)
+    write_bgzf(tmp_path / "b.vcf.gz", text, block_payload=90)
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    plain = read_vcf_lines(spark, [str(tmp_path / "a.vcf.gz")], split_bytes=1000)
+    blocks = read_vcf_lines(spark, [str(tmp_path / "b.vcf.gz")], split_bytes=1000)
+    assert "FileScan text" in plan(plain) and "vcf_bgzf" not in plan(plain) and "Python" not in plan(plain)
+    assert "vcf_bgzf" in plan(blocks) and "FileScan text" not in plan(blocks)
+    assert sorted(r.value for r in plain.collect()) == sorted(r.value for r in blocks.collect())
+
+
 def test_all_formats_same_lines(spark, tmp_path):
     d, text = write_all(tmp_path)
     want = sorted(text.rstrip("\n").split("\n"))
