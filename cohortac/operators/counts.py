@@ -19,14 +19,15 @@ def count_aggregates(prefix: str = "") -> list:
     ]
 
 
-def allele_counts(pile: DataFrame) -> DataFrame:
+def allele_counts(pile: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """One row per (region, pos, ref, alt): summed allele counts, discard numbers, number of pile
-    rows (n_samples) and the depth moments DP_sum, DP2_sum.
+    rows (n_samples) and the depth moments DP_sum, DP2_sum; with ``by`` (a pile column that tells centers
+    apart) one for each of them.
 
     Partial aggregation runs before the shuffle, so a variant carried by a third of all
     calls still arrives as one row per map task.
     """
-    return pile.groupBy(*VARIANT_KEY).agg(*count_aggregates())
+    return pile.groupBy(*by, *VARIANT_KEY).agg(*count_aggregates())
 
 
 def depth_moments(pile: DataFrame) -> DataFrame:

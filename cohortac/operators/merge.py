@@ -15,14 +15,17 @@ from pyspark.sql import functions as F
 
 from cohortac.constants import COUNT_SUMS, DATASET_VERSION, INFO_SCHEMA
 from cohortac.operators.counts import VARIANT_KEY
+from cohortac.session import broadcast_if_bounded
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
-def merge_counts(counts: list[DataFrame]) -> DataFrame:
-    u = union_all(counts)
+def merge_counts(counts: list[DataFrame] | DataFrame) -> DataFrame:
+    """Counts of several centers re-summed per variant. One frame with all centers' rows (a scan of all
+    datasets, or counts by center) keeps the plan the same whatever their number."""
+    u = union_all(counts) if isinstance(counts, list) else counts
     return u.groupBy(*VARIANT_KEY).agg(
         *[F.sum(c).cast("int").alias(c) for c in COUNT_SUMS],
         F.sum("n_samples").cast("int").alias("n_samples"),
@@ -31,16 +34,22 @@ def merge_counts(counts: list[DataFrame]) -> DataFrame:
     )
 
 
+def added_counts(base: DataFrame, new: DataFrame) -> DataFrame:
+    """Re-summed counts of the regions that ``new`` holds; the other regions of ``base`` stay as they are."""
+    touched = new.select("region").distinct()
+    return merge_counts(base.join(broadcast_if_bounded(touched), "region", "left_semi").unionByName(new))
+
+
 def _whole(info: DataFrame) -> DataFrame:
     """An info row with all parts (those it lacks are null)."""
     missing = [f for f in INFO_SCHEMA.fields if f.name not in info.columns]
     return info.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in missing]).select(*INFO_SCHEMA.fieldNames())
 
 
-def merge_info(infos: list[DataFrame]) -> DataFrame:
+def merge_info(infos: list[DataFrame] | DataFrame) -> DataFrame:
     """Sum sample numbers, in all and by region list; an error when the centers used different
-    filters or other count settings."""
-    u = union_all([_whole(i) for i in infos])
+    filters or other count settings. ``infos``: one frame with a row for each center, or one frame each."""
+    u = union_all([_whole(i) for i in infos]) if isinstance(infos, list) else _whole(infos)
     agg = u.agg(
         F.sum("sample_number.XX").cast("int").alias("XX"),
         F.sum("sample_number.XY").cast("int").alias("XY"),
@@ -64,7 +73,3 @@ def merge_info(infos: list[DataFrame]) -> DataFrame:
         "settings",
         F.when(F.col("_n_unlisted") == 0, cohorts).alias("cohorts"),
     )
-
-
-def merge_samples(samples: list[DataFrame]) -> DataFrame:
-    return union_all(samples)

@@ -104,19 +104,20 @@ def infer_sex(genotypes: DataFrame, header_samples: DataFrame | None = None, on_
     ).withColumn("sex", sex_from_counts("n_hom", "n_het"))
 
 
-def sample_number(samples: DataFrame) -> DataFrame:
-    """One row: number of XX and XY samples over all files (both always present)."""
-    return samples.agg(
+def sample_number(samples: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """Number of XX and XY samples over all files (both always present), or for each value of ``by``."""
+    return samples.groupBy(*by).agg(
         F.count_if(F.col("sex") == "XX").cast("int").alias("XX"),
         F.count_if(F.col("sex") == "XY").cast("int").alias("XY"),
     )
 
 
 def dataset_info(samples: DataFrame, min_dp: int, min_gq: int, min_ab: float, settings: Column | None = None,
-                 regions: DataFrame | None = None) -> DataFrame:
+                 regions: DataFrame | None = None, by: tuple[str, ...] = ()) -> DataFrame:
     """One-row dataset metadata: version, sample_number{XX,XY}, AC0_filter{min_DP,min_GQ,min_AB}; with
-    ``regions`` also the other count settings and ``cohorts``, the sample numbers by region list."""
-    info = sample_number(samples).select(
+    ``regions`` also the other count settings and ``cohorts``, the sample numbers by region list. With ``by`` (a
+    samples column that tells centers apart) a row for each of them."""
+    info = sample_number(samples, by).select(
         F.lit(DATASET_VERSION).alias("version"),
         F.struct("XX", "XY").alias("sample_number"),
         F.struct(

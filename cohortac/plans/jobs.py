@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from cohortac.functions.genome import normalize_contig
 from cohortac.functions.regions import regions_frame
 from cohortac.operators.finalize import finalize
-from cohortac.operators.merge import merge_counts, merge_info, merge_samples
+from cohortac.operators.merge import added_counts, merge_counts, merge_info
 from cohortac.operators.regions import missing_contigs, records_in_regions
 from cohortac.operators.sex import INFERENCE_CONTIG
 from cohortac.plans.pipeline import Filters, count_sites, pile_for_sites
@@ -106,31 +106,34 @@ def run_count(
     filters: Filters = Filters(),
     keep_pile: bool = False,
 ) -> None:
-    """The 'count' step: VCF files -> <out_dir>/{info.json, samples, counts, reports}. What a former run
-    left there is replaced, a kept pile included."""
+    """The 'count' step: VCF files -> a version of the dataset in ``out_dir`` (info.json, samples, counts, reports and,
+    with ``keep_pile``, pile). It replaces the former version once it is whole."""
     tune(spark)
-    root, scratch = out_dir.rstrip("/"), scratch_path(spark, f"vcf-{uuid.uuid4().hex}")
-    reg = regions_frame(spark, regions)
-    try:
+    scratch, reg = scratch_path(spark, f"vcf-{uuid.uuid4().hex}"), regions_frame(spark, regions)
+
+    def write(folder: str) -> None:
         sites, headers = ingest_vcf(spark, paths, scratch, reg, filters.normalize_contigs)
         names = headers.where(F.col("value").startswith("#CHROM")).select("file").distinct()
         missing = missing_contigs(reg, header_contigs(headers), names)
         inputs = names.select("file", file_label("file").alias("label"), is_supported_name("file").alias("known_extension"))
-        missing.write.mode("overwrite").parquet(f"{root}/reports/missing_contigs")
-        inputs.write.mode("overwrite").parquet(f"{root}/reports/inputs")
+        missing.write.parquet(f"{folder}/reports/missing_contigs")
+        inputs.write.parquet(f"{folder}/reports/inputs")
         ds = count_sites(sites, reliable_checkpoint(header_samples(headers)), reg, filters)
-        tables.write_count_dataset(ds.samples, ds.info, ds.counts, out_dir)
-        remove_path(spark, f"{root}/pile")
+        tables.write_counts(spark, folder, ds.samples, ds.info, ds.counts)
         if keep_pile:
-            tables.write_pile(pile_for_sites(sites, ds.samples, reg, filters), f"{root}/pile")
-        n_missing = spark.read.parquet(f"{root}/reports/missing_contigs").count()
-        n_silent = tables.read_samples(spark, out_dir).where("n_hom + n_het = 0").count()
-        if n_missing:
-            log.warning("%d regions lie on contigs that some file headers lack: %s/reports/missing_contigs", n_missing, root)
-        if n_silent:
-            log.warning("%d samples have no chrX calls to infer their sex from (taken as XX): %s/samples", n_silent, root)
+            tables.write_pile(pile_for_sites(sites, ds.samples, reg, filters), f"{folder}/pile")
+
+    try:
+        tables.write_version(spark, out_dir, write)
     finally:
         remove_path(spark, scratch)
+    reports = tables.part(spark, out_dir, "reports")
+    n_missing = spark.read.parquet(f"{reports}/missing_contigs").count()
+    n_silent = tables.read_samples(spark, out_dir).where("n_hom + n_het = 0").count()
+    if n_missing:
+        log.warning("%d regions lie on contigs that some file headers lack: %s/missing_contigs", n_missing, reports)
+    if n_silent:
+        log.warning("%d samples have no chrX calls to infer their sex from (taken as XX): %s", n_silent, out_dir)
     log.info("count written to %s", out_dir)
 
 
@@ -143,9 +146,32 @@ def run_finalize(spark: SparkSession, in_dir: str, out_dir: str) -> None:
 
 
 def run_merge(spark: SparkSession, in_dirs: list[str], out_dir: str) -> None:
-    """Merge count datasets of several centers into one count dataset (re-summed)."""
+    """Merge count datasets of several centers into one count dataset (re-summed): one scan over all."""
     tune(spark)
-    counts = merge_counts([tables.read_counts(spark, d) for d in in_dirs])
-    info = merge_info([tables.read_dataset_info(spark, d) for d in in_dirs])
-    samples = merge_samples([tables.read_samples(spark, d) for d in in_dirs])
-    tables.write_count_dataset(samples, info, counts, out_dir)
+    _each_once(in_dirs)
+    counts, info = merge_counts(tables.read_counts(spark, *in_dirs)), merge_info(tables.read_dataset_info(spark, *in_dirs))
+    tables.write_count_dataset(tables.read_samples(spark, *in_dirs), info, counts, out_dir)
+
+
+def run_merge_add(spark: SparkSession, merged_dir: str, in_dirs: list[str]) -> None:
+    """Add centers to a merged dataset: only the regions that they hold are summed and written again, the
+    others stay where they are."""
+    tune(spark)
+    _each_once([merged_dir, *in_dirs])
+    old, new = tables.manifest(spark, merged_dir), tables.read_counts(spark, *in_dirs)
+    touched = tables.manifest(spark, *in_dirs).select("region").distinct()
+    others = reliable_checkpoint(old.join(touched, "region", "left_anti"))
+    counts = added_counts(tables.read_counts(spark, merged_dir), new)
+    info = merge_info(tables.read_dataset_info(spark, merged_dir, *in_dirs))
+    samples = tables.read_samples(spark, merged_dir, *in_dirs)
+
+    def write(folder: str) -> set[str]:
+        tables.write_counts(spark, folder, samples, info, counts, others=others)
+        return {r.holder for r in others.select("holder").distinct().collect()}
+
+    tables.write_version(spark, merged_dir, write)
+
+
+def _each_once(dirs: list[str]) -> None:
+    if len({d.rstrip("/") for d in dirs}) < len(dirs):
+        raise ValueError("a count dataset is named twice")

@@ -73,18 +73,20 @@ def count_dataset(
     filters: Filters = Filters(),
     header_samples: DataFrame | None = None,
     samples: DataFrame | None = None,
+    by: tuple[str, ...] = (),
 ) -> CountDataset:
     """Sex inference (unless ``samples`` is given), dataset info and per-variant counts of a
     genotype table. ``regions``: None (chr1..chr22, chrX, chrY, chrM), a region list or text,
     or a regions DataFrame. ``header_samples`` lists every sample of every file (VCF headers);
-    without it the samples seen in the calls are used."""
+    without it the samples seen in the calls are used. With ``by`` (``file``: every file a center) info and
+    counts have a row for each center, in the same one plan."""
     if filters.normalize_contigs:
         genotypes = genotypes.withColumn("contig", normalize_contig("contig"))
     if samples is None:
         samples = samples_sex(genotypes, header_samples, filters.on_unsupported)
     reg = regions if isinstance(regions, DataFrame) else regions_frame(genotypes.sparkSession, regions)
-    info = info_for(samples, reg, filters)
-    counts = allele_counts(pile_for(genotypes, samples, reg, filters))
+    info = info_for(samples, reg, filters, by)
+    counts = allele_counts(pile_for(genotypes, samples, reg, filters, keep=by), by)
     return CountDataset(samples=samples, info=info, counts=counts)
 
 
@@ -110,10 +112,10 @@ def count_sites(sites: DataFrame, header_samples: DataFrame, regions=None, filte
     return CountDataset(samples=samples, info=info_for(samples, reg, filters), counts=counts)
 
 
-def info_for(samples: DataFrame, regions: DataFrame, filters: Filters) -> DataFrame:
+def info_for(samples: DataFrame, regions: DataFrame, filters: Filters, by: tuple[str, ...] = ()) -> DataFrame:
     settings = F.struct(
         F.lit(filters.ab_index).alias("ab_index"),
         F.lit(filters.on_unsupported).alias("on_unsupported"),
         F.lit(filters.normalize_contigs).alias("normalize_contigs"),
     )
-    return dataset_info(samples, filters.min_dp, filters.min_gq, filters.min_ab, settings, regions)
+    return dataset_info(samples, filters.min_dp, filters.min_gq, filters.min_ab, settings, regions, by)

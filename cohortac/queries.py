@@ -20,7 +20,7 @@ from cohortac.functions.genotype import allelic_balance, gt_class, het_allele_in
 from cohortac.functions.regions import begin0, format_region, invalid_reason, parse_region, regions_frame, split_region_list
 from cohortac.operators.counts import depth_distribution, depth_moments, sorted_counts
 from cohortac.operators.finalize import allele_number_columns, depth_mean, depth_std, finalize, nonzero_variants, with_sample_number
-from cohortac.operators.merge import merge_counts, merge_info, union_all
+from cohortac.operators.merge import merge_counts, merge_info
 from cohortac.operators.pile import (
     chry_filter,
     dp_outcome,
@@ -106,11 +106,6 @@ def _vcf_lines(spark, sf_dir):
     return to_vcf_lines(g, g.select("file", "sample_rank", "sample").distinct())
 
 
-def _files(samples: DataFrame) -> list[str]:
-    """The call files of the data (one row per file)."""
-    return sorted(r.file for r in samples.select("file").distinct().collect())
-
-
 LIST_TEXTS = 500
 
 
@@ -288,10 +283,11 @@ def q_build_pile(spark, sf_dir):
 # ------------------------------------------------------------------ aggregates
 @query
 def q_union_piles(spark, sf_dir):
+    """Every file's pile written as a table of its own, all of them read in one scan."""
     g = _gm(spark, sf_dir)
-    s = samples_sex(g)
-    piles = [pile_for(g.where(F.col("file") == f), s, keep=("file",)) for f in _files(s)]
-    return union_all(piles)
+    path = scratch_path(spark, f"piles_{uuid.uuid4().hex}")
+    tables.write_pile(pile_for(g, samples_sex(g), keep=("file",)), path, by=("file",))
+    return tables.read_pile(spark, path, by=("file",))
 
 
 @query
@@ -326,11 +322,8 @@ def q_sorted_counts(spark, sf_dir):
 
 @query
 def q_merge_centers(spark, sf_dir):
-    g = _gm(spark, sf_dir)
-    s = samples_sex(g)  # one inference for all centers: a sample's sex depends on its own calls only
-    parts = [count_dataset(g.where(F.col("file") == f), samples=s.where(F.col("file") == f)) for f in _files(s)]
-    counts = merge_counts([p.counts for p in parts])
-    info = merge_info([p.info for p in parts])
+    ds = count_dataset(_gm(spark, sf_dir), by=("file",))  # every file a center
+    counts, info = merge_counts(ds.counts), merge_info(ds.info)
     res = finalize(counts, info)
     return res.select(*[c for c in res.columns if c not in ("DP_mean", "DP_std")], _r6("DP_mean"), _r6("DP_std"))
 
@@ -517,14 +510,14 @@ def q_count_job_overwrite(spark, sf_dir):
     vcf, out = _vcf_folder(spark, sf_dir) + "/*/*.txt", scratch_path(spark, f"count_{uuid.uuid4().hex}")
     jobs.run_count(spark, [vcf], out, regions="chr1:1-5000,chr2", keep_pile=True)
     jobs.run_count(spark, [vcf], out)
-    left = 1 if tables.exists(spark, f"{out}/pile") else 0
+    left = 1 if tables.exists(spark, tables.part(spark, out, "pile")) else 0
     return tables.read_counts(spark, out).withColumn("kept_piles", F.lit(left))
 
 
 @query
 def q_count_job_pile(spark, sf_dir):
     out = _count_job(spark, sf_dir, keep_pile=True)
-    return tables.read_pile(spark, f"{out}/pile")
+    return tables.read_pile(spark, tables.part(spark, out, "pile"))
 
 
 @query

@@ -17,7 +17,7 @@ def run(*args):
 def test_cli_count_finalize_inspect(tmp_path):
     d, _ = write_all(tmp_path)
     out, res = str(tmp_path / "counts"), str(tmp_path / "result")
-    r = run("count", str(d), "-o", out, "-r", "chr1,chrX", "--min-GQ", "0", "--on-unsupported", "drop")
+    r = run("count", str(d), "-o", out, "-r", "chr2,chrX", "--min-GQ", "0", "--on-unsupported", "drop")
     assert r.returncode == 0, r.stderr[-2000:]
     r = run("finalize", out, "-o", res)
     assert r.returncode == 0, r.stderr[-2000:]
@@ -29,7 +29,7 @@ def test_cli_count_finalize_inspect(tmp_path):
     rows = [dict(zip(header, ln.split("\t"))) for ln in lines[1:]]
     assert rows and all(int(r["XX_AC"]) > 0 for r in rows)
     tsv = str(tmp_path / "tsv")
-    r = run("inspect", res + "/result", "XX_AC > 0", "-o", tsv)
+    r = run("inspect", res, "XX_AC > 0", "-o", tsv)
     assert r.returncode == 0, r.stderr[-2000:]
     written = [ln for f in sorted(os.listdir(tsv)) if f.endswith(".csv") for ln in open(os.path.join(tsv, f)).read().splitlines()[1:]]
     assert len(written) == len(rows)

@@ -87,7 +87,7 @@ def test_keep_pile_writes_the_per_call_pile(spark, tmp_path):
     g, paths = write_vcf_files(spark, vcf_dir)
     out = str(tmp_path / "counts")
     jobs.run_count(spark, paths, out, keep_pile=True)
-    pile = spark.read.parquet(out + "/pile")
+    pile = spark.read.parquet(tables.part(spark, out, "pile"))
     ds = count_dataset(g)
     want = pile_for(g, ds.samples)
     cols = ["region", "pos", "ref", "alt", "XX_AC", "XY_AC", "XX_n_DP_discarded", "XY_n_DP_discarded", "DP"]
@@ -110,11 +110,12 @@ def test_rerun_leaves_no_pile_and_no_scratch(spark, tmp_path):
     ingested = lambda: [n for n in os.listdir(tables_dir) if n.startswith("vcf-")] if os.path.isdir(tables_dir) else []
     before = ingested()
     jobs.run_count(spark, [str(p)], out, regions="chr1:1-1000", keep_pile=True)
-    assert os.path.isdir(out + "/pile")
+    assert tables.exists(spark, tables.part(spark, out, "pile"))
     jobs.run_count(spark, [str(p)], out, regions="chr1:1-1000,chr7")
-    assert not os.path.exists(out + "/pile") and ingested() == before
-    assert [(r.region, r.n_files_missing) for r in spark.read.parquet(out + "/reports/missing_contigs").collect()] == [("chr7", 1)]
-    assert [(r.label, r.known_extension) for r in spark.read.parquet(out + "/reports/inputs").collect()] == [("a.vcf", False)]
+    assert not tables.exists(spark, tables.part(spark, out, "pile")) and ingested() == before
+    assert len([n for n in os.listdir(out) if n.startswith("v-")]) == 1
+    assert [(r.region, r.n_files_missing) for r in spark.read.parquet(tables.part(spark, out, "reports/missing_contigs")).collect()] == [("chr7", 1)]
+    assert [(r.label, r.known_extension) for r in spark.read.parquet(tables.part(spark, out, "reports/inputs")).collect()] == [("a.vcf", False)]
 
 
 def test_ingest_keeps_wanted_contigs_and_fields_only(spark, tmp_path):
@@ -187,5 +188,118 @@ def test_file_without_contig_lines_is_reported(spark, tmp_path):
     (tmp_path / "a.vcf").write_text(vcf_text(body, ["S"], ["chr1"]))
     (tmp_path / "b.vcf").write_text(vcf_text(body, ["S"], []))
     jobs.run_count(spark, [str(tmp_path / "a.vcf"), str(tmp_path / "b.vcf")], str(tmp_path / "o"), regions="chr1,chr2")
-    rows = spark.read.parquet(str(tmp_path / "o") + "/reports/missing_contigs").collect()
+    rows = spark.read.parquet(tables.part(spark, str(tmp_path / "o"), "reports/missing_contigs")).collect()
     assert sorted((r.region, r.n_files_missing) for r in rows) == [("chr1", 1), ("chr2", 2)]
+
+
+COUNT_ROW = "region string, contig string, pos int, ref string, alt string, " + ", ".join(
+    f"{c} int" for c in ("XX_AC", "XX_AC_hom", "XX_AC_hemi", "XY_AC", "XY_AC_hom", "XY_AC_hemi", "XX_n_DP_discarded", "XY_n_DP_discarded", "n_samples")
+) + ", DP_sum double, DP2_sum double"
+
+
+def write_center(spark, path, k, regions):
+    """A small count dataset of center ``k`` with two variants in each region."""
+    from cohortac.operators.sex import dataset_info
+
+    rows = [(r, r.split(":")[0], p, "A", "C", k, 0, 0, 1, 0, 0, 0, 0, 2, 10.0 * k, 50.0) for r in regions for p in (5, 5 + k)]
+    samples = spark.createDataFrame([(f"f{k}", i, f"s{i}", 1, 0, "XX") for i in range(k)], "file string, sample_rank int, sample string, n_hom long, n_het long, sex string")
+    settings = F.struct(F.lit("reference").alias("ab_index"), F.lit("error").alias("on_unsupported"), F.lit(False).alias("normalize_contigs"))
+    info = dataset_info(samples, 10, 20, 0.2, settings, spark.createDataFrame([(r,) for r in regions], "region string"))
+    tables.write_count_dataset(samples, info, spark.createDataFrame(rows, COUNT_ROW), path, n_partitions=2)
+
+
+def count_rows(spark, path):
+    return sorted(map(tuple, tables.read_counts(spark, path).collect()))
+
+
+def test_broken_count_leaves_the_old_dataset(spark, tmp_path, monkeypatch):
+    import os
+
+    import pytest
+
+    p, out = tmp_path / "a.vcf", str(tmp_path / "out")
+    p.write_text(vcf_text("chr1 100 . A C . . . GT:DP:GQ 1/1:20:50\nchr2 100 . A C . . . GT:DP:GQ 1/1:20:50", ["S"], ["chr1", "chr2"]))
+    jobs.run_count(spark, [str(p)], out, regions="chr1")
+    before, info = count_rows(spark, out), tables.read_dataset_info(spark, out).collect()
+
+    def broken(*args):
+        raise OSError("disk full")
+
+    with monkeypatch.context() as m:
+        m.setattr(tables, "_write_regions", broken)  # info and samples are written, counts are not
+        with pytest.raises(OSError):
+            jobs.run_count(spark, [str(p)], out, regions="chr2")
+        with pytest.raises(OSError):
+            jobs.run_count(spark, [str(p)], str(tmp_path / "first"))
+    assert count_rows(spark, out) == before and tables.read_dataset_info(spark, out).collect() == info
+    assert len([n for n in os.listdir(out) if n.startswith("v-")]) == 1
+    with pytest.raises(FileNotFoundError, match="No complete dataset"):
+        tables.read_counts(spark, str(tmp_path / "first"))
+    jobs.run_count(spark, [str(p)], out, regions="chr2")
+    assert [r[0] for r in count_rows(spark, out)] == ["chr2"]
+
+
+def test_merge_plan_does_not_grow_with_the_centers(spark, tmp_path):
+    dirs = [str(tmp_path / f"c{k}") for k in range(2)]
+    for k, d in enumerate(dirs):
+        write_center(spark, d, k + 1, ["chr1", "chr2:1-900"])
+    import shutil
+
+    for k in range(2, 50):  # further centers: copies under version names of their own
+        version = tables.current(spark, dirs[k % 2]).rsplit("/", 1)[-1]
+        name = f"v-{k:032x}"
+        d = tmp_path / f"c{k}"
+        shutil.copytree(tmp_path / f"c{k % 2}" / version, d / name)
+        (d / "_current").write_text(name)
+        rows = spark.read.parquet(str(d / name / "manifest")).withColumn("holder", F.lit(name)).collect()
+        spark.createDataFrame(rows, tables.MANIFEST_SCHEMA).coalesce(1).write.mode("overwrite").parquet(str(d / name / "manifest"))
+        dirs.append(str(d))
+    from cohortac.operators.merge import merge_counts
+
+    nodes = lambda n: [ln.split("(")[0].split("[")[0].strip(" :+-*") for ln in plan_of(merge_counts(tables.read_counts(spark, *dirs[:n]))).split("\n")]
+    assert nodes(50) == nodes(2) and sum("FileScan" in n for n in nodes(50)) == 2  # the counts, and the manifests beside
+    jobs.run_merge(spark, dirs, str(tmp_path / "m"))
+    rows = {(r.region, r.pos): r for r in tables.read_counts(spark, str(tmp_path / "m")).collect()}
+    assert rows[("chr2:1-900", 5)].XX_AC == 25 * (1 + 2) and rows[("chr1", 6)].n_samples == 50 and rows[("chr1", 5)].DP_sum == 750.0
+    assert tables.read_dataset_info(spark, str(tmp_path / "m")).first().sample_number.XX == 75
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString() + df._jdf.queryExecution().sparkPlan().toString()
+
+
+def test_added_center_equals_full_merge(spark, tmp_path):
+    import os
+
+    regions = (["chr1", "chr2:1-900", "chr3"], ["chr1", "chr4"], ["chr2:1-900"])
+    dirs = [str(tmp_path / f"c{k}") for k in range(3)]
+    for k, d in enumerate(dirs):
+        write_center(spark, d, k + 1, regions[k])
+    full, added = str(tmp_path / "full"), str(tmp_path / "added")
+    jobs.run_merge(spark, dirs, full)
+    jobs.run_merge(spark, dirs[:1], added)
+    first = tables.current(spark, added)
+    jobs.run_merge_add(spark, added, [dirs[1]])
+    assert sorted(os.listdir(tables.part(spark, added, "counts")))[-2:] == ["region=chr1", "region=chr4"]  # only those are written
+    assert os.path.isdir(first)  # still holds chr2 and chr3
+    jobs.run_merge_add(spark, added, [dirs[2]])
+    assert count_rows(spark, added) == count_rows(spark, full)
+    assert sorted(r.region for r in tables.list_regions(spark, added).collect()) == ["chr1", "chr2:1-900", "chr3", "chr4"]
+    info = [tables.read_dataset_info(spark, d).first() for d in (added, full)]
+    assert info[0] == info[1] and info[0].sample_number.XX == 6
+    assert tables.read_samples(spark, added).count() == 6
+    assert "parquet" in plan_of(tables.list_regions(spark, added)) and "counts" not in "".join(tables.list_regions(spark, added).inputFiles())
+
+
+def test_files_of_a_pile_follow_its_bytes(spark, tmp_path):
+    rows = spark.range(0, 30_000, 1, 40).selectExpr(
+        "concat('chr', id % 3) AS region", "concat('chr', id % 3) AS contig", "CAST(id AS int) AS pos", "'A' AS ref", "'C' AS alt",
+        *[f"1 AS {c}" for c in ("XX_AC", "XX_AC_hom", "XX_AC_hemi", "XX_n_DP_discarded", "XY_AC", "XY_AC_hom", "XY_AC_hemi", "XY_n_DP_discarded")], "30 AS DP")
+    path = str(tmp_path / "pile")
+    tables.write_pile(rows, path)
+    back = tables.read_pile(spark, path)
+    files = back.inputFiles()
+    assert back.count() == 30_000 and 3 <= len(files) <= 8  # 40 tasks before, one small table
+    near = back.where("region = 'chr1' AND pos < 300")
+    assert "PushedFilters: [IsNotNull(pos), LessThan(pos,300)]" in near._jdf.queryExecution().executedPlan().toString()
+    assert near.count() == 100
