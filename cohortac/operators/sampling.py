@@ -1,13 +1,14 @@
 """Exact-size per-group selection: random subsamples and first-N caps per contig.
 
 ``smallest_k_per_group`` picks, for every group, the k rows with the smallest order key
-without gathering a group into one task: a histogram of the key per group (a combinable
-aggregate) locates the bucket that holds the k-th row; rows in earlier buckets are taken
-outright and only the rows of that one boundary bucket are ranked. If a boundary bucket
-is still large, the histogram is refined inside it (up to ``max_levels`` times). In the
-boundary bucket identical rows are counted instead of ranked one by one, so a key shared
-by many copies of one record stays cheap; what is left to rank are distinct rows sharing
-one exact key value.
+without gathering a group into one task, and reads its input twice. The first pass counts the rows of every
+(group, bucket); buckets have the key's leading bits, so they need no bounds and the counts merge (partial
+sums in every task, at most 64 x 2^bits rows a group). They tell the bucket that holds the group's k-th row.
+The second pass drops all rows beyond that bucket and writes the rest: rows of earlier buckets are the
+result, those of the k-th row's bucket, a small share, are ranked. If that bucket is still large, it
+alone is cut finer (up to ``max_levels`` times). Identical rows are counted instead of ranked one by
+one, so a key shared by many copies of one record stays cheap; what is left to rank are distinct rows
+sharing one exact key value.
 """
 
 from __future__ import annotations
@@ -20,49 +21,63 @@ from cohortac.session import broadcast_if_bounded, reliable_checkpoint
 LONG_MASK = 0x7FFFFFFFFFFFFFFF
 
 
+def leading_bits(key: str, bits: int) -> tuple[Column, Column]:
+    """(bucket, shift) of a non-negative LONG: its leading ``bits`` + 1 bits and how many were cut off. Buckets are in
+    the order of the keys, about 2^bits of them for every doubling of the key."""
+    shift = F.greatest(F.length(F.bin(key)) - (bits + 1), F.lit(0)).cast("int")
+    return shift.cast("long") * (2 << bits) + F.call_function("shiftright", F.col(key), shift), shift
+
+
 def smallest_k_per_group(
     df: DataFrame,
     group_cols: list[str],
     key: str,
     tiebreak: list[str],
     k: DataFrame | Column,
+    bits: int = 12,
     buckets: int = 1 << 16,
     max_boundary_rows: int = 1_000_000,
     max_levels: int = 4,
-    materialize_input: bool = True,
-    max_window_rows: int = 1_000_000,
 ) -> DataFrame:
     """Rows of ``df`` whose rank by (key, *tiebreak, all columns) inside their group is <= k.
 
     ``key`` is a non-negative LONG column; ``k`` an expression of the group's number of rows
-    ``_n``, or a DataFrame with the group columns and ``k``. Identical rows may be chosen in either order (the output is the same). The input is read
-    by every pass (sizes, each histogram level, the final pick); with ``materialize_input``
-    it is written once to the shared folder first, so a costly input plan runs only once.
-
-    When the size pass proves that no group has more than ``max_window_rows`` rows, each
-    group is ranked directly with a window (its task holds at most that many rows); larger
-    groups take the histogram path.
+    ``_n``, or a DataFrame with the group columns and ``k``. Identical rows may be chosen in either order (the
+    output is the same). ``df`` is read twice and must give the same rows both times.
     """
-    if materialize_input:
-        df = reliable_checkpoint(df)
-    stats = df.groupBy(*group_cols).agg(F.min(key).alias("_lo"), F.max(key).alias("_hi"), F.count(F.lit(1)).alias("_n"))
-    sized = stats.withColumn("k", k) if isinstance(k, Column) else k.join(stats, group_cols)
-    state = (
-        sized.select(*group_cols, F.least(F.col("k").cast("long"), F.col("_n")).alias("_need"), "_lo", "_hi", "_n")
-        .where(F.col("_need") > 0)
+    cols, (bucket, shift) = df.columns, leading_bits(key, bits)
+    hist = reliable_checkpoint(df.groupBy(*group_cols, bucket.alias("_b"), shift.alias("_shift")).agg(F.count(F.lit(1)).alias("_cnt")))
+    sizes = hist.groupBy(*group_cols).agg(F.sum("_cnt").alias("_n"))
+    sized = sizes.withColumn("k", k) if isinstance(k, Column) else sizes.join(k.select(*group_cols, "k"), group_cols)
+    need = sized.select(*group_cols, F.least(F.col("k").cast("long"), F.col("_n")).alias("_need")).where(F.col("_need") > 0)
+    w = Window.partitionBy(*group_cols).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    upto = hist.withColumn("_cum", F.sum("_cnt").over(w)).join(need, group_cols)  # rows of the histogram
+    bound = upto.where((F.col("_cum") - F.col("_cnt") < F.col("_need")) & (F.col("_need") <= F.col("_cum")))
+    # The bucket is shift * 2^(bits + 1) + the key's leading bits: its keys share those.
+    lead = F.col("_b") - F.col("_shift").cast("long") * (2 << bits)
+    width = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("_shift"))
+    bound = reliable_checkpoint(
+        bound.select(
+            *group_cols, F.col("_b").alias("_last"), (F.col("_need") - (F.col("_cum") - F.col("_cnt"))).alias("_need"),
+            (lead * width).alias("_lo"), (lead * width + (width - 1)).alias("_hi"), "_cnt",
+        )
     )
-    state = reliable_checkpoint(state)
-    largest = state.agg(F.max("_n").alias("m")).first()["m"]
-    if largest is None:
+    most = bound.agg(F.max("_cnt").alias("m")).first()["m"]
+    if most is None:
         return df.limit(0)
-    if largest <= max_window_rows:
-        w = Window.partitionBy(*group_cols).orderBy(F.col(key), *[F.col(c) for c in tiebreak], *[F.col(c) for c in df.columns])
-        picked = df.join(broadcast_if_bounded(state.select(*group_cols, "_need")), group_cols)
-        return picked.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") <= F.col("_need")).select(*df.columns)
-    state = state.drop("_n")
+    near = df.withColumn("_b", bucket).join(broadcast_if_bounded(bound.select(*group_cols, "_last")), group_cols).where(F.col("_b") <= F.col("_last"))
+    near = reliable_checkpoint(near.select(*cols, (F.col("_b") < F.col("_last")).alias("_sure")))
+    sure, edge = near.where("_sure").select(*cols), near.where(~F.col("_sure")).select(*cols)
+    return sure.unionByName(_smallest_in_range(edge, group_cols, key, tiebreak, bound.drop("_last"), most, buckets, max_boundary_rows, max_levels))
+
+
+def _smallest_in_range(df, group_cols, key, tiebreak, state, rows, buckets, max_boundary_rows, max_levels) -> DataFrame:
+    """The ``_need`` smallest rows of every group, where all its rows have keys from ``_lo`` to ``_hi``; no group
+    has more than ``rows``."""
+    state = state.drop("_cnt")
     taken: list[DataFrame] = []
     cand = df
-    for _level in range(max_levels):
+    for _level in range(max_levels if rows > max_boundary_rows else 0):
         st = state.select(
             *group_cols,
             "_need",
@@ -161,14 +176,12 @@ def subsample_per_contig(
     columns) replaces the default seeded hash when a reproducible order is wanted.
     """
     cols = records.columns
-    # Written once before the replicas are made, so no replica is stored.
-    records = reliable_checkpoint(records)
     rep = records.select(F.explode(F.sequence(F.lit(0), F.lit(replicas - 1))).alias("replica"), *cols)
     key = order_key if order_key is not None else hash_key(F.lit(seed), F.col("replica"), *[F.col(c) for c in cols])
     rep = rep.withColumn("_key", key.cast("long"))
     k0 = F.floor(F.col("_n") * F.lit(float(fraction))).cast("long")
     k = F.when(k0 < min_size, F.least(F.lit(min_size).cast("long"), F.col("_n"))).otherwise(k0)
-    out = smallest_k_per_group(rep, ["replica", "contig"], "_key", tiebreak or cols, k, materialize_input=False).drop("_key")
+    out = smallest_k_per_group(rep, ["replica", "contig"], "_key", tiebreak or cols, k).drop("_key")
     return out.orderBy("replica", "contig", "pos") if sort_output else out
 
 

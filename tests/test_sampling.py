@@ -3,7 +3,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from cohortac.operators.sampling import cap_per_contig, smallest_k_per_group, subsample_per_contig
+from cohortac.operators.sampling import cap_per_contig, leading_bits, smallest_k_per_group, subsample_per_contig
 from cohortac.sources.projection import genotypes_from_tables
 from helpers import SF001
 
@@ -23,7 +23,7 @@ def test_smallest_k_multi_level(spark):
     k = g.groupBy("contig").agg((F.count(F.lit(1)) / 3).cast("long").alias("k"))
     tb = ["pos", "l_orderkey", "l_linenumber", "l_partkey"]
     # tiny bucket count and boundary bound force several refinement levels
-    got = smallest_k_per_group(g, ["contig"], "key", tb, k, buckets=4, max_boundary_rows=3, max_levels=6, max_window_rows=0)
+    got = smallest_k_per_group(g, ["contig"], "key", tb, k, bits=1, buckets=4, max_boundary_rows=3, max_levels=6)
     assert same(got, brute(g, ["contig"], "key", tb, k))
 
 
@@ -32,7 +32,7 @@ def test_heavy_ties_on_key(spark):
     g = g.withColumn("key", F.lit(7).cast("long"))  # one key value for everything
     k = g.groupBy("contig").agg(F.lit(10).cast("long").alias("k"))
     tb = ["l_orderkey", "l_linenumber", "l_partkey"]
-    got = smallest_k_per_group(g, ["contig"], "key", tb, k, buckets=16, max_boundary_rows=2, max_window_rows=0)
+    got = smallest_k_per_group(g, ["contig"], "key", tb, k, bits=2, buckets=16, max_boundary_rows=2)
     assert same(got, brute(g, ["contig"], "key", tb, k))
 
 
@@ -70,7 +70,7 @@ def test_cap_hot_position_is_split(spark):
         g.withColumn("_key", F.col("pos").cast("long") * F.lit(1 << TIE_BITS) + tie),
         ["contig"], "_key", [c for c in cols if c != "pos"],
         g.groupBy("contig").agg(F.lit(40).cast("long").alias("k")),
-        buckets=16, max_boundary_rows=5, max_levels=8, max_window_rows=0,
+        bits=3, buckets=16, max_boundary_rows=5, max_levels=8,
     ).drop("_key")
     w = Window.partitionBy("contig").orderBy(tie, "l_orderkey", "l_linenumber", "l_partkey")
     want = g.withColumn("r", F.row_number().over(w)).where("r <= 40").drop("r")
@@ -81,11 +81,11 @@ def test_groups_of_identical_copies(spark):
     g = genotypes_from_tables(spark, SF001).select("contig").withColumn("key", F.lit(5).cast("long"))
     g = g.unionByName(g).unionByName(g)  # every contig: many identical rows
     k = g.groupBy("contig").agg((F.count(F.lit(1)) - 7).alias("k"))
-    got = smallest_k_per_group(g, ["contig"], "key", [], k, buckets=8, max_boundary_rows=1, max_window_rows=0)
+    got = smallest_k_per_group(g, ["contig"], "key", [], k, bits=1, buckets=8, max_boundary_rows=1)
     assert same(got, brute(g, ["contig"], "key", [], k))
 
 
-def test_direct_window_path_for_small_groups(spark):
+def test_default_settings(spark):
     g = genotypes_from_tables(spark, SF001, keep_keys=True).select("contig", "pos", "l_orderkey", "l_linenumber", "l_partkey")
     g = g.withColumn("key", ((F.col("l_orderkey") * 31 + F.col("l_partkey")) % 997).cast("long"))
     k = g.groupBy("contig").agg((F.count(F.lit(1)) / 3).cast("long").alias("k"))
@@ -93,11 +93,31 @@ def test_direct_window_path_for_small_groups(spark):
     assert same(smallest_k_per_group(g, ["contig"], "key", tb, k), brute(g, ["contig"], "key", tb, k))
 
 
-def test_same_rows_by_either_path(spark):
-    """Which of the rows with one key are taken does not depend on the size of the group."""
+def test_same_rows_at_any_bucket_width(spark):
+    """Which of the rows with one key are taken does not depend on how the keys are cut."""
     df = spark.createDataFrame([("g", 7, 1, d) for d in (3, 0, 2, 1)], "g string, k long, pos int, dp int")
     k = spark.createDataFrame([("g", 2)], "g string, k long")
-    got = [
-        sorted(r.dp for r in smallest_k_per_group(df, ["g"], "k", ["pos"], k, max_window_rows=n).collect()) for n in (0, 1_000_000)
-    ]
+    got = [sorted(r.dp for r in smallest_k_per_group(df, ["g"], "k", ["pos"], k, bits=n, max_boundary_rows=m).collect()) for n, m in ((1, 1), (12, 1_000_000))]
     assert got == [[0, 1], [0, 1]]
+
+
+def test_buckets_keep_the_order_of_the_keys(spark):
+    keys = sorted({0, 1, 2, 3, 7, 8, 9, 4095, 4096, 8191, 8192, 8193, 10**6, 10**6 + 200, 2**40, 2**62, 2**63 - 1})
+    df = spark.createDataFrame([(k,) for k in keys], "k long")
+    for bits in (1, 4, 12):
+        got = [r[0] for r in df.select(leading_bits("k", bits)[0]).collect()]
+        assert got == sorted(got) and len(set(got)) > bits
+
+
+def test_the_input_is_read_twice(spark):
+    """However large a group is: counted once, picked once."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    df = spark.range(0, 5000, 1, 4).selectExpr("concat('chr', id % 2) AS contig", "CAST(id % 700 AS int) AS pos", "id").mapInPandas(count, "contig string, pos int, id long")
+    assert cap_per_contig(df, cap=300).count() == 600 and seen.value == 10_000
+    assert subsample_per_contig(df, replicas=2).count() == 2 * 1250 and seen.value == 20_000
