@@ -38,7 +38,7 @@ from cohortac.plans import jobs
 from cohortac.plans.pipeline import count_dataset, count_sites, pile_for, samples_sex
 from cohortac.session import reliable_checkpoint, scratch_path, tune
 from cohortac.sources import tables
-from cohortac.sources.bgzf import make_header_files, register, write_bgzf_files
+from cohortac.sources.bgzf import make_header_files, write_bgzf_parts
 from cohortac.sources.projection import genotypes_from_tables
 from cohortac.sources.vcf import (
     call_fields,
@@ -46,10 +46,13 @@ from cohortac.sources.vcf import (
     file_label,
     header_contigs,
     header_samples,
+    in_file_order,
     input_files,
     is_supported_name,
     parse_sites,
+    read_vcf_lines,
     to_vcf_lines,
+    write_vcf_parts,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -470,16 +473,16 @@ def _pile(spark, sf_dir):
 
 
 def _vcf_folder(spark, sf_dir) -> str:
-    """The projected calls as one text file per center, in a folder of the shared scratch."""
+    """The projected calls as one text file per center, written in parts to the shared scratch."""
     path = scratch_path(spark, f"vcf_text_{uuid.uuid4().hex}")
-    _vcf_lines(spark, sf_dir).repartition("file").write.partitionBy("file").text(path)
+    write_vcf_parts(_vcf_lines(spark, sf_dir), path)
     return path
 
 
 def _count_job(spark, sf_dir, **kw) -> str:
     """The count job run on VCF files; the folder it wrote."""
     out = scratch_path(spark, f"count_{uuid.uuid4().hex}")
-    jobs.run_count(spark, [_vcf_folder(spark, sf_dir) + "/*/*.txt"], out, **kw)
+    jobs.run_count(spark, [_vcf_folder(spark, sf_dir)], out, **kw)
     return out
 
 
@@ -507,7 +510,7 @@ def q_count_job(spark, sf_dir):
 @query
 def q_count_job_overwrite(spark, sf_dir):
     """A second count into the same folder leaves nothing of the first one."""
-    vcf, out = _vcf_folder(spark, sf_dir) + "/*/*.txt", scratch_path(spark, f"count_{uuid.uuid4().hex}")
+    vcf, out = _vcf_folder(spark, sf_dir), scratch_path(spark, f"count_{uuid.uuid4().hex}")
     jobs.run_count(spark, [vcf], out, regions="chr1:1-5000,chr2", keep_pile=True)
     jobs.run_count(spark, [vcf], out)
     left = 1 if tables.exists(spark, tables.part(spark, out, "pile")) else 0
@@ -550,12 +553,10 @@ def q_result_sink(spark, sf_dir):
 
 @query
 def q_bgzf_scan(spark, sf_dir):
-    """The VCF text written as BGZF files named .vcf.gz and read in small splits."""
+    """The VCF text written as BGZF files in parts and read in small splits."""
     path = scratch_path(spark, f"bgzf_{uuid.uuid4().hex}")
-    written = write_bgzf_files(_vcf_lines(spark, sf_dir), path)
-    files = sorted(r.path for r in written.collect())  # one row per file
-    register(spark)
-    lines = spark.read.format("vcf_bgzf").option("paths", "\n".join(files)).option("splitBytes", "100000").load()
+    write_bgzf_parts(in_file_order(_vcf_lines(spark, sf_dir)), path).count()
+    lines = read_vcf_lines(spark, [path], split_bytes=100_000)
     s = parse_sites(lines.withColumn("file", F.regexp_extract("file", "([^/]*)$", 1)))
     return s.select(
         "file", "contig", "pos", "end", "ref",

@@ -295,13 +295,17 @@ def _bgzf_block(payload: bytes) -> bytes:
     return head + data + struct.pack("<II", zlib.crc32(payload), len(payload))
 
 
-def write_bgzf_files(lines: DataFrame, folder: str, block: int = 1 << 15) -> DataFrame:
-    """Write (file, value) lines as one BGZF file per ``file``, header lines first; gives the paths written.
-    A file is one task's stream, sorted on the way there; nothing of it is held whole."""
+def write_bgzf_parts(lines: DataFrame, folder: str, block: int = 1 << 15) -> DataFrame:
+    """Write (file, value) lines in file order (``in_file_order``) as one folder per file, of BGZF parts that
+    are numbered in that order; gives the paths written. BGZF blocks can be joined, so every task packs
+    the lines it has, and a file has as many parts as tasks. A part appears under its name only when it is whole; a task
+    that runs again writes the same one."""
 
     def write(batches):
         import pandas as pd
+        from pyspark import TaskContext
 
+        context = TaskContext.get()
         fs, root = _open(folder)
         fs.create_dir(root)
         name, out, held, done = None, None, b"", []
@@ -310,14 +314,20 @@ def write_bgzf_files(lines: DataFrame, folder: str, block: int = 1 << 15) -> Dat
             if out is not None:
                 out.write(_bgzf_block(held) + _bgzf_block(b"") if held else _bgzf_block(b""))
                 out.close()
+                part = f"{name}/part-{context.partitionId():05d}.bgz"
+                fs.move(beside(), f"{root}/{part}")
+                done.append(f"{folder}/{part}")
+
+        def beside():
+            return f"{root}/{name}/_part-{context.partitionId():05d}-{context.taskAttemptId()}"
 
         for batch in batches:
             for file, value in zip(batch["file"], batch["value"]):
                 if file != name:
                     close()
                     name, held = file, b""
-                    out = fs.open_output_stream(f"{root}/{file}", compression=None)
-                    done.append(f"{folder}/{file}")
+                    fs.create_dir(f"{root}/{name}")
+                    out = fs.open_output_stream(beside(), compression=None)
                 held += value.encode() + b"\n"
                 while len(held) >= block:
                     out.write(_bgzf_block(held[:block]))
@@ -325,10 +335,7 @@ def write_bgzf_files(lines: DataFrame, folder: str, block: int = 1 << 15) -> Dat
         close()
         yield pd.DataFrame({"path": done}, dtype=object)
 
-    v = lines["value"]
-    place = F.when(v.startswith("##fileformat"), 0).when(v.startswith("##"), 1).when(v.startswith("#"), 2).otherwise(3)
-    ordered = lines.withColumn("_place", place).repartition("file").sortWithinPartitions("file", "_place")
-    return ordered.select("file", "value").mapInPandas(write, "path string")
+    return lines.select("file", "value").mapInPandas(write, "path string")
 
 
 def make_header_files(names: DataFrame, folder: str) -> DataFrame:

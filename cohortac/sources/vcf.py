@@ -17,6 +17,8 @@ from cohortac.functions.genotype import gt_text, parse_float_as_int, parse_gt, p
 
 _EXT_ALTERNATION = "|".join(e.replace(".", r"\.") for e in SUPPORTED_EXTENSIONS)
 _EXT_REGEX = f"({_EXT_ALTERNATION})$"
+# A part of a file that is a directory.
+_PART = r"^(.*\.vcf(?:\.gz|\.bgz)?)/[^/]*$"
 
 
 # ---------------------------------------------------------------- input files
@@ -37,6 +39,9 @@ def input_files(spark: SparkSession, paths: list[str]) -> DataFrame:
     """(path, length) of the inputs, each once: a directory gives its direct children with an accepted
     extension, a file is taken as is, a glob pattern is expanded and each match treated the same way.
 
+    A directory with the name of a VCF file (as Spark writes one) is one file in parts, whatever the names of
+    the parts; a directory of such directories gives all of them.
+
     The listing is a scan that reads no content. Paths of one depth are listed together: what lies at
     their own depth was named (or matched) itself, what lies one deeper is a directory's child. Empty
     files and hidden ones (``.`` or ``_`` first) are not listed.
@@ -51,7 +56,8 @@ def input_files(spark: SparkSession, paths: list[str]) -> DataFrame:
     for depth, names in sorted(depths.items()):
         listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(names).select("path", "length")
         below = F.length("path") - F.length(F.replace("path", F.lit("/"), F.lit(""))) - depth
-        taken = listed.where((below == 0) | ((below == 1) & is_supported_name("path")))
+        in_parts = F.col("path").rlike(_PART)
+        taken = listed.where((below == 0) | ((below == 1) & (is_supported_name("path") | in_parts)) | ((below == 2) & in_parts))
         found = taken if found is None else found.unionByName(taken)
     return spark.createDataFrame([], "path string, length long") if found is None else found.distinct()
 
@@ -63,7 +69,8 @@ def select_input_files(spark: SparkSession, paths: list[str]) -> list[str]:
 
 
 def read_vcf_lines(spark: SparkSession, paths: list[str], expand: bool = True, contigs: list[str] | None = None, split_bytes: int | None = None) -> DataFrame:
-    """All lines of the given VCF files as (file, value); file is the full path. With ``contigs`` only
+    """All lines of the given VCF files as (file, value); file is the full path (of a file in parts the
+    directory's). With ``contigs`` only
     header lines and the records of those contigs, dropped as early as the source allows."""
     from cohortac.sources.bgzf import DEFAULT_SPLIT_BYTES, register, sniffed
 
@@ -97,7 +104,7 @@ def read_vcf_lines(spark: SparkSession, paths: list[str], expand: bool = True, c
     for p in parts[1:]:
         out = out.unionByName(p)
     # A few small files, or plain gzip ones (which do not split), would leave most cores idle.
-    return ensure_parallelism(out)
+    return ensure_parallelism(out.withColumn("file", F.regexp_replace("file", _PART, "$1")))
 
 
 # ---------------------------------------------------------------- header
@@ -316,3 +323,19 @@ def to_vcf_lines(genotypes: DataFrame, samples: DataFrame) -> DataFrame:
     )
     fmt = names.select("file", F.lit("##fileformat=VCFv4.2").alias("value"))
     return fmt.unionByName(contigs).unionByName(chrom).unionByName(body)
+
+
+def in_file_order(lines: DataFrame) -> DataFrame:
+    """(file, value) lines range-partitioned and sorted as they stand in a file: header, then records by contig
+    and position. A file spreads over as many tasks as its size asks for."""
+    v = F.col("value")
+    place = F.when(v.startswith("##fileformat"), 0).when(v.startswith("##"), 1).when(v.startswith("#"), 2).otherwise(3)
+    fields = F.split(v, "\t", 3)
+    keyed = lines.select("file", "value", place.alias("_place"), F.get(fields, 0).alias("_contig"), parse_int(F.get(fields, 1)).alias("_pos"))
+    order = ["file", "_place", "_contig", "_pos", "value"]
+    return keyed.repartitionByRange(*order).sortWithinPartitions(*order).select("file", "value")
+
+
+def write_vcf_parts(lines: DataFrame, folder: str) -> None:
+    """Write (file, value) lines as text, one directory ``file=<name>`` of parts per file."""
+    in_file_order(lines).write.partitionBy("file").text(folder)

@@ -2,19 +2,22 @@
 
 import gzip
 import os
+import random
 
 from cohortac.operators.regions import region_overlap_scan
 from cohortac.plans.pipeline import Filters, count_dataset, count_sites
-from cohortac.sources.bgzf import _Batches, register
+from cohortac.sources.bgzf import _Batches, register, write_bgzf_parts
 from cohortac.sources.vcf import (
     header_contigs,
     header_samples,
+    in_file_order,
     input_files,
     parse_sites,
     read_vcf_genotypes,
     read_vcf_lines,
     select_input_files,
     sites_to_genotypes,
+    write_vcf_parts,
 )
 from helpers import vcf_text, write_bgzf, write_multimember_gzip
 
@@ -80,6 +83,35 @@ def test_plain_gzip_is_read_without_python(spark, tmp_path):
     assert sorted(r.value for r in plain.collect()) == sorted(r.value for r in blocks.collect())
 
 
+def test_files_in_parts(spark, tmp_path):
+    """A file written in parts (text or BGZF) is one file again when it is read, its header in the first part."""
+    rng = random.Random(4)
+    texts = {}
+    for name in ("one.vcf.gz", "two.vcf.bgz"):
+        body = "\n".join(f"chr{rng.randint(1, 3)} {rng.randint(1, 9999)} . A C . . . GT:DP 1/1:{k} 0/1:7 ./.:." for k in range(2000))
+        texts[name] = vcf_text(body, SAMPLES, ["chr2", "chrX"]).rstrip("\n").split("\n")
+    lines = spark.createDataFrame([(f, v) for f, t in texts.items() for v in t], "file string, value string").repartition(6)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_vcf_parts(lines, str(tmp_path / "text"))
+        paths = sorted(r.path for r in write_bgzf_parts(in_file_order(lines), str(tmp_path / "bgzf"), block=999).collect())
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(paths) > 4 and sum("one.vcf.gz" in p for p in paths) > 1  # no task has a whole file
+    whole = b"".join(open(p, "rb").read() for p in paths if "one.vcf.gz" in p)
+    joined = gzip.decompress(whole).decode().rstrip("\n").split("\n")  # blocks can be joined: the parts are the file
+    assert joined[:4] == texts["one.vcf.gz"][:1] + sorted(texts["one.vcf.gz"][1:3]) + texts["one.vcf.gz"][3:4] and sorted(joined) == sorted(texts["one.vcf.gz"])
+    for folder in ("text", "bgzf"):
+        got = read_vcf_lines(spark, [str(tmp_path / folder)], split_bytes=5000)
+        by = {}
+        for r in got.collect():
+            by.setdefault(os.path.basename(r.file).removeprefix("file="), []).append(r.value)
+        assert {f: sorted(v) for f, v in by.items()} == {f: sorted(t) for f, t in texts.items()}
+        assert sorted(r.sample_rank for r in header_samples(got).collect()) == [0, 0, 1, 1, 2, 2]
+        one = read_vcf_lines(spark, [str(tmp_path / folder / "*one.vcf.gz")])
+        assert one.select("file").distinct().count() == 1
+
+
 def test_all_formats_same_lines(spark, tmp_path):
     d, text = write_all(tmp_path)
     want = sorted(text.rstrip("\n").split("\n"))
