@@ -33,6 +33,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, In, In
 
 DEFAULT_SPLIT_BYTES = 64 * 1024 * 1024
 _MAGIC = b"\x1f\x8b\x08\x04"
+HEADER_BYTES = 18 + 64
 _SCHEMA = "file string, value string, contig string"
 PUSHDOWN = "spark.sql.python.filterPushdown.enabled"
 
@@ -109,7 +110,7 @@ class _BlockReader:
         if self.offset >= self.size:
             return None
         self.f.seek(self.offset)
-        head = self.f.read(18 + 64)
+        head = self.f.read(HEADER_BYTES)
         n = _block_size(head, 0)
         if n is None:
             raise ValueError(f"corrupt BGZF block at offset {self.offset}")
@@ -152,7 +153,7 @@ class _Reader(DataSourceReader):
         fs, p = _open(partition.path)
         with fs.open_input_file(p) as f:
             out = _Batches(partition.path, self.contigs)
-            if _block_size(f.read(18 + 64), 0) is None:
+            if _block_size(f.read(HEADER_BYTES), 0) is None:
                 if partition.start == 0:
                     yield from out.lines_of(_gzip_chunks(f))
                 yield from out.flush()
@@ -272,9 +273,29 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(VcfBgzfDataSource)
 
 
-def sniffed(files: DataFrame) -> DataFrame:
-    """Files (path, length) with ``bgzf``: whether the first bytes are a BGZF block's header. Every task
-    opens its own files and reads those bytes only."""
+FEW_FILES = 32
+
+
+def sniffed(files: DataFrame) -> list[tuple[str, int, bool]]:
+    """(path, length, whether the first bytes are a BGZF block's header) of files (path, length), a row
+    for each file as Spark's file index holds it too. Tasks open the files and read those bytes
+    only; a few files are looked at on the driver, which is sooner done than a Python worker started."""
+    spark = files.sparkSession
+    some = files.limit(FEW_FILES + 1).collect()
+    if len(some) > FEW_FILES:
+        return [(r.path, r.length, r.bgzf) for r in _sniffed_in_tasks(files).toLocalIterator()]
+    out = []
+    for r in some:
+        hp = spark._jvm.org.apache.hadoop.fs.Path(r.path)
+        stream = hp.getFileSystem(spark._jsc.hadoopConfiguration()).open(hp)
+        try:
+            out.append((r.path, r.length, _block_size(bytes(stream.readNBytes(HEADER_BYTES)), 0) is not None))
+        finally:
+            stream.close()
+    return out
+
+
+def _sniffed_in_tasks(files: DataFrame) -> DataFrame:
 
     def look(batches):
         for batch in batches:
@@ -282,7 +303,7 @@ def sniffed(files: DataFrame) -> DataFrame:
             for path in batch["path"]:
                 fs, p = _open(path)
                 with fs.open_input_file(p) as f:
-                    found.append(_block_size(f.read(18 + 64), 0) is not None)
+                    found.append(_block_size(f.read(HEADER_BYTES), 0) is not None)
             yield batch.assign(bgzf=found)
 
     return files.mapInPandas(look, "path string, length long, bgzf boolean")

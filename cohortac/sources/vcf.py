@@ -81,7 +81,7 @@ def read_vcf_lines(spark: SparkSession, paths: list[str], expand: bool = True, c
         files = spark.createDataFrame([(str(p), None) for p in paths], "path string, length long")
     zipped = F.col("path").endswith(".gz")
     named = [(r.path, r.length, r.path.endswith(".bgz")) for r in files.where(~zipped).toLocalIterator()]
-    sniff = [(r.path, r.length, r.bgzf) for r in sniffed(files.where(zipped)).toLocalIterator()]
+    sniff = sniffed(files.where(zipped))
     text, blocks = [], []
     for path, length, bgzf in sorted(named + sniff, key=lambda f: f[0]):
         if path.endswith(".bcf"):

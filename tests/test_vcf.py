@@ -6,6 +6,7 @@ import random
 
 from cohortac.operators.regions import region_overlap_scan
 from cohortac.plans.pipeline import Filters, count_dataset, count_sites
+from cohortac.sources import bgzf
 from cohortac.sources.bgzf import _Batches, register, write_bgzf_parts
 from cohortac.sources.vcf import (
     header_contigs,
@@ -81,6 +82,12 @@ def test_plain_gzip_is_read_without_python(spark, tmp_path):
     assert "FileScan text" in plan(plain) and "vcf_bgzf" not in plan(plain) and "Python" not in plan(plain)
     assert "vcf_bgzf" in plan(blocks) and "FileScan text" not in plan(blocks)
     assert sorted(r.value for r in plain.collect()) == sorted(r.value for r in blocks.collect())
+    many = tmp_path / "many"
+    many.mkdir()
+    for k in range(bgzf.FEW_FILES + 3):  # so many are looked at by tasks
+        (write_bgzf if k % 2 else write_multimember_gzip)(many / f"{k}.vcf.gz", text[:500])
+    found = bgzf.sniffed(input_files(spark, [str(many)]))
+    assert sorted((int(os.path.basename(p).split(".")[0]), b) for p, _, b in found) == [(k, k % 2 == 1) for k in range(bgzf.FEW_FILES + 3)]
 
 
 def test_files_in_parts(spark, tmp_path):
