@@ -1,82 +1,130 @@
 """Stupid-backoff language-model scores, computed with joins and sums.
 
-The score of a word after its history is the relative frequency of the longest n-gram (up to
-``order`` words) that the corpus has at least ``min_count`` times, times ``backoff`` for every
-order given up; one-word frequencies have no lower bound on their count. A document's score is
-the sum of the logarithms over its words.
-
-An n-gram that occurs often enough has suffixes that do too. So the sum can be taken order by order:
-
-    score = sum over words of      log freq(word) + log(backoff) * (orders its history allows)
-          + sum over n-grams n > 1 in the table of  value(n-gram) - value(its suffix) - log(backoff)
-
-with value = log(count / count of its first n - 1 words), and a table of one weight per n-gram is
-all that the exploded n-grams are joined to. Count tables are partitioned by the hash of the
-n-gram; partial counts are taken before the shuffle. Words are keyed by their 64-bit hash. The
-exploded n-grams of an order are dealt out by their key once, for the counts and for the join; a hot
-key's rows are split by Spark's skewed-join handling.
-
-Words are what white space (0x20, 0x09-0x0D) leaves of the lower-cased text. Defined results: a text
-without words (null, empty) has 0 words and score null; rows that repeat an id are summed together as
-one document; rows without an id are one document with a null id.
+Every document is scored by the corpus without itself: c'(gram) is the number of times all other
+documents have an n-gram. The score of a word after its history is c'(n-gram) / c'(its first n - 1 words)
+for the longest n-gram of up to ``order`` words with c' > 0, times ``backoff`` for every order given up; one-word
+frequencies are c'(word) / (all words of the others), at least one word each. A document's score is the sum of the
+logarithms over its words.
+
+The n-grams of all orders are exploded once for each document that has them, with their number there. Their counts
+are aggregated by n-gram (partial sums before the shuffle) into a table partitioned by its hash. An n-gram that one
+document alone has gives c' = 0 there and is asked for nowhere else, so the table keeps those of two documents or
+more; nothing that a score depends on is left out. The exploded n-grams are joined to the table (a hot n-gram's rows are split by
+Spark's skewed-join handling), what is found goes back to its document and is summed there. A document's own
+n-grams are all that meets in one place.
+
+N-grams are keyed by 64-bit hashes of their words' hashes. Words are what white space (0x20, 0x09-0x0D) leaves of the
+lower-cased text. Defined results: a text without words (null, empty) has 0 words and score null; a very long
+text is scored whole; every row is a document of its own for c', and rows that repeat an id are summed together,
+as are rows without an id; an empty table gives no rows. Columns beside id and text are not read, whatever their
+names.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortac.llm.shared import written
 
-ORDER = 2
+ORDER = 3
 BACKOFF = 0.4
-MIN_COUNT = 2
+ROWS = 1 << 20  # exploded rows handed back at a time
 
 
 def words(text):
     return F.filter(F.split(F.lower(text), "[ \\t\\n\\x0B\\f\\r]+"), lambda w: w != "")
 
 
-def scores(docs: DataFrame, id: str = "doc_id", text: str = "text", order: int = ORDER, backoff: float = BACKOFF, min_count: int = MIN_COUNT) -> DataFrame:
-    """id, n_words, score (sum of natural logarithms; null without words)."""
-    hashed = docs.select(docs[id].alias("id"), F.transform(words(docs[text]), lambda w: F.xxhash64(w)).alias("w"))
-    lengths = hashed.select("id", F.coalesce(F.size("w"), F.lit(0)).cast("long").alias("n"))
-    total = lengths.agg(F.sum("n")).first()[0] or 0
-    log_backoff = math.log(backoff)
-
-    grams = [hashed.select("id", F.explode("w").alias("g"))]
-    weights = written(grams[0].groupBy("g").agg(F.count(F.lit(1)).alias("c")), "words").select(
-        "g", "c", F.log(F.col("c") / float(max(total, 1))).alias("value")
-    )
-    parts = [grams[0].join(weights.select("g", F.col("value").alias("weight")), "g").groupBy("id").agg(F.sum("weight").alias("part"))]
-    lower = weights
+def gram_keys(w: np.ndarray, order: int) -> list[np.ndarray]:
+    """Keys of the n-grams that start at every place, for n = 1 to ``order``: of the first n - 1 words and the last n - 1."""
+    keys = [w.astype(np.uint64)]
     for n in range(2, order + 1):
-        # An n-gram's key is the hash of its first n - 1 words' key and its last n - 1 words' key.
-        def key(start, size):
-            if size == 1:
-                return F.get("w", start)
-            return F.xxhash64(key(start, size - 1), key(start + 1, size - 1))
-
-        places = F.sequence(F.lit(0), F.size("w") - n)
-        pair = F.transform(places, lambda i: F.struct(key(i, n - 1).alias("head"), key(i + 1, n - 1).alias("tail")))
-        exploded = hashed.where(F.size("w") >= n).select("id", F.explode(pair).alias("p")).select("id", "p.head", "p.tail")
-        counts = written(exploded.groupBy("head", "tail").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= min_count), "grams")
-        heads = lower.select(F.col("g").alias("head"), F.col("c").alias("head_c"))
-        tails = lower.select(F.col("g").alias("tail"), F.col("value").alias("tail_value"))
-        table = counts.join(heads, "head").join(tails, "tail").withColumn("value", F.log(F.col("c") / F.col("head_c")))
-        table = written(table.select(F.xxhash64("head", "tail").alias("g"), "c", "value", (F.col("value") - F.col("tail_value") - log_backoff).alias("weight")), "weights")
-        here = exploded.select("id", F.xxhash64("head", "tail").alias("g"))
-        parts.append(here.join(table.select("g", "weight"), "g").groupBy("id").agg(F.sum("weight").alias("part")))
-        lower = table
-    # Words whose history allows k more orders are docked k times; the n-grams found give it back.
-    allowed = sum((F.greatest(F.col("n") - k, F.lit(0)) for k in range(1, order)), F.lit(0)).cast("double")
-    parts.append(lengths.select("id", (allowed * log_backoff).alias("part")))
-    summed = parts[0]
-    for part in parts[1:]:
-        summed = summed.unionByName(part)
-    summed = summed.groupBy("id").agg(F.sum("part").alias("score"))
-    sizes = lengths.groupBy("id").agg(F.sum("n").alias("n_words"))
-    joined = sizes.join(summed.withColumnRenamed("id", "_id"), F.col("id").eqNullSafe(F.col("_id")), "left")
-    return joined.select(F.col("id").alias(id), "n_words", F.when(F.col("n_words") > 0, F.col("score")).alias("score"))
+        head, tail = keys[-1][:-1], keys[-1][1:]
+        x = head * np.uint64(0x9E3779B97F4A7C15) + ((tail << np.uint64(31)) | (tail >> np.uint64(33))) * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(n)
+        x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        keys.append(x ^ (x >> np.uint64(32)))
+    return keys
+
+
+def _lists(column: pa.Array) -> Iterator[np.ndarray]:
+    values, ends = column.flatten().to_numpy(zero_copy_only=False), np.cumsum([0, *column.value_lengths().fill_null(0).to_pylist()])
+    for a, b in zip(ends[:-1].tolist(), ends[1:].tolist()):
+        yield values[a:b]
+
+
+def exploded(docs: DataFrame, order: int) -> DataFrame:
+    """(doc, g, f): every document's different n-grams of all orders with their number in it."""
+
+    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def rows() -> pa.RecordBatch:
+            doc, g, f = (np.concatenate(part) for part in zip(*held))
+            return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(g.view(np.int64)), pa.array(f)], names=["doc", "g", "f"])
+
+        for batch in batches:
+            for doc, w in zip(batch.column("doc").to_pylist(), _lists(batch.column("w"))):
+                for keys in gram_keys(w, order):
+                    g, f = np.unique(keys, return_counts=True)
+                    held.append((np.full(len(g), doc, np.int64), g, f.astype(np.int32)))
+                    size += len(g)
+                if size > ROWS:
+                    yield rows()
+                    held, size = [], 0
+        if held:
+            yield rows()
+
+    return docs.select("doc", "w").mapInArrow(explode, "doc long, g long, f int")
+
+
+def document_score(w: np.ndarray, g: np.ndarray, c: np.ndarray, others: int, order: int, backoff: float) -> float:
+    """Sum of the logarithms over the words, from the n-grams (g, c') that other documents have too."""
+    at = np.argsort(g.view(np.uint64))
+    g, c = g.view(np.uint64)[at], c[at]
+
+    def count(keys):
+        place = np.minimum(np.searchsorted(g, keys), max(len(g) - 1, 0))
+        return np.where(g[place] == keys, c[place], 0) if len(g) else np.zeros(len(keys), np.int64)
+
+    counts = [count(k) for k in gram_keys(w, order)]
+    score = np.log(np.maximum(counts[0], 1) / max(others, 1))
+    for n in range(2, order + 1):
+        found, head = counts[n - 1], counts[n - 2][: len(w) - n + 1]
+        later = score[n - 1 :]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            score[n - 1 :] = np.where(found > 0, np.log(found / head), later + math.log(backoff))
+    return float(score.sum())
+
+
+def scores(docs: DataFrame, id: str = "doc_id", text: str = "text", order: int = ORDER, backoff: float = BACKOFF) -> DataFrame:
+    """id, n_words, score (sum of natural logarithms; null without words)."""
+    id_type = docs.schema[id].dataType.simpleString()
+    numbered = written(docs.select(F.monotonically_increasing_id().alias("doc"), docs[id].alias("id"), docs[text].alias("text")), "numbered")
+    hashed = numbered.select("doc", "id", F.transform(words(F.col("text")), lambda w: F.xxhash64(w)).alias("w"))
+    texts = hashed.where(F.size("w") > 0)
+    total = texts.agg(F.sum(F.size("w"))).first()[0] or 0
+    grams = exploded(texts, order)
+    shared = grams.groupBy("g").agg(F.sum("f").alias("c"), F.count(F.lit(1)).alias("docs")).where("docs > 1")
+    shared = written(shared.select("g", "c"), "grams")
+    found = grams.join(shared, "g").select("doc", "g", (F.col("c") - F.col("f")).alias("c"))
+    found = found.groupBy(F.col("doc").alias("_doc")).agg(F.collect_list("g").alias("g"), F.collect_list("c").alias("c"))
+    none = F.array().cast("array<bigint>")
+    both = texts.join(found, F.col("doc") == F.col("_doc"), "left").select("id", "w", F.coalesce("g", none).alias("g"), F.coalesce("c", none).alias("c"))
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(*(_lists(batch.column(k)) for k in ("w", "g", "c")))
+            done = [(len(w), document_score(w, g, c, total - len(w), order, backoff)) for w, g, c in rows]
+            n, s = [d[0] for d in done], [d[1] for d in done]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(n, pa.int64()), pa.array(s, pa.float64())], names=["id", "n_words", "score"])
+
+    scored = both.mapInArrow(score, f"id {id_type}, n_words long, score double")
+    empty = hashed.where(F.coalesce(F.size("w"), F.lit(0)) <= 0).select("id", F.lit(0).cast("long").alias("n_words"), F.lit(None).cast("double").alias("score"))
+    summed = scored.unionByName(empty).groupBy("id").agg(F.sum("n_words").alias("n_words"), F.sum("score").alias("score"))
+    return summed.withColumnRenamed("id", id)

@@ -180,18 +180,28 @@ WITH d AS (
     FROM documents
 ), n AS (
     SELECT doc_id, CAST(sum(len(w)) AS BIGINT) AS n_words FROM d GROUP BY doc_id
+), total AS (
+    SELECT sum(n_words) AS t FROM n
 ), occ AS (
-    SELECT doc_id, w[i] AS word, CASE WHEN i > 1 THEN w[i - 1] END AS before FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d)
-), c1 AS (
-    SELECT word, count(*) AS c FROM occ GROUP BY word
-), c2 AS (
-    SELECT before, word, count(*) AS c FROM occ WHERE before IS NOT NULL GROUP BY before, word HAVING count(*) >= 2
+    SELECT doc_id, i, w[i] AS w1, CASE WHEN i > 1 THEN w[i - 1] END AS w2, CASE WHEN i > 2 THEN w[i - 2] END AS w3
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d)
+), g1 AS (  -- of each document's n-grams: how often all other documents have them
+    SELECT doc_id, w1, sum(count(*)) OVER (PARTITION BY w1) - count(*) AS c FROM occ GROUP BY doc_id, w1
+), g2 AS (
+    SELECT doc_id, w2, w1, sum(count(*)) OVER (PARTITION BY w2, w1) - count(*) AS c FROM occ WHERE i > 1 GROUP BY doc_id, w2, w1
+), g3 AS (
+    SELECT doc_id, w3, w2, w1, sum(count(*)) OVER (PARTITION BY w3, w2, w1) - count(*) AS c FROM occ WHERE i > 2 GROUP BY doc_id, w3, w2, w1
 ), scored AS (
     SELECT o.doc_id, CASE
-        WHEN o.before IS NULL THEN ln(a.c / (SELECT CAST(sum(n_words) AS DOUBLE) FROM n))
-        WHEN p.c IS NOT NULL THEN ln(p.c / CAST(b.c AS DOUBLE))
-        ELSE ln(0.4) + ln(a.c / (SELECT CAST(sum(n_words) AS DOUBLE) FROM n)) END AS s
-    FROM occ o JOIN c1 a ON a.word = o.word LEFT JOIN c1 b ON b.word = o.before LEFT JOIN c2 p ON p.before = o.before AND p.word = o.word
+        WHEN t.c > 0 THEN ln(CAST(t.c AS DOUBLE) / CAST(bh.c AS DOUBLE))
+        WHEN b.c > 0 THEN ln(CAST(b.c AS DOUBLE) / CAST(uh.c AS DOUBLE)) + CASE WHEN o.i > 2 THEN ln(0.4) ELSE 0 END
+        ELSE ln(CAST(greatest(u.c, 1) AS DOUBLE) / CAST(greatest(total.t - n.n_words, 1) AS DOUBLE)) + least(o.i - 1, 2) * ln(0.4) END AS s
+    FROM occ o JOIN n ON n.doc_id = o.doc_id CROSS JOIN total
+    JOIN g1 u ON u.doc_id = o.doc_id AND u.w1 = o.w1
+    LEFT JOIN g1 uh ON uh.doc_id = o.doc_id AND uh.w1 = o.w2
+    LEFT JOIN g2 b ON b.doc_id = o.doc_id AND b.w2 = o.w2 AND b.w1 = o.w1
+    LEFT JOIN g2 bh ON bh.doc_id = o.doc_id AND bh.w2 = o.w3 AND bh.w1 = o.w2
+    LEFT JOIN g3 t ON t.doc_id = o.doc_id AND t.w3 = o.w3 AND t.w2 = o.w2 AND t.w1 = o.w1
 )
 SELECT n.doc_id, n.n_words, round(t.s / n.n_words, 4) AS mean_log_score
 FROM n LEFT JOIN (SELECT doc_id, sum(s) AS s FROM scored GROUP BY doc_id) t ON t.doc_id = n.doc_id

@@ -141,28 +141,37 @@ def test_op7_query(spark):
         assert r.n_words == want[r.doc_id][0] and r.mean_log_score == pytest.approx(want[r.doc_id][1], abs=2e-4)
 
 
-@pytest.mark.parametrize("order", [1, 2, 3])
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
 def test_op7_orders(spark, order):
-    docs = [(1, "a b a b a c"), (2, "A  b\tc c"), (3, ""), (4, None), (5, "z"), (6, "a b c d"), (6, "d"), (None, "a b")]
+    """Every row is scored by all others; an n-gram that they have once counts."""
+    docs = [(1, "a b a b a c"), (2, "A  b\tc c"), (3, ""), (4, None), (5, "z"), (6, "a b c d"), (6, "d"), (7, "q c c d q"), (None, "a b"), (None, "a b"), (8, "long q " * 30_000)]
     found = {r.doc_id: r for r in lm_score.scores(spark.createDataFrame([(*d, "x") for d in docs], "doc_id long, text string, score string"), order=order).collect()}
-    texts = [(i, (t or "").lower().split()) for i, t in docs]
-    counts = {}
-    for _, w in texts:
+    rows = [(i, (t or "").lower().split()) for i, t in docs]
+
+    def grams(w):
+        counts = {}
         for n in range(1, order + 1):
             for i in range(len(w) - n + 1):
                 counts[tuple(w[i : i + n])] = counts.get(tuple(w[i : i + n]), 0) + 1
-    total = sum(len(w) for _, w in texts)
+        return counts
+
+    own, everywhere = [grams(w) for _, w in rows], {}
+    for counts in own:
+        for g, c in counts.items():
+            everywhere[g] = everywhere.get(g, 0) + c
+    total = sum(len(w) for _, w in rows)
     want = {}
-    for id_, w in texts:
+    for (id_, w), mine in zip(rows, own):
+        other = lambda g: everywhere[g] - mine[g]  # noqa: E731, B023
         s = want.setdefault(id_, [0, 0.0])
         for i in range(len(w)):
             s[0] += 1
             for n in range(min(order, i + 1), 0, -1):
                 gram = tuple(w[i + 1 - n : i + 1])
                 if n == 1:
-                    s[1] += math.log(counts[gram] / total)
-                elif counts[gram] >= 2:
-                    s[1] += math.log(counts[gram] / counts[gram[:-1]])
+                    s[1] += math.log(max(other(gram), 1) / (total - len(w)))
+                elif other(gram):
+                    s[1] += math.log(other(gram) / other(gram[:-1]))
                     break
                 else:
                     s[1] += math.log(lm_score.BACKOFF)
