@@ -10,7 +10,7 @@ from cohortac.llm.shared import written
 
 
 def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b")), F.sum("b")).first())
+    return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b")), F.sum(F.col("b").cast("decimal(38,0)"))).first())
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -334,3 +334,13 @@ def test_hot_anchor_is_spread(spark, monkeypatch):
             assert got == covered
         largest[hot] = [max(x.where("part is not null").groupBy("h").agg(F.countDistinct("part").alias("n")).agg(F.max("n")).first()) for x in dealt]
     assert largest[10**9] == [] and largest[3][0] <= 3
+
+
+def test_components_of_large_labels(spark):
+    """Labels are any 64-bit numbers (fingerprints): nothing overflows."""
+    far = 2**62
+    chain = [(far + k, far + k + 1) for k in range(40)] + [(-far - k, -far - k - 1) for k in range(40)] + [(2**63 - 1, -(2**63))]
+    edges = spark.createDataFrame(chain, "a long, b long")
+    got = {r.node: r.component for r in components(edges).collect()}
+    want = {far + k: far for k in range(1, 41)} | {-far - k: -far - 40 for k in range(40)} | {2**63 - 1: -(2**63)}
+    assert got == want
