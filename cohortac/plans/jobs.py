@@ -140,6 +140,8 @@ def run_count(
 def run_finalize(spark: SparkSession, in_dir: str, out_dir: str) -> None:
     """The 'finalize' step: AN, DP mean/std per variant, variants without counted alleles dropped."""
     tune(spark)
+    if in_dir.rstrip("/") == out_dir.rstrip("/"):
+        raise ValueError("the result would replace the counts it is made from; give it a folder of its own")
     info = tables.read_dataset_info(spark, in_dir)
     result = finalize(tables.read_counts(spark, in_dir), info)
     tables.write_result(result, info, out_dir)

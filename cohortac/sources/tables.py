@@ -18,6 +18,7 @@ same way, with ``result/region=<r>/`` in place of samples and counts.
 from __future__ import annotations
 
 import os
+import re
 import uuid
 from collections.abc import Callable
 
@@ -123,7 +124,7 @@ def write_version(spark: SparkSession, out_dir: str, write: Callable[[str], set[
     hp, fs = _fs(spark, out_dir)
     for status in fs.listStatus(hp):
         name = status.getPath().getName()
-        if name.startswith("v-") and name != version and name not in kept:
+        if re.fullmatch("v-[0-9a-f]{32}", name) and name != version and name not in kept:
             remove_path(spark, _p(out_dir, name))
 
 

@@ -237,6 +237,8 @@ def test_broken_count_leaves_the_old_dataset(spark, tmp_path, monkeypatch):
         tables.read_counts(spark, str(tmp_path / "first"))
     jobs.run_count(spark, [str(p)], out, regions="chr2")
     assert [r[0] for r in count_rows(spark, out)] == ["chr2"]
+    with pytest.raises(ValueError, match="folder of its own"):
+        jobs.run_finalize(spark, out, out)
 
 
 def test_merge_plan_does_not_grow_with_the_centers(spark, tmp_path):
