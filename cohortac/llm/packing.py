@@ -9,7 +9,8 @@ bounded list of steps; each document finds its step by its rank among the docume
 length, in a map over the documents.
 
 Ranks are dealt out without bringing a length together in one task: documents of a length
-are spread over ``SALTS`` groups, which start at the running totals of their counts.
+are spread over groups of about ``GROUP_ROWS``, which start at the running totals of their
+counts. The driver gets one count for each group.
 
 Defined results: null text is empty; an empty document has the end token alone; a document
 longer than the capacity is cut so that only its first piece may be shorter; repeated rows
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 from cohortac.llm.pieces import splitter
 from cohortac.llm.shared import free_name, written
 
-SALTS = 64
+GROUP_ROWS = 1 << 18
 MEMO_PIECES = 600_000
 
 
@@ -135,22 +136,26 @@ def assign(pieces: DataFrame, capacity: int, key: list[str], length: str = "leng
     ``key`` identifies a piece; lengths are 1 to ``capacity``.
     """
     salt, rank, start = free_name(pieces, "_salt"), free_name(pieces, "_rank"), free_name(pieces, "_start")
-    salted = pieces.withColumn(salt, F.pmod(F.xxhash64(*key), F.lit(SALTS)))
-    groups = salted.groupBy(length, salt).agg(F.count(F.lit(1)).alias(start))
-    # At most capacity x SALTS rows.
-    sizes = [(r[0], r[1], r[2]) for r in groups.collect()]
-    histogram: dict[int, int] = {}
-    starts = np.zeros((capacity + 1, SALTS), np.int64)
-    for n, s, count in sorted(sizes):
-        starts[n, s] = histogram.get(n, 0)
-        histogram[n] = histogram.get(n, 0) + count
+    histogram = {r[0]: r[1] for r in pieces.groupBy(length).agg(F.count(F.lit(1))).collect()}  # at most ``capacity`` rows
+    groups = np.ones(capacity + 1, np.int64)  # of each length
+    for n, count in histogram.items():
+        groups[n] = -(-count // GROUP_ROWS)
+    n_groups = F.element_at(F.lit(groups.tolist()), F.col(length).cast("int") + 1)
+    salted = pieces.withColumn(salt, F.pmod(F.xxhash64(*key), n_groups))
+    # One row a group: at most ``capacity`` and one for every GROUP_ROWS pieces.
+    sizes = salted.groupBy(length, salt).agg(F.count(F.lit(1)).alias(start)).collect()
+    opens = np.cumsum(groups) - groups  # the first group of each length in ``starts``
+    starts, running = np.zeros(int(groups.sum()), np.int64), dict.fromkeys(histogram, 0)
+    for n, s, count in sorted((r[0], r[1], r[2]) for r in sizes):
+        starts[opens[n] + s] = running[n]
+        running[n] += count
     plan = plan_bins(histogram, capacity)
     ranked = salted.withColumn(rank, F.row_number().over(Window.partitionBy(length, salt).orderBy(*key)) - 1)
 
     @F.pandas_udf("sequence_id long, offset long")
     def place(lengths: pd.Series, salts: pd.Series, ranks: pd.Series) -> pd.DataFrame:
         n = lengths.to_numpy(np.int64)
-        bin_, offset = plan.place(n, starts[n, salts.to_numpy(np.int64)] + ranks.to_numpy(np.int64))
+        bin_, offset = plan.place(n, starts[opens[n] + salts.to_numpy(np.int64)] + ranks.to_numpy(np.int64))
         return pd.DataFrame({"sequence_id": bin_, "offset": offset})
 
     at = free_name(pieces, "_at")

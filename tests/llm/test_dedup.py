@@ -344,3 +344,15 @@ def test_components_of_large_labels(spark):
     got = {r.node: r.component for r in components(edges).collect()}
     want = {far + k: far for k in range(1, 41)} | {-far - k: -far - 40 for k in range(40)} | {2**63 - 1: -(2**63)}
     assert got == want
+
+
+def test_components_with_hubs_far_past_the_rest(spark, monkeypatch):
+    """Nodes with most of the edges take the broadcast way, all others the shuffled one."""
+    module = sys.modules[components.__module__]
+    monkeypatch.setattr(module, "FEW", 5)
+    pairs = [(3, 10_000 + k) for k in range(900)] + [(40_000 + k, 9) for k in range(700)] + [(10_450, 40_001)] + [(20_000 + k, 20_001 + k) for k in range(60)]
+    got = {r.node: r.component for r in components(spark.createDataFrame(pairs * 2, "a long, b long")).collect()}
+    nodes = sorted({x for p in pairs for x in p})
+    place = {x: i for i, x in enumerate(nodes)}
+    want = smallest_reachable(len(nodes), [(place[a], place[b]) for a, b in pairs])
+    assert {x: got.get(x, x) for x in nodes} == {x: nodes[r] for x, r in zip(nodes, want)}

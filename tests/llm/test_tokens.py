@@ -191,3 +191,18 @@ def test_op6_rows(spark):
     assert len({(r.sequence_id, r.offset) for r in repeated}) == len(repeated)
     empty = packing.pack(packing.token_pieces(no_documents(spark), BYTE_JSON, public_tokenizers.PATTERN, 64, 2), 64, ["doc_id", "piece"])
     assert empty.count() == 0
+
+
+def test_ranks_of_a_hot_length_are_dealt_over_many_groups(spark, monkeypatch):
+    monkeypatch.setattr(packing, "GROUP_ROWS", 100)
+    pieces = spark.range(6000).selectExpr("id AS doc_id", "0 AS piece", "CASE WHEN id % 3 > 0 THEN 10 ELSE id % 7 + 1 END AS length")
+    rows = packing.assign(pieces, 10, ["doc_id", "piece"]).collect()
+    bins = {}
+    for r in rows:
+        bins.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    rooms = []
+    for parts in bins.values():
+        parts.sort()
+        assert [o for o, _ in parts] == [sum(n for _, n in parts[:i]) for i in range(len(parts))]
+        rooms.append(10 - sum(n for _, n in parts))
+    assert len(rows) == 6000 and sorted(rooms) == best_fit([r.length for r in rows], 10)
