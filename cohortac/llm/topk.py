@@ -3,17 +3,20 @@
 Rows are dealt into shards and queries into blocks; each task has one shard and one block, so
 neither side is held whole anywhere. A shard's index has, for every dimension, postings
 segments of rows whose value lies in one quantised level. A query takes the segments of all
-dimensions in descending order of impact (the most they can add to a score) and adds each
-segment's lower bound to its rows. What is still to come is bounded for every row, so at any
-time the rows that could be among the best ``k`` are known: those whose upper bound reaches
-the ``k``-th best lower bound. The search stops early only when few such rows are left, which
-is a proof that no other row belongs; they are scored exactly. Without such a proof it goes
-through all segments and scores every possible member exactly, however many.
+dimensions in descending order of impact (what they add to a score above the least of their
+dimension), a run of them at a time. Two bounds hold for every row: its dimensions that are still
+to come add at most the next impact each, and quantising moved its score by at most the query's length
+times the length of what the row lost by it. So the rows that could be among the best ``k`` are
+known at any time: those whose upper bound reaches the least full score of the ``k`` rows that are
+ahead. The search stops early only when few such rows are left, which is a proof that no other row
+belongs; they are scored exactly. Without such a proof it goes through all segments and scores every possible member
+exactly, however many.
 
 Defined results: vectors that are null or hold null or non-finite components take no part,
 neither do rows without an id; only vectors of a query's length are its candidates; rows with
 the query's id are its own and are left out; equal scores rank by smaller id; repeated rows
-are candidates one by one; a query with fewer than ``k`` candidates gets them all.
+are candidates one by one, and repeated queries (same id and vector) are answered once; a query with
+fewer than ``k`` candidates gets them all; empty tables give no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -24,69 +27,72 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 SHARD_ROWS = 16_384
-QUERY_ROWS = 512
-LEVEL = 16
-RESCORE = 64
-CHECK_EVERY = 48
+QUERY_ROWS = 2048
+LEVEL = 4
+RUNS = 32
+RESCORE = 50
+FEWEST = 64
 
 
 class ImpactIndex:
-    """Postings segments of integer vectors by dimension and quantised value."""
+    """Postings segments of integer vectors by dimension and quantised value, as one list of rows.
+    A segment stands for its rows' values by its middle; ``off`` is the length of what each row
+    differs from its middles by."""
 
     def __init__(self, values: np.ndarray, level: int = LEVEL):
         self.values = values
-        rows, dims, low, high = [], [], [], []
-        for d in range(values.shape[1]):
-            column = values[:, d]
-            order = np.argsort(column, kind="stable")
-            cuts = np.flatnonzero(np.diff(column[order] // level)) + 1
-            for ids in np.split(order, cuts):
-                rows.append(ids)
-                dims.append(d)
-                low.append(column[ids[0]])
-                high.append(column[ids[-1]])
-        self.rows, self.dims = rows, np.array(dims, np.int64)
-        self.low, self.high = np.array(low, np.int64), np.array(high, np.int64)
-        self.starts = np.searchsorted(self.dims, np.arange(values.shape[1]))
+        n, n_dims = values.shape
+        order = np.argsort(values, axis=0, kind="stable")
+        ascending = np.take_along_axis(values, order, axis=0).T
+        self.rows = order.T.ravel()
+        opens = np.ones(ascending.shape, bool)
+        opens[:, 1:] = np.diff(ascending // level, axis=1) != 0
+        self.starts = np.flatnonzero(opens)
+        self.sizes = np.diff(np.append(self.starts, n * n_dims))
+        self.dims = self.starts // max(n, 1)
+        flat = ascending.ravel().astype(np.float64)
+        self.middle = (flat[self.starts] + flat[self.starts + self.sizes - 1]) / 2
+        apart = flat - np.repeat(self.middle, self.sizes)
+        self.off = np.sqrt(np.bincount(self.rows, apart * apart, n))
+        self.first = np.searchsorted(self.dims, np.arange(n_dims))
+        self.read = 0.0  # share of the postings that the last search read
 
     def possible(self, query: np.ndarray, k: int, own: np.ndarray) -> np.ndarray:
         """Rows that can be among the ``k`` best of ``query``; ``own`` rows are left out."""
-        n = len(self.values)
-        if n - len(own) <= k or not len(query):
+        n, n_dims = self.values.shape
+        if n - len(own) <= k or not n_dims:
             return np.setdiff1d(np.arange(n), own)
-        q = query[self.dims]
-        least, most = np.minimum(q * self.low, q * self.high), np.maximum(q * self.low, q * self.high)
-        base = np.minimum.reduceat(least, self.starts)[self.dims]
-        least, most = least - base, most - base  # impacts: nothing a segment adds is negative
-        # A row's true sum is at most its lower bounds plus the widths of its segments.
-        width = int(np.maximum.reduceat(most - least, self.starts).sum())
-        order = np.argsort(-most, kind="stable")
-        # to_come[t]: the most that segments after the first t can add to any one row.
-        to_come = self._to_come(order, most)
-        sums = np.zeros(n, np.int64)
-        for t, s in enumerate(order.tolist(), 1):
-            if least[s]:
-                sums[self.rows[s]] += least[s]
-            if t % CHECK_EVERY == 0 or t == len(order):
-                sums[own] = -1
-                kth = np.partition(sums, n - k)[n - k]
-                members = np.flatnonzero(sums + (width + to_come[t]) >= kth)
-                if t == len(order) or len(members) <= RESCORE:
-                    return members[~np.isin(members, own)]
-                sums[own] = 0
-        raise AssertionError
-
-    def _to_come(self, order: np.ndarray, most: np.ndarray) -> np.ndarray:
-        """After t segments of ``order``: the sum over dimensions of the largest impact left."""
-        out = np.zeros(len(order) + 1, np.int64)
-        left = np.zeros(self.values.shape[1], np.int64)
-        total = 0
-        for t in range(len(order) - 1, -1, -1):  # impacts grow towards the front
-            d = self.dims[order[t]]
-            total += int(most[order[t]] - left[d])
-            left[d] = most[order[t]]
-            out[t] = total
-        return out
+        q = query.astype(np.float64)
+        value = q[self.dims] * self.middle
+        base = np.minimum.reduceat(value, self.first)
+        impact = value - base[self.dims]  # nothing a segment adds is negative
+        order = np.argsort(-impact, kind="stable")
+        ends = np.cumsum(self.sizes[order])
+        runs = np.unique(np.append(np.searchsorted(ends, np.arange(1, RUNS) * (ends[-1] / RUNS)) + 1, len(order)))
+        # A row's score is its segments' values and at most this much more or less (with what rounding may add).
+        slack = 1e-12 * np.maximum.reduceat(np.abs(value), self.first).sum()
+        off = np.linalg.norm(q) * self.off + slack
+        sums, left, begun = np.zeros(n), np.full(n, n_dims), 0
+        few = max(FEWEST, n // RESCORE)
+        for end in runs.tolist():
+            run = order[begun:end]
+            sizes = self.sizes[run]
+            places = np.arange(sizes.sum()) + np.repeat(self.starts[run] - np.cumsum(sizes) + sizes, sizes)
+            rows = self.rows[places]
+            sums += np.bincount(rows, np.repeat(impact[run], sizes), n)
+            left -= np.bincount(rows, minlength=n)
+            # A row's dimensions that are still to come add at most the next impact each.
+            next_impact = impact[order[end]] if end < len(order) else 0.0
+            least, most = sums - off, sums + left * next_impact + off
+            least[own] = most[own] = -np.inf
+            # The k rows that are ahead, scored in full, bound the k-th best from below.
+            ahead = np.argpartition(least, n - k)[n - k :]
+            members = np.flatnonzero(most >= (self.values[ahead] @ q).min() - base.sum() - slack)
+            begun = end
+            if len(members) <= few:
+                break
+        self.read = float(ends[begun - 1] / ends[-1])
+        return members
 
 
 def search_cell(rows: pd.DataFrame, queries: pd.DataFrame, k: int) -> pd.DataFrame:

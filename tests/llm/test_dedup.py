@@ -356,3 +356,37 @@ def test_components_with_hubs_far_past_the_rest(spark, monkeypatch):
     place = {x: i for i, x in enumerate(nodes)}
     want = smallest_reachable(len(nodes), [(place[a], place[b]) for a, b in pairs])
     assert {x: got.get(x, x) for x in nodes} == {x: nodes[r] for x, r in zip(nodes, want)}
+
+
+def test_op3_leaves_past_the_sample_are_split_on(spark, monkeypatch):
+    """A sample far too small for the rows: leaves are split by trees of their own; links stay right."""
+    module, split = embedding_dedup, []
+    monkeypatch.setattr(module, "SAMPLE", 150)
+    monkeypatch.setattr(module, "LARGE", 2)
+    monkeypatch.setattr(module, "ROUTE_ROWS", 100)
+    plain = module.split_large
+    monkeypatch.setattr(module, "split_large", lambda routed, *a: split.append((routed, plain(routed, *a))) or split[0][1])
+    rows = clustered(2400, 32, 3)
+    n, root = plain_links(rows, 0.93)
+    found = {r.vec_id: r for r in module.near_duplicates(spark.createDataFrame([(*r, "", "") for r in rows], VECTORS), 0.93, leaf_rows=50).collect()}
+    assert all(found[i].n_links <= n[i] and found[i].component_id >= root[i] for i in range(len(rows)))
+    assert sum(r.n_links for r in found.values()) >= 0.9 * sum(n)
+    largest = [x.select(F.explode("leaves").alias("leaf")).groupBy("leaf").count().agg(F.max("count")).first()[0] for x in split[0]]
+    assert largest[0] > 100 >= (largest[1] or 0)
+
+
+def test_op3_tree_sizes_at_any_number_of_rows():
+    """Leaves of the first trees at 10 ** 8 rows, and of the trees that split those on."""
+    rng = np.random.default_rng(5)
+    n, dims = 10**8, 64
+    sample = embedding_dedup.unit(rng.standard_normal((embedding_dedup.SAMPLE, dims)))
+    margin, leaf = embedding_dedup.spread(0.93, dims), max(16, embedding_dedup.LEAF_ROWS * embedding_dedup.SAMPLE // n)
+    first = embedding_dedup.Tree()
+    first.grow(sample, leaf, margin, np.random.default_rng(0))
+    rows_a_leaf = np.bincount(first.route(sample)[1]).max() * n // len(sample)
+    assert rows_a_leaf > embedding_dedup.LARGE * embedding_dedup.LEAF_ROWS and not first.dense
+    inside = min(embedding_dedup.SAMPLE, embedding_dedup.LEAF_SAMPLE * rows_a_leaf // embedding_dedup.LEAF_ROWS)
+    second = embedding_dedup.Tree()
+    second.grow(embedding_dedup.unit(rng.standard_normal((inside, dims))), max(16, embedding_dedup.LEAF_ROWS * inside // rows_a_leaf), margin, rng)
+    fresh = embedding_dedup.unit(rng.standard_normal((200_000, dims)))
+    assert np.bincount(second.route(fresh)[1]).max() * rows_a_leaf / len(fresh) <= embedding_dedup.LARGE * embedding_dedup.LEAF_ROWS

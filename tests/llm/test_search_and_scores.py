@@ -113,7 +113,39 @@ def test_search_stops_early_on_proof():
     values[:10] += 200
     index = topk.ImpactIndex(values)
     members = index.possible(np.full(8, 3), 5, np.zeros(0, np.int64))
-    assert set(np.argsort(-(values @ np.full(8, 3)))[:5]) <= set(members.tolist()) and len(members) <= topk.RESCORE
+    assert set(np.argsort(-(values @ np.full(8, 3)))[:5]) <= set(members.tolist()) and len(members) <= topk.FEWEST
+    assert index.read < 0.5
+
+
+def test_search_on_the_given_vectors_reads_less_than_all(spark):
+    """Queries stop on proof, well before the last segment, with few rows left to score."""
+    rows = topk.quantised(queries.table(spark, "/root/testdata/sf0.1", "embeddings")).orderBy("id").collect()
+    values = np.array([r.vec for r in rows])
+    index, read, left = topk.ImpactIndex(values), [], []
+    for row in range(0, len(values), 50):
+        members = index.possible(values[row], 5, np.array([row]))
+        scores = values @ values[row]
+        others = np.delete(np.arange(len(values)), row)
+        assert set(others[np.argsort(-scores[others], kind="stable")[:5]]) <= set(members.tolist()) and row not in members
+        read.append(index.read)
+        left.append(len(members))
+    assert max(read) < 1 and np.median(read) < 0.85 and np.median(left) <= topk.FEWEST
+
+
+@pytest.mark.parametrize("size", [1, 10**6, 10**12])
+def test_bounds_hold_for_any_size_of_values(size):
+    rng = np.random.default_rng(size % 97)
+    values = (rng.standard_normal((500, 5)) * size).astype(np.int64)
+    values[::7] = values[0]
+    for level in (1, 4, 1 << 20):
+        index = topk.ImpactIndex(values, level)
+        for row in range(0, 500, 60):
+            query = values[row] // max(1, size // 1000)
+            members = index.possible(query, 5, np.array([row]))
+            scores = values @ query
+            scores[row] = np.iinfo(np.int64).min
+            kth = np.sort(scores)[-5]
+            assert set(np.flatnonzero(scores >= kth).tolist()) <= set(members.tolist())
 
 
 def test_op2_query(spark):
