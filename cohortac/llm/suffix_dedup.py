@@ -172,21 +172,33 @@ def _repeating(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def _cut_segments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Segments at the places ``found``, with their bytes; of equal ones in about ``ROWS`` only the
     earliest keeps the bytes. A repeated row of a document adds nothing."""
-    columns = ["h", "part", "id", "th", "lo", "n"]
+    columns = ["h", "id", "th", "lo", "n"]
+
+    def cut(found: list[tuple], parts: list) -> pd.DataFrame:
+        whole = [np.concatenate(x) for x in zip(*found)] or [np.zeros(0, np.int64)] * len(columns)
+        return pd.DataFrame(dict(zip(columns, whole))).assign(part=pd.Series(parts, dtype=object))[["h", "part", *columns[1:]]]
+
     for batch in batches:
         batch = batch.drop_duplicates(["id", "th"]).sort_values(["id", "th"], kind="stable", ignore_index=True)
-        ids, hashes, rows, seen = batch["id"].to_numpy(), batch["th"].to_numpy(), [], set()
+        ids, hashes, found, parts, seen = batch["id"].to_numpy(), batch["th"].to_numpy(), [], [], set()
         for own, texts, row, (lo, n, h) in _groups(batch):
-            wanted = np.concatenate([np.asarray(x, np.int64) + (k << 40) for k, x in enumerate(batch["found"].iloc[own])])
-            for k in np.flatnonzero(np.isin(lo + (row << 40), wanted)).tolist():
-                part = texts[row[k]][lo[k] : lo[k] + n[k] + LENGTH - 1]
-                new = part not in seen
-                seen.add(part)
-                rows.append((h[k], part if new else None, ids[own[row[k]]], hashes[own[row[k]]], lo[k], n[k]))
-            if len(rows) >= ROWS:
-                yield pd.DataFrame(rows, columns=columns)
-                rows, seen = [], set()
-        yield pd.DataFrame(rows, columns=columns)
+            wanted = np.sort(np.concatenate([np.asarray(x, np.int64) + (k << 40) for k, x in enumerate(batch["found"].iloc[own])]))
+            places = lo + (row << 40)  # ascending
+            at = np.minimum(np.searchsorted(places, wanted), max(len(places) - 1, 0))
+            at = np.unique(at[places[at] == wanted]) if len(places) else np.zeros(0, np.int64)
+            row, lo, n = row[at], lo[at], n[at]
+            for k, a, b in zip(row.tolist(), lo.tolist(), (lo + n + LENGTH - 1).tolist()):
+                part = texts[k][a:b]
+                if part in seen:
+                    parts.append(None)
+                else:
+                    seen.add(part)
+                    parts.append(part)
+            found.append((h[at], ids[own[row]], hashes[own[row]], lo, n))
+            if len(parts) >= ROWS:
+                yield cut(found, parts)
+                found, parts, seen = [], [], set()
+        yield cut(found, parts)
 
 
 def narrowed(part: bytes, n: int, start: int, stop: int) -> list[tuple[int, int, int, int, int]]:
@@ -252,31 +264,43 @@ def repeated_windows(parts: list[bytes], rank: np.ndarray, length: int = LENGTH)
     order = np.lexsort((rank[part, 2] + offset, rank[part, 1], rank[part, 0], cluster))
     part, offset, cluster = part[order], offset[order], cluster[order]
     again = np.concatenate(([False], cluster[1:] == cluster[:-1]))
-    out = [np.zeros(n - length + 1, bool) for n in sizes.tolist()]
-    for p, o in zip(part[again].tolist(), offset[again].tolist()):
-        out[p][o] = True
-    return out
+    stops = np.cumsum(sizes - length + 1)
+    flags = np.zeros(stops[-1], bool)
+    flags[(stops - sizes + length - 1)[part[again]] + offset[again]] = True
+    return np.split(flags, stops[:-1])
+
+
+def _flagged_runs(flags: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, first, past the last) of the runs of true flags in every row of ``flags``."""
+    sizes = np.array([len(x) + 1 for x in flags], np.int64)
+    padded = np.zeros(sizes.sum() + 1, np.int8)  # a false flag ahead of each row and one at the end
+    padded[np.delete(np.arange(1, len(padded)), np.cumsum(sizes) - 1)] = np.concatenate(flags)
+    change = np.diff(padded)
+    starts, stops = np.flatnonzero(change == 1), np.flatnonzero(change == -1)
+    opens = np.cumsum(sizes) - sizes
+    row = np.searchsorted(opens, starts, side="right") - 1
+    return row, starts - opens[row], stops - opens[row]
 
 
 def _shard_spans(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Runs [a, b) of window starts that also start earlier."""
     for shard in whole_groups(batches, ["shard"]):
-        shard = shard.sort_values(["id", "th", "lo"], kind="stable")
-        bare = shard["part"].isna().to_numpy()
-        first = ~shard["part"].duplicated().to_numpy() & ~bare
-        copies, kept = shard[~first], shard[first]
+        shard = shard.iloc[np.lexsort((shard["lo"].to_numpy(), shard["th"].to_numpy(), shard["id"].to_numpy()))]
+        places = shard[["id", "th", "lo"]].to_numpy()
+        with_bytes = np.flatnonzero(shard["part"].notna().to_numpy())
+        first = np.zeros(len(shard), bool)
+        first[with_bytes] = ~shard["part"].iloc[with_bytes].duplicated().to_numpy()
         # A copy of the same place (a repeated row) is not an earlier one.
-        own = pd.MultiIndex.from_frame(kept[["id", "th", "lo"]])
-        copies = copies[~pd.MultiIndex.from_frame(copies[["id", "th", "lo"]]).isin(own)]
+        place = np.cumsum(np.concatenate(([True], (places[1:] != places[:-1]).any(axis=1)))) - 1
+        own = np.zeros(len(shard), bool)
+        own[place[first]] = True
+        copies, kept, ranks = shard[~first & ~own[place]], shard[first], places[first]
         yield pd.DataFrame({"id": copies["id"], "th": copies["th"], "a": copies["lo"], "b": copies["lo"] + copies["n"]})
-        kept = kept[kept["h"].duplicated(keep=False).to_numpy()]
-        if not len(kept):
-            continue
-        rows = []
-        for flags, id_, th, lo in zip(repeated_windows(kept["part"].tolist(), kept[["id", "th", "lo"]].to_numpy()), kept["id"], kept["th"], kept["lo"]):
-            edges = np.flatnonzero(np.diff(np.concatenate(([0], flags, [0]))))
-            rows += [(id_, th, lo + a, lo + b) for a, b in edges.reshape(-1, 2).tolist()]
-        yield pd.DataFrame(rows, columns=["id", "th", "a", "b"])
+        shared = kept["h"].duplicated(keep=False).to_numpy()
+        if shared.any():
+            ranks = ranks[shared]
+            row, a, b = _flagged_runs(repeated_windows(kept["part"][shared].tolist(), ranks))
+            yield pd.DataFrame({"id": ranks[row, 0], "th": ranks[row, 1], "a": ranks[row, 2] + a, "b": ranks[row, 2] + b})
 
 
 def _merged(runs, length: int) -> list[dict]:

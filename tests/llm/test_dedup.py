@@ -390,3 +390,15 @@ def test_op3_tree_sizes_at_any_number_of_rows():
     second.grow(embedding_dedup.unit(rng.standard_normal((inside, dims))), max(16, embedding_dedup.LEAF_ROWS * inside // rows_a_leaf), margin, rng)
     fresh = embedding_dedup.unit(rng.standard_normal((200_000, dims)))
     assert np.bincount(second.route(fresh)[1]).max() * rows_a_leaf / len(fresh) <= embedding_dedup.LARGE * embedding_dedup.LEAF_ROWS
+
+
+def test_flagged_runs():
+    rng = np.random.default_rng(8)
+    for _ in range(50):
+        flags = [rng.random(int(k)) < 0.5 for k in rng.integers(1, 9, int(rng.integers(1, 6)))]
+        found = list(zip(*(x.tolist() for x in suffix_dedup._flagged_runs(flags))))
+        want = []
+        for row, own in enumerate(flags):
+            edges = np.flatnonzero(np.diff(np.concatenate(([0], own, [0]))))
+            want += [(row, a, b) for a, b in edges.reshape(-1, 2).tolist()]
+        assert found == want
