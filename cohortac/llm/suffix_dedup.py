@@ -100,16 +100,21 @@ def segments(data: np.ndarray, ends: np.ndarray, length: int = LENGTH, gram: int
 
 def _groups(batch: pd.DataFrame) -> Iterator[tuple[np.ndarray, list[bytes], np.ndarray, tuple]]:
     """(rows, their texts, first byte of each in the group, segments) of about GROUP_BYTES at a time."""
-    texts = [t.encode("utf-8", "replace") for t in batch["text"]]
-    sizes = np.array([len(t) for t in texts], np.int64)
-    group = np.cumsum(sizes) // GROUP_BYTES
-    for rows in np.split(np.arange(len(texts)), np.flatnonzero(np.diff(group)) + 1):
-        if len(rows):
-            own = [texts[i] for i in rows]
-            ends = np.cumsum(sizes[rows])
-            starts, n, h = segments(np.frombuffer(b"".join(own), np.uint8), ends)
-            row = np.searchsorted(ends, starts, side="right")
-            yield rows, own, row, (starts - (ends - sizes[rows])[row], n, h)
+
+    def cut(rows: np.ndarray, own: list[bytes]) -> tuple:
+        sizes = np.array([len(t) for t in own], np.int64)
+        ends = np.cumsum(sizes)
+        starts, n, h = segments(np.frombuffer(b"".join(own), np.uint8), ends)
+        row = np.searchsorted(ends, starts, side="right")
+        return rows, own, row, (starts - (ends - sizes)[row], n, h)
+
+    own, size = [], 0
+    for k, text in enumerate(batch["text"], 1):
+        own.append(text.encode("utf-8", "replace"))
+        size += len(own[-1])
+        if size >= GROUP_BYTES or k == len(batch):
+            yield cut(np.arange(k - len(own), k), own)
+            own, size = [], 0
 
 
 def _anchor_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -254,7 +259,7 @@ def repeated_windows(parts: list[bytes], rank: np.ndarray, length: int = LENGTH)
     """For each of the distinct ``parts`` which of its windows also start earlier, where a window's
     start is ``rank`` of its part (a row of numbers compared from the first) plus its place."""
     sizes = np.array([len(p) for p in parts], np.int64)
-    text = np.frombuffer(b"\0".join(parts) + b"\0", np.uint8).astype(np.int64) + len(parts)
+    text = np.frombuffer(b"\0".join(parts) + b"\0", np.uint8).astype(np.int32) + np.int32(len(parts))
     ends = np.cumsum(sizes + 1) - 1
     text[ends] = np.arange(len(parts))[::-1]
     places, common = suffix_order(text, len(parts) + 256)

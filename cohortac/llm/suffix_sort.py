@@ -108,6 +108,8 @@ class Level:
 
     def __init__(self, text: np.ndarray, n_symbols: int, sizes: np.ndarray | None, steps: np.ndarray | None, memory: int):
         self.text, self.n_symbols, self.sizes, self.memory = text, n_symbols, sizes, memory
+        if steps is not None and len(steps) and steps.max() <= np.iinfo(np.int32).max:
+            steps = steps.astype(np.int32)  # the table has a row for every power of two
         self.least_step = None if steps is None else RangeMinimum(steps)
         self.ends = _run_ends(text)
         follow = text[np.minimum(self.ends, len(text) - 1)]
