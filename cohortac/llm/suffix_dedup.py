@@ -259,15 +259,17 @@ def repeated_windows(parts: list[bytes], rank: np.ndarray, length: int = LENGTH)
     """For each of the distinct ``parts`` which of its windows also start earlier, where a window's
     start is ``rank`` of its part (a row of numbers compared from the first) plus its place."""
     sizes = np.array([len(p) for p in parts], np.int64)
-    text = np.frombuffer(b"\0".join(parts) + b"\0", np.uint8).astype(np.int32) + np.int32(len(parts))
+    text = np.frombuffer(b"\0".join(parts) + b"\0", np.uint8).astype(np.int32)
+    text += np.int32(len(parts))
     ends = np.cumsum(sizes + 1) - 1
     text[ends] = np.arange(len(parts))[::-1]
     places, common = suffix_order(text, len(parts) + 256)
+    # Suffixes that share ``length`` bytes with a neighbour; they hold a window, as no end symbol is shared.
+    near = common >= length
+    shared = np.flatnonzero(near | np.append(near[1:], False))
+    cluster, places = np.cumsum(~near[shared]), places[shared]
     part = np.searchsorted(ends, places)
     offset = places - (ends - sizes)[part]
-    cluster = np.cumsum(common < length)
-    window = np.flatnonzero(offset + length <= sizes[part])
-    part, offset, cluster = part[window], offset[window], cluster[window]
     order = np.lexsort((rank[part, 2] + offset, rank[part, 1], rank[part, 0], cluster))
     part, offset, cluster = part[order], offset[order], cluster[order]
     again = np.concatenate(([False], cluster[1:] == cluster[:-1]))

@@ -30,7 +30,11 @@ import numpy as np
 BLOCK = 1 << 15
 MEMORY = 1 << 26
 DIRECT = 1 << 20
-NONE = np.iinfo(np.int64).max
+
+
+def _whole(most: int) -> type:
+    """The type of whole numbers below ``most``: of 4 bytes where they fit."""
+    return np.int32 if most < np.iinfo(np.int32).max else np.int64
 
 
 class RangeMinimum:
@@ -51,9 +55,9 @@ class RangeMinimum:
 class Queue:
     """Entries (key, place, common prefix) by ranges of keys, spilled to disk when large."""
 
-    def __init__(self, ranges: int, memory: int = MEMORY):
+    def __init__(self, ranges: int, memory: int = MEMORY, kind: type = np.int64):
         self.lists: list[list] = [[] for _ in range(ranges)]
-        self.memory, self.held, self.file, self.spills = memory, 0, None, 0
+        self.kind, self.memory, self.held, self.file, self.spills = kind, memory, 0, None, 0
 
     def put(self, at: np.ndarray, entries: np.ndarray) -> None:
         """Append the columns of ``entries`` (3 x n) to the ranges ``at`` in their order."""
@@ -80,11 +84,11 @@ class Queue:
 
     def take(self, r: int) -> np.ndarray:
         parts, self.lists[r] = self.lists[r], []
-        out = [np.zeros((3, 0), np.int64)]
+        out = [np.zeros((3, 0), self.kind)]
         for p in parts:
             if isinstance(p, tuple):
                 self.file.seek(p[0])
-                out.append(np.frombuffer(self.file.read(24 * p[1]), np.int64).reshape(3, -1))
+                out.append(np.frombuffer(self.file.read(3 * out[0].itemsize * p[1]), self.kind).reshape(3, -1))
             else:
                 self.held -= p.nbytes
                 out.append(p)
@@ -95,10 +99,10 @@ class Queue:
             self.file.close()
 
 
-def _run_ends(text: np.ndarray) -> np.ndarray:
+def _run_ends(text: np.ndarray, kind: type) -> np.ndarray:
     """For every place the place after its run of equal symbols."""
     change = np.flatnonzero(text[1:] != text[:-1]) + 1
-    ends = np.append(change, len(text))
+    ends = np.append(change, len(text)).astype(kind)
     return np.repeat(ends, np.diff(np.concatenate(([0], ends))))
 
 
@@ -107,11 +111,15 @@ class Level:
     and the common prefix in bytes of each symbol with the one before it (None: zero)."""
 
     def __init__(self, text: np.ndarray, n_symbols: int, sizes: np.ndarray | None, steps: np.ndarray | None, memory: int):
-        self.text, self.n_symbols, self.sizes, self.memory = text, n_symbols, sizes, memory
+        # Places, keys and common prefixes are of one type.
+        self.kind = _whole(max(2 * n_symbols, len(text) if sizes is None else int(sizes[text].sum())) + 1)
+        self.none = np.iinfo(self.kind).max
+        self.text, self.n_symbols, self.memory = text, n_symbols, memory
+        self.sizes = None if sizes is None else sizes.astype(self.kind)
         if steps is not None and len(steps) and steps.max() <= np.iinfo(np.int32).max:
             steps = steps.astype(np.int32)  # the table has a row for every power of two
         self.least_step = None if steps is None else RangeMinimum(steps)
-        self.ends = _run_ends(text)
+        self.ends = _run_ends(text, self.kind)
         follow = text[np.minimum(self.ends, len(text) - 1)]
         self.s_type = text < follow
         self.s_type[-1] = True
@@ -144,10 +152,11 @@ class Level:
         """The suffixes of the ``wanted`` type in order and their common prefixes with the one
         before. ``seeds`` are the sorted suffixes of the other type that a wanted one comes before.
         ``flip``: everything in descending order."""
-        text, top = self.text, self.n_symbols - 1
+        text, top, kind, none = self.text, self.n_symbols - 1, self.kind, self.none
+        seeds, prefixes = seeds.astype(kind), prefixes.astype(kind)
 
         def key(places: np.ndarray) -> np.ndarray:  # wanted ones come before seeds of their symbol
-            symbols = text[places].astype(np.int64)
+            symbols = text[places].astype(kind)
             return 2 * (top - symbols if flip else symbols)
 
         counts = np.bincount(text[wanted], minlength=self.n_symbols) + np.bincount(text[seeds], minlength=self.n_symbols)
@@ -156,26 +165,26 @@ class Level:
         range_of = (np.cumsum(counts) - counts) // BLOCK
         range_of = np.unique(range_of, return_inverse=True)[1]  # symbol (in order of taking) -> range
         n_ranges = int(range_of[-1]) + 1
-        queue = Queue(n_ranges, self.memory)
+        queue = Queue(n_ranges, self.memory, kind)
         seed_keys = key(seeds) + 1
         seed_cuts = np.searchsorted(range_of[seed_keys >> 1], np.arange(n_ranges + 1))
         # By symbol: the batch of its last entry and the least prefix taken in that batch since;
         # by batch: the least prefix taken in all batches after it.
-        last_batch, rest_least = np.full(self.n_symbols, -1), np.full(self.n_symbols, NONE)
-        after, batch = np.full(1024, NONE), 0
+        last_batch, rest_least = np.full(self.n_symbols, -1), np.full(self.n_symbols, none, kind)
+        after, batch = np.full(1024, none, kind), 0
         out_places, out_prefixes = [], []
         last = last_key = -1  # the suffix taken last
-        since_wanted = NONE
+        since_wanted = none
         width = 1 << 12
         for r in range(n_ranges):
             own = slice(seed_cuts[r], seed_cuts[r + 1])
-            waiting = np.concatenate([queue.take(r), [seed_keys[own], seeds[own], prefixes[own]]], axis=1)
+            waiting = np.concatenate([queue.take(r), np.stack([seed_keys[own], seeds[own], prefixes[own]])], axis=1)
             waiting = waiting[:, np.argsort(waiting[0], kind="stable")]
             later: list[np.ndarray] = []  # entries put into this range past the sorted head
             begun = 0
             while begun < waiting.shape[1] or later:
                 head, begun = waiting[:, begun : begun + width], begun + width
-                bound = waiting[0, begun] if begun < waiting.shape[1] else NONE
+                bound = waiting[0, begun] if begun < waiting.shape[1] else none
                 if later:
                     new = np.concatenate(later, axis=1)
                     now = new[0] < bound
@@ -186,7 +195,7 @@ class Level:
                     keys, places, prefix = head[:, done : done + window]
                     left = np.maximum(places - 1, 0)
                     puts = wanted[left] & (places > 0)
-                    put_keys = np.where(puts, key(left), NONE)
+                    put_keys = np.where(puts, key(left), kind(none))
                     # Nothing taken may have a larger key than something put in before it was taken.
                     stop = keys > np.minimum.accumulate(put_keys)
                     n = int(stop.argmax()) or len(keys)
@@ -216,7 +225,7 @@ class Level:
                         values[0] = min(values[0], since_wanted)
                         out_places.append(places[is_wanted])
                         out_prefixes.append(values)
-                        since_wanted = prefix[final:].min() if final < n else NONE
+                        since_wanted = prefix[final:].min() if final < n else none
                     else:
                         since_wanted = min(since_wanted, prefix.min())
                     at = np.flatnonzero(puts)
@@ -242,13 +251,13 @@ class Level:
                     np.minimum(after[:batch], prefix.min(), out=after[:batch])
                     batch += 1
                     if batch == len(after):
-                        after = np.concatenate([after, np.full(batch, NONE)])
+                        after = np.concatenate([after, np.full(batch, none, kind)])
                     last, last_key = int(places[-1]), int(keys[-1])
                 width = min(2 * width, 1 << 16) if batches < 4 else max(width // 2, 1 << 11)
         self.queue_spills += queue.spills
         queue.close()
         if not out_places:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+            return np.zeros(0, kind), np.zeros(0, kind)
         found = np.concatenate(out_prefixes)
         found[0] = 0
         return np.concatenate(out_places), found
@@ -256,33 +265,31 @@ class Level:
     def _entries(self, left, keys, at, prefix, last_batch, rest_least, after, batch) -> np.ndarray:
         """Queue entries of the suffixes ``left``, which are one left of those taken at ``at`` in
         this batch, with the common prefix each has with its symbol's entry before."""
-        symbols = self.text[left]
+        symbols, none = self.text[left], self.none
         order = np.argsort(symbols, kind="stable")
         by, at = symbols[order], at[order]
         change = by[1:] != by[:-1]
         first, final = np.concatenate(([True], change)), np.concatenate((change, [True]))
         # Least common prefix since the symbol's last entry, in this batch or in one before it.
-        since = np.empty(len(at), np.int64)
+        since = np.empty(len(at), self.kind)
         opening, again = by[first], np.flatnonzero(~first)
         known = last_batch[opening]
         within = np.minimum.accumulate(prefix)[at[first]]
-        since[first] = np.where(known < 0, NONE, np.minimum(np.minimum(rest_least[opening], after[known]), within))
+        since[first] = np.where(known < 0, none, np.minimum(np.minimum(rest_least[opening], after[known]), within))
         if len(again):
             since[again] = RangeMinimum(prefix)(at[again - 1], at[again])
         # A symbol's first entry ever has none before it; its prefix is found when it is taken.
-        carried = np.where(since == NONE, 0, since + self.size(by))
-        to_end = np.append(np.minimum.accumulate(prefix[::-1])[::-1], NONE)
+        carried = np.where(since == none, 0, since + self.size(by))
+        to_end = np.append(np.minimum.accumulate(prefix[::-1])[::-1], none)
         last_batch[by[final]], rest_least[by[final]] = batch, to_end[at[final] + 1]
-        common = np.empty(len(order), np.int64)
+        common = np.empty(len(order), self.kind)
         common[order] = carried
         return np.stack([keys, left, common])
 
 def _inserted(entries: np.ndarray, new: np.ndarray) -> np.ndarray:
     """``entries``, sorted by key, with ``new`` ones after those of the same key."""
-    new = new[:, np.argsort(new[0], kind="stable")]
-    if not entries.shape[1]:
-        return new
-    return np.insert(entries, np.searchsorted(entries[0], new[0], side="right"), new, axis=1)
+    both = np.concatenate([entries, new[:, np.argsort(new[0], kind="stable")]], axis=1)
+    return np.take(both, np.argsort(both[0], kind="stable"), axis=1)
 
 
 def _names(level: Level, stars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -372,7 +379,7 @@ def suffix_order(
     if sizes is not None and len(text) <= direct:
         return _sorted_directly(level)
     s_type = level.s_type
-    stars = np.flatnonzero(s_type & np.concatenate(([False], ~s_type[:-1])))
+    stars = np.flatnonzero(s_type & np.concatenate(([False], ~s_type[:-1]))).astype(level.kind)
     names, name_steps = _names(level, stars)
     if len(name_steps) == len(stars):
         order = np.argsort(names)
@@ -385,7 +392,8 @@ def suffix_order(
         else:
             total = np.concatenate(([0], np.cumsum(sizes[text])))
             name_sizes[names] = total[ends] - total[stars]
-        order, common = suffix_order(names, len(name_steps), name_sizes, name_steps, memory, direct)
+        order, common = suffix_order(names.astype(_whole(len(name_steps))), len(name_steps), name_sizes, name_steps, memory, direct)
+    del names, name_steps
     l_places, l_common = level.induce(~s_type, stars[order], common, flip=False)
     # Seeds of the second induction, from the largest down: L-type suffixes after an S-type one.
     after_s = s_type[l_places - 1] & (l_places > 0)
@@ -400,11 +408,14 @@ def suffix_order(
     # under their symbol.
     s_places = np.concatenate(([len(text) - 1], s_places[::-1]))
     s_common = np.concatenate(([0, 0], s_common[:0:-1]))
-    places = np.concatenate([l_places, s_places])
-    common = np.concatenate([l_common, s_common])
-    keys = 2 * text[places].astype(np.int64) + s_type[places]
-    order = np.argsort(keys, kind="stable")
-    places, common, keys = places[order], common[order], keys[order]
+    places = np.concatenate([l_places, s_places], dtype=level.kind)
+    common = np.concatenate([l_common, s_common], dtype=level.kind)
+    del l_places, l_common, s_places, s_common
+    keys = 2 * text[places].astype(level.kind) + s_type[places]
+    order = np.argsort(keys, kind="stable").astype(level.kind)
+    places = places[order]
+    common = common[order]
+    keys = keys[order]
     border = np.flatnonzero(keys[1:] != keys[:-1]) + 1
     common[border] = level.at_border(places[border - 1], places[border])
     common[0] = 0
