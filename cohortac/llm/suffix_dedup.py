@@ -54,13 +54,23 @@ _ODD = 0x9E3779B97F4A7C15
 _MIX = 0xBF58476D1CE4E5B9
 
 
-def gram_hashes(data: np.ndarray, gram: int = GRAM) -> np.ndarray:
-    """A 64-bit hash of the ``gram`` bytes (a power of two) from every place."""
-    h, factor, size = data.astype(np.uint64) + np.uint64(1), _ODD, 1
+def gram_hashes(data: np.ndarray, gram: int = GRAM, kind: type = np.uint64) -> np.ndarray:
+    """A hash of the ``gram`` bytes (a power of two) from every place, as a number of ``kind``."""
+    bits = 8 * np.dtype(kind).itemsize
+    h, factor, size = data.astype(kind) + kind(1), _ODD % (1 << bits), 1
     while size < gram:
-        h = h[:-size] * np.uint64(factor) + h[size:]
-        factor, size = factor * factor % (1 << 64), 2 * size
-    h = (h ^ (h >> np.uint64(29))) * np.uint64(_MIX)
+        h = h[:-size] * kind(factor) + h[size:]
+        factor, size = factor * factor % (1 << bits), 2 * size
+    h = (h ^ (h >> kind(bits // 2 - 3))) * kind(_MIX % (1 << bits))
+    return h ^ (h >> kind(bits // 2))
+
+
+def gram_hashes_at(data: np.ndarray, places: np.ndarray, gram: int = GRAM) -> np.ndarray:
+    """``gram_hashes`` of ``places`` alone."""
+    h, factor = np.lib.stride_tricks.sliding_window_view(data, gram)[places].T.astype(np.uint64) + np.uint64(1), _ODD
+    while len(h) > 1:
+        h, factor = h[::2] * np.uint64(factor) + h[1::2], factor * factor % (1 << 64)
+    h = (h[0] ^ (h[0] >> np.uint64(29))) * np.uint64(_MIX)
     return h ^ (h >> np.uint64(32))
 
 
@@ -75,27 +85,29 @@ def sliding(values: np.ndarray, width: int, best=np.minimum) -> np.ndarray:
 def segments(data: np.ndarray, ends: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(first window, number of windows, anchor hash) of all segments of documents that lie one
     after the other in ``data`` and end at ``ends``."""
-    nothing = np.zeros(0, np.int64)
-    if len(data) < length:
-        return nothing, nothing, nothing
-    h, width = gram_hashes(data, gram), length - gram + 1
+    sizes = np.diff(ends, prepend=0)
+    begins, stops = (ends - sizes)[sizes >= length], (ends - length + 1)[sizes >= length]
+    if not len(begins):
+        return (np.zeros(0, np.int64),) * 3
+    # Hashes of 4 bytes tell the anchors apart; only theirs are needed in full.
+    h, width = gram_hashes(data, gram, np.uint32), length - gram + 1
     least = sliding(h, width)
     # A place is some window's least if it equals the largest least of the windows that hold it.
-    edge = np.zeros(width - 1, np.uint64)
-    anchors = np.flatnonzero(h == sliding(np.concatenate([edge, least, edge]), width, np.maximum))
-    windows = np.arange(len(least))
-    is_anchor = np.zeros(len(h), np.int64)
-    is_anchor[anchors] = 1
-    at = (np.cumsum(is_anchor) - is_anchor)[: len(least)]  # anchors before each window's start
-    wrong = np.flatnonzero(h[anchors[at]] != least)
-    while len(wrong):
-        at[wrong] += 1
-        wrong = wrong[h[anchors[at[wrong]]] != least[wrong]]
-    whole = windows + length <= np.repeat(ends, np.diff(ends, prepend=0))[: len(least)]
-    new = np.concatenate(([True], at[1:] != at[:-1]))
-    starts = np.flatnonzero(whole & (new | np.concatenate(([True], ~whole[:-1]))))
-    stops = np.flatnonzero(whole & np.concatenate((new[1:] | ~whole[1:], [True]))) + 1
-    return starts, stops - starts, h[anchors[at[starts]]].view(np.int64)
+    edge = np.zeros(width - 1, np.uint32)
+    places = np.flatnonzero(h == sliding(np.concatenate([edge, least, edge]), width, np.maximum))
+    # One that equals the place before is the leftmost of a window only if it is so in the first without that place.
+    after, value = np.minimum(places[:-1] + 1, len(least)), h[places]
+    leftmost = (value[1:] != value[:-1]) | (np.append(least, 0)[after] == value[1:]) & (after < len(least))
+    anchors = places[np.concatenate(([True], leftmost))]
+    # An anchor takes over when it comes into the window, if it is smaller, or when the one before it has left.
+    value = h[anchors]
+    opens = np.concatenate(([0], np.where(value[1:] < value[:-1], anchors[1:] - width + 1, anchors[:-1] + 1)))
+    cuts = np.unique(np.concatenate([opens, begins, stops]))
+    whole = cuts < stops[np.maximum(np.searchsorted(begins, cuts, side="right") - 1, 0)]
+    whole &= cuts >= begins[0]
+    starts, n = cuts[whole], np.diff(cuts, append=len(least))[whole]
+    own = anchors[np.searchsorted(opens, starts, side="right") - 1]
+    return starts, n, gram_hashes_at(data, own, gram).view(np.int64)
 
 
 def _groups(batch: pd.DataFrame) -> Iterator[tuple[np.ndarray, list[bytes], np.ndarray, tuple]]:
