@@ -4,10 +4,19 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from cohortac.session import scratch_path
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Rows go to Python workers in batches of about 8 MB and not 64, which each worker and its JVM hold more than
+    once; a row over that is a batch of its own. A session that has a size of its own keeps it."""
+    if spark.conf.get(BATCH_BYTES) in ("67108864b", "67108864", "64m"):
+        spark.conf.set(BATCH_BYTES, "8m")
+
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet under ``spark.checkpoint.dir`` and read again: its lineage

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from xxhash import xxh64_intdigest
 
-from cohortac.llm.shared import free_name, written
+from cohortac.llm.shared import bound_batches, free_name, written
 from cohortac.llm.simhash import whole_groups
 from cohortac.llm.suffix_sort import suffix_order
 
@@ -361,6 +361,7 @@ def remaining(text: Column, spans: Column) -> Column:
 
 def repeated_spans(docs: DataFrame, id: str = "doc_id", text: str = "text", spans: str = "spans") -> DataFrame:
     """``docs`` with the column named ``spans``, an array of (start, stop) byte spans that also start earlier."""
+    bound_batches(docs.sparkSession)
     key = F.coalesce(docs[id].cast("long"), F.lit(-(1 << 63))).alias("id")
     whole = F.coalesce(docs[text], F.lit("")).alias("text")
     rows = docs.select(key, F.xxhash64(docs[text]).alias("th"), whole)

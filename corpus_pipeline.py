@@ -14,11 +14,12 @@ from pyspark.sql import functions as F
 
 from cohortac.llm import langid, packing, simhash, suffix_dedup
 from cohortac.llm.queries import END_OF_DOCUMENT, SEQUENCE_TOKENS, SHINGLE_WORDS, SIMHASH_RADIUS, table
-from cohortac.llm.shared import free_name, written
+from cohortac.llm.shared import bound_batches, free_name, written
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language cannot be told (null text, no letter) go."""
+    bound_batches(spark)
     stats = langid.fit(docs.where(~langid.is_held_out()))
     lang, score = free_name(docs, "lang_pred"), free_name(docs, "score")
     found = langid.predict(docs, stats, lang_pred=lang, score=score)
@@ -29,6 +30,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of every group of near-duplicates the document with the smallest id stays, once. Where rows
     of a group share that id, the one with the smallest hash of the whole row stays (equal rows count as
     one); rows of the same id that belong to another group stay there. Rows without an id stay."""
+    bound_batches(spark)
     row = free_name(docs, "row_hash")
     hashed = docs.withColumn(row, F.xxhash64(*[F.col(c) for c in docs.columns]))
     found = simhash.near_duplicates(hashed, words=SHINGLE_WORDS, radius=SIMHASH_RADIUS, keep=(row,))
@@ -51,6 +53,7 @@ def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents, packed into sequences."""
+    bound_batches(spark)
     pieces = packing.token_pieces(
         docs.select("doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, SEQUENCE_TOKENS, END_OF_DOCUMENT
     )
