@@ -402,3 +402,28 @@ def test_flagged_runs():
             edges = np.flatnonzero(np.diff(np.concatenate(([0], own, [0]))))
             want += [(row, a, b) for a, b in edges.reshape(-1, 2).tolist()]
         assert found == want
+
+
+def test_segments_are_runs_of_windows_with_one_anchor():
+    """Every window of a document has the leftmost of its least-hashed strings as anchor; ties in one-letter and periodic texts."""
+    rng = np.random.default_rng(11)
+    for _ in range(400):
+        sizes = rng.integers(0, 40, int(rng.integers(1, 6)))
+        data = rng.integers(97, 97 + int(rng.choice([1, 2, 3, 20])), sizes.sum()).astype(np.uint8)
+        if rng.random() < 0.4 and len(data):
+            data = np.resize(data[: int(rng.integers(1, 9))], len(data))
+        ends, gram = np.cumsum(sizes), int(rng.choice([1, 2, 4, 8]))
+        length = gram + int(rng.integers(0, 12))
+        wanted, begin = [], 0
+        for end in ends.tolist():
+            last = None
+            for w in range(begin, end - length + 1):
+                least = suffix_dedup.gram_hashes(data[w : w + length], gram, np.uint32)
+                at = w + int(np.argmin(least))
+                if at == last:
+                    wanted[-1][1] += 1
+                else:
+                    wanted.append([w, 1, int(suffix_dedup.gram_hashes(data[at : at + gram], gram).view(np.int64)[0])])
+                last = at
+            begin = end
+        assert np.stack(suffix_dedup.segments(data, ends, length, gram), axis=1).tolist() == wanted
