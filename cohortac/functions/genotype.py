@@ -35,7 +35,8 @@ def parse_gt(gt_text, n_alts=None) -> Column:
     With ``n_alts`` an allele index beyond the ALT list becomes NULL (a missing allele).
     A NULL text (no GT key) gives NULL.
     """
-    parts = F.split(_col(gt_text), r"[/|]")
+    # One separator: a split by a pattern of several compiles it for every value.
+    parts = F.split(F.replace(_col(gt_text), F.lit("|"), F.lit("/")), "/")
     arr = F.transform(parts, lambda x: F.when(x.rlike(r"^[0-9]+$"), x.try_cast("int")))
     if n_alts is not None:
         n = _col(n_alts)
@@ -45,7 +46,7 @@ def parse_gt(gt_text, n_alts=None) -> Column:
 
 def gt_text(gt) -> Column:
     """ARRAY<INT> genotype back to text with '/' and '.' for missing alleles."""
-    return F.array_join(F.transform(_col(gt), lambda a: F.coalesce(a.cast("string"), F.lit("."))), "/")
+    return F.array_join(_col(gt).cast("array<string>"), "/", ".")
 
 
 def allelic_balance(ad, dp, allele_index, index_mode: str = "reference") -> Column:

@@ -46,7 +46,6 @@ from cohortac.sources.vcf import (
     file_label,
     header_contigs,
     header_samples,
-    in_file_order,
     input_files,
     is_supported_name,
     parse_sites,
@@ -104,9 +103,8 @@ def _dataset(spark, sf_dir, **kw):
     return count_dataset(_gm(spark, sf_dir), **kw)
 
 
-def _vcf_lines(spark, sf_dir):
-    g = _gm(spark, sf_dir)  # read by the header, contig and record parts of the text
-    return to_vcf_lines(g, g.select("file", "sample_rank", "sample").distinct())
+def _vcf_lines(spark, sf_dir, in_order=False):
+    return to_vcf_lines(genotypes_from_tables(spark, sf_dir), in_order=in_order)
 
 
 LIST_TEXTS = 500
@@ -475,7 +473,7 @@ def _pile(spark, sf_dir):
 def _vcf_folder(spark, sf_dir) -> str:
     """The projected calls as one text file per center, written in parts to the shared scratch."""
     path = scratch_path(spark, f"vcf_text_{uuid.uuid4().hex}")
-    write_vcf_parts(_vcf_lines(spark, sf_dir), path)
+    write_vcf_parts(_vcf_lines(spark, sf_dir, in_order=True), path, in_order=True)
     return path
 
 
@@ -555,7 +553,7 @@ def q_result_sink(spark, sf_dir):
 def q_bgzf_scan(spark, sf_dir):
     """The VCF text written as BGZF files in parts and read in small splits."""
     path = scratch_path(spark, f"bgzf_{uuid.uuid4().hex}")
-    write_bgzf_parts(in_file_order(_vcf_lines(spark, sf_dir)), path).count()
+    write_bgzf_parts(_vcf_lines(spark, sf_dir, in_order=True), path).count()
     lines = read_vcf_lines(spark, [path], split_bytes=100_000)
     s = parse_sites(lines.withColumn("file", F.regexp_extract("file", "([^/]*)$", 1)))
     return s.select(

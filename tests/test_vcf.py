@@ -6,7 +6,7 @@ import random
 
 from cohortac.operators.regions import region_overlap_scan
 from cohortac.plans.pipeline import Filters, count_dataset, count_sites
-from cohortac.sources import bgzf
+from cohortac.sources import bgzf, vcf
 from cohortac.sources.bgzf import _Batches, register, write_bgzf_parts
 from cohortac.sources.vcf import (
     header_contigs,
@@ -228,3 +228,44 @@ def test_count_without_header_table(spark, tmp_path):
     ds = count_dataset(sites_to_genotypes(parse_sites(lines)), filters=Filters(on_unsupported="drop"))
     assert sorted((r.sample_rank, r.sample, r.sex) for r in ds.samples.collect()) == [(0, None, "XY"), (1, None, "XX"), (2, None, "XX")]
     assert ds.counts.count() > 0
+
+
+def _calls(spark, rows):
+    schema = "file string, sample_rank int, sample string, contig string, pos int, end int, ref string, alts array<string>, gt array<int>, phased boolean, dp int, gq int, ad array<int>"
+    return spark.createDataFrame(rows, schema)
+
+
+def _odd_calls(spark):
+    """Repeated calls, records that share their text but not their end, missing values, a sample without calls."""
+    rng, rows = random.Random(5), []
+    for f, width in (("b.vcf", 3), ("a.vcf", 4)):
+        for _ in range(400):
+            pos, rank = rng.choice([7, 70, 700, None]), rng.randrange(width - 1)
+            alts = rng.choice([["C"], ["<NON_REF>"], ["C", "T"], [], None])
+            gt = rng.choice([[0, 1], [1, None], [None, None], [1], None])
+            ad = rng.choice([[3, 4], [None, 4], [], None])
+            rows.append((f, rank, f"S{rank}", rng.choice(["chr1", "chr10", "chr2"]), pos, rng.choice([7, 80, None]), "A", alts, gt, rng.random() < 0.5, rng.choice([5, None]), 9, ad))
+        rows.append((f, width - 1, f"S{width - 1}", "chr1", 7, 7, "A", ["C"], [0, 0], False, 5, 9, [1, 1]))
+    return _calls(spark, rows)
+
+
+def test_lines_assembled_in_place_are_those_of_chunks(spark, monkeypatch):
+    g = _odd_calls(spark)
+    got = sorted(map(tuple, vcf.to_vcf_lines(g, in_order=True).collect()))
+    named = sorted(map(tuple, vcf.to_vcf_lines(g, g.select("file", "sample_rank", "sample").distinct()).collect()))
+    monkeypatch.setattr(vcf, "SPOT_CALLS", 0)
+    monkeypatch.setattr(vcf, "COPY_CHUNK", 2)
+    assert got == named == sorted(map(tuple, vcf.to_vcf_lines(g, in_order=True).collect()))
+    calls = sum(c not in ("./.",) for _, v in got if not v.startswith("#") for c in v.split("\tGT:DP:GQ:AD\t")[1].split("\t"))
+    assert calls == g.count()
+
+
+def test_lines_come_in_file_order_after_one_exchange_of_the_calls(spark, monkeypatch):
+    monkeypatch.setattr(vcf, "LINE_BYTES", 300)
+    lines = vcf.to_vcf_lines(_odd_calls(spark), in_order=True)
+    place = lambda v: (0, "", 0) if v.startswith("##f") else (1, "", 0) if v.startswith("##") else (2, "", 0) if v[0] == "#" else (3, v.split("\t")[0], 0)
+    for name in ("a.vcf", "b.vcf"):
+        own = [r.value for r in lines.where(lines["file"] == name).collect()]
+        assert [place(v) for v in own] == sorted(map(place, own))
+    plan = lines.select("file", "value")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and plan.count("RepartitionByExpression") == 2  # of the headers, of the calls
