@@ -565,11 +565,11 @@ def q_bgzf_scan(spark, sf_dir):
 
 @query
 def q_file_select(spark, sf_dir):
-    """Input expansion over a real folder: files named after customers, listed by the engine."""
+    """Input expansion over real folders: files named after customers, listed by the engine."""
     path = scratch_path(spark, f"names_{uuid.uuid4().hex}")
     names = _file_names(spark, sf_dir).select(F.regexp_extract("path", "([^/]*)$", 1).alias("name"))
     make_header_files(names, path).count()
-    return input_files(spark, [path]).select(F.regexp_extract("path", "([^/]*)$", 1).alias("name"), file_label("path").alias("label"))
+    return input_files(spark, [f"{path}/*"]).select(F.regexp_extract("path", "([^/]*)$", 1).alias("name"), file_label("path").alias("label"))
 
 
 # ------------------------------------------------------------------ sampling

@@ -269,3 +269,16 @@ def test_lines_come_in_file_order_after_one_exchange_of_the_calls(spark, monkeyp
         assert [place(v) for v in own] == sorted(map(place, own))
     plan = lines.select("file", "value")._jdf.queryExecution().optimizedPlan().toString()
     assert "Window" not in plan and plan.count("RepartitionByExpression") == 2  # of the headers, of the calls
+
+
+def test_header_files_lie_in_folders_and_are_listed_in_few_tasks(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    cost = spark.conf.get(vcf.OPEN_COST)
+    names = spark.range(400).select(F.concat(F.lit("c"), F.col("id").cast("string"), F.lit(".vcf")).alias("name"))
+    assert sorted(r.name for r in bgzf.make_header_files(names, str(tmp_path)).collect()) == sorted(f"c{i}.vcf" for i in range(400))
+    folders = [f for f in os.listdir(tmp_path) if not f.startswith(".")]
+    assert len(folders) > bgzf.NAME_FOLDERS / 2
+    assert len(input_files(spark, [f"{tmp_path}/*"]).collect()) == 0  # .vcf is taken only as a file
+    assert sorted(os.path.basename(r.path) for r in input_files(spark, [f"{tmp_path}/*/*"]).collect()) == sorted(f"c{i}.vcf" for i in range(400))
+    assert spark.conf.get(vcf.OPEN_COST) == cost
