@@ -21,8 +21,10 @@ no pieces.
 from __future__ import annotations
 
 import functools
+import json
 import os
 import re
+import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -163,6 +165,13 @@ def assign(pieces: DataFrame, capacity: int, key: list[str], length: str = "leng
     return placed.withColumns({"sequence_id": F.col(at)["sequence_id"], "offset": F.col(at)["offset"]}).drop(salt, rank, at)
 
 
+def byte_letters() -> dict[int, int]:
+    """The character that stands for each byte in a byte-level model's vocabulary, for ``str.translate``."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: b for b in plain} | {b: 256 + k for k, b in enumerate(rest)}
+
+
 class LibraryIds:
     """ids of whole texts by the tokenizers library, which sees each distinct piece of text
     once in a while: pieces split as the library's pre-tokenizer does are remembered."""
@@ -177,6 +186,12 @@ class LibraryIds:
         self.specials = re.compile("(" + "|".join(map(re.escape, added)) + ")") if added else None
         self.added = added
         self.known: dict[str, bytes] = {}
+        # What a plain byte-level tokenizer does with a piece is its model's work alone.
+        parts = json.loads(self.tokenizer.to_str())
+        first = parts["pre_tokenizer"] or {}
+        bare = all(parts[k] is None for k in ("normalizer", "truncation", "padding"))
+        self.by_model = bare and first.get("type") == "ByteLevel" and not first["add_prefix_space"]
+        self.letters = byte_letters()
 
     def _pieces(self, text: str) -> list[str]:
         if self.specials and "<" in text and self.specials.search(text):
@@ -186,21 +201,33 @@ class LibraryIds:
             return out
         return self.split(text)
 
+    def _learn(self, new: list[str]) -> None:
+        """Remember the ids of the pieces ``new``."""
+        if not self.by_model:
+            for piece, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
+                self.known[piece] = struct.pack(f"<{len(found.ids)}I", *found.ids)
+            return
+        model, letters, added = self.tokenizer.model, self.letters, self.added
+        for piece in new:
+            if piece in added:
+                ids = [added[piece]]
+            else:
+                ids = [t.id for t in model.tokenize(piece.encode().decode("latin-1").translate(letters))]
+            self.known[piece] = struct.pack(f"<{len(ids)}I", *ids)
+
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """For each text its ids as little-endian unsigned 32-bit integers."""
-        from cohortac.llm.byte_bpe import grouped
-
-        for group in grouped(texts):
-            split = [self._pieces(text) for text in group]
-            missing = set().union(*split).difference(self.known)
+        for text in texts:
+            pieces = self._pieces(text)
+            try:
+                yield b"".join(map(self.known.__getitem__, pieces))
+                continue
+            except KeyError:
+                missing = set(pieces).difference(self.known)
             if len(self.known) + len(missing) > MEMO_PIECES:
-                self.known, missing = {}, set().union(*split)
-            new = list(missing)
-            for piece, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                self.known[piece] = np.array(found.ids, "<u4").tobytes()
-            ids = self.known.__getitem__
-            for pieces in split:
-                yield b"".join(map(ids, pieces))
+                self.known, missing = {}, set(pieces)
+            self._learn(list(missing))
+            yield b"".join(map(self.known.__getitem__, pieces))
 
 
 @functools.lru_cache(maxsize=2)

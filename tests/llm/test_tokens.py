@@ -3,6 +3,7 @@
 import hashlib
 import random
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
@@ -148,6 +149,19 @@ def test_plan_is_best_fit_decreasing(capacity):
         assert sorted(rooms) == best_fit(items, capacity)
 
 
+def test_pieces_go_to_the_librarys_model_alone(monkeypatch):
+    """A new piece costs the model's work, not a run through the whole tokenizer; ids stay the library's."""
+    texts, whole = random_texts(300) + ["日本 é\u3000x<|endoftext|>", "a"] * 2, Tokenizer.from_file(BYTE_JSON)
+    wanted = [np.array(whole.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    monkeypatch.setattr(packing, "MEMO_PIECES", 50)  # emptied many times
+    library = packing.LibraryIds(BYTE_JSON, public_tokenizers.PATTERN)
+    library.tokenizer = SimpleNamespace(model=library.tokenizer.model)
+    assert list(library.encode(texts)) == wanted
+    library = packing.LibraryIds(BYTE_JSON, public_tokenizers.PATTERN)
+    library.by_model = False
+    assert list(library.encode(texts)) == wanted
+
+
 def check_packing(rows, texts, capacity):
     """Every piece of every text once, gapless sequences of best-fit decreasing."""
     t = Tokenizer.from_file(BYTE_JSON)
