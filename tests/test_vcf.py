@@ -4,6 +4,8 @@ import gzip
 import os
 import random
 
+import pyarrow as pa
+
 from cohortac.operators.regions import region_overlap_scan
 from cohortac.plans.pipeline import Filters, count_dataset, count_sites
 from cohortac.sources import bgzf, vcf
@@ -271,6 +273,25 @@ def test_lines_come_in_file_order_after_one_exchange_of_the_calls(spark, monkeyp
     assert "Window" not in plan and plan.count("RepartitionByExpression") == 2  # of the headers, of the calls
 
 
+def test_lines_of_records_over_several_batches(spark, monkeypatch):
+    """Records over several batches, several copies, ranks beyond the header's; calls cross one exchange only, as they are."""
+    columns = ("file", "_site", "fixed", "max_rank", "sample_rank", "call")
+    rows = [("f", "s1", "one", 2, 0, "a")] * 2 + [("f", "s1", "one", 2, 2, "b")] * 5 + [("f", "s2", "one", 2, 1, "c"), ("g", "s2", "two", 0, 0, "d")]
+    wanted = [("f", f"one\t{a}\t./.\tb") for a in ("a", "a", "./.", "./.", "./.")] + [("f", "one\t./.\tc\t./."), ("g", "two\td")]
+    for size in (1, 2, 3, 100):
+        monkeypatch.setattr(vcf, "LINE_BYTES", 16 * size)
+        batches = [pa.RecordBatch.from_pylist([dict(zip(columns, r)) for r in rows[k : k + size]]) for k in range(0, len(rows), size)]
+        got = [(r["file"], r["value"]) for b in vcf._assembled(iter(batches)) for r in b.to_pylist()]
+        assert got == wanted
+    assert list(vcf._assembled(iter([]))) == []
+    g = _odd_calls(spark)
+    few = g.where("sample_rank = 0").select("file", "sample_rank", "sample").distinct()
+    lines = [r.value for r in vcf.to_vcf_lines(g, few, in_order=True).collect() if not r.value.startswith("#")]
+    assert lines and all(len(v.split("\tGT:DP:GQ:AD\t")[1].split("\t")) == 1 for v in lines)
+    calls = sum(v.split("\tGT:DP:GQ:AD\t")[1] != "./." for v in lines)
+    assert calls == g.where("sample_rank = 0").count()
+
+
 def test_header_files_lie_in_folders_and_are_listed_in_few_tasks(spark, tmp_path):
     from pyspark.sql import functions as F
 
