@@ -45,7 +45,7 @@ from cohortac.llm.suffix_sort import suffix_order
 
 LENGTH = 100
 GRAM = 32
-SHARD_BYTES = 4_000_000
+SHARD_BYTES = 2_000_000
 ROWS = 100_000
 HOT = 10_000
 BROADCAST_BYTES = 64_000_000
@@ -284,7 +284,7 @@ def repeated_windows(parts: list[bytes], rank: np.ndarray, length: int = LENGTH)
     offset = places - (ends - sizes)[part]
     order = np.lexsort((rank[part, 2] + offset, rank[part, 1], rank[part, 0], cluster))
     part, offset, cluster = part[order], offset[order], cluster[order]
-    again = np.concatenate(([False], cluster[1:] == cluster[:-1]))
+    again = np.concatenate(([False], cluster[1:] == cluster[:-1]))[: len(cluster)]  # none where no window is shared
     stops = np.cumsum(sizes - length + 1)
     flags = np.zeros(stops[-1], bool)
     flags[(stops - sizes + length - 1)[part[again]] + offset[again]] = True

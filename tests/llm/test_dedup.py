@@ -427,3 +427,27 @@ def test_segments_are_runs_of_windows_with_one_anchor():
                 last = at
             begin = end
         assert np.stack(suffix_dedup.segments(data, ends, length, gram), axis=1).tolist() == wanted
+
+
+def test_sorting_a_shard_stays_in_bounded_memory():
+    """Each Python worker of an executor sorts a shard at a time; six of them have to fit beside the JVM."""
+    import tracemalloc
+
+    pick = np.random.default_rng(3)
+    words = [bytes(pick.integers(97, 123, n, np.uint8)) for n in pick.integers(2, 10, 5000)]
+    parts = [b" ".join(words[i] for i in pick.integers(0, len(words), 26))[:170].ljust(170, b"x") for _ in range(suffix_dedup.SHARD_BYTES // 170)]
+    rank = np.stack([np.arange(len(parts)), np.zeros(len(parts), int), np.zeros(len(parts), int)], 1)
+    tracemalloc.start()
+    try:
+        suffix_dedup.repeated_windows(parts, rank)
+        assert tracemalloc.get_traced_memory()[1] < 120_000_000
+    finally:
+        tracemalloc.stop()
+
+
+def test_parts_without_a_common_window():
+    """Parts that share an anchor and no whole window: nothing repeats."""
+    anchor = b"0123456789abcdefghijklmnopqrstuv"
+    parts = [x * 60 + anchor + y * 60 for x, y in ((b"a", b"b"), (b"c", b"d"))]
+    flags = suffix_dedup.repeated_windows(parts, np.array([[1, 0, 0], [2, 0, 0]]))
+    assert [len(f) for f in flags] == [len(p) - suffix_dedup.LENGTH + 1 for p in parts] and not np.concatenate(flags).any()
