@@ -1,6 +1,8 @@
 """Language ID, exact top-k, LM scores, WARC revisits and the pipeline."""
 
 import math
+import os
+import random
 import zlib
 
 import duckdb
@@ -13,6 +15,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from cohortac.llm import langid, lm_score, queries, simhash, topk, warc
+from cohortac.session import checkpoint_dir
 from test_dedup import plain_removed
 from test_tokens import check_packing
 
@@ -213,6 +216,39 @@ def test_op7_orders(spark, order):
     assert lm_score.scores(no_documents(spark)).count() == 0
 
 
+def test_op7_chunks(spark):
+    """N-grams that meet over chunks, buckets and passes count as they do within one chunk."""
+    rnd = random.Random(7)
+    vocabulary = ["a", "b", "Über", "x" * 200_000, *(f"w{i}" for i in range(40))]
+    weights = [300, 300, 30, 0.1, *[3] * 40]
+    docs = [(i % 390 or None, " \t".join(rnd.choices(vocabulary, weights, k=rnd.choice([0, 1, 2, 40])))) for i in range(400)] + [(7, None), (8, "a b " * 3_000)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    one = {r.doc_id: r for r in lm_score.scores(df.coalesce(1), chunk_bytes=1 << 30).collect()}
+    many = {r.doc_id: r for r in lm_score.scores(df, chunk_bytes=100, passes=3).collect()}
+    assert set(one) == set(many) == {i for i, _ in docs}
+    for id_, r in one.items():
+        assert many[id_].n_words == r.n_words and many[id_].score == (pytest.approx(r.score) if r.n_words else None)
+
+
+def test_op7_disk(spark, tmp_path):
+    """What the scores leave on disk, shuffle files and tables, stays under four times their input."""
+    rnd = random.Random(11)
+    vocabulary = ["".join(rnd.choices("abcdefghijklmnop", k=3)) for _ in range(30_000)]
+    rows = [(i, " ".join(rnd.choices(vocabulary, k=300))) for i in range(3_000)]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(4).write.option("compression", "zstd").parquet(f"{tmp_path}/in")
+
+    def files(*tops):
+        return {f"{d}/{x}": os.path.getsize(f"{d}/{x}") for top in tops for d, _, names in os.walk(top) for x in names if os.path.exists(f"{d}/{x}")}
+
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    tops = [*blocks.localDirsString(), checkpoint_dir(spark).removeprefix("file:")]
+    before = files(*tops)
+    found = lm_score.scores(spark.read.parquet(f"{tmp_path}/in"))
+    assert found.agg(F.count("score"), F.sum("n_words")).first() == (3_000, 900_000)
+    left = sum(n for f, n in files(*tops).items() if f not in before)
+    assert 0 < left < 4 * sum(files(f"{tmp_path}/in").values())
+
+
 def test_op9_query(spark):
     found = queries.op9_warc_revisits(spark, SF01)
     cols = ["record_id", "status", "refers_to", "n_bytes", "body_md5", "headers"]
