@@ -1,8 +1,11 @@
 """SimHash, embedding and suffix-array dedup against brute force."""
 
 import hashlib
+import os
 import re
 import sys
+import threading
+import time
 
 import numpy as np
 import pandas as pd
@@ -451,3 +454,62 @@ def test_parts_without_a_common_window():
     parts = [x * 60 + anchor + y * 60 for x, y in ((b"a", b"b"), (b"c", b"d"))]
     flags = suffix_dedup.repeated_windows(parts, np.array([[1, 0, 0], [2, 0, 0]]))
     assert [len(f) for f in flags] == [len(p) - suffix_dedup.LENGTH + 1 for p in parts] and not np.concatenate(flags).any()
+
+
+def most_on_disk(spark, run):
+    """Bytes of new shuffle files that the session held at most while ``run`` ran."""
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    # The manager makes its folders before any file.
+    folders, seen, done = [d.getPath() for d in manager.localDirs()], [], threading.Event()
+
+    def held():
+        paths = (os.path.join(at, f) for d in folders for at, _, names in os.walk(d) for f in names if f.startswith("shuffle_"))
+        return {p: os.path.getsize(p) for p in paths if os.path.exists(p)}
+
+    def watch():
+        while not done.is_set():
+            try:
+                seen.append(sum(size for p, size in held().items() if p not in before))
+            except FileNotFoundError:  # removed meanwhile
+                pass
+            time.sleep(0.02)
+
+    before = held()
+    thread = threading.Thread(target=watch)
+    thread.start()
+    try:
+        run()
+    finally:
+        done.set()
+        thread.join()
+    return max(seen)
+
+
+def test_op3_moves_vectors_a_few_times(spark):
+    """Shuffle files of the run stay a small multiple of the vectors, which many leaves of many trees hold."""
+    n, dims = 3000, 64
+    v = np.float32(np.random.default_rng(6).standard_normal((n, dims)))
+    df = spark.createDataFrame([(i, [float(x) for x in row], 1, "", "") for i, row in enumerate(v)], VECTORS).localCheckpoint()
+    assert most_on_disk(spark, lambda: embedding_dedup.near_duplicates(df, 0.93, leaf_rows=64).collect()) < 4 * v.nbytes
+
+
+def test_op3_rounds_and_labels_of_any_size(spark, monkeypatch):
+    """Links do not depend on the number of rounds; a table may have labels that are compared whole beside larger ones."""
+    module, rounds = embedding_dedup, []
+    rows = [(i, v, min(k, 1)) for i, v, k in clustered(1500, 32, 7)]
+    df = spark.createDataFrame([(*r, "", "") for r in rows], VECTORS)
+    n, root = plain_links(rows, 0.93)
+    plain, found = module.rounds_of, []
+    monkeypatch.setattr(module, "rounds_of", lambda *a: rounds.append(plain(*a)) or rounds[-1])
+    for least in (15_000, 1 << 20):
+        monkeypatch.setattr(module, "ROUND_ROWS", least)
+        found.append({r.vec_id: (r.n_links, r.component_id) for r in module.near_duplicates(df, 0.93, leaf_rows=64, whole=600).collect()})
+    assert rounds[1] > 1 and rounds[3] == 1 and found[0] == found[1]
+    assert all(found[0][i] == (n[i], root[i]) for i, _, k in rows if k == 0)
+    assert all(found[0][i][0] <= n[i] for i in range(len(rows))) and sum(x for x, _ in found[0].values()) >= 0.95 * sum(n)
+
+
+def test_op3_classes_with_one_key(spark, monkeypatch):
+    """Should two classes have the same key, rows find theirs by label and vector."""
+    monkeypatch.setattr(embedding_dedup, "class_key", lambda: F.lit(7).cast("long"))
+    test_op3_rows(spark)
