@@ -5,6 +5,7 @@ import os
 import random
 
 import pyarrow as pa
+import pytest
 
 from cohortac.operators.regions import region_overlap_scan
 from cohortac.plans.pipeline import Filters, count_dataset, count_sites
@@ -303,3 +304,29 @@ def test_header_files_lie_in_folders_and_are_listed_in_few_tasks(spark, tmp_path
     assert len(input_files(spark, [f"{tmp_path}/*"]).collect()) == 0  # .vcf is taken only as a file
     assert sorted(os.path.basename(r.path) for r in input_files(spark, [f"{tmp_path}/*/*"]).collect()) == sorted(f"c{i}.vcf" for i in range(400))
     assert spark.conf.get(vcf.OPEN_COST) == cost
+
+
+def test_listing_in_tasks(spark, tmp_path, monkeypatch):
+    """The same files as by Spark's file index, of which the driver holds every file; that is not used."""
+    texts = {
+        "d/a.vcf.gz": "x", "d/b.txt": "x", "d/_c.vcf.gz": "x", "d/.e.vcf.gz": "x", "d/f.vcf.bgz": "", "d/g.vcf": "x", "d/h h.bcf": "x", "d/sub/i.vcf.gz": "x",
+        "d/p.vcf.gz/part-0": "x", "d/p.vcf.gz/_SUCCESS": "x", "d/p.vcf.gz/deep/q": "x", "d/_r.vcf/part-0": "x", "d/sub/deep.vcf/part-0": "x", "e1/k.bcf": "x", "e2/l.bcf": "x",
+        "e2/m.vcf.gz": "x", "_n/o.bcf": "x", "whole.vcf.bgz/one": "x", "whole.vcf.bgz/two.txt": "x", "d/_x=1.bcf": "x",
+    }
+    for name, text in texts.items():
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text(text)
+    os.symlink(tmp_path / "nowhere", tmp_path / "d" / "link.vcf.gz")
+    given = [["d"], ["d/*"], ["*"], ["e?"], ["e[12]/*.bcf"], ["e*/*"], ["whole.vcf.bgz"], ["d/g.vcf", "d", "e1"], ["d/*", "d/a.vcf.gz"], ["{e1,e2}"], ["d/_*"], ["*/sub"]]
+    given = [[f"{tmp_path}/{p}" for p in paths] for paths in given]
+    want = [sorted(map(tuple, vcf.indexed_files(spark, paths).distinct().collect())) for paths in given]
+    assert len(want[0]) > 3 and all(want[:9])
+    index = vcf.indexed_files
+    monkeypatch.setattr(vcf, "indexed_files", lambda s, paths: index(s, paths) if any("{" in p for p in paths) else pytest.fail(f"indexed: {paths}"))
+    for paths, files in zip(given, want):
+        assert sorted(map(tuple, input_files(spark, paths).collect())) == files, paths
+    monkeypatch.undo()
+    for nothing in (f"{tmp_path}/none", f"{tmp_path}/none*", f"{tmp_path}/none*/a"):
+        with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+            input_files(spark, [nothing])
+    assert input_files(spark, []).collect() == []
